@@ -73,42 +73,7 @@ class _Index:
             found.sort()
             h = np.array([x[0] for x in found], np.uint64)
             keys, first = np.unique(h, return_index=True)
-            self.rare[n] = (keys, np.r_[first, len(h)], np.array([x[1] for x in found]), np.array([x[2] for x in found]), _Sieve(keys))
-
-
-class _Sieve:
-    """A small table that most absent hashes fail at once."""
-
-    def __init__(self, keys: np.ndarray):
-        self.mask = np.uint64((1 << max(16, min(24, int(len(keys) * 32).bit_length()))) - 1)
-        self.table = np.zeros(int(self.mask) + 1, bool)
-        self.table[keys & self.mask] = True
-        self.keys = keys
-
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of h that hold a key, and the number of the key."""
-        at = np.flatnonzero(self.table[h & self.mask])
-        if not len(at) or not len(self.keys):
-            return at[:0], at[:0]
-        k = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
-        same = self.keys[k] == h[at]
-        return at[same], k[same]
-
-
-def _count(batches: Iterator[pa.RecordBatch], wanted: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    sieves = {n: _Sieve(keys) for n, keys in wanted.items()}
-    counts = {n: np.zeros(len(keys), np.int64) for n, keys in wanted.items()}
-    for batch in batches:
-        for _, _, raw, off in W.runs(batch["text"]):
-            starts, ends, first = W.spans(raw, off, "alnum")
-            h = W.hashes(raw, starts, ends, True)
-            for n, sieve in sieves.items():
-                at, k = sieve.find(W.grams(h, n))
-                whole = np.searchsorted(first, at, "right") == np.searchsorted(first, at + n - 1, "right")
-                counts[n] += np.bincount(k[whole], minlength=len(sieve.keys))
-    for n, c in counts.items():
-        live = np.flatnonzero(c)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(live), n, np.int32)), pa.array(wanted[n][live].view(np.int64)), pa.array(c[live])], ["n", "h", "c"])
+            self.rare[n] = (keys, np.r_[first, len(h)], np.array([x[1] for x in found]), np.array([x[2] for x in found]), W.Sieve(keys))
 
 
 def _find(batches: Iterator[pa.RecordBatch], index: _Index, keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +149,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
 def _with_block(docs: DataFrame, pairs: list, keep: tuple[str, ...], shingle: int) -> DataFrame:
     index = _Index([tuple(p) for p in pairs], shingle)
     wanted = index.all_shingles()
-    counts = docs.select("text").mapInArrow(lambda it: _count(it, wanted), "n int, h long, c long").groupBy("n", "h").agg(F.sum("c").alias("c"))
+    counts = docs.select("text").mapInArrow(lambda it: W.count_grams(it, wanted), "n int, h long, c long").groupBy("n", "h").agg(F.sum("c").alias("c"))
     index.order({(r.n, r.h & 0xFFFFFFFFFFFFFFFF): r.c for r in counts.collect()} if pairs else {})
     sent = docs.sparkSession.sparkContext.broadcast(index)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", " + _FOUND

@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language, license_scan, pseudo_likelihood
 from .common import table
 from .decontamination import decontaminate
+from .html_text import extract
 from .mixing import mix
 
 
@@ -19,12 +21,50 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(language.labelled(docs)))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+    def joined(*lists):
+        return F.array_join(F.array_sort(F.array_distinct(F.concat(*lists))), ",")
+
+    met = F.coalesce(F.array_max("blocks.containment"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.first").alias("first_word"),
+        F.array_max("base.first").alias("last_word"),
+        joined("base.label").alias("base_labels"),
+        joined("base.label", "blocks.label").alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(met).alias("score"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_pseudo_likelihood": op3_pseudo_likelihood,
+    "op4_html_text": op4_html_text,
+    "op6_language": op6_language,
+    "op8_license_scan": op8_license_scan,
     "op10_mixing": op10_mixing,
 }
 
@@ -32,6 +72,9 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACE = r"[^\x20\x09-\x0D]+"
 
+_TEMPLATES = ", ".join(f"({k}, '{label}', {sorted(set(t.split()))})" for k, (t, label) in enumerate(license_scan.TEMPLATES))
+_PHRASES = ", ".join(f"({p.split()}, '{label}')" for p, label in license_scan.PHRASES)
+
 ORACLES = {
     "op1_decontamination": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}') AS w FROM documents),
@@ -45,6 +88,20 @@ items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
+""",
+    "op8_license_scan": rf"""
+WITH t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS t(k, label, tokens)),
+p AS (SELECT * FROM (VALUES {_PHRASES}) AS p(phrase, label)),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}') AS w FROM documents),
+base AS (SELECT r, label, i - 1 AS first FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), p WHERE list_slice(w, i, i + len(phrase) - 1) = phrase),
+blocks AS (SELECT r, list_distinct(list_slice(w, i + 1, i + 64)) AS b FROM (SELECT r, w, unnest(range(0, greatest(1, len(w) - 32), 32)) AS i FROM d)),
+met AS (SELECT r, label, len(list_intersect(b, tokens)) / len(tokens) AS c FROM blocks, t WHERE list_has_any(b, tokens) AND len(list_intersect(b, tokens)) >= ceil(round({license_scan.THRESHOLD} * len(tokens), 9))),
+bases AS (SELECT r, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY r),
+every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM base UNION SELECT r, label FROM met) GROUP BY r),
+best AS (SELECT r, max(c) AS c FROM met GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(c, 0) END AS DOUBLE) AS score
+FROM d LEFT JOIN bases USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (r)
 """,
     "op10_mixing": rf"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPACE}')) AS BIGINT) AS size,

@@ -10,6 +10,8 @@ operator compares the words themselves or a second, independent hash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -135,3 +137,39 @@ def grams(h: np.ndarray, n: int, seed: int = 7) -> np.ndarray:
 def fold_bytes(raw: np.ndarray) -> np.ndarray:
     """The bytes with A-Z in lower case."""
     return _FOLD[raw]
+
+
+class Sieve:
+    """A small table that most absent hashes fail at once."""
+
+    def __init__(self, keys: np.ndarray):
+        self.mask = np.uint64((1 << max(16, min(24, int(len(keys) * 32).bit_length()))) - 1)
+        self.table = np.zeros(int(self.mask) + 1, bool)
+        self.table[keys & self.mask] = True
+        self.keys = keys
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of h that hold a key, and the number of the key."""
+        at = np.flatnonzero(self.table[h & self.mask])
+        if not len(at) or not len(self.keys):
+            return at[:0], at[:0]
+        k = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
+        same = self.keys[k] == h[at]
+        return at[same], k[same]
+
+
+def count_grams(batches: Iterator[pa.RecordBatch], wanted: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Counts over all texts of the given word n-grams (by n, sorted hashes of words without case): rows n, h, c."""
+    sieves = {n: Sieve(keys) for n, keys in wanted.items()}
+    counts = {n: np.zeros(len(keys), np.int64) for n, keys in wanted.items()}
+    for batch in batches:
+        for _, _, raw, off in runs(batch["text"]):
+            starts, ends, first = spans(raw, off, "alnum")
+            h = hashes(raw, starts, ends, True)
+            for n, sieve in sieves.items():
+                at, k = sieve.find(grams(h, n))
+                whole = np.searchsorted(first, at, "right") == np.searchsorted(first, at + n - 1, "right")
+                counts[n] += np.bincount(k[whole], minlength=len(sieve.keys))
+    for n, c in counts.items():
+        live = np.flatnonzero(c)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(live), n, np.int32)), pa.array(wanted[n][live].view(np.int64)), pa.array(c[live])], ["n", "h", "c"])
