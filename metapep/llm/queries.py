@@ -8,11 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, license_scan, pseudo_likelihood
+from . import language, license_scan, pseudo_likelihood, surrogates
 from .common import table
 from .decontamination import decontaminate
 from .html_text import extract
 from .mixing import mix
+from .neighbours import nearest
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
@@ -55,16 +60,22 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_surrogates": op2_surrogates,
     "op3_pseudo_likelihood": op3_pseudo_likelihood,
     "op4_html_text": op4_html_text,
     "op6_language": op6_language,
     "op8_license_scan": op8_license_scan,
+    "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
 }
 
