@@ -14,6 +14,7 @@ from .decontamination import decontaminate
 from .html_text import extract
 from .mixing import mix
 from .neighbours import nearest
+from .substring_dedup import dedup_substrings
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,11 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_substrings(table(spark, sf_dir, "documents"), digest=True)
+    return found.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, language.train(language.labelled(docs)))
@@ -73,6 +79,7 @@ QUERIES = {
     "op2_surrogates": op2_surrogates,
     "op3_pseudo_likelihood": op3_pseudo_likelihood,
     "op4_html_text": op4_html_text,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_language": op6_language,
     "op8_license_scan": op8_license_scan,
     "op9_neighbours": op9_neighbours,
@@ -99,6 +106,14 @@ items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
+""",
+    "op5_substring_dedup": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACE}') AS w FROM documents),
+x AS (SELECT r, doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS win FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE doc_id IS NOT NULL)),
+f AS (SELECT win, min(doc_id) AS least FROM x GROUP BY win),
+gone AS (SELECT r, list_distinct(flatten(list(range(i, i + 13)))) AS places FROM x JOIN f USING (win) WHERE least < doc_id GROUP BY r),
+kept AS (SELECT d.r, doc_id, w, coalesce(places, []) AS places, list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(coalesce(places, []), i)) AS stay FROM d LEFT JOIN gone USING (r))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(list_transform(stay, lambda i: w[i]), ' '), '')) AS kept_sha256 FROM kept
 """,
     "op8_license_scan": rf"""
 WITH t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS t(k, label, tokens)),

@@ -192,13 +192,12 @@ def pseudonymise(docs: DataFrame, key: str | None = None) -> DataFrame:
     stay as they are, byte by byte.  All other columns and their order are kept, repeated
     rows too; only a column n_entities in the input would clash and is refused.
     """
-    if "n_entities" in docs.columns:
-        raise ValueError("docs has a column n_entities")
+    if clash := {"n_entities", "_entities"} & set(docs.columns):
+        raise ValueError(f"docs has columns {sorted(clash)}")
     key = key or checked_key(docs)
-    found = entities(docs["text"])
-    rows = docs.withColumn("n_entities", F.coalesce(F.size(found), F.lit(0)))
-    text = F.col("text")
-    gaps = F.split(text, PATTERN, -1)
-    put = F.concat(F.transform(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), lambda e: surrogate(e, key)), F.array(F.lit("")))
+    rows = docs.withColumn("_entities", entities(docs["text"]))
+    gaps = F.split("text", PATTERN, -1)
+    put = F.concat(F.transform("_entities", lambda e: surrogate(e, key)), F.array(F.lit("")))
     joined = F.array_join(F.zip_with(gaps, put, lambda g, s: F.concat(g, s)), "")
-    return rows.withColumn("text", F.when(F.col("n_entities") > 0, joined).otherwise(text))
+    n = F.coalesce(F.size("_entities"), F.lit(0))
+    return rows.withColumns({"n_entities": n, "text": F.when(n > 0, joined).otherwise(F.col("text"))}).drop("_entities")
