@@ -12,6 +12,7 @@ from . import language, license_scan, pseudo_likelihood, surrogates
 from .common import table
 from .decontamination import decontaminate
 from .html_text import extract
+from .jaccard_join import jaccard_join
 from .mixing import mix
 from .neighbours import nearest
 from .substring_dedup import dedup_substrings
@@ -24,7 +25,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents"))
 
 
 def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op4_html_text": op4_html_text,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_language": op6_language,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_license_scan": op8_license_scan,
     "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
@@ -114,6 +120,15 @@ f AS (SELECT win, min(doc_id) AS least FROM x GROUP BY win),
 gone AS (SELECT r, list_distinct(flatten(list(range(i, i + 13)))) AS places FROM x JOIN f USING (win) WHERE least < doc_id GROUP BY r),
 kept AS (SELECT d.r, doc_id, w, coalesce(places, []) AS places, list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(coalesce(places, []), i)) AS stay FROM d LEFT JOIN gone USING (r))
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(list_transform(stay, lambda i: w[i]), ' '), '')) AS kept_sha256 FROM kept
+""",
+    "op7_jaccard_join": rf"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_SPACE}') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d WHERE doc_id IS NOT NULL UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) USING (doc_id)
 """,
     "op8_license_scan": rf"""
 WITH t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS t(k, label, tokens)),

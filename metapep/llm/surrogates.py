@@ -185,19 +185,19 @@ def checked_key(docs: DataFrame, key: str = KEY, tries: int = 8) -> str:
     raise ValueError(f"entities collide under {tries} keys")
 
 
-def pseudonymise(docs: DataFrame, key: str | None = None) -> DataFrame:
-    """docs with the entities in text replaced, in place, and a last column n_entities (int).
+def pseudonymise(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), key: str | None = None) -> DataFrame:
+    """For each row of docs: its `keep` columns, text with the entities replaced in place, and n_entities (int).
 
     Null texts stay null and empty ones empty, with 0 entities; texts without entities
-    stay as they are, byte by byte.  All other columns and their order are kept, repeated
-    rows too; only a column n_entities in the input would clash and is refused.
+    stay as they are, byte by byte.  Repeated rows each have their result, the same one;
+    no rows give no rows.  Other columns are left out, so their names can't clash.
     """
-    if clash := {"n_entities", "_entities"} & set(docs.columns):
-        raise ValueError(f"docs has columns {sorted(clash)}")
+    if clash := {"text", "n_entities", "_entities"} & set(keep):
+        raise ValueError(f"kept columns have names of results: {sorted(clash)}")
     key = key or checked_key(docs)
-    rows = docs.withColumn("_entities", entities(docs["text"]))
+    rows = docs.select(*keep, "text", entities(docs["text"]).alias("_entities"))
     gaps = F.split("text", PATTERN, -1)
     put = F.concat(F.transform("_entities", lambda e: surrogate(e, key)), F.array(F.lit("")))
     joined = F.array_join(F.zip_with(gaps, put, lambda g, s: F.concat(g, s)), "")
     n = F.coalesce(F.size("_entities"), F.lit(0))
-    return rows.withColumns({"n_entities": n, "text": F.when(n > 0, joined).otherwise(F.col("text"))}).drop("_entities")
+    return rows.select(*keep, F.when(n > 0, joined).otherwise(F.col("text")).alias("text"), n.alias("n_entities"))
