@@ -1,10 +1,412 @@
-"""Queries over the driver tables, projected into the domain model of sequences, taxa and annotations."""
+"""Queries over the driver tables, projected into the domain model, and DuckDB SQL for each.
+
+Documents are protein sequences (their letters), order lines are occurrences of a part
+in a supplier, and regions, nations, suppliers and customers are a taxonomy of domains,
+phyla, genera and species.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import plans
+from .functions import entry_annotations, equate_il, kmers, standard_alphabet, tryptic_digest
+from .operators import aggregates, checks, lookup, tables, taxonomy
+from .operators.numbering import last_by_key, number_rows, union_numbered
+from .ranks import SLOTS
+from .sources import flatfile, ontologies, taxdump
+from .storage import join_checked
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def _query(sql: str):
+    def add(f):
+        QUERIES[f.__name__], ORACLES[f.__name__] = f, sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _letters(text: Column) -> Column:
+    return F.upper(F.regexp_replace(F.coalesce(text, F.lit("")), "[^a-zA-Z]", ""))
+
+
+def _sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", _letters(F.col("text")).alias("sequence"))
+
+
+_SEQ = "upper(regexp_replace(coalesce(text, ''), '[^a-zA-Z]', '', 'g'))"
+_DIGEST = (
+    "(SELECT doc_id, unnest(p) AS sequence, generate_subscripts(p, 1) AS place FROM (SELECT doc_id, list_filter(string_split(regexp_replace(replace(replace(replace("
+    f"{_SEQ}, 'K', 'K|'), 'R', 'R|'), '|P', 'P'), '\\|$', ''), '|'), lambda x: len(x) BETWEEN 5 AND 50) AS p FROM documents))"
+)
+
+
+def _species_name(key: Column) -> Column:
+    names = ("Genus simplex", "Genus sp.", "Genus simplex 12", "Frog virus 3", "uncultured Genus", "Genus bacterium alpha", "gut metagenome", "Genus genomosp.")
+    return F.element_at(F.array(*map(F.lit, names)), (key % 8 + 1).cast("int"))
+
+
+_SPECIES_NAME = "['Genus simplex', 'Genus sp.', 'Genus simplex 12', 'Frog virus 3', 'uncultured Genus', 'Genus bacterium alpha', 'gut metagenome', 'Genus genomosp.'][c_custkey % 8 + 1]"
+
+
+def _taxa(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
+    """(id, name, rank, parent_id)."""
+    out = spark.range(1).select(F.lit(1).alias("id"), F.lit("root").alias("name"), F.lit("no rank").alias("rank"), F.lit(1).alias("parent_id"))
+    made = {
+        "region": ("domain", F.col("r_regionkey") + 10, F.col("r_name"), F.lit(1)),
+        "nation": ("phylum", F.col("n_nationkey") + 100, F.col("n_name"), F.col("n_regionkey") + 10),
+        "supplier": ("genus", F.col("s_suppkey") + 10_000, F.col("s_name"), F.col("s_nationkey") + 100),
+        "customer": ("species", F.col("c_custkey") + 10_000_000, _species_name(F.col("c_custkey")), F.col("c_nationkey") + 100),
+    }
+    for level in levels or made:
+        rank, id_, name, parent = made[level]
+        out = out.union(_table(spark, sf_dir, level).select(id_.cast("int").alias("id"), name.alias("name"), F.lit(rank).alias("rank"), parent.cast("int").alias("parent_id")))
+    return out
+
+
+_TAXA = f"""(SELECT 1 AS id, 'root' AS name, 'no rank' AS rank, 1 AS parent_id
+UNION ALL SELECT r_regionkey + 10, r_name, 'domain', 1 FROM region
+UNION ALL SELECT n_nationkey + 100, n_name, 'phylum', n_regionkey + 10 FROM nation
+UNION ALL SELECT CAST(s_suppkey + 10000 AS INTEGER), s_name, 'genus', s_nationkey + 100 FROM supplier
+UNION ALL SELECT CAST(c_custkey + 10000000 AS INTEGER), {_SPECIES_NAME}, 'species', c_nationkey + 100 FROM customer)"""
+
+_VALID = """NOT (rank = 'species' AND ((regexp_matches(name, '[0-9]') AND NOT contains(name, 'virus')) OR ends_with(name, ' sp.') OR ends_with(name, ' genomosp.') OR contains(name, ' bacterium'))
+OR contains(name, 'uncultured') OR contains(name, 'sample') OR ends_with(name, 'metagenome') OR ends_with(name, 'library'))"""
+_TREE = f"""t AS (SELECT * FROM {_TAXA}),
+v AS (SELECT id, name, rank, parent_id, {_VALID} AS valid FROM t WHERE id = 1 UNION ALL SELECT t.id, t.name, t.rank, t.parent_id, v.valid AND {_VALID.replace("rank", "t.rank").replace("name", "t.name")} FROM t JOIN v ON t.parent_id = v.id WHERE t.id <> 1)"""
+
+
+@_query("""SELECT l_partkey, CAST(CASE WHEN d0 <> d1 THEN 1 WHEN p0 <> p1 THEN d0 WHEN g0 <> g1 THEN p0 ELSE g0 END AS INTEGER) AS lca FROM (
+SELECT l_partkey, min(n_regionkey) + 10 AS d0, max(n_regionkey) + 10 AS d1, min(n_nationkey) + 100 AS p0, max(n_nationkey) + 100 AS p1, min(s_suppkey) + 10000 AS g0, max(s_suppkey) + 10000 AS g1
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY l_partkey)""")
+def lca_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest common ancestor of each part's suppliers."""
+    lineages = taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "supplier")))
+    rows = _table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_suppkey") + 10_000).cast("int").alias("taxon_id"))
+    return aggregates.lowest_common_ancestors(rows, lineages, "l_partkey")
+
+
+@_query(f"SELECT doc_id, CAST(place - 1 AS INTEGER) AS place, sequence, replace(sequence, 'I', 'L') AS eq_sequence FROM {_DIGEST}")
+def tryptic_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _sequences(spark, sf_dir).select("doc_id", F.posexplode(tryptic_digest(F.col("sequence"))).alias("place", "sequence"))
+    return rows.withColumn("eq_sequence", equate_il(F.col("sequence")))
+
+
+@_query(f"SELECT kmer, count(*) AS n FROM (SELECT substring(s, i, 4) AS kmer FROM (SELECT s, unnest(range(1, len(s) - 2)) AS i FROM (SELECT {_SEQ} AS s FROM documents))) GROUP BY kmer")
+def kmer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sequences(spark, sf_dir).select(F.explode(kmers(F.col("sequence"), 4)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
+
+
+_TERMS = "CASE WHEN l_linenumber % 4 = 0 THEN '' ELSE concat_ws(';', 'GO:' || l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'EC:' || l_linestatus END, CASE WHEN l_linestatus = 'O' THEN 'IPR:' || l_returnflag END) END"
+
+
+@_query(f"""WITH t AS (SELECT l_orderkey AS k, list_filter(string_split({_TERMS}, ';'), lambda x: x <> '') AS t FROM lineitem),
+c AS (SELECT k, count(*) AS n, count(*) FILTER (len(list_filter(t, lambda x: x[1] = 'E')) > 0) AS e, count(*) FILTER (len(list_filter(t, lambda x: x[1] = 'G')) > 0) AS g, count(*) FILTER (len(list_filter(t, lambda x: x[1] = 'I')) > 0) AS i FROM t GROUP BY k),
+d AS (SELECT k, term, count(*) AS n FROM (SELECT k, unnest(t) AS term FROM t) GROUP BY k, term),
+j AS (SELECT k, string_agg('"' || term || '":' || n, ',' ORDER BY term) AS data FROM d GROUP BY k)
+SELECT k AS l_orderkey, '{{"num":{{"all":' || n || ',"EC":' || e || ',"GO":' || g || ',"IPR":' || i || '}},"data":{{' || data || '}}}}' AS fa FROM c JOIN j USING (k)""")
+def term_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", F.expr(_TERMS).alias("terms"))
+    return aggregates.histogram_json(aggregates.term_histogram(rows, "l_orderkey", "terms"), "l_orderkey")
+
+
+_STANDARD = f"CASE WHEN doc_id % 3 = 0 THEN {_SEQ} ELSE translate({_SEQ}, 'BJOUXZ', '') END"
+
+
+def _proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as entries of species; two of three have the standard residues only."""
+    s = F.col("sequence")
+    own = F.when(F.col("doc_id") % 3 == 0, s).otherwise(F.translate(s, "BJOUXZ", ""))
+    return _sequences(spark, sf_dir).select("doc_id", (F.col("doc_id") % 150 + 10_000_001).cast("int").alias("taxon_id"), own.alias("sequence"))
+
+
+_KMER_ROWS = f"(SELECT DISTINCT substring(s, i, 3) AS kmer, taxon FROM (SELECT s, taxon, unnest(range(1, len(s) - 1)) AS i FROM (SELECT {_STANDARD} AS s, doc_id % 150 + 1 AS taxon FROM documents) WHERE regexp_full_match(s, '[ACDEFGHIKLMNPQRSTVWY]*')))"
+
+
+@_query(f"""WITH k AS (SELECT kmer, n_regionkey + 10 AS d, n_nationkey + 100 AS p, CASE WHEN c_custkey % 8 IN (0, 3) THEN c_custkey + 10000000 END AS s, c_custkey % 8 NOT IN (0, 3) AS bad
+FROM {_KMER_ROWS} JOIN customer ON taxon = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+SELECT kmer, CAST(CASE WHEN min(d) <> max(d) THEN 1 WHEN min(p) <> max(p) THEN min(d) WHEN count(DISTINCT s) > 1 THEN min(p) ELSE coalesce(min(s), min(p)) END AS INTEGER) AS lca FROM k GROUP BY kmer""")
+def kmer_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineages = taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "customer")))
+    return plans.kmer_index(_proteins(spark, sf_dir), lineages, 3)
+
+
+def _peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _sequences(spark, sf_dir).select("doc_id", F.explode(tryptic_digest(F.col("sequence"))).alias("sequence"))
+    return rows.withColumns({"eq_sequence": equate_il(F.col("sequence")), "taxon_id": (F.col("doc_id") % 150 + 10_000_001).cast("int")})
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _peptides(spark, sf_dir)
+    return union_numbered(p.select("sequence"), p.select(F.col("eq_sequence").alias("sequence")))
+
+
+_NUMBERED = f"(SELECT row_number() OVER (ORDER BY sequence) AS id, sequence FROM (SELECT sequence FROM {_DIGEST} UNION SELECT replace(sequence, 'I', 'L') FROM {_DIGEST}))"
+
+
+@_query(f"SELECT CAST(id AS BIGINT) AS id, sequence FROM {_NUMBERED}")
+def number_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(spark, sf_dir)
+
+
+@_query(f"""WITH s AS MATERIALIZED (SELECT * FROM {_NUMBERED}), p AS (SELECT doc_id, sequence, replace(sequence, 'I', 'L') AS eq FROM {_DIGEST})
+SELECT doc_id, CAST(a.id AS BIGINT) AS eq_seq_id, CAST(b.id AS BIGINT) AS seq_id FROM p JOIN s a ON p.eq = a.sequence JOIN s b ON p.sequence = b.sequence""")
+def dictionary_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _peptides(spark, sf_dir).withColumns({"peptide_id": F.col("doc_id"), "entry_id": F.col("doc_id"), "fa": F.lit("")})
+    return tables.dictionary_encode(p, _numbered(spark, sf_dir)).select(F.col("peptide_id").alias("doc_id"), "eq_seq_id", "seq_id")
+
+
+def _fa(key: Column) -> Column:
+    return F.when(key % 4 == 0, "").otherwise(F.concat(F.lit("GO:"), (key % 5).cast("string")))
+
+
+def _sequence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineages = taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "customer")))
+    sequences = _numbered(spark, sf_dir)
+    p = _peptides(spark, sf_dir).withColumns({"peptide_id": F.col("doc_id"), "entry_id": F.col("doc_id"), "fa": _fa(F.col("doc_id"))})
+    encoded = tables.dictionary_encode(p, sequences)
+    sides = [aggregates.lowest_common_ancestors(encoded, lineages, k) for k in ("seq_id", "eq_seq_id")]
+    sides += [aggregates.histogram_json(aggregates.term_histogram(encoded, k, "fa"), k) for k in ("seq_id", "eq_seq_id")]
+    return tables.sequence_table(sequences, *sides)
+
+
+_SEQUENCE_CTE = f"""s AS MATERIALIZED (SELECT * FROM {_NUMBERED}),
+p AS MATERIALIZED (SELECT doc_id, sequence, replace(sequence, 'I', 'L') AS eq, n_regionkey + 10 AS d, n_nationkey + 100 AS h, CASE WHEN c_custkey % 8 IN (0, 3) THEN c_custkey + 10000000 END AS c FROM {_DIGEST} JOIN customer ON doc_id % 150 + 1 = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+both_ AS (SELECT 'o' AS side, sequence AS k, * FROM p UNION ALL SELECT 'e', eq, * FROM p),
+l AS (SELECT side, k, CAST(CASE WHEN min(d) <> max(d) THEN 1 WHEN min(h) <> max(h) THEN min(d) WHEN count(DISTINCT c) > 1 THEN min(h) ELSE coalesce(min(c), min(h)) END AS INTEGER) AS lca FROM both_ GROUP BY side, k),
+f AS (SELECT side, k, count(*) AS n, count(*) FILTER (doc_id % 4 <> 0) AS g FROM both_ GROUP BY side, k),
+t AS (SELECT side, k, 'GO:' || (doc_id % 5) AS term, count(*) AS n FROM both_ WHERE doc_id % 4 <> 0 GROUP BY ALL),
+j AS (SELECT side, k, string_agg('"' || term || '":' || n, ',' ORDER BY term) AS data FROM t GROUP BY side, k),
+fa AS (SELECT side, k, '{{"num":{{"all":' || n || ',"EC":0,"GO":' || g || ',"IPR":0}},"data":{{' || data || '}}}}' AS fa FROM f JOIN j USING (side, k)),
+x AS (SELECT CAST(id AS BIGINT) AS id, sequence, lo.lca AS lca, le.lca AS lca_il, fo.fa AS fa, fe.fa AS fa_il FROM s LEFT JOIN l lo ON lo.side = 'o' AND lo.k = sequence LEFT JOIN l le ON le.side = 'e' AND le.k = sequence
+LEFT JOIN fa fo ON fo.side = 'o' AND fo.k = sequence LEFT JOIN fa fe ON fe.side = 'e' AND fe.k = sequence)"""
+
+
+@_query(f"WITH {_SEQUENCE_CTE} SELECT * FROM x")
+def sequence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sequence_table(spark, sf_dir)
+
+
+@_query(f"WITH {_SEQUENCE_CTE} SELECT sequence, lca AS taxon_id FROM x WHERE lca IS NOT NULL")
+def tryptic_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.tryptic_index(_sequence_table(spark, sf_dir))
+
+
+@_query(f"WITH {_SEQUENCE_CTE} SELECT sequence, lca AS taxon_id FROM x WHERE lca IS NOT NULL AND NOT contains(sequence, 'N')")
+def tryptic_index_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.tryptic_index(_sequence_table(spark, sf_dir), compat_drop_n=True)
+
+
+_COLLAPSED = "(SELECT l_partkey, string_agg(CAST(l_orderkey AS VARCHAR), ';' ORDER BY CAST(l_orderkey AS VARCHAR)) AS accessions FROM lineitem GROUP BY l_partkey)"
+
+
+@_query(f"SELECT * FROM {_COLLAPSED}")
+def collapse_proteomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.collapse(_table(spark, sf_dir, "lineitem"), "l_partkey", "l_orderkey", "accessions")
+
+
+@_query(f"""SELECT row_number() OVER (ORDER BY upid) AS id, upid, organism_id, protein_count, accessions FROM (
+SELECT 'UP' || p_partkey AS upid, p_size AS organism_id, CAST(p_partkey % 7 AS INTEGER) AS protein_count, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE coalesce(accessions, '') END AS accessions FROM part LEFT JOIN {_COLLAPSED} ON l_partkey = p_partkey WHERE p_partkey % 2 = 0)""")
+def reference_proteomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with an even key are reference proteomes; those divisible by five have no entries."""
+    rows = _table(spark, sf_dir, "lineitem").filter("l_partkey % 5 <> 0").select(F.concat(F.lit("UP"), F.col("l_partkey")).alias("upid"), F.col("l_orderkey").cast("string").alias("accession"))
+    reference = _table(spark, sf_dir, "part").filter("p_partkey % 2 = 0").select(F.concat(F.lit("UP"), F.col("p_partkey")).alias("upid"), F.col("p_size").cast("int").alias("organism_id"), (F.col("p_partkey") % 7).cast("int").alias("protein_count"))
+    return tables.proteome_table(rows, reference)
+
+
+@_query(f"SELECT id, name, CASE WHEN rank = 'genus' THEN 'no rank' ELSE rank END AS rank, parent_id FROM {_TAXA}")
+def taxon_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Taxa written as dump lines and parsed; genera are written with a rank that becomes no rank."""
+    t = _taxa(spark, sf_dir)
+    rank = F.when(F.col("rank") == "genus", "clade").when(F.col("rank") == "domain", "acellular root").otherwise(F.col("rank"))
+    nodes = t.select(F.concat_ws("\t|\t", F.col("id").cast("string"), F.col("parent_id").cast("string"), rank, F.lit("XX")).alias("value"))
+    names = t.select(F.explode(F.array(F.concat_ws("\t|\t", F.col("id").cast("string"), F.col("name"), F.lit(""), F.lit("scientific name\t|")), F.concat_ws("\t|\t", F.col("id").cast("string"), F.lit("other"), F.lit(""), F.lit("synonym\t|")))).alias("value"))
+    return taxdump.taxa(taxdump.parse_nodes(nodes), taxdump.parse_names(names))
+
+
+@_query(f"WITH RECURSIVE {_TREE} SELECT * FROM v")
+def taxon_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taxonomy.taxon_table(taxonomy.with_paths(_taxa(spark, sf_dir)))
+
+
+def _lineage_sql() -> str:
+    def cells(filled: dict[str, str], bad: str) -> str:
+        """Gaps beside an invalid species are -1: those below its next ancestor, and those more specific than it."""
+        at = {s: i for i, s in enumerate(SLOTS)}
+        last = max(i for s, i in at.items() if s in filled and s != "species") if filled else -1
+        gap = lambda s: "NULL" if not bad or at[s] < last else f"CASE WHEN {bad} THEN -1 END"
+        return ", ".join(f"CAST({filled.get(s, gap(s))} AS INTEGER) AS {s}" for s in SLOTS)
+
+    n = "nation JOIN region ON n_regionkey = r_regionkey"
+    up = {"domain": "n_regionkey + 10", "phylum": "n_nationkey + 100"}
+    bad = "c_custkey % 8 NOT IN (0, 3)"
+    return " UNION ALL ".join(
+        (
+            f"SELECT 1 AS taxon_id, {cells({}, '')}",
+            f"SELECT r_regionkey + 10, {cells({'domain': 'r_regionkey + 10'}, '')} FROM region",
+            f"SELECT n_nationkey + 100, {cells(up, '')} FROM {n}",
+            f"SELECT CAST(s_suppkey + 10000 AS INTEGER), {cells({**up, 'genus': 's_suppkey + 10000'}, '')} FROM supplier JOIN {n} ON s_nationkey = n_nationkey".replace(f"JOIN {n} ON", "JOIN nation ON"),
+            f"SELECT CAST(c_custkey + 10000000 AS INTEGER), {cells({**up, 'species': f'CASE WHEN {bad} THEN -1 ELSE 1 END * (c_custkey + 10000000)'}, bad)} FROM customer JOIN nation ON c_nationkey = n_nationkey",
+        )
+    )
+
+
+@_query(_lineage_sql())
+def lineages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir)))
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as entries; every third has a taxon that does not exist."""
+    d, text = F.col("doc_id"), F.lit
+    return _sequences(spark, sf_dir).select(
+        "doc_id",
+        F.concat(text("P"), F.lpad(d.cast("string"), 9, "0")).alias("accession"),
+        (d % 9).cast("string").alias("version"),
+        F.when(d % 3 == 0, 5).otherwise(d % 150 + 10_000_001).cast("int").alias("taxon_id"),
+        F.when(d % 2 == 0, "swissprot").otherwise("trembl").alias("type"),
+        F.concat(text("Protein "), (d % 50).cast("string")).alias("name"),
+        "sequence",
+        F.when(d % 4 == 0, F.array(F.concat(text("1.1.1."), (d % 5).cast("string")))).otherwise(F.array().cast("array<string>")).alias("ec"),
+        F.when(d % 5 > 0, F.array(F.concat(text("GO:000000"), (d % 5).cast("string")), text("GO:0000009"))).otherwise(F.array().cast("array<string>")).alias("go"),
+        F.when(d % 7 > 3, F.array(F.concat(text("IPR00000"), (d % 7).cast("string")))).otherwise(F.array().cast("array<string>")).alias("ipr"),
+    )
+
+
+_EC, _GO, _IPR = "CASE WHEN doc_id % 4 = 0 THEN 'EC:1.1.1.' || doc_id % 5 ELSE '' END", "CASE WHEN doc_id % 5 > 0 THEN 'GO:000000' || doc_id % 5 || ';GO:0000009' ELSE '' END", "CASE WHEN doc_id % 7 > 3 THEN 'IPR:IPR00000' || doc_id % 7 ELSE '' END"
+_ENTRIES = f"""(SELECT row_number() OVER (ORDER BY doc_id) AS id, doc_id, 'P' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS accession, CAST(doc_id % 9 AS VARCHAR) AS version, CAST(doc_id % 150 + 10000001 AS INTEGER) AS taxon_id,
+CASE WHEN doc_id % 2 = 0 THEN 'swissprot' ELSE 'trembl' END AS type, 'Protein ' || doc_id % 50 AS name, {_SEQ} AS sequence, {_EC} || ';' || {_GO} || ';' || {_IPR} AS fa FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 150 + 1 IN (SELECT c_custkey FROM customer))"""
+
+
+@_query(f"SELECT CAST(id AS BIGINT) AS id, accession, version, taxon_id, type, name, sequence, fa FROM {_ENTRIES}")
+def entry_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = tables.entry_table(_entries(spark, sf_dir), _taxa(spark, sf_dir), ["doc_id"])
+    return own.select("id", "accession", "version", "taxon_id", "type", "name", "sequence", "fa")
+
+
+@_query(f"""WITH e AS MATERIALIZED (SELECT * FROM {_ENTRIES}), p AS (SELECT doc_id, sequence, place FROM {_DIGEST})
+SELECT row_number() OVER (ORDER BY e.id, place) AS peptide_id, replace(p.sequence, 'I', 'L') AS eq_sequence, p.sequence, CAST(e.id AS BIGINT) AS entry_id, concat_ws(';', nullif({_GO.replace("doc_id", "e.doc_id")}, ''), nullif({_EC.replace("doc_id", "e.doc_id")}, ''), nullif({_IPR.replace("doc_id", "e.doc_id")}, '')) AS fa, taxon_id FROM e JOIN p ON e.doc_id = p.doc_id""")
+def peptide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.peptide_table(tables.entry_table(_entries(spark, sf_dir), _taxa(spark, sf_dir), ["doc_id"]))
+
+
+@_query("""SELECT 'A' || s_suppkey AS accession, CAST(s_suppkey % 40 AS VARCHAR) AS version, CAST(s_nationkey + 100 AS INTEGER) AS taxon_id, CASE WHEN s_suppkey % 2 = 0 THEN 'swissprot' ELSE 'trembl' END AS type,
+CASE WHEN s_suppkey % 3 = 0 THEN 'Part ' || s_suppkey ELSE s_name END AS name, repeat('ACDEFGHIKL', CAST(s_suppkey % 13 AS INTEGER)) AS sequence, CASE WHEN s_suppkey % 3 = 1 THEN '1.2.3.' || s_suppkey % 9 ELSE '' END AS ec, 'GO:' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS go, 'UP' || lpad(CAST(s_nationkey AS VARCHAR), 9, '0') AS proteomes FROM supplier""")
+def flatfile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers written as flat-file records, with components, metadata and junk, and parsed."""
+    k = F.col("s_suppkey")
+    text = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    sequence = F.repeat(F.lit("ACDEFGHIKL"), (k % 13).cast("int"))
+    spaced = F.regexp_replace(F.regexp_replace(sequence, "(.{60})", "$1\n"), "\n$", "")
+    body = F.when(k % 13 > 0, F.concat(F.lit("\n     "), F.regexp_replace(F.regexp_replace(spaced, "(.{10})(?=.)", "$1 "), "\n", "\n     "))).otherwise("")
+    record = F.concat(
+        text("junk\nID   X\nAC   A", k, "; B", k, ";\nDT   01-JAN-2000, integrated into ", F.when(k % 2 == 0, "UniProtKB/Swiss-Prot.").otherwise("UniProtKB/TrEMBL."), "\nDT   01-JAN-2000, sequence version 1.\nDT   01-JAN-2000, entry version ", k % 40, "."),
+        text("\nDE   RecName: Full=", F.col("s_name"), " {ECO:1};"),
+        F.when(k % 3 == 1, text("\nDE            EC=1.2.3.", k % 9, " {ECO:2};\nDE            EC=1.2.3.", k % 9, ";")).otherwise(""),
+        F.when(k % 3 == 0, text("\nDE   Contains:\nDE     RecName: Full=Part ", k, ";")).otherwise(""),
+        text("\nOX   NCBI_TaxID=", F.col("s_nationkey") + 100, ";\nDR   GO; GO:", F.lpad(k.cast("string"), 7, "0"), "; P:x.\nDR   Proteomes; UP", F.lpad(F.col("s_nationkey").cast("string"), 9, "0"), "; x.\nSQ   SEQUENCE"),
+        body,
+    )
+    parsed = flatfile.parse_entries(_table(spark, sf_dir, "supplier").select(record.alias("value")))
+    joined = {c: F.array_join(c, ";") for c in ("ec", "go", "proteomes")}
+    return parsed.withColumns(joined).select("accession", "version", "taxon_id", "type", "name", "sequence", "ec", "go", "proteomes")
+
+
+@_query("SELECT DISTINCT CAST(p_size % 9 + 1 AS VARCHAR) || '.' || p_size || '.-.-' AS code, 'Acting on ' || p_size || ' parts' AS name FROM part")
+def enzyme_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("p_size")
+    line = F.concat((p % 9 + 1).cast("string"), F.lit(". "), p.cast("string"), F.lit(". -.-  Acting on "), p.cast("string"), F.lit(" parts."))
+    noise = F.lit("Not a class line")
+    return ontologies.enzyme_classes(_table(spark, sf_dir, "part").select(F.explode(F.array(line, noise)).alias("value"))).distinct()
+
+
+@_query("SELECT '1.1.1.' || p_partkey AS code, p_name || CASE WHEN p_partkey % 2 = 0 THEN 'continued' ELSE '' END AS name FROM part")
+def enzyme_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("p_partkey")
+    more = F.when(p % 2 == 0, "\nDE   continued.").otherwise("")
+    record = F.concat(F.lit("ID   1.1.1."), p.cast("string"), F.lit("\nDE   "), F.col("p_name"), F.lit("."), more, F.lit("\nAN   other."))
+    return ontologies.enzyme_entries(_table(spark, sf_dir, "part").select(record.alias("value")))
+
+
+@_query("SELECT 'GO:' || p_partkey AS code, 'biological process' AS namespace, p_name AS name FROM part WHERE p_partkey % 3 > 0 UNION ALL SELECT 'GO:9' || p_partkey, 'biological process', p_name FROM part WHERE p_partkey % 3 = 1")
+def obo_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("p_partkey")
+    alt = F.when(p % 3 == 1, F.concat(F.lit("alt_id: GO:9"), p.cast("string"), F.lit("\n"))).otherwise("")
+    kind = F.when(p % 3 == 0, "[Typedef]").otherwise("[Term]")
+    stanza = F.concat(kind, F.lit("\nid: GO:"), p.cast("string"), F.lit("\nname: "), F.col("p_name"), F.lit("\nnamespace: biological_process\n"), alt, F.lit("def: x"))
+    return ontologies.obo_terms(_table(spark, sf_dir, "part").select(stanza.alias("value")))
+
+
+@_query("SELECT 'IPR' || p_partkey AS code, p_type AS category, p_name AS name FROM part")
+def interpro_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.concat_ws("\t", F.concat(F.lit("IPR"), F.col("p_partkey")), "p_type", "p_name")
+    return ontologies.interpro_entries(_table(spark, sf_dir, "part").select(F.explode(F.array(line, F.lit("ENTRY_AC\tENTRY_TYPE\tENTRY_NAME"))).alias("value")))
+
+
+@_query("SELECT r_regionkey, '2024.0' || r_regionkey || '_x' AS version FROM region")
+def release_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    xml = F.concat(F.lit('<r xmlns="urn:x"><version>2024_0'), F.col("r_regionkey").cast("string"), F.lit("_x</version><version>1</version></r>"))
+    docs = _table(spark, sf_dir, "region").select("r_regionkey", xml.alias("value"))
+    return ontologies.release_version(docs).select(F.regexp_extract("version", r"\.0(\d+)", 1).cast("int").alias("r_regionkey"), "version")
+
+
+@_query("SELECT accession, '{\"accession\":\"' || accession || '\",\"version\":' || (doc_id % 9) || ',\"taxon_id\":' || (doc_id % 150) || '}' AS document FROM (SELECT doc_id, 'A' || doc_id % 700 AS accession, row_number() OVER (PARTITION BY doc_id % 700 ORDER BY doc_id DESC) AS r FROM documents) WHERE r = 1")
+def search_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last document of every accession as JSON."""
+    d = F.col("doc_id")
+    rows = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("A"), (d % 700).cast("string")).alias("accession"), (d % 9).alias("version"), (d % 150).alias("taxon_id"))
+    return last_by_key(rows, "accession", "doc_id").select("accession", plans.document_json("accession", "version", "taxon_id").alias("document"))
+
+
+@_query(f"SELECT id, name, rank FROM {_TAXA} WHERE list_contains(string_split(lower(name), ' '), 'genus') AND list_contains(string_split(lower(name), ' '), 'simplex')")
+def search_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.search(_taxa(spark, sf_dir).select("id", "name", "rank"), "GENUS simplex", "name", "rank")
+
+
+@_query(f"SELECT token, count(*) AS n FROM (SELECT DISTINCT id, token FROM (SELECT id, unnest(regexp_extract_all(lower(name || ' ' || rank), '[a-z0-9]+')) AS token FROM {_TAXA})) GROUP BY token")
+def taxon_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.inverted_index(_taxa(spark, sf_dir), "id", "name", "rank").groupBy("token").agg(F.count("*").alias("n"))
+
+
+@_query("SELECT doc_id, lang, source FROM documents WHERE lang = 'de' AND source = 'src3'")
+def exact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.exact(_table(spark, sf_dir, "documents"), lang="de", source="src3").select("doc_id", "lang", "source")
+
+
+@_query("SELECT p_name, p_brand, count(*) AS n FROM part GROUP BY ALL HAVING count(*) > 1")
+def uniqueness_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.repeated(_table(spark, sf_dir, "part"), "p_name", "p_brand")
+
+
+@_query(f"SELECT doc_id, regexp_full_match({_STANDARD}, '[ACDEFGHIKLMNPQRSTVWY]*') AS standard FROM documents")
+def alphabet_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _proteins(spark, sf_dir).select("doc_id", standard_alphabet(F.col("sequence")).alias("standard"))
+
+
+@_query(f"SELECT doc_id, {_EC} || ';' || {_GO} || ';' || {_IPR} AS fa FROM documents")
+def entry_annotation_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _entries(spark, sf_dir).select("doc_id", entry_annotations(F.col("ec"), F.col("go"), F.col("ipr")).alias("fa"))
+
+
+@_query("SELECT row_number() OVER (ORDER BY o_clerk_key, o_orderkey) AS id, o_orderkey FROM (SELECT o_orderkey, o_orderdate AS o_clerk_key FROM orders)")
+def dense_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return number_rows(_table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")
+
+
+@_query("SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey + 10000 END AS INTEGER) AS taxon_id FROM lineitem")
+def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines looked up in an index of the suppliers with an even key."""
+    s = _table(spark, sf_dir, "supplier").filter("s_suppkey % 2 = 0")
+    index = s.select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("sequence"), (F.col("s_suppkey") + 10_000).cast("int").alias("taxon_id"))
+    wanted = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("S"), F.col("l_suppkey")).alias("sequence"))
+    return join_checked(wanted, index, "sequence", "left").select("l_orderkey", "l_linenumber", "taxon_id")
