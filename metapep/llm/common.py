@@ -1,56 +1,18 @@
-"""What the operators of this subpackage share: table access, shared storage, size-checked joins."""
+"""What the operators of this subpackage share."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-#: Most rows of a side that is sent to every executor; above, Spark joins by shuffle.
-BROADCAST_ROWS = 200_000
+from ..storage import cut, join_checked, shared_dir, stored
+
+__all__ = ["cut", "join_checked", "partitions", "shared_dir", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one where it is unset, as in local tests."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-        if d:
-            return d
-        d = os.path.join(tempfile.gettempdir(), f"metapep-{os.getuid()}-checkpoints")
-        os.makedirs(d, exist_ok=True)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows without their lineage, kept in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows as a Parquet table in the shared folder."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def join_checked(left: DataFrame, right: DataFrame, on, how: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join; right goes to every executor only if a count has shown that it has few rows, else Spark shuffles (and splits skewed keys)."""
-    few = right.limit(rows + 1).count() <= rows
-    return left.join(F.broadcast(right) if few else right, on, how)
-
-
 def partitions(df: DataFrame) -> int:
     """Parts for a shuffle that must keep up with the input: as many as it is read in, or the session's number if that is more."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
