@@ -13,14 +13,19 @@ from ..functions import validity_byte
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False) -> DataFrame:
-    """Rows of the schema; empty text fields stay empty.  Spark's reader also unpacks gzip, bzip2 and zstandard."""
-    df = spark.read.csv(path, schema=_texts(schema), sep="\t", header=header, quote="", escape="", nullValue="\\N", emptyValue="", mode="FAILFAST", enforceSchema=True)
-    text = lambda f: F.coalesce(F.col(f.name), F.lit("")) if isinstance(f.dataType, T.StringType) else F.when(F.col(f.name) == "\u0001", True).when(F.col(f.name) == "\u0000", False).alias(f.name) if isinstance(f.dataType, T.BooleanType) else F.col(f.name)
-    return df.select(*[text(f).cast(f.dataType).alias(f.name) for f in schema])
-
-
-def _texts(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.BooleanType) else f.dataType) for f in schema])
+    """Rows of the schema; empty text fields stay empty, and a number that is none is an error.  Spark's reader also unpacks gzip, bzip2 and zstandard."""
+    if header:
+        df = spark.read.csv(path, schema=schema, sep="\t", header=True, quote="", escape="", nullValue="\\N", emptyValue="", mode="FAILFAST")
+        return df.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in schema])
+    cells = F.split("value", "\t", -1)
+
+    def cell(k: int, f: T.StructField):
+        x = F.nullif(F.get(cells, F.lit(k)), F.lit("\\N"))
+        if isinstance(f.dataType, T.BooleanType):
+            return F.when(x == "\u0001", True).when(x == "\u0000", False).alias(f.name)
+        return x.cast(f.dataType).alias(f.name)
+
+    return spark.read.text(path).select(*[cell(k, f) for k, f in enumerate(schema)])
 
 
 def write_tsv(df: DataFrame, path: str, compression: str | None = None, mode: str = "errorifexists") -> None:
