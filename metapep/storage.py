@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +47,20 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, rows: int = BR
     """Join; right goes to every executor only if a count has shown that it has few rows, else Spark shuffles (and splits skewed keys)."""
     few = right.limit(rows + 1).count() <= rows
     return left.join(F.broadcast(right) if few else right, on, how)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once an application, so that their Python workers can import it wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="metapep-")) / "metapep_package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(app)
