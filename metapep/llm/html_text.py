@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 THRESHOLD = 0.15
 #: Weights of a block and its neighbours on either side.
 KERNEL = (0.5, 0.25)
+#: A block with this part of its text in links counts nothing.
+MOSTLY = 0.7
 
 # Elements by their role in HTML.
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr".split())
@@ -117,9 +119,10 @@ def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
     sums: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
     for path, text, linked, _ in blocks:
         own = sums[path]
-        own[0] += max(0, len(text) - linked)
-        own[1] += len(_PUNCTUATION.findall(text)) if linked < len(text) else 0
         own[2] += 1
+        if linked < MOSTLY * len(text):
+            own[0] += max(0, len(text) - linked)
+            own[1] += len(_PUNCTUATION.findall(text))
     # characters a block, fused with punctuation a block
     ratio = {p: c / n * (1 + k / n) ** 0.5 for p, (c, k, n) in sums.items()}
     raw = [ratio[p] for p, *_ in blocks]
