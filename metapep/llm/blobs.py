@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Entries that a task gathers before it sorts, merges and sends them.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 
 def grouped(bucket: np.ndarray, columns: dict[str, np.ndarray], extra: dict[str, int] | None = None) -> Iterator[pa.RecordBatch]:

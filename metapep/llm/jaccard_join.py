@@ -11,10 +11,11 @@ order is by hash, with tokens that many documents have last.
    A group is opened in parts of bounded size: all overlaps inside a part are counted
    exactly, and a few documents of the group are in each of its parts and tie them
    together.  What is linked is a group of similar documents from then on.
-4. The matrix is folded to groups: per token the groups that hold it.  Only documents of
-   different groups are compared further: those with a common token, sizes and token
-   places that allow the threshold, and an upper bound of the overlap from the parities
-   of hashed tokens.  The groups of what is left are opened: exact overlaps again.
+4. The matrix is folded to the parts of groups: per token the parts that hold it, with
+   the range of their members' sizes and token places.  A document asks the parts of
+   larger groups than its own that share a token with it, where sizes and places allow
+   the threshold, then where an upper bound of the overlap from the parities of hashed
+   tokens does.  Only those parts are opened: exact overlaps again.
 5. Links join groups to components.
 
 Nothing is capped: every pair that the bounds allow and that is not yet known to be in
@@ -215,24 +216,55 @@ def _open(part: pa.Table, n: int, threshold: int) -> pa.Table:
     return pa.table([pa.array(ids[own]), pa.array(ids[label[own]] if len(ids) else ids)], ["a", "b"])
 
 
-def _possible(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    """The pairs whose parities allow the threshold."""
-    for batch in batches:
-        x, y, m, n, p, q = (batch[c].to_pylist() for c in ("a", "b", "na", "nb", "pa", "pb"))
-        stay = []
-        for i in range(len(x)):
-            most = (m[i] + n[i] - _least_difference(p[i], q[i])) // 2
-            stay.append(100 * most >= threshold * (m[i] + n[i] - most))
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(stay, pa.bool_()))
+def _by_cell(t: pa.Table, *columns: str) -> dict[tuple[int, int], list[tuple]]:
+    out: dict[tuple[int, int], list[tuple]] = {}
+    for cell, chunk, *rest in zip(*(t[c].to_pylist() for c in ("cell", "chunk", *columns))):
+        out.setdefault((cell, chunk), []).append(tuple(rest))
+    return out
 
 
-def _verify(batches: Iterator[pa.RecordBatch], n: int, threshold: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        stay = []
-        for s, t in zip(_sets(batch["ta"], n), _sets(batch["tb"], n)):
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            stay.append(both > 0 and 100 * both >= threshold * (len(s) + len(t) - both))
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(stay, pa.bool_()))
+def _bound(queries: pa.Table, members: pa.Table, threshold: int) -> pa.Table:
+    """The queries whose parities allow the threshold with a member of the cell that is in another group."""
+    stay = []
+    held = _by_cell(members, "n", "g", "bits")
+    for key, asked in _by_cell(queries, "doc", "n", "g", "bits").items():
+        for doc, n, g, bits in asked:
+            for m, other, own in held.get(key, ()):
+                if other != g and 100 * min(m, n) >= threshold * max(m, n):
+                    most = (m + n - _least_difference(bits, own)) // 2
+                    if 100 * most >= threshold * (m + n - most):
+                        stay.append((*key, doc, g))
+                        break
+    return pa.table([pa.array([x[i] for x in stay], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))], ["cell", "chunk", "doc", "g"])
+
+
+def _settle(queries: pa.Table, members: pa.Table, n: int, threshold: int) -> pa.Table:
+    """A link for each query and group of the cell that it reaches."""
+    links = []
+    sets = [list(_sets(t["text"], n)) for t in (queries, members)]
+    held = _by_cell(members.append_column("at", pa.array(range(len(members)))), "doc", "g", "at")
+    for key, asked in _by_cell(queries.append_column("at", pa.array(range(len(queries)))), "doc", "g", "at").items():
+        own = held.get(key, [])
+        both = overlaps([sets[0][k] for *_, k in asked] + [sets[1][k] for *_, k in own])
+        size = np.diag(both)
+        for i, (doc, g, _) in enumerate(asked):
+            met: set[int] = set()
+            for j, (other, h, _) in enumerate(own, len(asked)):
+                if h != g and h not in met and both[i, j] > 0 and 100 * both[i, j] >= threshold * (size[i] + size[j] - both[i, j]):
+                    met.add(h)
+                    links.append((doc, other))
+    return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in range(2)], ["a", "b"])
+
+
+def _cogroups(queries: DataFrame, members: DataFrame, total: int, scan, schema: str) -> DataFrame:
+    """scan(queries, members) of many cells at a time; both sides have cell and chunk, and `total` rows."""
+    n = max(16, -(-total // 2048))
+
+    def key(df: DataFrame) -> DataFrame:
+        """New names for the columns, as both sides can come from one table."""
+        return df.select(*[F.col(c).alias(c) for c in df.columns], F.pmod(F.xxhash64("cell", "chunk"), F.lit(n)).cast("int").alias("_b"))
+
+    return key(queries).groupBy("_b").cogroup(key(members).groupBy("_b")).applyInArrow(scan, schema)
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -271,31 +303,34 @@ def _links(rows: DataFrame, sign: DataFrame, n: int, threshold: int) -> DataFram
     opened = join_checked(_texts(rows, seats), seats, "doc", "inner", SENT_IDS).groupBy("group", "part").applyInArrow(lambda t: _open(t, n, threshold), "a long, b long")
     near = cut(opened)
     grown = cut(components(near).withColumnRenamed("node", "doc"))
-    # the matrix by group of similar documents, for tokens that several groups hold
-    info = sign.filter("doc_id = class").groupBy(F.col("doc_id").alias("doc")).agg(F.min("n").alias("n"))
+    # the matrix folded to cells: the part of a document's group, or the document alone; only tokens that several groups of similar documents hold
+    info = sign.filter("doc_id = class").groupBy(F.col("doc_id").alias("doc")).agg(F.min(F.struct("n", "bits")).alias("i")).select("doc", "i.*")
     entries = join_checked(matrix, grown, "doc", "left").select("token", "doc", "place", F.coalesce("component", "doc").alias("g"))
     several = entries.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("token")
     entries = join_checked(entries, several, "token", "left_semi")
-    entries = cut(join_checked(entries, info, "doc", "inner", SENT_IDS))
-    x = entries.select("token", *[F.col(c).alias(f"x_{c}") for c in ("doc", "place", "g", "n")])
-    y = entries.select("token", *[F.col(c).alias(f"y_{c}") for c in ("doc", "place", "g", "n")])
-    left = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))  # at most so many common tokens if this is the first
-    total = F.col("x_n") + F.col("y_n")
-    allowed = (F.col("x_doc") < F.col("y_doc")) & (F.col("x_g") != F.col("y_g")) & (100 * F.least("x_n", "y_n") >= threshold * F.greatest("x_n", "y_n")) & ((100 + threshold) * left >= threshold * total)
-    pairs = x.join(y, "token").filter(allowed).select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b")).distinct()
-    # pairs that sat in one part are settled
-    for side in "ab":
-        pairs = join_checked(pairs, own.select(F.col("doc").alias(side), F.col("group").alias(f"g{side}"), F.col("part").alias(f"s{side}"), F.col("pivot").alias(f"p{side}")), side, "left")
-    settled = (F.col("ga") == F.col("gb")) & ((F.col("sa") == F.col("sb")) | F.col("pa") | F.col("pb"))
-    pairs = pairs.filter(~F.coalesce(settled, F.lit(False))).select("a", "b")
-    bitmaps = sign.filter("doc_id = class").select("doc_id", "n", "bits").dropDuplicates(["doc_id"])
-    for side in "ab":
-        pairs = pairs.join(bitmaps.select(F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"p{side}")), side)
-    pairs = cut(pairs.mapInArrow(lambda it: _possible(it, threshold), "a long, b long"))
-    texts = _texts(rows, pairs.select(F.explode(F.array("a", "b")).alias("doc")))
-    for side in "ab":
-        pairs = pairs.join(texts.select(F.col("doc").alias(side), F.col("text").alias(f"t{side}")), side)
-    return near.union(pairs.mapInArrow(lambda it: _verify(it, n, threshold), "a long, b long"))
+    members = entries.select("doc", "g").distinct()
+    members = join_checked(members, own.select("doc", F.xxhash64("group", "part").alias("cell")), "doc", "left").select("doc", "g", F.coalesce("cell", F.xxhash64("doc", F.lit(3))).alias("cell"))
+    members = cut(join_checked(members, info, "doc", "inner", SENT_IDS))
+    weight = cut(members.groupBy("g").agg(F.count("*").alias("size")))
+    placed = join_checked(members.select("doc", "cell", "n", "g"), weight, "g", "inner").select("doc", "cell", "n", "size")
+    entries = cut(join_checked(entries, placed, "doc", "inner", SENT_IDS))
+    cells = entries.groupBy("token", "cell", F.col("g").alias("c_g"), F.col("size").alias("c_size")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("place")).alias("room"))
+    cells = cut(cells)
+    asks = entries.select("token", "doc", "n", "place", "g", "size", F.col("cell").alias("own"))
+    smaller = F.struct(F.col("size"), F.col("g")) < F.struct(F.col("c_size"), F.col("c_g"))  # the smaller group asks the larger one
+    left = F.least(F.col("n") - F.col("place"), F.col("room"))  # at most so many common tokens if this is the first
+    # what sits in one cell has been compared
+    allowed = smaller & (F.col("own") != F.col("cell")) & (100 * F.col("hi") >= threshold * F.col("n")) & (100 * F.col("n") >= threshold * F.col("lo")) & ((100 + threshold) * left >= threshold * (F.col("n") + F.col("lo")))
+    asked = cut(asks.join(cells, "token").filter(allowed).select("doc", "cell").distinct())
+    chunks = cut(asked.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("chunks")))
+    queries = join_checked(join_checked(asked, chunks, "cell", "inner"), members.drop("cell"), "doc", "inner")
+    queries = cut(queries.select("cell", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int").alias("chunk"), "doc", "n", "g", "bits"))
+    held = cut(join_checked(members, chunks, "cell", "inner").select("cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "doc", "n", "g", "bits"))
+    queries = cut(_cogroups(queries, held, queries.count() + held.count(), lambda q, m: _bound(q, m, threshold), "cell long, chunk int, doc long, g long"))
+    held = cut(join_checked(held.drop("n", "bits"), queries.select("cell", "chunk").distinct(), ["cell", "chunk"], "left_semi"))
+    texts = _texts(rows, queries.select("doc").union(held.select("doc")))
+    sides = [join_checked(texts, x, "doc", "inner", SENT_IDS) for x in (queries, held)]
+    return near.union(_cogroups(*sides, queries.count() + held.count(), lambda q, m: _settle(q, m, n, threshold), "a long, b long"))
 
 
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
