@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..storage import cut, join_checked, shared_dir, stored
 
-__all__ = ["cut", "join_checked", "partitions", "shared_dir", "stored", "table"]
+__all__ = ["bounded_batches", "cut", "join_checked", "partitions", "shared_dir", "stored", "table"]
+
+
+#: Most bytes that a Python worker gets at once, but for a longer row.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Limits Arrow batches by bytes, for rows of long texts, unless the session has a smaller limit; by default they are limited by rows alone."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", str(conf.get(name, None) or 1 << 31)) or 1 << 31) > BATCH_BYTES:
+        conf.set(name, BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

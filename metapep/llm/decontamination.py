@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import bounded_batches
 
 WINDOW = 10
 SHINGLE = 3
@@ -120,7 +121,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     """
     if clash := {"n_words", "n_hit", "items", "spans"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
-    spark = docs.sparkSession
+    bounded_batches(docs)
     windows = item_windows(benchmark, window)
     n = windows.count()
     blocks = max(1, -(-n // block))

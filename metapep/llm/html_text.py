@@ -19,6 +19,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 #: A path is content from this part of the page's largest score.
 THRESHOLD = 0.15
 #: Weights of a block and its neighbours on either side.
@@ -171,6 +173,7 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> Dat
     """
     if clash := {"text", "n_chars"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
+    bounded_batches(pages)
     names = list(keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema) + ", text string, n_chars long"
     return pages.select(*keep, *([] if "html" in keep else ["html"])).mapInArrow(lambda it: _extract(it, names), schema)

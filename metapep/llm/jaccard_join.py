@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .blobs import FLUSH, grouped, wide
-from .common import cut, join_checked, partitions, stored
+from .common import bounded_batches, cut, join_checked, partitions, stored
 from .components import components
 
 SHINGLE = 5
@@ -300,7 +300,7 @@ def _links(rows: DataFrame, sign: DataFrame, n: int, threshold: int) -> DataFram
     own = cut(own)
     ties = size.filter("parts > 1").select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "pivots").select(F.explode("pivots").alias("doc"), "group", "part")
     seats = cut(own.drop("pivot").union(ties).distinct())
-    opened = join_checked(_texts(rows, seats), seats, "doc", "inner", SENT_IDS).groupBy("group", "part").applyInArrow(lambda t: _open(t, n, threshold), "a long, b long")
+    opened = join_checked(_texts(rows, seats), seats, "doc", "inner").groupBy("group", "part").applyInArrow(lambda t: _open(t, n, threshold), "a long, b long")
     near = cut(opened)
     grown = cut(components(near).withColumnRenamed("node", "doc"))
     # the matrix folded to cells: the part of a document's group, or the document alone; only tokens that several groups of similar documents hold
@@ -310,10 +310,10 @@ def _links(rows: DataFrame, sign: DataFrame, n: int, threshold: int) -> DataFram
     entries = join_checked(entries, several, "token", "left_semi")
     members = entries.select("doc", "g").distinct()
     members = join_checked(members, own.select("doc", F.xxhash64("group", "part").alias("cell")), "doc", "left").select("doc", "g", F.coalesce("cell", F.xxhash64("doc", F.lit(3))).alias("cell"))
-    members = cut(join_checked(members, info, "doc", "inner", SENT_IDS))
+    members = cut(members.join(info, "doc"))
     weight = cut(members.groupBy("g").agg(F.count("*").alias("size")))
     placed = join_checked(members.select("doc", "cell", "n", "g"), weight, "g", "inner").select("doc", "cell", "n", "size")
-    entries = cut(join_checked(entries, placed, "doc", "inner", SENT_IDS))
+    entries = cut(join_checked(entries, placed, "doc", "inner"))
     cells = entries.groupBy("token", "cell", F.col("g").alias("c_g"), F.col("size").alias("c_size")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("place")).alias("room"))
     cells = cut(cells)
     asks = entries.select("token", "doc", "n", "place", "g", "size", F.col("cell").alias("own"))
@@ -323,13 +323,13 @@ def _links(rows: DataFrame, sign: DataFrame, n: int, threshold: int) -> DataFram
     allowed = smaller & (F.col("own") != F.col("cell")) & (100 * F.col("hi") >= threshold * F.col("n")) & (100 * F.col("n") >= threshold * F.col("lo")) & ((100 + threshold) * left >= threshold * (F.col("n") + F.col("lo")))
     asked = cut(asks.join(cells, "token").filter(allowed).select("doc", "cell").distinct())
     chunks = cut(asked.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("chunks")))
-    queries = join_checked(join_checked(asked, chunks, "cell", "inner"), members.drop("cell"), "doc", "inner")
+    queries = join_checked(asked, chunks, "cell", "inner").join(members.drop("cell"), "doc")
     queries = cut(queries.select("cell", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int").alias("chunk"), "doc", "n", "g", "bits"))
     held = cut(join_checked(members, chunks, "cell", "inner").select("cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "doc", "n", "g", "bits"))
     queries = cut(_cogroups(queries, held, queries.count() + held.count(), lambda q, m: _bound(q, m, threshold), "cell long, chunk int, doc long, g long"))
     held = cut(join_checked(held.drop("n", "bits"), queries.select("cell", "chunk").distinct(), ["cell", "chunk"], "left_semi"))
     texts = _texts(rows, queries.select("doc").union(held.select("doc")))
-    sides = [join_checked(texts, x, "doc", "inner", SENT_IDS) for x in (queries, held)]
+    sides = [join_checked(texts, x, "doc", "inner") for x in (queries, held)]
     return near.union(_cogroups(*sides, queries.count() + held.count(), lambda q, m: _settle(q, m, n, threshold), "a long, b long"))
 
 
@@ -342,6 +342,7 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     have no component.  Rows that repeat an id are one document with the links of each.
     No rows give no rows; other columns are not read, so their names can't clash.
     """
+    bounded_batches(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
     sign = stored(rows.mapInArrow(lambda it: _sign(it, shingle), "doc_id long, n long, d1 long, d2 long, bits binary"), "signatures")
     live = sign.filter("doc_id is not null and n > 0")

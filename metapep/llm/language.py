@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import bounded_batches
 
 #: Language families; a language of none of them is a family of its own.
 FAMILIES = {
@@ -29,7 +30,7 @@ FAMILIES = {
 SIZES = (2, 3, 4)
 DIM = 4096
 #: Most labelled rows that training takes, over all languages.
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 1200
 UNDETERMINED = "und"
 
 _LETTERS = np.full(256, 0x20, np.uint8)
@@ -81,18 +82,20 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for f, ok in _features(x, off):
                 row = np.searchsorted(off, np.arange(len(f)), "right") - 1
                 np.add.at(count, (row[ok], f[ok]), 1)
-            out += [v.tobytes() for v in count / np.maximum(1, count.sum(1, keepdims=True))]
+            out += [v.astype(np.float16).tobytes() for v in 1000 * count / np.maximum(1, count.sum(1, keepdims=True))]
         yield pa.RecordBatch.from_arrays([batch["lang"], batch["order"], pa.array(out, pa.binary())], ["lang", "order", "v"])
 
 
 def _svm(x: np.ndarray, y: np.ndarray, rounds: int = 150, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss on standardised features by accelerated gradient descent; classes weigh alike."""
-    mean, std = x.mean(0), x.std(0) + 1e-5
-    z = (x - mean) / std
+    z = x.astype(np.float32) / 1000
+    mean, std = z.mean(0), z.std(0) + 1e-5
+    z -= mean
+    z /= std
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     v, c = w.copy(), b
-    step = 0.5 / max(1.0, float((z * z).sum(1).mean()) / 4)
+    step = 0.5 / max(1.0, float(np.einsum("ij,ij->", z, z)) / len(z) / 4)
     for k in range(rounds):
         slack = np.maximum(0, 1 - y * (z @ v + c)) * weight
         nw, nb = v - step * (penalty * v - 2 * (z.T @ (slack * y))), c + step * 2 * float((slack * y).sum())
@@ -105,6 +108,7 @@ class Model:
     """Families, their languages, and a machine for each pair at either level."""
 
     def __init__(self, x: np.ndarray, lang: np.ndarray):
+        """x: n-gram frequencies in thousandths, as float16; lang: languages of the rows."""
         family_of = {v: k for k, names in FAMILIES.items() for v in names}
         family = np.array([family_of.get(v, v) for v in lang])
         self.families = sorted(set(family.tolist()))
@@ -153,6 +157,7 @@ class Model:
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from rows (text, lang, order): at most `sample_rows`, evenly by language and least `order` hash first; rows without text or lang teach nothing."""
+    bounded_batches(labelled)
     rows = labelled.filter("text is not null and lang is not null").withColumn("order", F.pmod(F.xxhash64("order"), F.lit(1 << 30)))
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     each = max(8, sample_rows // max(1, len(counts)))
@@ -163,7 +168,8 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         if len(own := by.setdefault(r.lang, [])) < each:
             own.append(r.v)
     lang = np.array([k for k in sorted(by) for _ in by[k]])
-    x = np.stack([np.frombuffer(v, np.float32) for k in sorted(by) for v in by[k]]) if by else np.zeros((0, DIM), np.float32)
+    del got
+    x = np.stack([np.frombuffer(v, np.float16) for k in sorted(by) for v in by[k]]) if by else np.zeros((0, DIM), np.float16)
     return Model(x, lang)
 
 
@@ -202,6 +208,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     """
     if clash := {"lang_pred", "score", "has_letter"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
+    bounded_batches(docs)
     names = list(keep)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", lang_pred string, score double"

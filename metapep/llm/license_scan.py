@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import bounded_batches
 
 #: Phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -128,6 +129,7 @@ def license_scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), templates
     """
     if clash := {"n_words", "base", "blocks"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
+    bounded_batches(docs)
     join = _Join(templates, phrases, threshold, block)
     wanted = {1: join.keys}
     counts = docs.select("text").mapInArrow(lambda it: W.count_grams(it, wanted), "n int, h long, c long").groupBy("h").agg(F.sum("c").alias("c"))

@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .blobs import FLUSH, grouped, prime_from, wide
-from .common import partitions
+from .blobs import grouped, prime_from, wide
+from .common import bounded_batches, partitions
 
 WINDOW = 13
 PERIOD = 7
 COVER = (1, 2, 4)
 ANCHOR = WINDOW - PERIOD + 1
+#: Entries that a task gathers before it merges them: the more, the less is shuffled of what documents share.
+FLUSH = 2_000_000
 _U16, _U32, _U64 = np.uint16, np.uint32, np.uint64
 
 
@@ -268,6 +270,7 @@ def dedup_substrings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), homes
     """
     if clash := {"n_words", "n_removed", "kept", "home"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
+    bounded_batches(docs)
     parts = partitions(docs)
     homes = homes or prime_from(max(1021, 8 * parts))
     bits = min(24, max(10, (4 * parts).bit_length()))

@@ -147,7 +147,8 @@ def surrogate(entity: Column, key: str) -> Column:
     kinds["card"] = _filled(entity, _let(fresh, lambda f: F.concat(f, ((_luhn(f) + check - _luhn(body) + 10) % 10).cast("string"))))  # valid stays valid
     words = F.split(entity, " ")
     given = F.element_at(words, 2)
-    new = _cipher(given, F.concat(k, F.lit("|name")), _SPOKEN)
+    # the last letter, which mostly tells the gender, stays
+    new = F.concat(_cipher(F.substring(given, F.lit(1), F.length(given) - 1), F.concat(k, F.lit("|name")), _SPOKEN), F.substring(given, F.length(given), F.lit(1)))
     for row in _GIVEN:
         names = F.array(*map(F.lit, row))
         new = F.when(F.array_contains(names, given) & (F.size(words) > 2), F.element_at(names, ((F.array_position(names, given) - 1 + 1 + _shift(k, F.lit("name"), F.lit(len(row) - 1))) % len(row) + 1).cast("int"))).otherwise(new)
