@@ -121,7 +121,7 @@ def _frequent(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
 
 
 def _send_prefix(batches: Iterator[pa.RecordBatch], n: int, threshold: int, heavy: tuple[np.ndarray, np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    seen: set[bytes] = set()
+    seen: set[tuple[int, bytes]] = set()
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     keys, rank = heavy
     sieve = W.Sieve(keys)
@@ -135,8 +135,8 @@ def _send_prefix(batches: Iterator[pa.RecordBatch], n: int, threshold: int, heav
     total = 0
     for batch in batches:
         for doc, s in zip(batch["doc_id"].to_pylist(), _sets(batch["text"], n)):
-            if not len(s) or (d := xxhash.xxh3_128_digest(s.tobytes())) in seen:
-                continue
+            if not len(s) or (d := (doc, xxhash.xxh3_128_digest(s.tobytes()))) in seen:
+                continue  # the same row again
             seen.add(d)
             first = len(s) - _needed(len(s), threshold) + 1
             at, k = sieve.find(s)
@@ -278,8 +278,8 @@ def _links(rows: DataFrame, sign: DataFrame, n: int, threshold: int) -> DataFram
     parts = partitions(rows)
     bits = min(24, max(10, (4 * parts).bit_length()))
     again = cut(sign.filter("doc_id <> class").select(F.col("doc_id")).distinct())
-    # copies need no matrix; where they are too many to send their ids, each task still drops its own
-    one = rows.join(F.broadcast(again), "doc_id", "left_anti") if again.limit(SENT_IDS + 1).count() <= SENT_IDS else rows
+    # copies need no matrix: the least document of their class stands for them
+    one = join_checked(rows, again, "doc_id", "left_anti", SENT_IDS)
     heavy = one.select("text").mapInArrow(lambda it: _frequent(it, n), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     heavy = heavy.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(HEAVY).toArrow()
     keys, rank = heavy["token"].to_numpy().view(np.uint64), heavy["n"].to_numpy()
@@ -287,8 +287,6 @@ def _links(rows: DataFrame, sign: DataFrame, n: int, threshold: int) -> DataFram
     sent = spark.sparkContext.broadcast((keys[order], rank[order]))
     prefix = one.mapInArrow(lambda it: _send_prefix(it, n, threshold, sent.value, bits), "bucket int, n int, low binary, high binary, doc binary, place binary")
     matrix = stored(prefix.repartition(parts, "bucket").mapInArrow(lambda it: _matrix(it, bits), "token long, doc long, place int"), "matrix")
-    if again.limit(SENT_IDS + 1).count() > SENT_IDS:
-        matrix = matrix.join(sign.filter("doc_id <> class").select(F.col("doc_id").alias("doc")).distinct(), "doc", "left_anti")
     # groups: the token most shared
     many = matrix.groupBy("token").agg(F.countDistinct("doc").alias("n")).filter("n > 1")
     counted = join_checked(matrix, many, "token", "inner")

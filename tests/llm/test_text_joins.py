@@ -88,6 +88,19 @@ def test_near_copies_in_many_parts(spark, monkeypatch):
     assert 1 < len({r[2] for r in got}) < 70
 
 
+@pytest.mark.parametrize("sent", [0, 2_000_000])
+def test_copies_before_the_least_of_their_class(spark, monkeypatch, sent):
+    import metapep.llm.jaccard_join as j
+
+    monkeypatch.setattr(j, "SENT_IDS", sent)
+    words = [f"w{i}" for i in range(100)]
+    text, near = " ".join(words), " ".join([*words[:-3], "x", "y", "z"])
+    rows = [(10, text), (11, text), (1, text), (2, near), (12, near), (3, "other " + text[::-1])]
+    got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert sorted(map(tuple, got.collect())) == sorted(plain_jaccard(rows))
+    assert {r.doc_id for r in got.filter("component_id = 1").collect()} == {1, 2, 10, 11, 12}
+
+
 def test_parities_never_exceed_the_difference():
     import numpy as np
 
