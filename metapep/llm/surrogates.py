@@ -6,8 +6,9 @@ and scripts stay), by a shift that depends on the key and on the characters befo
 once in either direction.  The cipher is one-to-one among entities of a format, and a
 format is never left, so distinct entities keep distinct surrogates and the same
 entity has the same surrogate in every document, without a shared table.  A check
-over all distinct entities proves that; if it ever found two alike, or one that is
-its own surrogate, the key would be changed.
+over all distinct entities finds those for which that fails: two alike, or one that is
+its own surrogate, as where no character is in an alphabet.  They have surrogates of
+their own, in a table that is joined to the texts that hold them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, join_checked, stored
+
 KEY = "metapep-surrogates"
 
 # Patterns of the entities. One that starts inside a word or number is none.
@@ -177,28 +180,68 @@ def collisions(docs: DataFrame, key: str) -> int:
     return int(row.n)
 
 
-def checked_key(docs: DataFrame, key: str = KEY, tries: int = 8) -> str:
-    """The key, or the first of its successors, under which no two entities of docs collide."""
-    for k in range(tries):
-        own = key if not k else f"{key}/{k}"
-        if not collisions(docs, own):
-            return own
-    raise ValueError(f"entities collide under {tries} keys")
+def _other(entity: Column, key: str) -> Column:
+    """A surrogate of the entity's kind that does not follow its characters, for those whose form has none left; e-mails, names and phones only."""
+    sha = F.sha2(F.concat_ws("|", F.lit(key), entity), 256)
+    letters = lambda a: F.translate(F.substring(sha, a, 12), "0123456789abcdef", "bcdfghjklmnpqrst")
+    words = F.split(entity, " ")
+    family = F.when(F.size(words) > 2, F.concat(F.lit(" "), F.initcap(letters(13)))).otherwise("")
+    digits = F.substring(F.lpad(F.conv(F.substring(sha, 1, 12), 16, 10), 15, "0"), 4, 12)
+    new = {
+        "email": F.concat(letters(1), F.regexp_extract(surrogate(entity, key), "@.*$", 0)),
+        "name": F.concat(F.element_at(words, 1), F.lit(" "), F.initcap(letters(1)), family),
+        "phone": F.concat(F.lit("+999"), *[x for a in (1, 5, 9) for x in (F.lit(" "), F.substring(digits, a, 4))]),
+    }
+    out = surrogate(entity, key)
+    for name, value in new.items():
+        out = F.when(kind_of(entity) == name, value).otherwise(out)
+    return out
+
 
+def exceptions(docs: DataFrame, key: str = KEY) -> DataFrame | None:
+    """(e, s) of the entities that can't have the cipher's surrogate, as it is theirs already or another's; None if there are none.
 
-def pseudonymise(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), key: str | None = None) -> DataFrame:
+    Of those that share one the least keeps it.  The others try keys of their own, then
+    surrogates in a wide form, until each has one that no other entity has.
+    """
+    found = docs.select(F.explode(entities(docs["text"])).alias("e")).distinct().withColumn("s", surrogate(F.col("e"), key))
+    found = stored(found, "surrogates")
+    taken = found.filter("e <> s").groupBy("s").agg(F.min("e").alias("e")).select("e", "s")
+    left = cut(found.join(taken.select("e"), "e", "left_anti").select("e"))
+    done, step = None, 0
+    while not left.isEmpty():
+        step += 1
+        own = f"{key}/{step}"
+        tried = left.withColumn("s", surrogate(F.col("e"), own) if step < 3 else _other(F.col("e"), own)).filter("e <> s")
+        tried = cut(tried.groupBy("s").agg(F.min("e").alias("e")).select("e", "s"))
+        held = taken.select("s") if done is None else taken.select("s").union(done.select("s"))
+        new = tried.join(join_checked(held, tried.select("s"), "s", "left_semi"), "s", "left_anti").select("e", "s")
+        done = cut(new if done is None else done.union(new))
+        left = cut(left.join(done.select("e"), "e", "left_anti"))
+    return done
+
+
+def pseudonymise(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), key: str = KEY) -> DataFrame:
     """For each row of docs: its `keep` columns, text with the entities replaced in place, and n_entities (int).
 
     Null texts stay null and empty ones empty, with 0 entities; texts without entities
     stay as they are, byte by byte.  Repeated rows each have their result, the same one;
     no rows give no rows.  Other columns are left out, so their names can't clash.
     """
-    if clash := {"text", "n_entities", "_entities"} & set(keep):
+    if clash := {"text", "n_entities", "_entities", "_text", "_other"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
-    key = key or checked_key(docs)
+    others = exceptions(docs, key)
     rows = docs.select(*keep, "text", entities(docs["text"]).alias("_entities"))
+    replaced = lambda e: surrogate(e, key)
+    if others is not None:
+        # by text, as rows have no key: the surrogates of its exceptions
+        rows = rows.withColumn("_text", F.sha2("text", 256))
+        held = join_checked(rows.select("_text", F.explode("_entities").alias("e")), others, "e", "inner")
+        held = cut(held.groupBy("_text").agg(F.map_from_entries(F.collect_set(F.struct("e", "s"))).alias("_other")))
+        rows = join_checked(rows, held, "_text", "left")
+        replaced = lambda e: F.coalesce(F.try_element_at("_other", e), surrogate(e, key))
     gaps = F.split("text", PATTERN, -1)
-    put = F.concat(F.transform("_entities", lambda e: surrogate(e, key)), F.array(F.lit("")))
+    put = F.concat(F.transform("_entities", replaced), F.array(F.lit("")))
     joined = F.array_join(F.zip_with(gaps, put, lambda g, s: F.concat(g, s)), "")
     n = F.coalesce(F.size("_entities"), F.lit(0))
     return rows.select(*keep, F.when(n > 0, joined).otherwise(F.col("text")).alias("text"), n.alias("n_entities"))

@@ -57,6 +57,22 @@ def test_surrogates_are_distinct(spark):
         assert len({f[k] for f in found}) == len({re.split(r" (?!\(|555)", t)[k] for _, t in rows})
 
 
+def test_surrogates_of_entities_that_the_cipher_leaves(spark):
+    fixed = ["%@example.com", "_@example.com", "-@example.org", "张伟@example.com", "محمد@example.net", "Dr Šu", "Dr Žu Ša"]
+    short = [f"{a}@example.com" for a in "abcdefghijklmnopqrstuvwxyz0123456789"] + [f"+1 {i:02d} {j:02d}" for i in range(30) for j in range(100)]
+    rows = [(1, "; ".join(fixed)), (2, "none"), (3, None), (4, "to %@example.com."), (4, "to %@example.com."), (None, "Dr Šu and %@example.com")]
+    rows += [(10 + i, x) for i, x in enumerate(short)]
+    got = defaultdict(list)
+    for r in surrogates.pseudonymise(frame(spark, rows).repartition(3)).collect():
+        got[r.doc_id].append((r.text, r.n_entities))
+    first = got[1][0][0].split("; ")
+    assert got[1][0][1] == len(first) == len(fixed) and all(a != b for a, b in zip(first, fixed))
+    assert got[4] == [(f"to {first[0]}.", 1)] * 2 and got[None] == [(f"{first[5]} and {first[0]}", 2)] and got[2] == [("none", 0)] and got[3] == [(None, 0)]
+    assert all(re.fullmatch(r"\w+@example\.(com|org|net)", x) for x in first[:5]) and re.fullmatch(r"Dr [A-Z][a-z]+", first[5])
+    new = [got[10 + i][0][0] for i in range(len(short))]
+    assert all(a != b for a, b in zip(new, short)) and len({*new, *first}) == len(short) + len(fixed)
+
+
 def test_pseudo_likelihood(spark):
     rng = np.random.default_rng(0)
     rows = [(i, " ".join(f"{a} {a}x {a}y" for a in rng.choice(list("abcdef"), 40))) for i in range(200)] + [(900, None), (901, ""), (902, "."), (903, "a"), (904, "x " * 30_000), (None, "a ax ay"), (0, "a ax ay")]
