@@ -1,20 +1,27 @@
 """HTML main text by tag-path ratios.
 
-A page is read into text blocks, each with the path of its enclosing elements (inline
-elements add nothing to it; elements that name page furniture mark it).  For every
-path the characters and punctuation of its blocks are summed and put in relation to
-their number; link text does not count.  The two ratios are fused into one score,
-smoothed over neighbouring blocks in page order, averaged by path again, and paths
-of at least a part of the largest score hold the content.  Blocks under the same
-article element as content belong to it, as do headings beside content.
+A page is read once into text blocks, each at the root-to-leaf path of its enclosing
+elements (inline elements add nothing to it).  Equal paths share one number, so memory
+and time are linear in the page.  For every path the characters and the punctuation
+of its blocks, without link text, are put in relation to the number of blocks.  The
+two ratios are fused into one score and smoothed over the paths beside it: those under
+the same parent, then those under the grandparent.  That is weighed by the share of
+the page's text that the paths beside it hold together, so that a long footer is
+little beside many paragraphs.  Paths of at least a part of the page's largest score
+hold the content; headings beside content belong to it.
+
+What elements and class names say about their role is a prior that multiplies the
+score of a path's blocks, and a main element joins its paths: that decides where ratios
+tie, as on a page whose article is one line.  `hints=False` leaves it out.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,138 +29,251 @@ from pyspark.sql import DataFrame
 from .common import bounded_batches
 
 #: A path is content from this part of the page's largest score.
-THRESHOLD = 0.15
-#: Weights of a block and its neighbours on either side.
-KERNEL = (0.5, 0.25)
+THRESHOLD = 0.25
+#: Weights of a path, of all paths under its parent, and of those under its grandparent.
+KERNEL = (0.6, 0.3, 0.1)
+#: Of the text under a path's grandparent this part counts as beside it.
+FARTHER = 0.3
+#: Power of the share of text beside a path.
+MASS = 1.5
+#: Weight of the mean of a main element in the scores of its paths.
+JOINED = 0.3
 #: A block with this part of its text in links counts nothing.
 MOSTLY = 0.7
+#: Priors: of blocks inside a main element, and of blocks outside where there is one.
+INSIDE, OUTSIDE = 4.0, 0.25
+#: A marked element that holds this part of the page's text is no furniture, unless the main element lies outside.
+HOLDS = 0.8
 
 # Elements by their role in HTML.
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style textarea title noscript template iframe object select option svg math canvas audio video".split())
+_RAW = set("script style textarea title noscript template iframe object select svg math canvas audio video".split())
 _HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
-_FURNITURE = set("nav header footer aside form button dialog menu head fieldset".split())
-_ROOTS = set("html body main article".split())
-_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}}
-_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentary|cookies?|consent|disclaimer|disqus|footer|footnav|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|overlay|pagination|popup|promo|promotion|promoted|related|replies|reply|respond|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|subscription|toolbar|widget)(?:$|[\s_-])",
-    re.I,
-)
+_NEVER = set("nav footer aside button dialog menu head".split())
+_MARKED = set("form fieldset".split())
+_MAIN = set("article main".split())
+_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}, "option": {"option"}}
+# Words of class names and ids that name page furniture, words that may follow them, and words that stand before them in names of something else.
+_FURNITURE = set("ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments commentary cookie cookies consent disclaimer disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notification overlay pagination popup promo promotion promoted related replies respond share sharing sidebar signup sponsor sponsored subscribe subscription toolbar topbar".split())
+_CONTAINERS = set("area bar block box buttons container form icons inner items links list outer panel posts section slot thread unit widget wrap wrapper".split())
+_OTHERS = set("has no with without is article post entry content story page-has".split())
 _ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|dialog|alert)\b", re.I)
 _HIDDEN = re.compile(r"\shidden(?:[\s=>]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAMES = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+# a tag ends before the next one begins, so none is looked at twice
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+)>", re.S)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？؟،]")
 
 
-def _furniture(name: str, attributes: str) -> bool:
-    if name in _FURNITURE:
-        return True
-    if not attributes or name in _ROOTS:
-        return False
-    return bool(_ROLES.search(attributes) or _HIDDEN.search(attributes) or any(_WORDS.search(a or b or c) for a, b, c in _NAMES.findall(attributes)))
+class Block(NamedTuple):
+    path: int  # number of its path; equal paths have equal numbers
+    text: str
+    linked: int  # characters inside links
+    element: int  # number of its innermost element
+
+
+class Page(NamedTuple):
+    blocks: list[Block]
+    up: list[int]  # parents of paths; path 0 is the root
+    parents: list[int]  # parents of elements; element 0 is the root
+    names: list[str]
+    marks: list[int]  # of elements: 0 none, 1 maybe furniture, 2 furniture
+
+
+def names_furniture(attributes: str) -> bool:
+    """Whether a whole class token or id names furniture: such a word alone, at the end of a compound (site-footer), or before a container (comment-list)."""
+    for found in _NAMES.findall(attributes):
+        for token in "".join(found).lower().split():
+            parts = re.split(r"[-_]+", token)
+            if parts[0] in _OTHERS:
+                continue
+            if parts[-1] in _FURNITURE or len(parts) > 1 and parts[0] in _FURNITURE and parts[-1] in _CONTAINERS:
+                return True
+    return False
 
 
-def blocks_of(html: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
-    """(path, text, characters inside links, is furniture) of every text block in page order."""
-    found: list[tuple[tuple[str, ...], str, int, bool]] = []
-    stack: list[tuple[str, bool]] = []
+def _mark(name: str, attributes: str, in_main: bool) -> int:
+    if name in _NEVER or name == "header" and not in_main:
+        return 2
+    if name in _MARKED:
+        return 1
+    if not attributes or name in ("html", "body", *_MAIN):
+        return 0
+    if _HIDDEN.search(attributes):
+        return 2
+    return int(bool(_ROLES.search(attributes)) or names_furniture(attributes))
+
+
+def read_page(html: str) -> Page:
+    blocks: list[Block] = []
+    up, parents, names, marks = [-1], [-1], [""], [0]
+    child: dict[tuple[int, str], int] = {}
+    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # name, path, element
+    open_names: Counter = Counter()
+    unclosed: set[str] = set()
     text: list[str] = []
-    links = linked = 0
+    linked, link = 0, 0  # link: depth of the stack at which the open link began
 
     def flush() -> None:
         nonlocal text, linked
         if text and (joined := " ".join("".join(text).split())):
-            found.append((tuple(name for name, _ in stack), joined, linked, any(x for _, x in stack)))
+            blocks.append(Block(stack[-1][1], joined, linked, stack[-1][2]))
         text, linked = [], 0
 
+    def pop() -> str:
+        nonlocal link
+        name = stack.pop()[0]
+        open_names[name] -= 1
+        if link > len(stack):
+            link = 0
+        return name
+
     at, n = 0, len(html)
     while at < n:
         m = _TAG.search(html, at)
-        piece = html[at : m.start() if m else n]
-        if piece:
+        if piece := html[at : m.start() if m else n]:
             piece = unescape(piece)
             text.append(piece)
-            linked += len(piece.strip()) if links else 0
+            linked += len(piece.strip()) if link else 0
         if not m:
             break
         at = m.end()
         if m[2] is None:
             continue
         name, closing, attributes = m[2].lower(), bool(m[1]), m[3]
-        if name in _RAW and not closing:
-            if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+        if name in _RAW and not closing and not attributes.endswith("/") and name not in unclosed:
+            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+            if end or name in ("script", "style"):
                 at = end.end() if end else n
-            continue
+                continue
+            unclosed.add(name)  # of no effect, as no later one can end either
         if name == "br":
             text.append(" ")
-        elif name in _INLINE:
+        elif name in _INLINE or name in _RAW:
             if name == "a":
-                links = max(0, links + (-1 if closing else 1))
+                link = 0 if closing else len(stack)
         elif closing:
             flush()
-            links = 0
-            if any(x == name for x, _ in stack):
-                while stack.pop()[0] != name:
+            if open_names[name] > 0:
+                while pop() != name:
                     pass
         else:
             flush()
-            links = 0
             if name in _VOID:
                 continue
-            if stack and stack[-1][0] == "p":
-                stack.pop()
-            while stack and stack[-1][0] in _CLOSES.get(name, ()):
-                stack.pop()
+            if stack[-1][0] == "p":
+                pop()
+            while stack[-1][0] in _CLOSES.get(name, ()):
+                pop()
             if not attributes.endswith("/"):
-                stack.append((name, _furniture(name, attributes)))
+                _, path, element = stack[-1]
+                if (path, name) not in child:
+                    child[path, name] = len(up)
+                    up.append(path)
+                marks.append(_mark(name, attributes, open_names["article"] + open_names["main"] > 0))
+                parents.append(element)
+                names.append(name)
+                stack.append((name, child[path, name], len(parents) - 1))
+                open_names[name] += 1
     flush()
-    return found
+    return Page(blocks, up, parents, names, marks)
+
+
+def priors(page: Page) -> list[float]:
+    """A factor for each block, from the roles of its elements."""
+    n = len(page.parents)
+    weight, main = [0] * n, [False] * n
+    for b in page.blocks:
+        weight[b.element] += max(0, len(b.text) - b.linked)
+    own = list(weight)
+    for e in range(n - 1, 0, -1):
+        weight[page.parents[e]] += weight[e]
+    never, marked = [False] * n, [False] * n
+    in_main = [0] * n  # number of the outermost main element
+    for e in range(1, n):
+        up = page.parents[e]
+        never[e] = never[up] or page.marks[e] == 2
+        in_main[e] = in_main[up] or (e if page.names[e] in _MAIN and not never[e] else 0)
+    live = sum(w for e, w in enumerate(own) if not never[e])
+    mains = {in_main[e]: weight[in_main[e]] for e in range(n) if in_main[e] and weight[in_main[e]]}
+    inner = [0] * n  # text of main elements inside an element
+    for e, w in mains.items():
+        inner[e] += w
+    for e in range(n - 1, 0, -1):
+        inner[page.parents[e]] += inner[e]
+    total = sum(mains.values())
+    for e in range(1, n):
+        own_mark = page.marks[e] == 1 and not (weight[e] >= HOLDS * live and inner[e] == total)
+        marked[e] = marked[page.parents[e]] or own_mark
+    has_main = any(not marked[e] for e in mains)
+    out = []
+    for b in page.blocks:
+        e = b.element
+        out.append(0.0 if never[e] or marked[e] else INSIDE if in_main[e] else OUTSIDE if has_main else 1.0)
+    return out
+
+
+def path_scores(page: Page, weights: list[float]) -> dict[int, float]:
+    """The fused ratio of every path that has blocks of positive weight, smoothed and weighed by the text beside it."""
+    sums: dict[int, list[float]] = {}
+    for b, w in zip(page.blocks, weights):
+        if w <= 0:
+            continue
+        own = sums.setdefault(b.path, [0.0, 0.0, 0.0, 0.0])
+        own[2] += 1
+        own[3] += w
+        if b.linked < MOSTLY * len(b.text):
+            own[0] += max(0, len(b.text) - b.linked)
+            own[1] += len(_PUNCTUATION.findall(b.text))
+    ratio = {p: c / n * (1 + k / n) ** 0.5 for p, (c, k, n, _) in sums.items()}
+    under: dict[int, list[float]] = {}  # by parent, over all its paths: sum of ratios, blocks, characters
+    joined = [0.0, 0.0, 0.0]  # the same over the paths of main elements
+    for p, r in ratio.items():
+        for own in (under.setdefault(page.up[p], [0.0, 0.0, 0.0]), *([joined] if _is_joined(sums[p]) else [])):
+            own[0] += r * sums[p][2]
+            own[1] += sums[p][2]
+            own[2] += sums[p][0]
+    most = max((x[2] for x in [joined, *under.values()]), default=0.0)
+    out = {}
+    for p, r in ratio.items():
+        near, total, beside, at = KERNEL[0] * r, KERNEL[0], 0.0, p
+        for k, part in zip(KERNEL[1:], (1.0, FARTHER)):
+            if at < 0:
+                break
+            at = page.up[at]
+            if at in under:
+                near, total = near + k * under[at][0] / under[at][1], total + k
+                beside = max(beside, part * under[at][2])
+        near /= total
+        if _is_joined(sums[p]):
+            near, beside = (1 - JOINED) * near + JOINED * joined[0] / joined[1], joined[2]
+        # paths of links only have no score of their own
+        out[p] = near * (beside / most) ** MASS * sums[p][3] / sums[p][2] if r > 0 else 0.0
+    return out
+
 
+def _is_joined(sums: list[float]) -> bool:
+    """Whether all blocks of a path lie in main elements."""
+    return sums[3] == INSIDE * sums[2]
 
-def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
+
+def main_text(html: str | None, threshold: float = THRESHOLD, hints: bool = True) -> str:
     """The content blocks of a page, joined by two line ends."""
-    blocks = [b for b in blocks_of(html or "") if not b[3]]
-    if not blocks:
+    page = read_page(html or "")
+    weights = priors(page) if hints else [1.0] * len(page.blocks)
+    score = path_scores(page, weights)
+    top = max(score.values(), default=0.0)
+    if top <= 0:
         return ""
-    sums: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
-    for path, text, linked, _ in blocks:
-        own = sums[path]
-        own[2] += 1
-        if linked < MOSTLY * len(text):
-            own[0] += max(0, len(text) - linked)
-            own[1] += len(_PUNCTUATION.findall(text))
-    # characters a block, fused with punctuation a block
-    ratio = {p: c / n * (1 + k / n) ** 0.5 for p, (c, k, n) in sums.items()}
-    raw = [ratio[p] for p, *_ in blocks]
-    smooth = []
-    for i, x in enumerate(raw):
-        near, weight = KERNEL[0] * x, KERNEL[0]
-        for j in (i - 1, i + 1):
-            if 0 <= j < len(raw):
-                near, weight = near + KERNEL[1] * raw[j], weight + KERNEL[1]
-        smooth.append(min(x, near / weight) if x == 0 else near / weight)
-    by: dict[tuple[str, ...], list[float]] = defaultdict(list)
-    for (path, *_), x in zip(blocks, smooth):
-        by[path].append(x)
-    score = {p: sum(v) / len(v) for p, v in by.items()}
-    top = max(score.values())
-    content = {p for p, x in score.items() if x > 0 and x >= threshold * top}
-    if inside := {_article(p) for p in content if _article(p)}:
-        # where there are article elements, content lies in them
-        content = {p for p in content if _article(p)}
-    beside = {p[:-1] for p in content}
-    return "\n\n".join(t for p, t, _, _ in blocks if p in content or _article(p) in inside or p and p[-1] in _HEADINGS and p[:-1] in beside)
-
-
-def _article(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The path down to its outermost article element, else to its main element; empty if it has neither."""
-    for name in ("article", "main"):
-        if name in path:
-            return path[: path.index(name) + 1]
-    return ()
+    content = {p for p, x in score.items() if x >= threshold * top}
+    chosen = [w > 0 and b.path in content for b, w in zip(page.blocks, weights)]
+    around = {page.parents[b.element] for b, ok in zip(page.blocks, chosen) if ok}
+    for k, (b, w) in enumerate(zip(page.blocks, weights)):
+        if w > 0 and page.names[b.element] in _HEADINGS:
+            up = page.parents[b.element]
+            chosen[k] = chosen[k] or up in around or page.parents[up] in around
+    return "\n\n".join(b.text for b, ok in zip(page.blocks, chosen) if ok)
 
 
 def _extract(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +287,10 @@ def _extract(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """For each row of pages: its `keep` columns, text (content blocks, joined by two line ends) and n_chars (code points).
 
-    Null and empty html, and pages without content, give an empty text.  Repeated rows
-    each have their result; no rows give no rows.  Other columns are left out, so
-    their names can't clash.
+    Null and empty html, and pages without content, give an empty text.  Very long and
+    broken pages take time and memory in proportion to their length.  Repeated rows
+    each have their result, the same one; no rows give no rows.  Other columns are left
+    out, so their names can't clash.
     """
     if clash := {"text", "n_chars"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")

@@ -83,3 +83,34 @@ def jaccard(docs, threshold=75):
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def html_scores(blocks, threshold=0.25):
+    """blocks: (path as a tuple of names, text, linked characters) in page order; the texts that the path ratios choose, headings aside."""
+    mark = re.compile(r"[.,;:!?…。，、；：！？؟،]")
+    paths = sorted({p for p, _, _ in blocks})
+    counted = {p: [(t, k) for q, t, k in blocks if q == p] for p in paths}
+    full = {p: [(max(0, len(t) - k), len(mark.findall(t))) for t, k in own if k < 0.7 * len(t)] for p, own in counted.items()}
+    size = {p: len(own) for p, own in counted.items()}
+    chars = {p: sum(c for c, _ in own) for p, own in full.items()}
+    ratio = {p: chars[p] / size[p] * (1 + sum(k for _, k in full[p]) / size[p]) ** 0.5 for p in paths}
+
+    def above(path):
+        return path[:-1] if path else None
+
+    def below(parent):
+        own = [p for p in paths if above(p) == parent]
+        return sum(ratio[p] * size[p] for p in own), sum(size[p] for p in own), sum(chars[p] for p in own)
+
+    most = max((below(above(p))[2] for p in paths), default=0)
+    score = {}
+    for p in paths:
+        parts, beside = [(0.6, ratio[p])], 0
+        for up, weight, share in ((above(p), 0.3, 1), (above(p[:-1]) if p else None, 0.1, 0.3))[: 2 if p else 1]:
+            total, n, text = below(up)
+            if n:
+                parts.append((weight, total / n))
+                beside = max(beside, share * text)
+        score[p] = sum(w * x for w, x in parts) / sum(w for w, _ in parts) * (beside / most) ** 1.5 if ratio[p] else 0
+    top = max(score.values(), default=0)
+    return [t for p, t, _ in blocks if top > 0 and score[p] >= threshold * top]

@@ -13,7 +13,7 @@ from metapep.llm import html_text, language, neighbours, pseudo_likelihood, surr
 from metapep.llm import words as W
 from metapep.llm.mixing import mix
 
-from .brute import SPACE, decontaminate, jaccard
+from .brute import SPACE, decontaminate, html_scores, jaccard
 
 
 def frame(spark, rows, schema="doc_id long, text string"):
@@ -139,6 +139,60 @@ def test_html_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+SENTENCE = "A sentence, with words. And another one, longer than that, of course."
+DEPARTURES = {
+    '<div class="content has-sidebar"><p>{0}<p>{0}</div><div class="sidebar"><p>{0}</div>': "{0}\n\n{0}",
+    '<form id=aspnetForm><nav>x</nav><div><p>{0}<p>{0}</div></form>': "{0}\n\n{0}",
+    "<header><h1>Site</h1></header><article><header><h1>Ti</h1></header><p>{0}<p>{0}</article>": "Ti\n\n{0}\n\n{0}",
+    '<article><div class="article-header"><h1>Ti</h1></div><p>{0}<p>{0}</article>': "Ti\n\n{0}\n\n{0}",
+    "<article><p>{0}<pre>code x</pre><p>{0}</article>": "{0}\n\ncode x\n\n{0}",
+    "<div class=header-fixed><div class=nav-open><div class='social-science'><p>{0}</div></div></div>": "{0}",
+    '<article><p>{0}</article><div class="reader-comments"><p>{0}<p>{0}<p>{0}<p>{0}<p>{0}</div>': "{0}",
+    '<article><p>{0}<ul><li>An item<li>Other</ul></article><div class="site-footer">{0}</div><div class=comment-list>{0}</div>': "{0}\n\nAn item\n\nOther",
+    "<a href=x>Link<div><p>{0}<p>{0}</div>": "{0}\n\n{0}",
+}
+
+
+@pytest.mark.parametrize("page", DEPARTURES)
+def test_html_of_other_makes(page):
+    assert html_text.main_text(page.format(SENTENCE)) == DEPARTURES[page].format(SENTENCE)
+
+
+def _paths(page):
+    names, out = {0: ()}, []
+    for e in range(1, len(page.parents)):
+        names[e] = (*names[page.parents[e]], page.names[e])
+    for b in page.blocks:
+        out.append((names[b.element], b.text, b.linked))
+    return out
+
+
+def test_path_ratios_decide():
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+    right = 0
+    for html in pages:
+        page = html_text.read_page(html)
+        ones = [1.0] * len(page.blocks)
+        chosen = html_scores(_paths(page))
+        score = html_text.path_scores(page, ones)
+        assert chosen == [b.text for b in page.blocks if score[b.path] >= html_text.THRESHOLD * max(score.values()) > 0]
+        article = "\n\n".join(t for p, t, _ in _paths(page) if "article" in p)
+        assert html_text.main_text(html) == article
+        right += html_text.main_text(html, hints=False) == article
+    assert right >= 0.95 * len(pages)
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<div>", "<svg>", "<!", "</p><div>", '<a "', "<p>", "<li><a href=x>y"])
+def test_html_in_linear_time(piece):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(piece * 100_000)
+    assert time.process_time() - began < 2  # a quadratic way takes minutes
+
+
 def test_language(spark):
     sample = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = language.train(language.labelled(sample))
