@@ -36,7 +36,7 @@ KERNEL = (0.6, 0.3, 0.1)
 FARTHER = 0.3
 #: Power of the share of text beside a path.
 MASS = 1.5
-#: Weight of the mean of a main element in the scores of its paths.
+#: Paths of text in main elements have this part of the largest smoothed ratio among them at least.
 JOINED = 0.3
 #: A block with this part of its text in links counts nothing.
 MOSTLY = 0.7
@@ -228,14 +228,14 @@ def path_scores(page: Page, weights: list[float]) -> dict[int, float]:
             own[1] += len(_PUNCTUATION.findall(b.text))
     ratio = {p: c / n * (1 + k / n) ** 0.5 for p, (c, k, n, _) in sums.items()}
     under: dict[int, list[float]] = {}  # by parent, over all its paths: sum of ratios, blocks, characters
-    joined = [0.0, 0.0, 0.0]  # the same over the paths of main elements
     for p, r in ratio.items():
-        for own in (under.setdefault(page.up[p], [0.0, 0.0, 0.0]), *([joined] if _is_joined(sums[p]) else [])):
-            own[0] += r * sums[p][2]
-            own[1] += sums[p][2]
-            own[2] += sums[p][0]
-    most = max((x[2] for x in [joined, *under.values()]), default=0.0)
-    out = {}
+        own = under.setdefault(page.up[p], [0.0, 0.0, 0.0])
+        own[0] += r * sums[p][2]
+        own[1] += sums[p][2]
+        own[2] += sums[p][0]
+    joined = sum(x[0] for x in sums.values() if _is_joined(x))  # the text of main elements
+    most = max([joined, *(x[2] for x in under.values())])
+    smooth: dict[int, tuple[float, float]] = {}
     for p, r in ratio.items():
         near, total, beside, at = KERNEL[0] * r, KERNEL[0], 0.0, p
         for k, part in zip(KERNEL[1:], (1.0, FARTHER)):
@@ -245,11 +245,14 @@ def path_scores(page: Page, weights: list[float]) -> dict[int, float]:
             if at in under:
                 near, total = near + k * under[at][0] / under[at][1], total + k
                 beside = max(beside, part * under[at][2])
-        near /= total
+        smooth[p] = near / total, beside
+    largest = max((smooth[p][0] for p in smooth if _is_joined(sums[p])), default=0.0)
+    out = {}
+    for p, (near, beside) in smooth.items():
         if _is_joined(sums[p]):
-            near, beside = (1 - JOINED) * near + JOINED * joined[0] / joined[1], joined[2]
+            near, beside = max(near, JOINED * largest), joined
         # paths of links only have no score of their own
-        out[p] = near * (beside / most) ** MASS * sums[p][3] / sums[p][2] if r > 0 else 0.0
+        out[p] = near * (beside / most) ** MASS * sums[p][3] / sums[p][2] if ratio[p] > 0 else 0.0
     return out
 
 
