@@ -63,6 +63,7 @@ _HIDDEN = re.compile(r"\shidden(?:[\s=>]|$)|aria-hidden\s*=\s*[\"']?true|display
 _NAMES = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 # a tag ends before the next one begins, so none is looked at twice
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+)>", re.S)
+_LINK = re.compile(r"<(/?)a[\s>]", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？؟،]")
 
 
@@ -152,7 +153,8 @@ def read_page(html: str) -> Page:
             text.append(" ")
         elif name in _INLINE or name in _RAW:
             if name == "a":
-                link = 0 if closing else len(stack)
+                # a link that no </a> ends before the next one begins is none
+                link = len(stack) if not closing and (x := _LINK.search(html, at)) and x[1] else 0
         elif closing:
             flush()
             if open_names[name] > 0:
