@@ -13,7 +13,7 @@ from .numbering import number_rows
 
 def known_taxa(entries: DataFrame, taxa: DataFrame) -> DataFrame:
     """The entries whose taxon exists, valid or not."""
-    return join_checked(entries, taxa.select(F.col("id").alias("taxon_id")).distinct(), "taxon_id", "left_semi", 5_000_000)
+    return join_checked(entries, taxa.select(F.col("id").alias("taxon_id")).distinct(), "taxon_id", "left_semi")
 
 
 def entry_table(entries: DataFrame, taxa: DataFrame, order: list[str]) -> DataFrame:

@@ -1,31 +1,41 @@
-"""Shared storage and size-checked joins."""
+"""Shared storage, tables that are removed after use, and size-checked joins."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Most rows of a side that is sent to every executor; above, Spark joins by shuffle.
-BROADCAST_ROWS = 200_000
+#: Most bytes of a side that is sent to every executor; above, Spark joins by shuffle.
+BROADCAST_BYTES = 16 << 20
+
+_SCRATCH: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one where it is unset, as in local tests."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named in spark.checkpoint.dir.
+
+    Where it is unset, a local master (tests) has a temporary folder; on a cluster that is
+    an error, as executors would not see each other's files.
+    """
+    context = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-        if d:
-            return d
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = os.path.join(tempfile.gettempdir(), f"metapep-{os.getuid()}-checkpoints")
         os.makedirs(d, exist_ok=True)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(d)
     return d
 
 
@@ -35,17 +45,58 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows as a Parquet table in the shared folder."""
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder; within scratch() it goes at the end unless kept."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_checked(left: DataFrame, right: DataFrame, on, how: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join; right goes to every executor only if a count has shown that it has few rows, else Spark shuffles (and splits skewed keys)."""
-    few = right.limit(rows + 1).count() <= rows
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that stored() writes inside are removed at the end; lazy results that read them must have been written by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            remove(spark, path)
+
+
+def _width(df: DataFrame) -> Column:
+    """About the bytes of a row: 8 a number, 16 and the text's own for text, JSON for the rest."""
+    fixed, parts = 0, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 16)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)) + 16)
+        else:
+            fixed += 8
+    return sum((p.cast("long") for p in parts), F.lit(fixed).cast("long"))
+
+
+def is_small(df: DataFrame, limit: int) -> bool:
+    """Whether the rows take at most so many bytes; reads no more rows than that takes."""
+    rows = limit // (8 * max(1, len(df.columns)))
+    n, size = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
+    return n <= rows and size <= limit
+
+
+def join_checked(left: DataFrame, right: DataFrame, on, how: str, limit: int | None = None) -> DataFrame:
+    """Join; right goes to every executor only if it is shown to be small, in bytes, else Spark shuffles (and splits skewed keys).
+
+    right is read once more for that, so it should be a table or cut from its lineage.
+    """
+    few = is_small(right, BROADCAST_BYTES if limit is None else limit)
     return left.join(F.broadcast(right) if few else right, on, how)
 
 
