@@ -6,15 +6,17 @@ order is by hash, with tokens that many documents have last.
 
 1. Equal sets are one class; only its least document goes on.
 2. Prefix tokens are shuffled; those that two classes share make the matrix
-   (token, document).
+   (token, document).  Of a pair the smaller set (either, if they are alike) has the
+   first common token in a still shorter prefix; a token that is in nobody's short
+   prefix is left out, which are the frequent ones of texts made from a template.
 3. Documents are partitioned into groups by the token of theirs that most others share.
    A group is opened in parts of bounded size: all overlaps inside a part are counted
    exactly, and a few documents of the group are in each of its parts and tie them
    together.  What is linked is a group of similar documents from then on.
 4. The matrix is folded to the parts of groups: per token the parts that hold it, with
    the range of their members' sizes and token places.  A document asks the parts of
-   larger groups than its own that share a token with it, where sizes and places allow
-   the threshold, then where an upper bound of the overlap from the parities of hashed
+   larger groups than its own that share a token with it, short prefix with either,
+   long prefix with short only, where sizes and places allow the threshold, then where an upper bound of the overlap from the parities of hashed
    tokens does.  Only those parts are opened: exact overlaps again.
 5. Links join groups to components.
 
@@ -45,8 +47,10 @@ PIVOTS = 4
 #: Tokens in so many documents come last in the order; at most HEAVY of them, the most frequent. Only speed depends on it.
 FREQUENT = 50
 HEAVY = 1_000_000
-#: Most ids that are sent to every executor: 16 MB.
-SENT_IDS = 2_000_000
+#: Most bytes of ids that are sent to every executor where the other side is texts.
+SENT_IDS = 16 << 20
+#: Tokens of more documents are joined by classes of size too.
+COMMON = 64
 _COLUMNS = 1 << 13
 
 
@@ -71,6 +75,11 @@ def _needed(n, threshold: int):
     return (threshold * n + 99) // 100
 
 
+def _is_short(place, n, threshold: int):
+    """Whether a token at the place can be the first that a set of n shares with one as large or larger; for numbers, arrays and columns."""
+    return (100 + threshold) * (n - place) >= 2 * threshold * n
+
+
 def _parity(tokens: np.ndarray) -> bytes:
     """Parities of the tokens by hashed place, two places a token or more, a power of two in all."""
     size = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
@@ -96,7 +105,7 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
             one.append((d >> 64) - (1 << 63))
             two.append((d & ((1 << 64) - 1)) - (1 << 63))
             bits.append(_parity(s) if len(s) else b"")
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(bits, pa.binary())], ["doc_id", "n", "d1", "d2", "bits"])
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["own"], pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(bits, pa.binary())], ["doc_id", "own", "n", "d1", "d2", "bits"])
 
 
 def _frequent(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -121,30 +130,28 @@ def _frequent(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
 
 
 def _send_prefix(batches: Iterator[pa.RecordBatch], n: int, threshold: int, heavy: tuple[np.ndarray, np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    seen: set[tuple[int, bytes]] = set()
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
     keys, rank = heavy
     sieve = W.Sieve(keys)
 
     def flush() -> Iterator[pa.RecordBatch]:
         if held:
-            t, doc, place = (np.concatenate([x[i] for x in held]) for i in range(3))
+            t, doc, place, size = (np.concatenate([x[i] for x in held]) for i in range(4))
             held.clear()
-            yield from grouped((t >> np.uint64(64 - bits)).astype(np.int64), {"low": t.astype(np.uint32), "high": (t >> np.uint64(32)).astype(np.uint8), "doc": doc, "place": place})
+            yield from grouped((t >> np.uint64(64 - bits)).astype(np.int64), {"low": t.astype(np.uint32), "high": (t >> np.uint64(32)).astype(np.uint8), "doc": doc, "place": place, "size": size})
 
     total = 0
     for batch in batches:
-        for doc, s in zip(batch["doc_id"].to_pylist(), _sets(batch["text"], n)):
-            if not len(s) or (d := (doc, xxhash.xxh3_128_digest(s.tobytes()))) in seen:
-                continue  # the same row again
-            seen.add(d)
+        for doc, s in zip(batch["doc"].to_pylist(), _sets(batch["text"], n)):
+            if not len(s):
+                continue
             first = len(s) - _needed(len(s), threshold) + 1
             at, k = sieve.find(s)
             if len(at):
                 late = np.zeros(len(s), np.int64)
                 late[at] = rank[k]
                 s = s[np.argsort(late, kind="stable")]
-            held.append((s[:first], np.full(first, doc, np.int64), np.minimum(np.arange(first), 0xFFFF).astype(np.uint16)))
+            held.append((s[:first], np.full(first, doc, np.int64), np.minimum(np.arange(first), 0xFFFF).astype(np.uint16), np.full(first, len(s), np.uint32)))
             total += first
         if total > FLUSH:
             yield from flush()
@@ -152,25 +159,28 @@ def _send_prefix(batches: Iterator[pa.RecordBatch], n: int, threshold: int, heav
     yield from flush()
 
 
-def _matrix(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows (token, doc, place) of the tokens that several documents have."""
+def _matrix(batches: Iterator[pa.RecordBatch], bits: int, threshold: int) -> Iterator[pa.RecordBatch]:
+    """Rows (token, doc, place, n, docs) of the tokens that several documents have, at least one in its short prefix; docs of them."""
     held: list[tuple] = []
     for batch in batches:
-        for bucket, n, low, high, doc, place in zip(*(batch[c].to_pylist() for c in ("bucket", "n", "low", "high", "doc", "place"))):
+        for bucket, n, low, high, doc, place, size in zip(*(batch[c].to_pylist() for c in ("bucket", "n", "low", "high", "doc", "place", "size"))):
             key = np.frombuffer(low, np.uint32).astype(np.uint64) | np.frombuffer(high, np.uint8).astype(np.uint64) << np.uint64(32) | np.uint64(bucket) << np.uint64(40)
-            held.append((key, wide(doc, n), np.frombuffer(place, np.uint16)))
+            held.append((key, wide(doc, n), np.frombuffer(place, np.uint16), np.frombuffer(size, np.uint32)))
     if not held:
         return
-    key, doc, place = (np.concatenate([x[i] for x in held]) for i in range(3))
+    key, doc, place, size = (np.concatenate([x[i] for x in held]) for i in range(4))
     held.clear()
     order = np.lexsort((doc, key))
-    key, doc, place = key[order], doc[order], place[order]
+    key, doc = key[order], doc[order]
+    new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]  # rows that occur again count once
+    key, doc, place, size = key[new], doc[new], place[order][new].astype(np.int64), size[order][new].astype(np.int64)
     group = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
-    first = doc[np.flatnonzero(np.r_[True, key[1:] != key[:-1]])][group]
-    hot = np.flatnonzero((np.bincount(group, doc != first) > 0)[group])
+    docs = np.bincount(group)[group]
+    short = np.bincount(group, _is_short(place, size, threshold))[group]
+    hot = np.flatnonzero((docs > 1) & (short > 0))
     for a in range(0, len(hot), 1 << 16):
         i = hot[a : a + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(doc[i]), pa.array(place[i].astype(np.int32))], ["token", "doc", "place"])
+        yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(doc[i]), pa.array(place[i].astype(np.int32)), pa.array(size[i].astype(np.int32)), pa.array(docs[i].astype(np.int32))], ["token", "doc", "place", "n", "docs"])
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -268,67 +278,80 @@ def _cogroups(queries: DataFrame, members: DataFrame, total: int, scan, schema:
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, text) of the documents whose ids are wanted."""
-    return join_checked(rows.select(F.col("doc_id").alias("doc"), "text"), wanted.select("doc").distinct(), "doc", "left_semi", SENT_IDS)
+    """wanted with the text of its doc."""
+    return join_checked(rows.select("doc", "text"), wanted, "doc", "inner", SENT_IDS)
+
+
+def ask_pairs(entries: DataFrame, cells: DataFrame) -> DataFrame:
+    """Each entry (token, doc) with the cells of its token that it may have to ask, before sizes and places are compared.
+
+    Two long prefixes never meet.  Tokens of many documents are joined by classes of
+    size as well: partners are in the same class or one next to it.
+    """
+    near = F.when(F.col("docs") > COMMON, F.array(*[F.col("class") + d for d in (-1, 0, 1)])).otherwise(F.array("class"))
+    kinds = F.when(F.col("short"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    asks = entries.withColumn("class", F.explode(near)).withColumn("short", F.explode(kinds)).drop("docs")
+    return asks.join(cells, ["token", "class", "short"])
 
 
-def _links(rows: DataFrame, sign: DataFrame, n: int, threshold: int) -> DataFrame:
-    """Edges (a, b) whose components are those of all pairs of classes that reach the threshold."""
+def _links(rows: DataFrame, reps: DataFrame, n: int, threshold: int) -> DataFrame:
+    """Edges (a, b) of docs whose components are those of all pairs of classes that reach the threshold.
+
+    rows: (doc, text) of one document a class; reps: (doc, n, bits), stored.
+    """
     spark = rows.sparkSession
     parts = partitions(rows)
     bits = min(24, max(10, (4 * parts).bit_length()))
-    again = cut(sign.filter("doc_id <> class").select(F.col("doc_id")).distinct())
-    # copies need no matrix: the least document of their class stands for them
-    one = join_checked(rows, again, "doc_id", "left_anti", SENT_IDS)
-    heavy = one.select("text").mapInArrow(lambda it: _frequent(it, n), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    heavy = rows.select("text").mapInArrow(lambda it: _frequent(it, n), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     heavy = heavy.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(HEAVY).toArrow()
     keys, rank = heavy["token"].to_numpy().view(np.uint64), heavy["n"].to_numpy()
     order = np.argsort(keys)
     sent = spark.sparkContext.broadcast((keys[order], rank[order]))
-    prefix = one.mapInArrow(lambda it: _send_prefix(it, n, threshold, sent.value, bits), "bucket int, n int, low binary, high binary, doc binary, place binary")
-    matrix = stored(prefix.repartition(parts, "bucket").mapInArrow(lambda it: _matrix(it, bits), "token long, doc long, place int"), "matrix")
+    prefix = rows.mapInArrow(lambda it: _send_prefix(it, n, threshold, sent.value, bits), "bucket int, n int, low binary, high binary, doc binary, place binary, size binary")
+    matrix = stored(prefix.repartition(parts, "bucket").mapInArrow(lambda it: _matrix(it, bits, threshold), "token long, doc long, place int, n int, docs int"), "matrix")
     # groups: the token most shared
-    many = matrix.groupBy("token").agg(F.countDistinct("doc").alias("n")).filter("n > 1")
-    counted = join_checked(matrix, many, "token", "inner")
-    group = cut(counted.groupBy("doc").agg(F.max(F.struct("n", "token")).alias("g")).select("doc", F.col("g.token").alias("group")))
+    group = cut(matrix.groupBy("doc").agg(F.max(F.struct("docs", "token")).alias("g")).select("doc", F.col("g.token").alias("group")))
     least = [F.min(F.when(F.pmod(F.xxhash64("doc"), F.lit(PIVOTS)) == k, F.col("doc"))) for k in range(PIVOTS)]
-    size = group.groupBy("group").agg(F.count("*").alias("n"), F.array_compact(F.array(*least)).alias("pivots")).filter("n > 1")
-    size = cut(size.select("group", F.ceil(F.col("n") / PART).cast("int").alias("parts"), "pivots"))
-    own = join_checked(group, size, "group", "inner").select("doc", "group", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("parts")).cast("int").alias("part"), F.array_contains("pivots", F.col("doc")).alias("pivot"))
-    own = cut(own)
+    size = group.groupBy("group").agg(F.count("*").alias("m"), F.array_compact(F.array(*least)).alias("pivots")).filter("m > 1")
+    size = cut(size.select("group", F.ceil(F.col("m") / PART).cast("int").alias("parts"), "pivots"))
+    seats = join_checked(group, size.drop("pivots"), "group", "inner").select("doc", "group", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("parts")).cast("int").alias("part"))
     ties = size.filter("parts > 1").select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "pivots").select(F.explode("pivots").alias("doc"), "group", "part")
-    seats = cut(own.drop("pivot").union(ties).distinct())
-    opened = join_checked(_texts(rows, seats), seats, "doc", "inner").groupBy("group", "part").applyInArrow(lambda t: _open(t, n, threshold), "a long, b long")
-    near = cut(opened)
+    seats = cut(seats)
+    near = cut(_texts(rows, cut(seats.union(ties.select(*seats.columns)))).groupBy("group", "part").applyInArrow(lambda t: _open(t, n, threshold), "a long, b long"))
     grown = cut(components(near).withColumnRenamed("node", "doc"))
-    # the matrix folded to cells: the part of a document's group, or the document alone; only tokens that several groups of similar documents hold
-    info = sign.filter("doc_id = class").groupBy(F.col("doc_id").alias("doc")).agg(F.min(F.struct("n", "bits")).alias("i")).select("doc", "i.*")
-    entries = join_checked(matrix, grown, "doc", "left").select("token", "doc", "place", F.coalesce("component", "doc").alias("g"))
-    several = entries.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("token")
-    entries = join_checked(entries, several, "token", "left_semi")
-    members = entries.select("doc", "g").distinct()
-    members = join_checked(members, own.select("doc", F.xxhash64("group", "part").alias("cell")), "doc", "left").select("doc", "g", F.coalesce("cell", F.xxhash64("doc", F.lit(3))).alias("cell"))
-    members = cut(members.join(info, "doc"))
-    weight = cut(members.groupBy("g").agg(F.count("*").alias("size")))
-    placed = join_checked(members.select("doc", "cell", "n", "g"), weight, "g", "inner").select("doc", "cell", "n", "size")
-    entries = cut(join_checked(entries, placed, "doc", "inner"))
-    cells = entries.groupBy("token", "cell", F.col("g").alias("c_g"), F.col("size").alias("c_size")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("place")).alias("room"))
+    # the matrix folded to cells: the part of a document's group, or the document alone
+    cell = F.coalesce(F.xxhash64("group", "part"), F.xxhash64("doc", F.lit(3)))
+    members = join_checked(join_checked(group.select("doc"), seats, "doc", "left"), grown, "doc", "left")
+    members = cut(members.select("doc", cell.alias("cell"), F.coalesce("component", "doc").alias("g")))
+    weight = cut(members.groupBy("g").agg(F.count("*").alias("size")).filter("size > 1"))
+    members = cut(join_checked(members, weight, "g", "left").select("doc", "cell", "g", F.coalesce("size", F.lit(1)).alias("size")))
+    short = _is_short(F.col("place"), F.col("n"), threshold)
+    ratio = F.lit(100.0 / threshold * 1.0001)  # sizes of a pair are in one class or in two that are next to each other
+    of_size = F.when(F.col("docs") > COMMON, F.floor(F.log(F.col("n").cast("double")) / F.log(ratio))).otherwise(0).cast("int")
+    entries = cut(join_checked(matrix, members, "doc", "inner").withColumns({"short": short, "class": of_size}))
+    cells = entries.groupBy("token", "class", "short", "cell", F.col("g").alias("c_g"), F.col("size").alias("c_size")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("place")).alias("room"))
     cells = cut(cells)
-    asks = entries.select("token", "doc", "n", "place", "g", "size", F.col("cell").alias("own"))
+    several = cut(cells.groupBy("token").agg(F.min("c_g").alias("lo"), F.max("c_g").alias("hi")).filter("lo <> hi").select("token"))
+    asks = join_checked(entries, several, "token", "left_semi").select("token", "doc", "n", "place", "g", "size", "short", "class", "docs", F.col("cell").alias("own"))
+    cells = join_checked(cells, several, "token", "left_semi")
     smaller = F.struct(F.col("size"), F.col("g")) < F.struct(F.col("c_size"), F.col("c_g"))  # the smaller group asks the larger one
     left = F.least(F.col("n") - F.col("place"), F.col("room"))  # at most so many common tokens if this is the first
     # what sits in one cell has been compared
     allowed = smaller & (F.col("own") != F.col("cell")) & (100 * F.col("hi") >= threshold * F.col("n")) & (100 * F.col("n") >= threshold * F.col("lo")) & ((100 + threshold) * left >= threshold * (F.col("n") + F.col("lo")))
-    asked = cut(asks.join(cells, "token").filter(allowed).select("doc", "cell").distinct())
+    asked = cut(ask_pairs(asks, cells).filter(allowed).select("doc", "cell").distinct())
     chunks = cut(asked.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("chunks")))
-    queries = join_checked(asked, chunks, "cell", "inner").join(members.drop("cell"), "doc")
-    queries = cut(queries.select("cell", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int").alias("chunk"), "doc", "n", "g", "bits"))
-    held = cut(join_checked(members, chunks, "cell", "inner").select("cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "doc", "n", "g", "bits"))
-    queries = cut(_cogroups(queries, held, queries.count() + held.count(), lambda q, m: _bound(q, m, threshold), "cell long, chunk int, doc long, g long"))
-    held = cut(join_checked(held.drop("n", "bits"), queries.select("cell", "chunk").distinct(), ["cell", "chunk"], "left_semi"))
-    texts = _texts(rows, queries.select("doc").union(held.select("doc")))
-    sides = [join_checked(texts, x, "doc", "inner") for x in (queries, held)]
-    return near.union(_cogroups(*sides, queries.count() + held.count(), lambda q, m: _settle(q, m, n, threshold), "a long, b long"))
+    # what else of the members of these cells and of those who ask is needed
+    queries = join_checked(asked, chunks, "cell", "inner").select("doc", "cell", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int").alias("chunk"))
+    held = join_checked(members.select("doc", "cell"), chunks, "cell", "inner").select("doc", "cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    both = queries.withColumn("asks", F.lit(True)).union(held.withColumn("asks", F.lit(False)))
+    both = cut(both.join(members.select("doc", "g"), "doc").join(reps, "doc"))
+    queries, held = (both.filter(F.col("asks") == x).drop("asks") for x in (True, False))
+    queries = cut(_cogroups(queries, held, both.count(), lambda q, m: _bound(q, m, threshold), "cell long, chunk int, doc long, g long"))
+    held = join_checked(held.drop("n", "bits"), cut(queries.select("cell", "chunk").distinct()), ["cell", "chunk"], "left_semi")
+    both = cut(queries.select("cell", "chunk", "doc", "g", F.lit(True).alias("asks")).union(held.select("cell", "chunk", "doc", "g", F.lit(False))))
+    texts = _texts(rows, both)
+    queries, held = (texts.filter(F.col("asks") == x).drop("asks") for x in (True, False))
+    return near.union(_cogroups(queries, held, both.count(), lambda q, m: _settle(q, m, n, threshold), "a long, b long"))
 
 
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -336,20 +359,37 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
 
     Two documents link when the Jaccard similarity of their sets of shingles reaches the
     threshold (percent).  A text under `shingle` words is one shingle; null and empty
-    texts have none and link with nothing.  Rows without doc_id link with nothing and
-    have no component.  Rows that repeat an id are one document with the links of each.
-    No rows give no rows; other columns are not read, so their names can't clash.
+    texts have none and link with nothing.  A very long text is one set like any other.
+    Rows without doc_id link with nothing and have no component.  Rows that repeat an
+    id, with one text or several, are one document with the links of each.  No rows
+    give no rows; other columns are not read, so their names can't clash.
     """
     bounded_batches(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    sign = stored(rows.mapInArrow(lambda it: _sign(it, shingle), "doc_id long, n long, d1 long, d2 long, bits binary"), "signatures")
+    rows = rows.withColumn("own", F.xxhash64("doc_id", "text"))  # tells the rows of one id apart
+    sign = stored(rows.mapInArrow(lambda it: _sign(it, shingle), "doc_id long, own long, n long, d1 long, d2 long, bits binary"), "signatures")
     live = sign.filter("doc_id is not null and n > 0")
-    classes = cut(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("class")))
+    classes = cut(live.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "own")).alias("r")).select("d1", "d2", F.col("r.doc_id").alias("class"), F.col("r.own").alias("rep")))
     signed = stored(join_checked(live, classes, ["d1", "d2"], "inner"), "classes")
-    edges = _links(rows.filter("doc_id is not null and text is not null"), signed, shingle, threshold)
-    # an id that repeats ties the classes of its rows
-    twice = signed.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("a", "b")
-    found = cut(components(edges.union(twice)))
+    # of a class one row goes on; where an id has rows of several classes, each has a key of its own
+    mixed = signed.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y"), F.min("class").alias("a"), F.max("class").alias("b")).filter("x <> y")
+    mixed = cut(mixed.select("doc_id", "a", "b", F.lit(True).alias("several")))
+    none = mixed.isEmpty()
+    again = cut(signed.filter("doc_id <> class or own <> rep").select("doc_id", "own").distinct())
+    reps = signed.filter("doc_id = class and own = rep").select("doc_id", "own", "n", "bits")
+    one = join_checked(rows.filter("doc_id is not null and text is not null"), again, ["doc_id", "own"], "left_anti", SENT_IDS)
+
+    def keyed(df: DataFrame) -> DataFrame:
+        if none:
+            return df.withColumn("doc", F.col("doc_id"))
+        return join_checked(df, mixed.select("doc_id", "several"), "doc_id", "left").withColumn("doc", F.when(F.col("several"), F.col("own")).otherwise(F.col("doc_id")))
+
+    edges = _links(keyed(one).select("doc", "text"), cut(keyed(reps).select("doc", "n", "bits").dropDuplicates(["doc"])), shingle, threshold)
+    if not none:
+        names = cut(keyed(reps.join(mixed.select("doc_id"), "doc_id", "left_semi")).select(F.col("doc").alias("k"), F.col("doc_id").alias("name")).distinct())
+        for c in ("a", "b"):
+            edges = join_checked(edges.withColumnRenamed(c, "k"), names, "k", "left").withColumn(c, F.coalesce("name", "k")).drop("k", "name")
+    found = cut(components(edges.select("a", "b").union(mixed.select("a", "b")).union(mixed.select("doc_id", "a"))))
     classes = cut(join_checked(classes, found.withColumnRenamed("node", "class"), "class", "left").select("d1", "d2", F.coalesce("component", "class").alias("component")))
     out = join_checked(sign, classes, ["d1", "d2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"))

@@ -101,6 +101,53 @@ def test_copies_before_the_least_of_their_class(spark, monkeypatch, sent):
     assert {r.doc_id for r in got.filter("component_id = 1").collect()} == {1, 2, 10, 11, 12}
 
 
+def test_ids_that_repeat_with_other_texts(spark):
+    """Each text of an id has its own links; copies, near copies and texts of the same id in any order."""
+    words = [f"w{i}" for i in range(100)]
+    text, near = " ".join(words), " ".join([*words[:-3], "x", "y", "z"])
+    one, two = (" ".join(f"{k}{i}" for i in range(60)) for k in "ab")
+    rows = [(5, text), (5, one), (7, near), (8, one + " end"), (3, two), (4, two), (4, "q " + near), (9, one), (9, "alone " + text[::-1]), (11, two + " x"), (12, None), (12, one), (6, "nothing else"), (6, "NOTHING else")]
+    got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    # all rows of an id are one document
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(plain_jaccard(rows), key=repr)
+    assert {r.component_id for r in got.filter("n_shingles > 10").collect()} == {3}
+
+
+@pytest.mark.parametrize("sent", [0, 1 << 24])
+def test_every_join_by_shuffle(spark, monkeypatch, docs, sent):
+    """With broadcasts shut off and ids in descending order."""
+    import metapep.llm.jaccard_join as j
+    from metapep import storage
+
+    monkeypatch.setattr(j, "SENT_IDS", sent)
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", sent)
+    rows = docs[0]
+    df = spark.createDataFrame(sorted(rows, key=lambda r: -(r[0] or 0)), "doc_id long, text string").coalesce(2)
+    assert sorted(map(tuple, jaccard_join(df).collect()), key=repr) == sorted(plain_jaccard(rows), key=repr)
+
+
+def test_texts_of_one_template(spark, monkeypatch):
+    """The rows of the join before the bounds grow with the documents, not with their square."""
+    import metapep.llm.jaccard_join as j
+
+    monkeypatch.setattr(j, "FREQUENT", 5)
+    counted = []
+    ask_pairs = j.ask_pairs
+
+    def counting(*x):
+        counted.append(ask_pairs(*x).count())
+        return ask_pairs(*x)
+
+    monkeypatch.setattr(j, "ask_pairs", counting)
+    shared = " ".join(f"w{i}" for i in range(84))
+    sizes = (400, 800)
+    for n in sizes:
+        rows = [(i, f"{shared} " + " ".join(f"v{i}_{k}" for k in range(24 + i % 5))) for i in range(n)]
+        got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+        assert got.filter("doc_id = component_id").count() == n
+    assert counted[1] <= 2.5 * max(counted[0], sizes[0])
+
+
 def test_parities_never_exceed_the_difference():
     import numpy as np
 
