@@ -48,7 +48,7 @@ PIVOTS = 4
 FREQUENT = 50
 HEAVY = 1_000_000
 #: Most bytes of ids that are sent to every executor where the other side is texts.
-SENT_IDS = 16 << 20
+SENT_IDS = 8 << 20
 #: Tokens of more documents are joined by classes of size too.
 COMMON = 64
 _COLUMNS = 1 << 13
@@ -243,9 +243,9 @@ def _bound(queries: pa.Table, members: pa.Table, threshold: int) -> pa.Table:
                 if other != g and 100 * min(m, n) >= threshold * max(m, n):
                     most = (m + n - _least_difference(bits, own)) // 2
                     if 100 * most >= threshold * (m + n - most):
-                        stay.append((*key, doc, g))
+                        stay.append((*key, doc, g, n))
                         break
-    return pa.table([pa.array([x[i] for x in stay], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))], ["cell", "chunk", "doc", "g"])
+    return pa.table([pa.array([x[i] for x in stay], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["cell", "chunk", "doc", "g", "n"])
 
 
 def _settle(queries: pa.Table, members: pa.Table, n: int, threshold: int) -> pa.Table:
@@ -266,9 +266,10 @@ def _settle(queries: pa.Table, members: pa.Table, n: int, threshold: int) -> pa.
     return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in range(2)], ["a", "b"])
 
 
-def _cogroups(queries: DataFrame, members: DataFrame, total: int, scan, schema: str) -> DataFrame:
-    """scan(queries, members) of many cells at a time; both sides have cell and chunk, and `total` rows."""
-    n = max(16, -(-total // 2048))
+def _cogroups(queries: DataFrame, members: DataFrame, both: DataFrame, shingles: int, scan, schema: str) -> DataFrame:
+    """scan(queries, members) of many cells at a time, about 2048 rows and so many shingles; both holds the rows of either side and their n."""
+    rows, total = both.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n = max(16, -(-rows // 2048), -(-total // shingles))
 
     def key(df: DataFrame) -> DataFrame:
         """New names for the columns, as both sides can come from one table."""
@@ -346,12 +347,12 @@ def _links(rows: DataFrame, reps: DataFrame, n: int, threshold: int) -> DataFram
     both = queries.withColumn("asks", F.lit(True)).union(held.withColumn("asks", F.lit(False)))
     both = cut(both.join(members.select("doc", "g"), "doc").join(reps, "doc"))
     queries, held = (both.filter(F.col("asks") == x).drop("asks") for x in (True, False))
-    queries = cut(_cogroups(queries, held, both.count(), lambda q, m: _bound(q, m, threshold), "cell long, chunk int, doc long, g long"))
-    held = join_checked(held.drop("n", "bits"), cut(queries.select("cell", "chunk").distinct()), ["cell", "chunk"], "left_semi")
-    both = cut(queries.select("cell", "chunk", "doc", "g", F.lit(True).alias("asks")).union(held.select("cell", "chunk", "doc", "g", F.lit(False))))
+    queries = cut(_cogroups(queries, held, both, 1 << 24, lambda q, m: _bound(q, m, threshold), "cell long, chunk int, doc long, g long, n long"))
+    held = join_checked(held.drop("bits"), cut(queries.select("cell", "chunk").distinct()), ["cell", "chunk"], "left_semi")
+    both = cut(queries.select("cell", "chunk", "doc", "g", "n", F.lit(True).alias("asks")).union(held.select("cell", "chunk", "doc", "g", "n", F.lit(False))))
     texts = _texts(rows, both)
-    queries, held = (texts.filter(F.col("asks") == x).drop("asks") for x in (True, False))
-    return near.union(_cogroups(queries, held, both.count(), lambda q, m: _settle(q, m, n, threshold), "a long, b long"))
+    queries, held = (texts.filter(F.col("asks") == x).drop("asks", "n") for x in (True, False))
+    return near.union(_cogroups(queries, held, both, 1 << 19, lambda q, m: _settle(q, m, n, threshold), "a long, b long"))
 
 
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
