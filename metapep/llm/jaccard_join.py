@@ -321,7 +321,7 @@ def _links(rows: DataFrame, reps: DataFrame, n: int, threshold: int) -> DataFram
     near = cut(_texts(rows, cut(seats.union(ties.select(*seats.columns)))).groupBy("group", "part").applyInArrow(lambda t: _open(t, n, threshold), "a long, b long"))
     grown = cut(components(near).withColumnRenamed("node", "doc"))
     # the matrix folded to cells: the part of a document's group, or the document alone
-    cell = F.coalesce(F.xxhash64("group", "part"), F.xxhash64("doc", F.lit(3)))
+    cell = F.when(F.col("part").isNotNull(), F.xxhash64("group", "part")).otherwise(F.xxhash64("doc", F.lit(3)))
     members = join_checked(join_checked(group.select("doc"), seats, "doc", "left"), grown, "doc", "left")
     members = cut(members.select("doc", cell.alias("cell"), F.coalesce("component", "doc").alias("g")))
     weight = cut(members.groupBy("g").agg(F.count("*").alias("size")).filter("size > 1"))
