@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Most bytes of a side that is sent to every executor; above, Spark joins by shuffle.
-BROADCAST_BYTES = 4 << 20
+BROADCAST_BYTES = 8 << 20
 
 _SCRATCH: list[list[str]] = []
 
