@@ -48,7 +48,7 @@ PIVOTS = 4
 FREQUENT = 50
 HEAVY = 1_000_000
 #: Most bytes of ids that are sent to every executor where the other side is texts.
-SENT_IDS = 8 << 20
+SENT_IDS = 16 << 20
 #: Tokens of more documents are joined by classes of size too.
 COMMON = 64
 _COLUMNS = 1 << 13
@@ -136,9 +136,9 @@ def _send_prefix(batches: Iterator[pa.RecordBatch], n: int, threshold: int, heav
 
     def flush() -> Iterator[pa.RecordBatch]:
         if held:
-            t, doc, place, size = (np.concatenate([x[i] for x in held]) for i in range(4))
+            t, doc, place = (np.concatenate([x[i] for x in held]) for i in range(3))
             held.clear()
-            yield from grouped((t >> np.uint64(64 - bits)).astype(np.int64), {"low": t.astype(np.uint32), "high": (t >> np.uint64(32)).astype(np.uint8), "doc": doc, "place": place, "size": size})
+            yield from grouped((t >> np.uint64(64 - bits)).astype(np.int64), {"low": t.astype(np.uint32), "high": (t >> np.uint64(32)).astype(np.uint8), "doc": doc, "place": place})
 
     total = 0
     for batch in batches:
@@ -151,7 +151,8 @@ def _send_prefix(batches: Iterator[pa.RecordBatch], n: int, threshold: int, heav
                 late = np.zeros(len(s), np.int64)
                 late[at] = rank[k]
                 s = s[np.argsort(late, kind="stable")]
-            held.append((s[:first], np.full(first, doc, np.int64), np.minimum(np.arange(first), 0xFFFF).astype(np.uint16), np.full(first, len(s), np.uint32)))
+            at = np.arange(first)
+            held.append((s[:first], np.full(first, doc, np.int64), (np.minimum(at, 0x7FFF) | _is_short(at, len(s), threshold) << 15).astype(np.uint16)))
             total += first
         if total > FLUSH:
             yield from flush()
@@ -159,28 +160,28 @@ def _send_prefix(batches: Iterator[pa.RecordBatch], n: int, threshold: int, heav
     yield from flush()
 
 
-def _matrix(batches: Iterator[pa.RecordBatch], bits: int, threshold: int) -> Iterator[pa.RecordBatch]:
-    """Rows (token, doc, place, n, docs) of the tokens that several documents have, at least one in its short prefix; docs of them."""
+def _matrix(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows (token, doc, place, short, docs) of the tokens that several documents have, at least one in its short prefix; docs of them."""
     held: list[tuple] = []
     for batch in batches:
-        for bucket, n, low, high, doc, place, size in zip(*(batch[c].to_pylist() for c in ("bucket", "n", "low", "high", "doc", "place", "size"))):
+        for bucket, n, low, high, doc, place in zip(*(batch[c].to_pylist() for c in ("bucket", "n", "low", "high", "doc", "place"))):
             key = np.frombuffer(low, np.uint32).astype(np.uint64) | np.frombuffer(high, np.uint8).astype(np.uint64) << np.uint64(32) | np.uint64(bucket) << np.uint64(40)
-            held.append((key, wide(doc, n), np.frombuffer(place, np.uint16), np.frombuffer(size, np.uint32)))
+            held.append((key, wide(doc, n), np.frombuffer(place, np.uint16)))
     if not held:
         return
-    key, doc, place, size = (np.concatenate([x[i] for x in held]) for i in range(4))
+    key, doc, place = (np.concatenate([x[i] for x in held]) for i in range(3))
     held.clear()
     order = np.lexsort((doc, key))
     key, doc = key[order], doc[order]
     new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]  # rows that occur again count once
-    key, doc, place, size = key[new], doc[new], place[order][new].astype(np.int64), size[order][new].astype(np.int64)
+    key, doc, place = key[new], doc[new], place[order][new]
     group = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
     docs = np.bincount(group)[group]
-    short = np.bincount(group, _is_short(place, size, threshold))[group]
-    hot = np.flatnonzero((docs > 1) & (short > 0))
+    short = place >> 15 > 0
+    hot = np.flatnonzero((docs > 1) & (np.bincount(group, short)[group] > 0))
     for a in range(0, len(hot), 1 << 16):
         i = hot[a : a + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(doc[i]), pa.array(place[i].astype(np.int32)), pa.array(size[i].astype(np.int32)), pa.array(docs[i].astype(np.int32))], ["token", "doc", "place", "n", "docs"])
+        yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(doc[i]), pa.array((place[i] & 0x7FFF).astype(np.int32)), pa.array(short[i]), pa.array(docs[i].astype(np.int32))], ["token", "doc", "place", "short", "docs"])
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -308,8 +309,8 @@ def _links(rows: DataFrame, reps: DataFrame, n: int, threshold: int) -> DataFram
     keys, rank = heavy["token"].to_numpy().view(np.uint64), heavy["n"].to_numpy()
     order = np.argsort(keys)
     sent = spark.sparkContext.broadcast((keys[order], rank[order]))
-    prefix = rows.mapInArrow(lambda it: _send_prefix(it, n, threshold, sent.value, bits), "bucket int, n int, low binary, high binary, doc binary, place binary, size binary")
-    matrix = stored(prefix.repartition(parts, "bucket").mapInArrow(lambda it: _matrix(it, bits, threshold), "token long, doc long, place int, n int, docs int"), "matrix")
+    prefix = rows.mapInArrow(lambda it: _send_prefix(it, n, threshold, sent.value, bits), "bucket int, n int, low binary, high binary, doc binary, place binary")
+    matrix = stored(prefix.repartition(parts, "bucket").mapInArrow(lambda it: _matrix(it, bits), "token long, doc long, place int, short boolean, docs int"), "matrix")
     # groups: the token most shared
     group = cut(matrix.groupBy("doc").agg(F.max(F.struct("docs", "token")).alias("g")).select("doc", F.col("g.token").alias("group")))
     least = [F.min(F.when(F.pmod(F.xxhash64("doc"), F.lit(PIVOTS)) == k, F.col("doc"))) for k in range(PIVOTS)]
@@ -325,11 +326,11 @@ def _links(rows: DataFrame, reps: DataFrame, n: int, threshold: int) -> DataFram
     members = join_checked(join_checked(group.select("doc"), seats, "doc", "left"), grown, "doc", "left")
     members = cut(members.select("doc", cell.alias("cell"), F.coalesce("component", "doc").alias("g")))
     weight = cut(members.groupBy("g").agg(F.count("*").alias("size")).filter("size > 1"))
-    members = cut(join_checked(members, weight, "g", "left").select("doc", "cell", "g", F.coalesce("size", F.lit(1)).alias("size")))
-    short = _is_short(F.col("place"), F.col("n"), threshold)
+    members = join_checked(members, weight, "g", "left").select("doc", "cell", "g", F.coalesce("size", F.lit(1)).alias("size"))
+    members = cut(members.join(reps.select("doc", "n"), "doc"))
     ratio = F.lit(100.0 / threshold * 1.0001)  # sizes of a pair are in one class or in two that are next to each other
     of_size = F.when(F.col("docs") > COMMON, F.floor(F.log(F.col("n").cast("double")) / F.log(ratio))).otherwise(0).cast("int")
-    entries = cut(join_checked(matrix, members, "doc", "inner").withColumns({"short": short, "class": of_size}))
+    entries = cut(join_checked(matrix, members, "doc", "inner").withColumn("class", of_size))
     cells = entries.groupBy("token", "class", "short", "cell", F.col("g").alias("c_g"), F.col("size").alias("c_size")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("place")).alias("room"))
     cells = cut(cells)
     several = cut(cells.groupBy("token").agg(F.min("c_g").alias("lo"), F.max("c_g").alias("hi")).filter("lo <> hi").select("token"))
