@@ -25,7 +25,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.pseudonymise(table(spark, sf_dir, "documents"))
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents"), surrogates.secret_key(spark))
 
 
 def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

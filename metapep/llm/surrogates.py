@@ -1,49 +1,34 @@
 """PII: surrogate generation with SQL functions only.
 
-Entities are found by one pattern.  Each is replaced by a surrogate of its type and
-format: a keyed cipher moves every character within its own alphabet (digits, cases
-and scripts stay), by a shift that depends on the key and on the characters before it,
-once in either direction.  The cipher is one-to-one among entities of a format, and a
-format is never left, so distinct entities keep distinct surrogates and the same
-entity has the same surrogate in every document, without a shared table.  A check
-over all distinct entities finds those for which that fails: two alike, or one that is
-its own surrogate, as where no character is in an alphabet.  They have surrogates of
-their own, in a table that is joined to the texts that hold them.
+Entities are found by one pattern.  Each is replaced by a surrogate of its type, format,
+script and gender that a keyed one-way digest of the entity gives: letters and digits of
+the digest fill its form, check digits are made valid, addresses stay in their class,
+given names come from a list of the same gender and script.  Spellings of one entity
+(cases of an e-mail address, separators of a number) have one canonical form, so the same entity has
+the same surrogate in every document, without a shared table.
+
+Distinctness is checked over all distinct entities: where two would share a surrogate,
+or one would be its own, all but the least try again with another digest; those that
+did are a table that is joined to the texts that hold them.
+
+The key is a secret and not part of this package: an argument, or what secret_key()
+gives.  Without it surrogates can be neither made nor followed back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, join_checked, stored
+from .common import cut, join_checked, shared_dir, stored
 
-KEY = "metapep-surrogates"
+#: Setting of a session that holds the key.
+KEY_SETTING = "spark.metapep.surrogates.key"
 
-# Patterns of the entities. One that starts inside a word or number is none.
-_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)(?![\p{L}\p{N}])",
-    "ip": rf"(?<![\p{{L}}\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\d]|\.\d)",
-    "phone": r"(?<![\p{L}\d])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)|(?<![\p{L}\d])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)|(?<![\p{L}\d.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\p{L}\d]|[.\-]\d)",
-    "ssn": r"(?<![\p{L}\d\-])\d{3}-\d{2}-\d{4}(?![\p{L}\d]|-\d)",
-    "iban": r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
-    "card": r"(?<![\p{L}\d])(?:\d{13,19}|\d{4}([ \-])\d{4}[ \-]\d{4}[ \-]\d{1,7})(?![\p{L}\d])",
-    "name": r"(?<![\p{L}\d])(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Señor|Señora|Monsieur|Madame|Mme|г-н|г-жа|Κύριος|Κυρία)\.? \p{Lu}[\p{Ll}'\-]++(?: \p{Lu}[\p{Ll}'\-]++)?",
-}
-PATTERNS["card"] = PATTERNS["card"].replace(r"([ \-])", r"[ \-]")
-PATTERN = "|".join(PATTERNS.values())
-#: What any entity holds; the texts without it are done.
-_CUE = r"[@\d]|(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Señora?|Monsieur|Madame|Mme|г-н|г-жа|Κύριος|Κυρία)\.? \p{Lu}"
-
-# Alphabets that characters stay in.
-_DIGITS = "0123456789"
-_PLAIN = (_DIGITS, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâãäåçèéêëìíîïñòóôõöùúûüý", "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
-_HEX = (_DIGITS, "abcdef", "ABCDEF")
-_SPOKEN = ("aeiouy", "bcdfghjklmnpqrstvwxz", "AEIOUY", "BCDFGHJKLMNPQRSTVWXZ", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ", "àáâäåèéêëìíîïòóôöùúûü", "ÀÁÂÄÅÈÉÊËÌÍÎÏÒÓÔÖÙÚÛÜ")
 # Given names by gender and script; a known name becomes another of its row.
-_GIVEN = (
+GIVEN = (
     ("Anna", "Clara", "Emma", "Julia", "Laura", "Maria", "Nina", "Sara", "Sophie", "Eva", "Marta"),
     ("Adam", "Carlos", "David", "Jakob", "Louis", "Martin", "Oscar", "Paul", "Peter", "Simon", "Thomas"),
     ("Анна", "Вера", "Елена", "Ирина", "Мария", "Нина", "Ольга"),
@@ -51,10 +36,76 @@ _GIVEN = (
     ("Άννα", "Ελένη", "Μαρία", "Σοφία", "Ειρήνη"),
     ("Γιώργος", "Νίκος", "Πέτρος", "Παύλος", "Κώστας"),
 )
+# Titles before names.
+_TITLES = "Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Señora|Señor|Monsieur|Madame|Mme|г-н|г-жа|Κύριος|Κυρία"
+# Patterns of the entities; none starts inside a word or number, which one look back decides for all.
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_FAMILY = r"\p{Lu}[\p{Ll}'\-]++"
+PATTERNS = {
+    "email": r"(?<![._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++",
+    "secret": r"(?:(?=[0-9a-fA-F])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)(?![\p{L}\p{N}])",
+    "ip": rf"(?=\d)(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\d]|\.\d)",
+    "phone": r"(?=[+(\d])(?:(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)|\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)|(?<![.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\p{L}\d]|[.\-]\d))",
+    "ssn": r"(?=\d)(?<!-)\d{3}-\d{2}-\d{4}(?![\p{L}\d]|-\d)",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
+    "card": r"(?=\d)(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7})(?![\p{L}\d])",
+    "name": rf"(?=\p{{L}})(?:(?:{_TITLES})\.? {_FAMILY}(?: {_FAMILY})?|(?:{'|'.join(x for row in GIVEN for x in row)}) {_FAMILY})",
+}
+_START = r"(?<![\p{L}\p{N}])"
+PATTERN = f"{_START}(?:{'|'.join(PATTERNS.values())})"
+#: What any entity holds; the texts without it are done.
+_CUE = rf"[@\d]|{_START}(?:{_TITLES}|{'|'.join(x for row in GIVEN for x in row)})\.? \p{{Lu}}"
 
-
-def _shift(key: Column, before: Column, radix: Column) -> Column:
-    return F.conv(F.substring(F.sha2(F.concat_ws("|", key, F.lower(before)), 256), 1, 12), 16, 10).cast("long") % radix
+# Alphabets that characters stay in.
+_DIGITS, _SMALL, _LARGE = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ALPHABETS = (
+    _DIGITS,
+    _SMALL,
+    _LARGE,
+    "àáâãäåçèéêëìíîïñòóôõöùúûüýšžčćőűřěůł",
+    "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝŠŽČĆŐŰŘĚŮŁ",
+    "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+    "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
+    "αβγδεζηθικλμνξοπρστυφχψωάέήίόύώ",
+    "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩΆΈΉΊΌΎΏ",
+    "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "אבגדהוזחטיכלמנסעפצקרשת",
+    "的一是不了人我在有他这中大来上国个到说们张李王刘陈杨赵黄周吴伟芳娜敏静",
+    "あいうえおかきくけこさしすせそたちつてと",
+    "アイウエオカキクケコサシスセソタチツテト",
+    "가나다라마바사아자차카타파하김이박최정",
+)
+#: For names and hexadecimal secrets: vowels and consonants stay what they are, and digits and letters hexadecimal.
+SPOKEN = (
+    "aeiouy", "bcdfghjklmnpqrstvwxz", "AEIOUY", "BCDFGHJKLMNPQRSTVWXZ",
+    "àáâäåèéêëìíîïòóôöùúûü", "ÀÁÂÄÅÈÉÊÒÓÔÖÙÚÛÜ", "çñšžčćřł", "ÇÑŠŽČĆŘŁ",
+    "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕИОУЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ",
+    "αεηιουωάέήίόύώ", "βγδζθκλμνξπρστφχψς", "ΑΕΗΙΟΥΩΆΈΉΊΌΎΏ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ",
+)
+HEX = (_DIGITS, "abcdef", "ABCDEF")
+#: First numbers of public addresses.
+_PUBLIC = [n for n in range(1, 224) if n not in (10, 127, 169, 172, 192)]
+
+
+def secret_key(spark: SparkSession) -> str:
+    """The session's key; where none is set, one made at random, kept in a file of the shared folder, so that later runs there agree."""
+    if key := spark.conf.get(KEY_SETTING, None):
+        return key
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/surrogates.key")
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        own = jvm.org.apache.hadoop.fs.Path(f"{path.toString()}.{secrets.token_hex(8)}")
+        out = fs.create(own, False)
+        out.write(bytearray(secrets.token_hex(32).encode()))
+        out.close()
+        if not fs.rename(own, path):  # another run was first
+            fs.delete(own, False)
+    with_key = fs.open(path)
+    try:
+        return bytes(b & 0xFF for b in iter(with_key.read, -1)).decode()
+    finally:
+        with_key.close()
 
 
 def _let(value: Column, then) -> Column:
@@ -62,186 +113,258 @@ def _let(value: Column, then) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
-def _pass(text: Column, key: Column, alphabets: tuple[str, ...]) -> Column:
-    """Each character moved in its alphabet; the shift follows from the key and the result so far."""
-    known = F.array(*map(F.lit, alphabets))
+def _bare(text: Column) -> Column:
+    return F.regexp_replace(text, "[^0-9]", "")
 
-    def step(done: Column, x: Column) -> Column:
-        def moved(a: Column) -> Column:
-            at = (F.instr(a, x) - 1 + _shift(key, done, F.length(a))) % F.length(a)
-            return F.when(a.isNull(), x).otherwise(F.substring(a, at.cast("int") + 1, F.lit(1)))
 
-        return F.concat(done, _let(F.get(F.filter(known, lambda a: F.instr(a, x) > 0), F.lit(0)), moved))
+def kind_of(entity: Column) -> Column:
+    out = F.lit("name")
+    for k in ("card", "iban", "ssn", "phone", "ip", "secret", "email"):
+        out = F.when(entity.rlike(f"^(?:{PATTERNS[k]})$"), k).otherwise(out)
+    return out
 
-    return F.aggregate(F.split(text, ""), F.lit(""), step)
 
+def canonical(entity: Column, kind: Column) -> Column:
+    """What all spellings of an entity have in common."""
+    words = F.split(F.regexp_replace(entity, rf"^(?:{_TITLES})\.? ", ""), " ")
+    return F.when(kind.isin("card", "phone", "ssn"), _bare(entity)).when(kind.isin("email", "iban"), F.lower(F.replace(entity, F.lit(" ")))).when(kind == "name", F.array_join(words, " ")).otherwise(entity)
 
-def _cipher(text: Column, key: Column, alphabets: tuple[str, ...] = _PLAIN) -> Column:
-    def both(text: Column) -> Column:
-        own = F.concat_ws("|", key, F.length(text).cast("string"))
-        forward = _pass(text, F.concat(own, F.lit("|1")), alphabets)
-        return F.reverse(_pass(F.reverse(forward), F.concat(own, F.lit("|2")), alphabets))
 
-    return _let(text, both)
+def _digest(key: Column, *parts: Column) -> Column:
+    """128 hexadecimal digits."""
+    return F.sha2(F.concat_ws("|", key, *parts), 512)
 
 
-def _ip(text: Column, key: Column) -> Column:
-    def step(tag: str):
-        def one(done: Column, x: Column) -> Column:
-            return F.concat(done, F.array((x + _shift(F.concat(key, F.lit(tag)), F.array_join(done.cast("array<string>"), "."), F.lit(256))) % 256))
+def _byte(digest: Column, i) -> Column:
+    """The i-th of 126 numbers of 12 bits, from 0, then the same again."""
+    return F.conv(F.substring(digest, (F.pmod(F.lit(i) if isinstance(i, int) else i, F.lit(126)) + 1).cast("int"), F.lit(3)), 16, 10).cast("int")
 
-        return one
 
-    parts = F.split(text, r"\.").cast("array<long>")
-    none = F.lit([]).cast("array<long>")
-    forward = F.aggregate(parts, none, step("|1"))
-    return F.array_join(F.reverse(F.aggregate(F.reverse(forward), none, step("|2"))).cast("array<string>"), ".")
+def _drawn(x: Column, digest: Column, i, alphabets: tuple[str, ...]) -> Column:
+    """A character of x's alphabet; x itself if it is in none."""
+    out = x
+    for a in reversed(alphabets):
+        out = F.when(F.instr(F.lit(a), x) > 0, F.substring(F.lit(a), _byte(digest, i) % len(a) + 1, F.lit(1))).otherwise(out)
+    return out
 
 
-def _luhn(digits: Column) -> Column:
-    """The check digit that makes the digits before it valid."""
-    n = F.split(F.reverse(digits), "").cast("array<int>")
-    worth = F.transform(n, lambda x, i: F.when(i % 2 == 0, F.when(x > 4, 2 * x - 9).otherwise(2 * x)).otherwise(x))
-    return (10 - F.aggregate(worth, F.lit(0), lambda s, x: s + x) % 10) % 10
+def _fill(text: Column, digest: Column, alphabets: tuple[str, ...]) -> Column:
+    return F.array_join(F.transform(F.split(text, ""), lambda x, i: _drawn(x, digest, i, alphabets)), "")
 
 
-def _filled(form: Column, digits: Column) -> Column:
+def _numbers(digest: Column) -> Column:
+    """126 decimal digits."""
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(125)), lambda i: (_byte(digest, i) % 10).cast("string")), "")
+
+
+def _put(form: Column, digits: Column) -> Column:
     """The form with its digits replaced by the given ones, in order."""
+    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
 
-    def fill(new: Column) -> Column:
-        nth = lambda i: F.length(F.regexp_replace(F.substring(form, F.lit(1), i + 1), "[^0-9]", ""))
-        return F.array_join(F.transform(F.split(form, ""), lambda x, i: F.when(x.between("0", "9"), F.substring(new, nth(i), F.lit(1))).otherwise(x)), "")
+    def step(s: Column, x: Column) -> Column:
+        digit = x.between("0", "9")
+        return F.struct(F.concat(s["out"], F.when(digit, F.substring(digits, s["k"] + 1, F.lit(1))).otherwise(x)).alias("out"), (s["k"] + digit.cast("int")).alias("k"))
 
-    return _let(digits, fill)
+    return F.aggregate(F.split(form, ""), begin, step, lambda s: s["out"])
 
 
-def _bare(text: Column) -> Column:
-    return F.regexp_replace(text, "[^0-9]", "")
+def luhn(digits: Column) -> Column:
+    """The sum that is divisible by ten for a valid card number."""
+    n = F.split(F.reverse(digits), "").cast("array<int>")
+    worth = F.transform(n, lambda x, i: F.when(i % 2 == 0, x).when(x > 4, 2 * x - 9).otherwise(2 * x))
+    return F.aggregate(worth, F.lit(0), lambda s, x: s + x)
 
 
-def kind_of(entity: Column) -> Column:
-    out = F.lit("name")
-    for k in ("card", "iban", "ssn", "phone", "ip", "secret", "email"):
-        out = F.when(entity.rlike(f"^(?:{PATTERNS[k]})$"), k).otherwise(out)
-    return out
+def _iban_rest(code: Column) -> Column:
+    """A bare IBAN, check digits and all, modulo 97, in pieces of letters as numbers."""
+    moved = F.upper(F.concat(F.substring(code, F.lit(5), F.length(code)), F.substring(code, 1, 4)))
+    value = lambda x: F.when(x.between("0", "9"), x.cast("int")).otherwise(F.ascii(x) - 55)
+    return F.aggregate(F.split(moved, ""), F.lit(0), lambda s, x: F.when(x.between("0", "9"), (s * 10 + value(x)) % 97).otherwise((s * 100 + value(x)) % 97))
+
+
+def is_entity(entity: Column, kind: Column) -> Column:
+    """Whether what the pattern found is one: card numbers must have a valid check digit."""
+    return (kind != "card") | (luhn(_bare(entity)) % 10 == 0)
 
 
-def surrogate(entity: Column, key: str) -> Column:
-    kinds = {}
-    k = F.lit(key)
+def _email(entity: Column, digest: Column) -> Column:
+    """Domains of examples and top-level domains stay."""
     tail = F.regexp_extract(entity, r"(?i)([.@]example\.(?:com|org|net)|\.[a-z0-9\-]+)$", 1)
-    kinds["email"] = F.concat(_cipher(F.substring(entity, F.lit(1), F.length(entity) - F.length(tail)), F.concat(k, F.lit("|email"))), tail)
+    local = F.substring(entity, F.lit(1), F.length(entity) - F.length(tail))
+    letters = F.translate(F.substring(digest, 1, 12), "0123456789abcdef", "bcdfghjklmnpqrst")
+    filled = _fill(local, digest, ALPHABETS)
+    return F.concat(F.when(filled == local, letters).otherwise(filled), tail)
+
+
+def _secret(entity: Column, digest: Column) -> Column:
     start = F.regexp_extract(entity, r"^(AKIA|gh[pousr]_|sk-)?", 1)
     rest = F.substring(entity, F.length(start) + 1, F.length(entity))
-    hexed = F.length(start) == 0
-    kinds["secret"] = F.concat(start, F.when(hexed, _cipher(rest, F.concat(k, F.lit("|secret")), _HEX)).otherwise(_cipher(rest, F.concat(k, F.lit("|secret")))))
-    kinds["ip"] = _ip(entity, F.concat(k, F.lit("|ip")))
+    return F.concat(start, F.when(F.length(start) == 0, _fill(rest, digest, HEX)).otherwise(_fill(rest, digest, ALPHABETS[:3])))
+
+
+def _ip(entity: Column, digest: Column) -> Column:
+    """In the same class: private, loopback, link-local, public, multicast or reserved."""
+    n = F.split(entity, r"\.").cast("array<int>")
+    a, b = F.element_at(n, 1), F.element_at(n, 2)
+    x, y, z, u = (_byte(digest, k) for k in (0, 3, 6, 9))
+    byte = lambda v: (v % 256).cast("string")
+    first = F.element_at(F.array(*map(F.lit, _PUBLIC)), u % len(_PUBLIC) + 1).cast("string")
+    out = F.concat_ws(".", first, byte(x), byte(y), byte(z))
+    out = F.when(a.isin(0, 10, 127), F.concat_ws(".", a.cast("string"), byte(x), byte(y), byte(z))).otherwise(out)
+    out = F.when(((a == 192) & (b == 168)) | ((a == 169) & (b == 254)), F.concat_ws(".", a.cast("string"), b.cast("string"), byte(x), byte(y))).otherwise(out)
+    out = F.when((a == 172) & b.between(16, 31), F.concat_ws(".", F.lit("172"), (16 + u % 16).cast("string"), byte(x), byte(y))).otherwise(out)
+    return F.when(a >= 224, F.concat_ws(".", (F.when(a < 240, 224).otherwise(240) + u % 16).cast("string"), byte(x), byte(y), byte(z))).otherwise(out)
+
+
+def _phone(entity: Column, digest: Column) -> Column:
+    """Country codes stay, and the exchange of invented numbers."""
+    d = _bare(entity)
     country = F.length(F.regexp_extract(entity, r"^\+(\d{1,3})(?=[ .(\-])", 1))
+    invented = (F.length(d) - country == 10) & (F.substring(d, country + 4, F.lit(3)) == "555")
+
+    def put(n: Column) -> Column:
+        new = F.when(invented, F.concat(F.substring(n, 1, 3), F.lit("555"), F.substring(n, 7, 4))).otherwise(n)
+        return _put(entity, F.concat(F.substring(d, F.lit(1), country), new))
+
+    return _let(_numbers(digest), put)
+
+
+def _card(entity: Column, digest: Column) -> Column:
     d = _bare(entity)
-    own = F.substring(d, country + 1, F.length(d))
-    test = (F.length(own) == 10) & (F.substring(own, 4, 3) == "555")  # the exchange of invented numbers stays
-    moved = _cipher(F.when(test, F.concat(F.substring(own, 1, 3), F.substring(own, 7, 4))).otherwise(own), F.concat(k, F.lit("|phone")), (_DIGITS,))
-    moved = _let(moved, lambda m: F.when(test, F.concat(F.substring(m, 1, 3), F.lit("555"), F.substring(m, 4, 4))).otherwise(m))
-    kinds["phone"] = _filled(entity, F.concat(F.substring(d, F.lit(1), country), moved))
-    kinds["ssn"] = _filled(entity, _cipher(d, F.concat(k, F.lit("|ssn")), (_DIGITS,)))
-    kinds["iban"] = F.concat(F.substring(entity, 1, 2), _cipher(F.substring(entity, F.lit(3), F.length(entity)), F.concat(k, F.lit("|iban"))))
-    body, check = F.substring(d, F.lit(1), F.length(d) - 1), F.substring(d, F.length(d), F.lit(1)).cast("int")
-    fresh = _cipher(body, F.concat(k, F.lit("|card")), (_DIGITS,))
-    kinds["card"] = _filled(entity, _let(fresh, lambda f: F.concat(f, ((_luhn(f) + check - _luhn(body) + 10) % 10).cast("string"))))  # valid stays valid
-    words = F.split(entity, " ")
-    given = F.element_at(words, 2)
-    # the last letter, which mostly tells the gender, stays
-    new = F.concat(_cipher(F.substring(given, F.lit(1), F.length(given) - 1), F.concat(k, F.lit("|name")), _SPOKEN), F.substring(given, F.length(given), F.lit(1)))
-    for row in _GIVEN:
-        names = F.array(*map(F.lit, row))
-        new = F.when(F.array_contains(names, given) & (F.size(words) > 2), F.element_at(names, ((F.array_position(names, given) - 1 + 1 + _shift(k, F.lit("name"), F.lit(len(row) - 1))) % len(row) + 1).cast("int"))).otherwise(new)
-    family = F.when(F.size(words) > 2, F.concat(F.lit(" "), _cipher(F.element_at(words, -1), F.concat(k, F.lit("|family")), _SPOKEN))).otherwise("")
-    kinds["name"] = F.concat(F.element_at(words, 1), F.lit(" "), new, family)
-
-    def chosen(kind: Column) -> Column:
-        out = kinds["name"]
-        for name in list(kinds)[:-1]:
-            out = F.when(kind == name, kinds[name]).otherwise(out)
-        return out
-
-    return _let(kind_of(entity), chosen)
-
-
-def entities(text: Column) -> Column:
-    none = F.lit([]).cast("array<string>")
-    return F.when(text.rlike(_CUE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none)
+    body = F.substring(_numbers(digest), F.lit(1), F.length(d) - 1)
+    return _put(entity, _let(body, lambda b: F.concat(b, ((10 - luhn(F.concat(b, F.lit("0"))) % 10) % 10).cast("string"))))
 
 
-def collisions(docs: DataFrame, key: str) -> int:
-    """Distinct entities that share a surrogate with another of their kind, or are their own."""
-    found = docs.select(F.explode(entities(docs["text"])).alias("e")).distinct().withColumn("s", surrogate(F.col("e"), key))
-    shared = found.groupBy("s").agg(F.count("*").alias("n"), F.max((F.col("e") == F.col("s")).cast("int")).alias("same"))
-    row = shared.agg(F.coalesce(F.sum(F.col("n") - 1 + F.col("same")), F.lit(0)).alias("n")).first()
-    return int(row.n)
-
-
-def _other(entity: Column, key: str) -> Column:
-    """A surrogate of the entity's kind that does not follow its characters, for those whose form has none left; e-mails, names and phones only."""
-    sha = F.sha2(F.concat_ws("|", F.lit(key), entity), 256)
-    letters = lambda a: F.translate(F.substring(sha, a, 12), "0123456789abcdef", "bcdfghjklmnpqrst")
-    words = F.split(entity, " ")
-    family = F.when(F.size(words) > 2, F.concat(F.lit(" "), F.initcap(letters(13)))).otherwise("")
-    digits = F.substring(F.lpad(F.conv(F.substring(sha, 1, 12), 16, 10), 15, "0"), 4, 12)
-    new = {
-        "email": F.concat(letters(1), F.regexp_extract(surrogate(entity, key), "@.*$", 0)),
-        "name": F.concat(F.element_at(words, 1), F.lit(" "), F.initcap(letters(1)), family),
-        "phone": F.concat(F.lit("+999"), *[x for a in (1, 5, 9) for x in (F.lit(" "), F.substring(digits, a, 4))]),
-    }
-    out = surrogate(entity, key)
-    for name, value in new.items():
-        out = F.when(kind_of(entity) == name, value).otherwise(out)
-    return out
+def _iban(entity: Column, digest: Column) -> Column:
+    """With valid check digits, in the entity's groups."""
+    body = _fill(F.substring(F.replace(entity, F.lit(" ")), F.lit(5), F.length(entity)), digest, ALPHABETS[:3])
+    land = F.substring(entity, 1, 2)
 
+    def whole(b: Column) -> Column:
+        check = F.lpad((98 - _iban_rest(F.concat(land, F.lit("00"), b))).cast("string"), 2, "0")
+        return F.concat(land, check, b)
 
-def exceptions(docs: DataFrame, key: str = KEY) -> DataFrame | None:
-    """(e, s) of the entities that can't have the cipher's surrogate, as it is theirs already or another's; None if there are none.
+    spaced = F.split(entity, "")
+    at = lambda i: F.length(F.replace(F.substring(entity, F.lit(1), i + 1), F.lit(" ")))
+    return _let(_let(body, whole), lambda w: F.array_join(F.transform(spaced, lambda x, i: F.when(x == " ", " ").otherwise(F.substring(w, at(i), F.lit(1)))), ""))
 
-    Of those that share one the least keeps it.  The others try keys of their own, then
-    surrogates in a wide form, until each has one that no other entity has.
-    """
-    found = docs.select(F.explode(entities(docs["text"])).alias("e")).distinct().withColumn("s", surrogate(F.col("e"), key))
-    found = stored(found, "surrogates")
-    taken = found.filter("e <> s").groupBy("s").agg(F.min("e").alias("e")).select("e", "s")
-    left = cut(found.join(taken.select("e"), "e", "left_anti").select("e"))
+
+def _name(entity: Column, key: Column, step: int) -> Column:
+    """Titles stay; given names stay in their gender, scripts are kept; parts of a name have the same surrogate wherever they stand."""
+    title = F.regexp_extract(entity, rf"^((?:{_TITLES})\.? )?", 1)
+    words = F.split(F.substring(entity, F.length(title) + 1, F.length(entity)), " ")
+    spoken = lambda w, tag: _fill(w, _digest(key, F.lit(tag), w), SPOKEN)
+
+    def given(w: Column) -> Column:
+        # the last letter, which mostly tells the gender, stays
+        new = F.concat(spoken(F.substring(w, F.lit(1), F.length(w) - 1), "given"), F.substring(w, F.length(w), F.lit(1)))
+        for row in GIVEN if step == 0 else ():
+            names = F.array(*map(F.lit, row))
+            place = F.array_position(names, w).cast("int")
+            new = F.when(place > 0, F.element_at(names, (place + _byte(_digest(key, F.lit("given"), w), 0) % (len(row) - 1)) % len(row) + 1)).otherwise(new)
+        return new
+
+    many = F.size(words) > 1
+    family = F.element_at(words, -1)
+    return F.concat(title, F.when(many, F.concat(given(F.element_at(words, 1)), F.lit(" "))).otherwise(""), spoken(family, "family"))
+
+
+def _wide(entity: Column, kind: Column, digest: Column) -> Column:
+    """Surrogates of forms that are used up, or have no character to change: of the same type in a form of their own."""
+    letters = lambda a: F.translate(F.substring(digest, a, 12), "0123456789abcdef", "bcdfghjklmnpqrst")
+    title = F.regexp_extract(entity, rf"^((?:{_TITLES})\.? )?", 1)
+    n = F.substring(_numbers(digest), 1, 12)
+    phone = F.concat(F.lit("+999"), *[x for a in (1, 5, 9) for x in (F.lit(" "), F.substring(n, a, 4))])
+    private = F.concat_ws(".", F.lit("10"), *[(_byte(digest, k) % 256).cast("string") for k in (0, 3, 6)])
+    email = F.concat(letters(1), F.regexp_extract(entity, "@.*$", 0))
+    return F.when(kind == "email", email).when(kind == "phone", phone).when((kind == "ip") & entity.rlike(r"^(?:10|172|192)\."), private).when(kind == "name", F.concat(title, F.initcap(letters(1)), F.lit(" "), F.initcap(letters(13))))
+
+
+#: Tries in the entity's own form before the wide one.
+TRIES = 4
+
+
+def surrogate(entity: Column, key: str, step: int = 0) -> Column:
+    """The surrogate of the step-th try."""
+
+    def made(kind: Column) -> Column:
+        k = F.lit(key if step == 0 else f"{key}/{step}")
+        digest = _digest(k, kind, canonical(entity, kind))
+
+        def of(d: Column) -> Column:
+            ssn = _put(entity, _numbers(d))
+            own = {"email": _email(entity, d), "secret": _secret(entity, d), "ip": _ip(entity, d), "phone": _phone(entity, d), "ssn": ssn, "iban": _iban(entity, d), "card": _card(entity, d)}
+            out = _name(entity, k, step)
+            for name, value in own.items():
+                out = F.when(kind == name, value).otherwise(out)
+            return F.coalesce(_wide(entity, kind, d), out) if step >= TRIES else out
+
+        return F.when(is_entity(entity, kind), _let(digest, of)).otherwise(entity)
+
+    return _let(kind_of(entity), made)
+
+
+def found(text: Column) -> Column:
+    """What the pattern finds in a text."""
+    none = F.lit([]).cast("array<string>")
+    return F.when(text.rlike(_CUE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none)
+
+
+def exceptions(docs: DataFrame, key: str) -> DataFrame | None:
+    """(kind, c, step) of the entities that don't have the surrogate of the first try, as it is theirs already or another's; None if there are none."""
+    kind = kind_of(F.col("e"))
+    rows = docs.select(F.explode(found(docs["text"])).alias("e")).distinct().withColumn("kind", kind).filter(is_entity(F.col("e"), F.col("kind")))
+    rows = rows.withColumn("c", canonical(F.col("e"), F.col("kind"))).groupBy("kind", "c").agg(F.min("e").alias("e"))
+    rows = rows.withColumn("s", surrogate(F.col("e"), key))
+    rows = stored(rows.withColumn("cs", canonical(F.col("s"), F.col("kind"))), "entities")
+    taken = rows.filter("c <> cs").groupBy("kind", "cs").agg(F.min("c").alias("c"))
+    left = cut(rows.select("kind", "c", "e").join(taken.select("kind", "c"), ["kind", "c"], "left_anti"))
     done, step = None, 0
     while not left.isEmpty():
         step += 1
-        own = f"{key}/{step}"
-        tried = left.withColumn("s", surrogate(F.col("e"), own) if step < 3 else _other(F.col("e"), own)).filter("e <> s")
-        tried = cut(tried.groupBy("s").agg(F.min("e").alias("e")).select("e", "s"))
-        held = taken.select("s") if done is None else taken.select("s").union(done.select("s"))
-        new = tried.join(join_checked(held, tried.select("s"), "s", "left_semi"), "s", "left_anti").select("e", "s")
+        tried = left.withColumn("s", surrogate(F.col("e"), key, step)).withColumn("cs", canonical(F.col("s"), F.col("kind"))).filter("c <> cs")
+        tried = cut(tried.groupBy("kind", "cs").agg(F.min(F.struct("c", "e")).alias("x")).select("kind", "cs", "x.*"))
+        held = taken.select("kind", "cs") if done is None else taken.select("kind", "cs").union(done.select("kind", "cs"))
+        new = tried.join(join_checked(held, tried.select("kind", "cs"), ["kind", "cs"], "left_semi"), ["kind", "cs"], "left_anti")
+        new = new.select("kind", "c", "cs", F.lit(step).alias("step"))
         done = cut(new if done is None else done.union(new))
-        left = cut(left.join(done.select("e"), "e", "left_anti"))
+        left = cut(left.join(done.select("kind", "c"), ["kind", "c"], "left_anti"))
     return done
 
 
-def pseudonymise(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """For each row of docs: its `keep` columns, text with the entities replaced in place, and n_entities (int).
 
     Null texts stay null and empty ones empty, with 0 entities; texts without entities
-    stay as they are, byte by byte.  Repeated rows each have their result, the same one;
-    no rows give no rows.  Other columns are left out, so their names can't clash.
+    stay as they are, byte by byte.  A very long text is one text like any other.
+    Repeated rows each have their result, the same one; no rows give no rows.  Other
+    columns are left out, so their names can't clash.
     """
-    if clash := {"text", "n_entities", "_entities", "_text", "_other"} & set(keep):
+    if clash := {"text", "n_entities", "_parts", "_text", "_other"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
+    if not key:
+        raise ValueError("surrogates need a key")
     others = exceptions(docs, key)
-    rows = docs.select(*keep, "text", entities(docs["text"]).alias("_entities"))
-    replaced = lambda e: surrogate(e, key)
+    # gaps and entities in turn, by one run of the pattern; a text that holds the mark itself is taken apart in two
+    mark = "\u0001"
+    apart = F.split(F.regexp_replace("text", PATTERN, f"{mark}$0{mark}"), mark, -1)
+    slow = F.flatten(F.zip_with(F.split("text", PATTERN, -1), F.concat(found(F.col("text")), F.array(F.lit(""))), lambda g, e: F.array(g, e)))
+    parts = F.when(F.col("text").rlike(_CUE), F.when(F.col("text").contains(mark), F.slice(slow, F.lit(1), F.size(slow) - 1)).otherwise(apart))
+    rows = docs.select(*keep, "text", parts.alias("_parts"))
+    new = lambda e: surrogate(e, key)
     if others is not None:
         # by text, as rows have no key: the surrogates of its exceptions
         rows = rows.withColumn("_text", F.sha2("text", 256))
-        held = join_checked(rows.select("_text", F.explode("_entities").alias("e")), others, "e", "inner")
-        held = cut(held.groupBy("_text").agg(F.map_from_entries(F.collect_set(F.struct("e", "s"))).alias("_other")))
+        own = rows.select("_text", F.explode(F.filter("_parts", lambda x, i: i % 2 == 1)).alias("e")).distinct()
+        own = own.withColumn("kind", kind_of(F.col("e"))).withColumn("c", canonical(F.col("e"), F.col("kind")))
+        held = join_checked(own, others.select("kind", "c", "step"), ["kind", "c"], "inner")
+        steps = cut(others.groupBy("step").agg(F.count("*").alias("n"))).orderBy("step").collect()  # a row a try
+        value = F.col("e")
+        for r in steps:
+            value = F.when(F.col("step") == r.step, surrogate(F.col("e"), key, r.step)).otherwise(value)
+        held = cut(held.select("_text", F.struct("e", value.alias("s")).alias("x")).groupBy("_text").agg(F.map_from_entries(F.collect_set("x")).alias("_other")))
         rows = join_checked(rows, held, "_text", "left")
-        replaced = lambda e: F.coalesce(F.try_element_at("_other", e), surrogate(e, key))
-    gaps = F.split("text", PATTERN, -1)
-    put = F.concat(F.transform("_entities", replaced), F.array(F.lit("")))
-    joined = F.array_join(F.zip_with(gaps, put, lambda g, s: F.concat(g, s)), "")
-    n = F.coalesce(F.size("_entities"), F.lit(0))
-    return rows.select(*keep, F.when(n > 0, joined).otherwise(F.col("text")).alias("text"), n.alias("n_entities"))
+        new = lambda e: F.coalesce(F.try_element_at("_other", e), surrogate(e, key))
+    put = F.transform("_parts", lambda x, i: F.when(i % 2 == 1, new(x)).otherwise(x))
+    n = F.coalesce(F.size(F.filter("_parts", lambda x, i: (i % 2 == 1) & is_entity(x, kind_of(x)))), F.lit(0))
+    return rows.select(*keep, F.when(F.size("_parts") > 1, F.array_join(put, "")).otherwise(F.col("text")).alias("text"), n.alias("n_entities"))
