@@ -22,7 +22,7 @@ import secrets
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, join_checked, shared_dir, stored
+from .common import cut, join_checked, partitions, shared_dir, stored
 
 #: Setting of a session that holds the key.
 KEY_SETTING = "spark.metapep.surrogates.key"
@@ -49,12 +49,13 @@ PATTERNS = {
     "ssn": r"(?=\d)(?<!-)\d{3}-\d{2}-\d{4}(?![\p{L}\d]|-\d)",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
     "card": r"(?=\d)(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7})(?![\p{L}\d])",
-    "name": rf"(?=\p{{L}})(?:(?:{_TITLES})\.? {_FAMILY}(?: {_FAMILY})?|(?:{'|'.join(x for row in GIVEN for x in row)}) {_FAMILY})",
+    "name": rf"(?=[A-ZА-ЯΆ-Ώг])(?:(?:{_TITLES})\.? {_FAMILY}(?: {_FAMILY})?|(?:{'|'.join(x for row in GIVEN for x in row)}) {_FAMILY})",
 }
 _START = r"(?<![\p{L}\p{N}])"
 PATTERN = f"{_START}(?:{'|'.join(PATTERNS.values())})"
-#: What any entity holds; the texts without it are done.
-_CUE = rf"[@\d]|{_START}(?:{_TITLES}|{'|'.join(x for row in GIVEN for x in row)})\.? \p{{Lu}}"
+#: For texts without @, and for those without digits too: what else they can hold.
+_NO_MAIL = f"{_START}(?:{'|'.join(x for k, x in PATTERNS.items() if k != 'email')})"
+_NO_DIGIT = f"(?=[A-ZА-ЯΆ-Ώгagsf])(?:{PATTERNS['secret']}|{PATTERNS['name']})"
 
 # Alphabets that characters stay in.
 _DIGITS, _SMALL, _LARGE = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -304,19 +305,29 @@ def surrogate(entity: Column, key: str, step: int = 0) -> Column:
     return _let(kind_of(entity), made)
 
 
+def _by_need(text: Column, then, otherwise: Column) -> Column:
+    """then(pattern) with the shortest pattern that finds all that the text can hold."""
+    plain = F.when(text.rlike(_NO_DIGIT), then(_NO_MAIL)).otherwise(otherwise)
+    return F.when(text.contains("@"), then(PATTERN)).when(text.rlike("[0-9]"), then(_NO_MAIL)).otherwise(plain)
+
+
 def found(text: Column) -> Column:
     """What the pattern finds in a text."""
-    none = F.lit([]).cast("array<string>")
-    return F.when(text.rlike(_CUE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none)
+    return _by_need(text, lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0)), F.lit([]).cast("array<string>"))
+
+
+def texts_with(docs: DataFrame) -> DataFrame:
+    """(text, found) of the distinct texts that hold something, by digest, stored: what the check needs of the documents."""
+    rows = docs.select("text", found(docs["text"]).alias("found")).filter("size(found) > 0")
+    return stored(rows.select(F.sha2("text", 256).alias("text"), F.array_distinct("found").alias("found")), "entities").distinct()
 
 
-def exceptions(docs: DataFrame, key: str) -> DataFrame | None:
+def exceptions(texts: DataFrame, key: str, parts: int) -> DataFrame | None:
     """(kind, c, step) of the entities that don't have the surrogate of the first try, as it is theirs already or another's; None if there are none."""
-    kind = kind_of(F.col("e"))
-    rows = docs.select(F.explode(found(docs["text"])).alias("e")).distinct().withColumn("kind", kind).filter(is_entity(F.col("e"), F.col("kind")))
-    rows = rows.withColumn("c", canonical(F.col("e"), F.col("kind"))).groupBy("kind", "c").agg(F.min("e").alias("e"))
+    rows = texts.select(F.explode("found").alias("e")).distinct().withColumn("kind", kind_of(F.col("e"))).filter(is_entity(F.col("e"), F.col("kind")))
+    rows = rows.withColumn("c", canonical(F.col("e"), F.col("kind"))).groupBy("kind", "c").agg(F.min("e").alias("e")).repartition(parts, "c")
     rows = rows.withColumn("s", surrogate(F.col("e"), key))
-    rows = stored(rows.withColumn("cs", canonical(F.col("s"), F.col("kind"))), "entities")
+    rows = stored(rows.withColumn("cs", canonical(F.col("s"), F.col("kind"))), "surrogates")
     taken = rows.filter("c <> cs").groupBy("kind", "cs").agg(F.min("c").alias("c"))
     left = cut(rows.select("kind", "c", "e").join(taken.select("kind", "c"), ["kind", "c"], "left_anti"))
     done, step = None, 0
@@ -344,18 +355,20 @@ def pseudonymise(docs: DataFrame, key: str, keep: tuple[str, ...] = ("doc_id",))
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
     if not key:
         raise ValueError("surrogates need a key")
-    others = exceptions(docs, key)
+    texts = texts_with(docs)
+    others = exceptions(texts, key, partitions(docs))
     # gaps and entities in turn, by one run of the pattern; a text that holds the mark itself is taken apart in two
     mark = "\u0001"
-    apart = F.split(F.regexp_replace("text", PATTERN, f"{mark}$0{mark}"), mark, -1)
-    slow = F.flatten(F.zip_with(F.split("text", PATTERN, -1), F.concat(found(F.col("text")), F.array(F.lit(""))), lambda g, e: F.array(g, e)))
-    parts = F.when(F.col("text").rlike(_CUE), F.when(F.col("text").contains(mark), F.slice(slow, F.lit(1), F.size(slow) - 1)).otherwise(apart))
+    text = F.col("text")
+    apart = F.split(_by_need(text, lambda p: F.regexp_replace(text, p, f"{mark}$0{mark}"), text), mark, -1)
+    slow = F.flatten(F.zip_with(F.split("text", PATTERN, -1), F.concat(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), F.array(F.lit(""))), lambda g, e: F.array(g, e)))
+    parts = F.when(text.contains(mark), F.slice(slow, F.lit(1), F.size(slow) - 1)).otherwise(apart)
     rows = docs.select(*keep, "text", parts.alias("_parts"))
     new = lambda e: surrogate(e, key)
     if others is not None:
         # by text, as rows have no key: the surrogates of its exceptions
         rows = rows.withColumn("_text", F.sha2("text", 256))
-        own = rows.select("_text", F.explode(F.filter("_parts", lambda x, i: i % 2 == 1)).alias("e")).distinct()
+        own = texts.select(F.col("text").alias("_text"), F.explode("found").alias("e"))
         own = own.withColumn("kind", kind_of(F.col("e"))).withColumn("c", canonical(F.col("e"), F.col("kind")))
         held = join_checked(own, others.select("kind", "c", "step"), ["kind", "c"], "inner")
         steps = cut(others.groupBy("step").agg(F.count("*").alias("n"))).orderBy("step").collect()  # a row a try
