@@ -7,6 +7,7 @@ phyla, genera and species.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +17,10 @@ from . import plans
 from .functions import entry_annotations, equate_il, kmers, standard_alphabet, tryptic_digest
 from .operators import aggregates, checks, lookup, tables, taxonomy
 from .operators.numbering import last_by_key, number_rows, union_numbered
-from .ranks import SLOTS
-from .sources import flatfile, ontologies, taxdump
-from .storage import join_checked
+from .plans import builds
+from .ranks import ENTRIES, PROTEOMES, SLOTS
+from .sources import flatfile, ontologies, taxdump, tsv
+from .storage import join_checked, shared_dir, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,6 +143,13 @@ def kmer_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.kmer_index(_proteins(spark, sf_dir), lineages, 3)
 
 
+@_query(ORACLES["kmer_lca"].replace(_KMER_ROWS, _KMER_ROWS.replace("i, 3)", "i, 9)").replace("len(s) - 1)", "len(s) - 7)")))
+def kmer9_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the usual length, so nearly every key is its own."""
+    lineages = taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "customer")))
+    return plans.kmer_index(_proteins(spark, sf_dir), lineages)
+
+
 def _peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _sequences(spark, sf_dir).select("doc_id", F.explode(tryptic_digest(F.col("sequence"))).alias("sequence"))
     return rows.withColumns({"eq_sequence": equate_il(F.col("sequence")), "taxon_id": (F.col("doc_id") % 150 + 10_000_001).cast("int")})
@@ -172,12 +181,7 @@ def _fa(key: Column) -> Column:
 
 def _sequence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineages = taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "customer")))
-    sequences = _numbered(spark, sf_dir)
-    p = _peptides(spark, sf_dir).withColumns({"peptide_id": F.col("doc_id"), "entry_id": F.col("doc_id"), "fa": _fa(F.col("doc_id"))})
-    encoded = tables.dictionary_encode(p, sequences)
-    sides = [aggregates.lowest_common_ancestors(encoded, lineages, k) for k in ("seq_id", "eq_seq_id")]
-    sides += [aggregates.histogram_json(aggregates.term_histogram(encoded, k, "fa"), k) for k in ("seq_id", "eq_seq_id")]
-    return tables.sequence_table(sequences, *sides)
+    return tables.sequence_table(_peptides(spark, sf_dir).withColumn("fa", _fa(F.col("doc_id"))), lineages)
 
 
 _SEQUENCE_CTE = f"""s AS MATERIALIZED (SELECT * FROM {_NUMBERED}),
@@ -202,7 +206,9 @@ def tryptic_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.tryptic_index(_sequence_table(spark, sf_dir))
 
 
-@_query(f"WITH {_SEQUENCE_CTE} SELECT sequence, lca AS taxon_id FROM x WHERE lca IS NOT NULL AND NOT contains(sequence, 'N')")
+@_query(f"""SELECT sequence, CAST(CASE WHEN min(d) <> max(d) THEN 1 WHEN min(h) <> max(h) THEN min(d) WHEN count(DISTINCT c) > 1 THEN min(h) ELSE coalesce(min(c), min(h)) END AS INTEGER) AS taxon_id FROM (
+SELECT sequence, n_regionkey + 10 AS d, n_nationkey + 100 AS h, CASE WHEN c_custkey % 8 IN (0, 3) THEN c_custkey + 10000000 END AS c FROM {_DIGEST} JOIN customer ON doc_id % 150 + 1 = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+WHERE NOT contains(sequence, 'N') GROUP BY sequence""")
 def tryptic_index_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.tryptic_index(_sequence_table(spark, sf_dir), compat_drop_n=True)
 
@@ -410,3 +416,73 @@ def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = s.select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("sequence"), (F.col("s_suppkey") + 10_000).cast("int").alias("taxon_id"))
     wanted = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("S"), F.col("l_suppkey")).alias("sequence"))
     return join_checked(wanted, index, "sequence", "left").select("l_orderkey", "l_linenumber", "taxon_id")
+
+
+def _written(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Suppliers as flat files of two databases, taxa as dump lines, and nations as reference proteomes with a header, written as text; paths by name."""
+    top = f"{shared_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    text = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    database = F.when(k % 2 == 0, "UniProtKB/Swiss-Prot.").otherwise("UniProtKB/TrEMBL.")
+    # names: preferred, submitted, of a domain
+    described = F.when(k % 3 == 0, text("SubName: Full=Sub ", k, " {ECO:1};\nDE   Flags: Fragment;")).when(k % 3 == 1, text("RecName: Full=", F.col("s_name"), ";\nDE     EC=1.2.3.", k % 9, ";\nDE   Includes:\nDE     RecName: Full=Domain ", k, ";")).otherwise(text("RecName: Full=", F.col("s_name"), ";"))
+    references = text("DR   Proteomes; UP", F.lpad(n.cast("string"), 9, "0"), "; x.\nDR   GO; GO:", F.lpad(k.cast("string"), 7, "0"), "; P:x.\nDR   InterPro; IPR", F.lpad((k % 50).cast("string"), 6, "0"), "; x.")
+    record = text("ID   X\nAC   A", k, ";\nDT   01-JAN-2000, integrated into ", database, "\nDT   01-JAN-2000, sequence version 1.\nDT   01-JAN-2000, entry version ", k % 40, ".\nDE   ", described, "\nOX   NCBI_TaxID=", n + 100, ";\n", references, "\nSQ   SEQUENCE\n     ", F.repeat(F.lit("ACDEFGHIKL"), (k % 13 + 1).cast("int")), "\n//")
+    suppliers = _table(spark, sf_dir, "supplier")
+    for name, rest in (("swissprot", 0), ("trembl", 1)):
+        own = suppliers.filter(k % 2 == rest).select(record.alias("value"))
+        own.write.option("compression", "gzip" if rest else "none").text(f"{top}/{name}")
+    t = _taxa(spark, sf_dir, "region", "nation")
+    t.select(F.concat_ws("\t|\t", F.col("id").cast("string"), F.col("parent_id").cast("string"), "rank", F.lit("XX\t|"))).write.text(f"{top}/nodes")
+    t.select(F.concat_ws("\t|\t", F.col("id").cast("string"), "name", F.lit(""), F.lit("scientific name\t|"))).write.text(f"{top}/names")
+    nations = _table(spark, sf_dir, "nation").select(text("UP", F.lpad(F.col("n_nationkey").cast("string"), 9, "0")).alias("upid"), (F.col("n_nationkey") + 100).alias("organism_id"), F.col("n_regionkey").alias("protein_count"))
+    nations.coalesce(1).write.option("header", True).option("sep", "\t").csv(f"{top}/proteomes")
+    return {"out": f"{top}/out", **{name: f"{top}/{name}" for name in ("swissprot", "trembl", "nodes", "names", "proteomes")}}
+
+
+def _flatfiles(paths: dict[str, str]) -> dict[str, str]:
+    return {name: paths[name] for name in ("swissprot", "trembl")}
+
+
+_BUILT = """(SELECT 'A' || s_suppkey AS accession, CAST(s_suppkey % 40 AS VARCHAR) AS version, CAST(s_nationkey + 100 AS INTEGER) AS taxon_id, CASE WHEN s_suppkey % 2 = 0 THEN 'swissprot' ELSE 'trembl' END AS type,
+CASE WHEN s_suppkey % 3 = 0 THEN 'Sub ' || s_suppkey WHEN s_suppkey % 3 = 1 THEN 'Domain ' || s_suppkey ELSE s_name END AS name, repeat('ACDEFGHIKL', CAST(s_suppkey % 13 + 1 AS INTEGER)) AS sequence,
+CASE WHEN s_suppkey % 3 = 1 THEN 'EC:1.2.3.' || s_suppkey % 9 ELSE '' END || ';GO:' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0') || ';IPR:IPR' || lpad(CAST(s_suppkey % 50 AS VARCHAR), 6, '0') AS fa, s_nationkey, s_suppkey FROM supplier)"""
+
+
+@_query(f"SELECT accession, version, taxon_id, type, name, sequence, fa FROM {_BUILT}")
+def built_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of the whole build: flat files, plain and compressed, and dumps in, tables of compressed text out and read back."""
+    p = _written(spark, sf_dir)
+    made = builds.build_suffix_array_tables(spark, _flatfiles(p), p["nodes"], p["names"], p["proteomes"], p["out"])
+    return tsv.read_tsv(spark, made["uniprot_entries"], ENTRIES).drop("id")
+
+
+@_query(f"SELECT row_number() OVER (ORDER BY n_nationkey) AS id, 'UP' || lpad(CAST(n_nationkey AS VARCHAR), 9, '0') AS upid, CAST(n_nationkey + 100 AS INTEGER) AS organism_id, CAST(n_regionkey AS INTEGER) AS protein_count, coalesce(a, '') AS accessions FROM nation LEFT JOIN (SELECT s_nationkey, string_agg(accession, ';' ORDER BY accession) AS a FROM {_BUILT} WHERE type = 'trembl' GROUP BY s_nationkey) ON s_nationkey = n_nationkey")
+def built_proteomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference proteomes of the build of one database."""
+    p = _written(spark, sf_dir)
+    made = builds.build_suffix_array_tables(spark, _flatfiles(p), p["nodes"], p["names"], p["proteomes"], p["out"], sources="trembl")
+    return tsv.read_tsv(spark, made["proteomes"], PROTEOMES)
+
+
+@_query(f"SELECT sequence, CAST(CASE WHEN min(n_regionkey) <> max(n_regionkey) THEN 1 WHEN min(s_nationkey) <> max(s_nationkey) THEN min(n_regionkey) + 10 ELSE min(s_nationkey) + 100 END AS INTEGER) AS taxon_id FROM (SELECT unnest(['ACDEFGHIK', 'LACDEFGHIK']) AS sequence, unnest([0, 1]) AS least, s_nationkey, n_regionkey, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey) WHERE s_suppkey % 13 >= least GROUP BY sequence")
+def built_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tryptic index of the whole build."""
+    p = _written(spark, sf_dir)
+    made = builds.build_tryptic_tables(spark, _flatfiles(p), p["nodes"], p["names"], p["out"])
+    return builds.read_index(spark, made["index"])
+
+
+@_query(f"SELECT sequence, CAST(CASE WHEN min(n_regionkey) <> max(n_regionkey) THEN 1 WHEN min(s_nationkey) <> max(s_nationkey) THEN min(n_regionkey) + 10 ELSE min(s_nationkey) + 100 END AS INTEGER) AS taxon_id FROM (SELECT substring(sequence, i, 9) AS sequence, s_nationkey, n_regionkey FROM (SELECT sequence, s_nationkey, unnest(range(1, len(sequence) - 7)) AS i FROM {_BUILT}) JOIN nation ON s_nationkey = n_nationkey) GROUP BY sequence")
+def built_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The k-mer index of the whole build, over the written lineages."""
+    p = _written(spark, sf_dir)
+    made = builds.build_suffix_array_tables(spark, _flatfiles(p), p["nodes"], p["names"], p["proteomes"], p["out"])
+    index = builds.build_kmer_index(spark, _flatfiles(p), made["lineages"], f"{p['out']}-kmers")
+    return builds.read_index(spark, index["index"])
+
+
+@_query(f"SELECT id FROM {_TAXA} WHERE list_contains(string_split(lower(name), ' '), 'genus') AND list_contains(string_split(lower(name), ' '), 'simplex')")
+def search_saved_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search in the word index."""
+    return lookup.search_index(stored(lookup.inverted_index(_taxa(spark, sf_dir), "id", "name", "rank"), "words"), "GENUS simplex", "id")

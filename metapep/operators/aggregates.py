@@ -42,36 +42,95 @@ def lca_fold(slots: tuple[str, ...] = SLOTS) -> Column:
     return F.aggregate(pairs, begin, step, lambda s: s["lca"])
 
 
-def lowest_common_ancestors(rows: DataFrame, lineages: DataFrame, key: str, taxon: str = "taxon_id", name: str = "lca") -> DataFrame:
-    """(key, name): the lowest common ancestor of the key's taxa; taxa without lineage are ignored, without any it is the root.
-
-    Lineages go to every executor where they are few, else both sides are shuffled by
-    taxon.  The aggregate is partial, of 56 integers.
-    """
+def with_cells(rows: DataFrame, lineages: DataFrame, taxon: str = "taxon_id") -> DataFrame:
+    """rows with the lineage of their taxon, 28 cells by slot; all null where it has none. Lineages go to every executor where they are small, else both sides are shuffled by taxon."""
     slots = tuple(c for c in lineages.columns if c != "taxon_id")
     cells = lineages.select(F.col("taxon_id").alias("_t"), *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in slots])
-    joined = join_checked(rows.select(key, F.col(taxon).alias("_taxon")), cells, F.col("_taxon") == F.col("_t"), "left")
-    return joined.groupBy(key).agg(*lca_columns(slots)).select(key, lca_fold(slots).cast("int").alias(name))
+    return join_checked(rows, cells, F.col(taxon) == F.col("_t"), "left").drop("_t")
+
+
+def lca_of(rows: DataFrame, key: str, name: str = "lca", slots: tuple[str, ...] = SLOTS) -> DataFrame:
+    """(key, name) of rows with cells: one partial aggregate of 56 integers."""
+    return rows.groupBy(key).agg(*lca_columns(slots)).select(key, lca_fold(slots).cast("int").alias(name))
+
+
+def lowest_common_ancestors(rows: DataFrame, lineages: DataFrame, key: str, taxon: str = "taxon_id", name: str = "lca") -> DataFrame:
+    """(key, name): the lowest common ancestor of the key's taxa; taxa without lineage are ignored, without any it is the root."""
+    return lca_of(with_cells(rows.select(key, F.col(taxon).alias("_taxon")), lineages, "_taxon"), key, name)
+
+
+def _terms(terms: Column) -> Column:
+    return F.filter(F.split(F.coalesce(terms, F.lit("")), ";"), lambda x: x != "")
+
+
+_CATEGORIES = ("EC", "GO", "IPR")
+
+
+def _marked(terms: Column) -> tuple[Column, list[Column]]:
+    """The terms behind a null that stands for the row itself, and for each category whether the row has one of it."""
+
+    def having(category: str) -> Column:
+        return F.exists(terms, lambda x: term_category(x) == category).cast("int").alias(f"_{category}")
+
+    return F.concat(F.array(F.lit(None).cast("string")), terms), [having(c) for c in _CATEGORIES]
 
 
 def term_histogram(rows: DataFrame, key: str, terms: str) -> DataFrame:
     """(key, num_all, num_ec, num_go, num_ipr, data): rows of the key, rows with a term of each category, and the counts by term.
 
-    terms is text between semicolons; a key without any term has no row.
+    terms is text between semicolons; a key without any term has no row.  Rows and terms
+    are counted in one pass, by (key, term).
     """
-    own = rows.select(key, F.filter(F.split(F.coalesce(F.col(terms), F.lit("")), ";"), lambda x: x != "").alias("_t"))
+    every, has = _marked(_terms(F.col(terms)))
+    own = rows.select(key, F.explode(every).alias("_term"), *has)
+    counts = own.groupBy(key, "_term").agg(F.count("*").alias("n"), *[F.sum(f"_{c}").alias(f"_{c}") for c in _CATEGORIES])
+    return counts.groupBy(key).agg(*histogram_columns()).filter(F.size("data") > 0)
+
+
+def histogram_columns(condition: Column | None = None, tag: str = "") -> list[Column]:
+    """Aggregates over rows (_term, n, _EC, _GO, _IPR): the figures of the rows themselves and the list of terms."""
+    ok = F.lit(True) if condition is None else condition
+    row = ok & F.col("_term").isNull()
+    figures = [F.max(F.when(row, F.col(c))).alias(f"{name}{tag}") for c, name in (("n", "num_all"), ("_EC", "num_ec"), ("_GO", "num_go"), ("_IPR", "num_ipr"))]
+    term = F.struct(F.col("_term").alias("term"), F.col("n").alias("n"))
+    return [*figures, F.array_sort(F.collect_list(F.when(ok & F.col("_term").isNotNull(), term))).alias(f"data{tag}")]
 
-    def having(category: str) -> Column:
-        return F.count_if(F.exists("_t", lambda x: term_category(x) == category))
 
-    counts = own.groupBy(key).agg(F.count("*").alias("num_all"), having("EC").alias("num_ec"), having("GO").alias("num_go"), having("IPR").alias("num_ipr"))
-    data = own.select(key, F.explode("_t").alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
-    data = data.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term", "n"))).alias("data"))
-    return counts.join(data, key)
+def histogram_text(tag: str = "") -> Column:
+    """The histogram as JSON, terms in byte order; null without any term."""
+    c = lambda name: F.col(f"{name}{tag}")
+    quoted = F.transform(c("data"), lambda x: F.concat(_quoted(x["term"]), F.lit(":"), x["n"].cast("string")))
+    parts = F.concat(F.lit('{"num":{"all":'), c("num_all"), F.lit(',"EC":'), c("num_ec"), F.lit(',"GO":'), c("num_go"), F.lit(',"IPR":'), c("num_ipr"), F.lit('},"data":{'), F.array_join(quoted, ","), F.lit("}}"))
+    return F.when(F.size(c("data")) > 0, parts)
+
+
+def _quoted(text: Column) -> Column:
+    """A JSON string."""
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
 def histogram_json(df: DataFrame, key: str, name: str = "fa") -> DataFrame:
-    """(key, name): the histogram as JSON, terms in byte order."""
-    quoted = F.transform("data", lambda x: F.concat(F.lit('"'), x["term"], F.lit('":'), x["n"].cast("string")))
-    parts = F.concat(F.lit('{"num":{"all":'), F.col("num_all"), F.lit(',"EC":'), F.col("num_ec"), F.lit(',"GO":'), F.col("num_go"), F.lit(',"IPR":'), F.col("num_ipr"), F.lit('},"data":{'), F.array_join(quoted, ","), F.lit("}}"))
-    return df.select(key, parts.alias(name))
+    """(key, name): the histogram as JSON."""
+    return df.select(key, histogram_text().alias(name))
+
+
+def sequence_summary(peptides: DataFrame, lineages: DataFrame) -> DataFrame:
+    """(sequence, lca, lca_il, fa, fa_il) of rows (sequence, eq_sequence, taxon_id, fa), by text.
+
+    Every row counts for its sequence and, apart from that, for its equated one; what a
+    sequence isn't is null.  The input is read once: rows and terms of both sides are
+    counted together by (sequence, side, term), the common ancestors beside them.
+    """
+    every, has = _marked(_terms(F.col("fa")))
+    side = F.array(F.struct(F.col("sequence"), F.lit(False).alias("il")), F.struct(F.col("eq_sequence").alias("sequence"), F.lit(True).alias("il")))
+    rows = peptides.select(F.explode(side).alias("s"), "taxon_id", every.alias("_every"), *has)
+    rows = rows.select("s.sequence", "s.il", F.explode("_every").alias("_term"), "taxon_id", *[f"_{c}" for c in _CATEGORIES])
+    rows = with_cells(rows.withColumn("_taxon", F.when(F.col("_term").isNull(), F.col("taxon_id"))), lineages, "_taxon")
+    sums = [F.sum(f"_{c}").alias(f"_{c}") for c in _CATEGORIES]
+    counts = rows.groupBy("sequence", "il", "_term").agg(F.count("*").alias("n"), *sums, *lca_columns())
+    counts = counts.select("sequence", "il", "_term", "n", *[f"_{c}" for c in _CATEGORIES], F.when(F.col("_term").isNull(), lca_fold()).cast("int").alias("_lca"))
+    own, other = ~F.col("il"), F.col("il")
+    lca = [F.max(F.when(x, F.col("_lca"))).alias(name) for x, name in ((own, "lca"), (other, "lca_il"))]
+    both = counts.groupBy("sequence").agg(*lca, *histogram_columns(own), *histogram_columns(other, "_il"))
+    return both.select("sequence", "lca", "lca_il", histogram_text().alias("fa"), histogram_text("_il").alias("fa_il"))

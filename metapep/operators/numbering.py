@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import cut
+from ..storage import cut, join_checked
 
 
 def number_rows(df: DataFrame, order: list[str], name: str = "id", start: int = 1) -> DataFrame:
@@ -25,6 +25,17 @@ def number_rows(df: DataFrame, order: list[str], name: str = "id", start: int =
     return ordered.select((offset + F.col("_at").bitwiseAND(F.lit(mask))).cast("long").alias(name), *df.columns)
 
 
+def running_offsets(df: DataFrame, count: Column, name: str = "before", id_: str = "id", block: int = 1 << 20) -> DataFrame:
+    """df with the sum of `count` over all rows of smaller id, for dense ids from 1: sums by blocks of ids, then inside each block; no task holds more than a block."""
+    rows = df.withColumn("_n", count.cast("long")).withColumn("_b", F.floor(F.col(id_) / block))
+    sums = cut(rows.groupBy("_b").agg(F.sum("_n").alias("_s")))
+    every = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    base = sums.select("_b", F.coalesce(F.sum("_s").over(every), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_b").orderBy(id_).rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return join_checked(out, cut(base), "_b", "inner").select(*df.columns, (F.col("_base") + F.col("_inside")).alias(name))
+
+
 def union_numbered(first: DataFrame, second: DataFrame, column: str = "sequence") -> DataFrame:
     """(id, column): the distinct values of both, numbered in byte order."""
     return number_rows(first.select(column).union(second.select(column)).distinct(), [column])

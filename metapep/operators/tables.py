@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import entry_annotations, equate_il, peptide_annotations, tryptic_digest
 from ..storage import join_checked
-from .aggregates import collapse
-from .numbering import number_rows
+from .aggregates import collapse, sequence_summary
+from .numbering import number_rows, running_offsets
 
 
 def known_taxa(entries: DataFrame, taxa: DataFrame) -> DataFrame:
@@ -25,9 +25,11 @@ def entry_table(entries: DataFrame, taxa: DataFrame, order: list[str]) -> DataFr
 def peptide_table(numbered: DataFrame, min_length: int = 5, max_length: int = 50) -> DataFrame:
     """(peptide_id, eq_sequence, sequence, entry_id, fa, taxon_id), numbered by entry and place."""
     summary = peptide_annotations(F.col("ec"), F.col("go"), F.col("ipr"))
-    rows = numbered.select(F.col("id").alias("entry_id"), summary.alias("fa"), "taxon_id", F.posexplode(tryptic_digest(F.col("sequence"), min_length, max_length)).alias("_place", "sequence"))
-    rows = number_rows(rows.select("entry_id", "_place", equate_il(F.col("sequence")).alias("eq_sequence"), "sequence", "fa", "taxon_id"), ["entry_id", "_place"], "peptide_id")
-    return rows.select("peptide_id", "eq_sequence", "sequence", "entry_id", "fa", "taxon_id")
+    cut_up = numbered.select("id", summary.alias("fa"), "taxon_id", tryptic_digest(F.col("sequence"), min_length, max_length).alias("_p"))
+    # rows stand by entry and place already: offsets by entry number them without a sort of all peptides
+    placed = running_offsets(cut_up, F.size("_p"))
+    rows = placed.select("before", F.col("id").alias("entry_id"), "fa", "taxon_id", F.posexplode("_p").alias("_place", "sequence"))
+    return rows.select((F.col("before") + F.col("_place") + 1).alias("peptide_id"), equate_il(F.col("sequence")).alias("eq_sequence"), "sequence", "entry_id", "fa", "taxon_id")
 
 
 def proteome_rows(entries: DataFrame) -> DataFrame:
@@ -50,9 +52,10 @@ def dictionary_encode(peptides: DataFrame, sequences: DataFrame) -> DataFrame:
     return two.select("peptide_id", "eq_seq_id", "seq_id", "entry_id", "fa", "taxon_id")
 
 
-def sequence_table(sequences: DataFrame, lca: DataFrame, lca_il: DataFrame, fa: DataFrame, fa_il: DataFrame) -> DataFrame:
-    """(id, sequence, lca, lca_il, fa, fa_il): each side is (id, value) by sequence id; what is missing is null."""
-    out = sequences
-    for side, name in ((lca, "lca"), (lca_il, "lca_il"), (fa, "fa"), (fa_il, "fa_il")):
-        out = out.join(side.toDF("id", name), "id", "left")
-    return out.select("id", "sequence", "lca", "lca_il", "fa", "fa_il")
+def sequence_table(peptides: DataFrame, lineages: DataFrame) -> DataFrame:
+    """(id, sequence, lca, lca_il, fa, fa_il): all sequences and equated ones in byte order, with common ancestors and histograms of either side; what is missing is null.
+
+    Summaries are made by text, so only distinct sequences are sorted and numbered, and
+    no number is joined to a peptide.
+    """
+    return number_rows(sequence_summary(peptides, lineages).select("sequence", "lca", "lca_il", "fa", "fa_il"), ["sequence"])

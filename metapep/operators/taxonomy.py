@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..ranks import RANKS, ROOT, SLOTS
-from ..storage import cut, join_checked
+from ..storage import cut
 
 # Taxa and parts of names that make a taxon invalid.
 INVALID_IDS = (28384, 48479, 1869227)
@@ -31,45 +31,47 @@ def rank_index(rank: Column) -> Column:
     return F.coalesce(F.try_element_at(known, rank), F.raise_error(F.concat(F.lit("unknown rank: "), F.coalesce(rank, F.lit("null")))).cast("int"))
 
 
+#: Rounds of pointer doubling, for trees of 4096 levels.
+ROUNDS = 12
+
+
 def with_paths(taxa: DataFrame) -> DataFrame:
     """(id, name, rank, parent_id, valid, path) of taxa (id, name, rank, parent_id).
 
     path holds the ranked ancestors, root end first and the taxon itself last, as
-    structs of id, rank and validity.  Levels are joined from the root down: a round a
-    level of the tree, each with the children of the last level only.  A taxon whose
-    parent is missing starts a tree of its own and is invalid.  Taxa in a cycle other
-    than the root's are never reached and are an error.
+    structs of id, rank and validity.  Pointers are doubled: every taxon has the chain
+    up to a pointer, and takes over the chain and pointer found there, so the rounds
+    grow with the logarithm of the depth.  A taxon whose parent is missing starts a tree
+    of its own and is invalid.  Taxa in a cycle other than the root's never end and
+    are an error.
     """
     own = taxa.select("id", "name", "rank", "parent_id", self_valid(F.col("id"), F.col("name"), F.col("rank")).alias("_ok"), rank_index(F.col("rank")).alias("_rank"))
     own = cut(own)
-    entry = F.array(F.struct(F.col("id"), F.col("_rank").alias("rank"), F.col("valid")))
-    none = F.array().cast("array<struct<id:int,rank:int,valid:boolean>>")
-
-    def level(df: DataFrame, path: Column) -> DataFrame:
-        path = F.when((F.col("_rank") > 0) & (F.col("id") != ROOT), F.concat(path, entry)).otherwise(path)
-        return cut(df.select("id", "name", "rank", "parent_id", "valid", path.cast(none_type).alias("path")))
-
-    none_type = "array<struct<id:int,rank:int,valid:boolean>>"
-    root = own.filter(F.col("id") == ROOT).withColumn("valid", F.col("_ok"))
     known = own.select(F.col("id").alias("_id"))
-    lost = own.filter(F.col("id") != ROOT).join(known, F.col("parent_id") == F.col("_id"), "left_anti").withColumn("valid", F.lit(False))
-    frontier = level(root.unionByName(lost), none)
-    found = [frontier]
-    below = own.filter((F.col("id") != ROOT) & (F.col("parent_id") != F.col("id")))
-    n = frontier.count()
-    while n:
-        up = frontier.select(F.col("id").alias("_up"), F.col("valid").alias("_valid"), F.col("path").alias("_path"))
-        frontier = level(join_checked(below, up, F.col("parent_id") == F.col("_up"), "inner").withColumn("valid", F.col("_ok") & F.col("_valid")), F.col("_path"))
-        n = frontier.count()
-        if n:
-            found.append(frontier)
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    out = cut(out)
-    if (missed := own.count() - out.count()) > 0:
-        raise ValueError(f"{missed} taxa are not connected with the root or a missing parent")
-    return out
+    up = F.when((F.col("id") != ROOT) & F.col("_id").isNotNull(), F.col("parent_id"))
+    ok = F.col("_ok") & ((F.col("id") == ROOT) | F.col("_id").isNotNull())
+    link = F.array(F.struct("id", F.col("_rank").alias("rank"), ok.alias("ok")))
+    chains = cut(own.join(known, F.col("parent_id") == F.col("_id"), "left").select("id", up.alias("up"), link.alias("chain")))
+    for k in range(ROUNDS + 1):
+        open_ = chains.filter("up is not null")
+        if open_.isEmpty():
+            break
+        if k == ROUNDS:
+            raise ValueError(f"{open_.count()} taxa are not connected with the root or a missing parent")
+        # those that have ended wait
+        above = chains.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("chain").alias("_chain"))
+        moved = open_.join(above, F.col("up") == F.col("_id")).select("id", F.col("_up").alias("up"), F.concat("_chain", "chain").alias("chain"))
+        chains = cut(chains.filter("up is null").union(moved))
+    begin = F.struct(F.lit(True).alias("valid"), F.array().cast("array<struct<id:int,rank:int,valid:boolean>>").alias("path"))
+
+    def step(s: Column, x: Column) -> Column:
+        valid = s["valid"] & x["ok"]
+        ranked = (x["rank"] > 0) & (x["id"] != ROOT)
+        put = F.concat(s["path"], F.array(F.struct(x["id"].alias("id"), x["rank"].alias("rank"), valid.alias("valid"))))
+        return F.struct(valid.alias("valid"), F.when(ranked, put).otherwise(s["path"]).alias("path"))
+
+    folded = chains.select("id", F.aggregate("chain", begin, step).alias("f"))
+    return cut(own.join(folded, "id").select("id", "name", "rank", "parent_id", "f.valid", "f.path"))
 
 
 def taxon_table(paths: DataFrame) -> DataFrame:

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import document_json, kmers, standard_alphabet
 from ..operators import tables
-from ..operators.aggregates import histogram_json, lowest_common_ancestors, term_histogram
+from ..operators.aggregates import lca_of, with_cells
 from ..operators.checks import assert_not_null, assert_unique
 from ..operators.lookup import inverted_index
-from ..operators.numbering import last_by_key, union_numbered
+from ..operators.numbering import last_by_key
 from ..operators.taxonomy import lineage_table, taxon_table, with_paths
+from ..storage import stored
 
 _SOURCES = re.compile(r"(swissprot|trembl)(,(swissprot|trembl))*")
 
@@ -60,14 +62,7 @@ def tryptic_tables(entries: DataFrame, taxa: DataFrame, min_length: int = 5, max
     out = taxonomy_tables(taxa)
     numbered = tables.entry_table(entries, out["taxons"], order or ["accession"])
     peptides = tables.peptide_table(numbered, min_length, max_length)
-    sequences = union_numbered(peptides.select("sequence"), peptides.select(F.col("eq_sequence").alias("sequence")))
-    encoded = tables.dictionary_encode(peptides, sequences)
-    sides = []
-    for key in ("seq_id", "eq_seq_id"):
-        sides.append(lowest_common_ancestors(encoded, out["lineages"], key))
-    for key in ("seq_id", "eq_seq_id"):
-        sides.append(histogram_json(term_histogram(encoded, key, "fa"), key))
-    out |= {"peptides": peptides, "sequences": tables.sequence_table(sequences, *sides)}
+    out |= {"peptides": peptides, "sequences": stored(tables.sequence_table(peptides, out["lineages"]), "sequences")}
     out["index"] = tryptic_index(out["sequences"])
     return out
 
@@ -80,11 +75,16 @@ def tryptic_index(sequences: DataFrame, compat_drop_n: bool = False) -> DataFram
     return own.select("sequence", F.col("lca").alias("taxon_id"))
 
 
-def kmer_index(entries: DataFrame, lineages: DataFrame, k: int = 9) -> DataFrame:
-    """(kmer, lca): the common ancestor of the taxa of every k-mer of sequences with standard residues only."""
+def kmer_index(entries: DataFrame, lineages: DataFrame, k: int = 9, aggregate: Callable[[DataFrame, str], DataFrame] = lca_of) -> DataFrame:
+    """(kmer, lca) of every k-mer of sequences with standard residues only: the common ancestor of its taxa, or what `aggregate` makes of rows (kmer, taxon_id, cells of the lineage).
+
+    Lineages are joined to entries, before these become k-mers, and k-mers are shuffled
+    once, as partial aggregates; the ancestor needs no distinct rows.
+    """
     k = check_number(k, "k")
-    rows = entries.filter(standard_alphabet(F.col("sequence"))).select("taxon_id", F.explode(kmers(F.col("sequence"), k)).alias("kmer"))
-    return lowest_common_ancestors(rows.distinct(), lineages, "kmer")
+    slots = [c for c in lineages.columns if c != "taxon_id"]
+    own = with_cells(entries.filter(standard_alphabet(F.col("sequence"))).select("taxon_id", "sequence"), lineages)
+    return aggregate(own.select("taxon_id", *slots, F.explode(kmers(F.col("sequence"), k)).alias("kmer")), "kmer")
 
 
 def write_index(index: DataFrame, table: str, key: str, buckets: int = 256) -> None:
@@ -92,22 +92,31 @@ def write_index(index: DataFrame, table: str, key: str, buckets: int = 256) -> N
     index.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
 
 
+#: Keys of the static tables.
+KEYS = {"taxons": ("id",), "lineages": ("taxon_id",), "ec_numbers": ("id", "code"), "go_terms": ("id", "code"), "interpro_entries": ("id", "code")}
+
+
 def static_database(built: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The built tables, checked for keys and nulls, and the word index of taxon names."""
-    keys = {"taxons": ("id",), "lineages": ("taxon_id",), "ec_numbers": ("id", "code"), "go_terms": ("id", "code"), "interpro_entries": ("id", "code")}
-    for name, own in keys.items():
+    """The built tables, checked for keys and nulls (lineages may have empty slots), and the word index of taxon names."""
+    for name, own in KEYS.items():
         if name in built:
             for k in own:
                 assert_unique(built[name], k)
-    for name in ("ec_numbers", "go_terms", "interpro_entries"):
-        if name in built:
-            assert_not_null(built[name], "id", "code", "name")
+            assert_not_null(built[name], *(("taxon_id",) if name == "lineages" else built[name].columns))
     out = dict(built)
     if "taxons" in built:
         out["virtual_taxons"] = inverted_index(built["taxons"], "id", "name", "rank")
     return out
 
 
+def save_static_database(built: dict[str, DataFrame], database: str, buckets: int = 16) -> list[str]:
+    """static_database() as tables of a catalog database, bucketed and sorted by their key, so that lookups read one bucket; their names."""
+    tables_ = static_database(built)
+    for name, df in tables_.items():
+        write_index(df, f"{database}.{name}", "token" if name == "virtual_taxons" else KEYS.get(name, (df.columns[0],))[0], buckets)
+    return [f"{database}.{name}" for name in tables_]
+
+
 def search_documents(entries: DataFrame, as_text: bool = False) -> DataFrame:
     """(accession, document): JSON by accession; of a repeated one the row with the largest id."""
     own = last_by_key(entries.select("id", "accession", "version", "taxon_id", "type", "name", "sequence", "fa"), "accession", "id")

@@ -1,16 +1,18 @@
 """Goldens and loop models of the domain operators."""
 
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from metapep import plans
+from metapep import plans, storage
 from metapep import sql as functions_sql
 from metapep.functions import document_json, entry_annotations, equate_il, kmers, metadata_cut, peptide_annotations, standard_alphabet, tryptic_digest, validity_byte
-from metapep.operators import aggregates, checks, lookup, tables, taxonomy
+from metapep.operators import aggregates, checks, lookup, numbering, tables, taxonomy
 from metapep.operators.numbering import last_by_key, number_rows, union_numbered
-from metapep.ranks import RANKS, SLOTS
+from metapep.plans import builds
+from metapep.ranks import LINEAGES, RANKS, SLOTS, TAXONS
 from metapep.sources import taxdump
 
 
@@ -270,3 +272,97 @@ def test_sql_functions(spark):
     functions_sql.register(spark, {"numbers": spark.range(3)})
     assert tuple(spark.sql("SELECT equate_il('AI'), tryptic_digest('AAKPGGRK', 1, 50), kmers('ABCD', 3), metadata_cut('X {E};'), standard_alphabet('B')").first()) == ("AL", ["AAKPGGR", "K"], ["ABC", "BCD"], "X", False)
     assert spark.sql("SELECT count(*) FROM numbers").first()[0] == 3
+
+
+def test_terms_that_json_must_escape(spark):
+    rows = spark.createDataFrame([(1, 'GO:"x";EC:\\'), (1, "GO:2"), (2, ""), (2, None)], "id int, fa string")
+    got = aggregates.histogram_json(aggregates.term_histogram(rows, "id", "fa"), "id").collect()
+    assert len(got) == 1 and json.loads(got[0].fa) == {"num": {"all": 2, "EC": 1, "GO": 2, "IPR": 0}, "data": {'GO:"x"': 1, "EC:\\": 1, "GO:2": 1}}
+
+
+def test_running_offsets_over_blocks(spark):
+    rows = spark.createDataFrame([(i, i % 4) for i in range(1, 101)], "id long, n long").repartition(5)
+    got = {r.id: r.before for r in numbering.running_offsets(rows, F.col("n"), block=7).collect()}
+    assert got == {i: sum(k % 4 for k in range(1, i)) for i in range(1, 101)}
+
+
+def test_a_pluggable_aggregate(spark):
+    lineages = spark.createDataFrame([(1, *[None] * 28)], LINEAGES)
+    entries = spark.createDataFrame([(1, "ACDA"), (2, "ACD"), (3, "AXD")], "taxon_id int, sequence string")
+    got = plans.kmer_index(entries, lineages, 3, lambda rows, key: rows.groupBy(key).agg(F.count_distinct("taxon_id").alias("taxa")))
+    assert sorted(map(tuple, got.collect())) == [("ACD", 2), ("CDA", 1)]
+
+
+def test_search_index_is_replaced_whole(spark):
+    class Client:
+        def __init__(self):
+            self.held, self.alias = {}, {}
+
+        def create(self, name, mapping):
+            self.held[name] = mapping
+
+        def point(self, alias, name):
+            self.alias[alias] = name
+
+        def drop(self, name):
+            del self.held[name]
+
+    client, loaded = Client(), []
+    assert builds.replace_search_index(client, "entries", "2024.01", loaded.append) == "entries-2024-01" and loaded == ["entries-2024-01"]
+
+    def fails(name):
+        raise OSError(name)
+
+    with pytest.raises(OSError):
+        builds.replace_search_index(client, "entries", "2024.02", fails)
+    assert list(client.held) == ["entries-2024-01"] and client.alias == {"entries": "entries-2024-01"}
+
+
+def test_static_tables_are_saved_with_their_keys(spark):
+    taxa = spark.createDataFrame([(1, "root", "no rank", 1, True), (2, "Frog virus", "species", 1, True)], TAXONS)
+    spark.sql("CREATE DATABASE IF NOT EXISTS static")
+    plans.save_static_database({"taxons": taxa}, "static")
+    assert spark.table("static.taxons").count() == 2
+    assert [r.id for r in lookup.search_index(spark.table("static.virtual_taxons"), "FROG species", "id").collect()] == [2]
+    assert lookup.search_index(spark.table("static.virtual_taxons"), "frog root", "id").count() == 0
+    with pytest.raises(ValueError):
+        plans.static_database({"taxons": taxa.union(taxa)})
+    with pytest.raises(ValueError):
+        plans.static_database({"taxons": taxa.withColumn("name", F.nullif("name", F.lit("root")))})
+
+
+def test_builds_name_what_is_missing(spark, tmp_path):
+    with pytest.raises(ValueError, match="trembl"):
+        builds.read_entries(spark, {"swissprot": str(tmp_path)})
+    with pytest.raises(FileNotFoundError, match="nowhere"):
+        builds.read_entries(spark, {"swissprot": str(tmp_path / "nowhere")}, "swissprot")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Bare:
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(Bare)
+
+
+def test_sides_are_measured_and_tables_removed(spark):
+    from pathlib import Path
+
+    df = spark.createDataFrame([("x" * 1000,)] * 50, "t string")
+    assert not storage.is_small(df, 10_000) and storage.is_small(df, 100_000)
+    with storage.scratch(spark):
+        one, two = storage.stored(df, "one"), storage.stored(df, "two", keep=True)
+        paths = [Path(x.inputFiles()[0].removeprefix("file://")).parent for x in (one, two)]
+        assert all(p.exists() for p in paths)
+    assert [p.exists() for p in paths] == [False, True]

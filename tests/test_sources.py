@@ -8,45 +8,45 @@ from metapep.ranks import EC_NUMBERS, TAXONS
 from metapep.sources import flatfile, ontologies, taxdump, tsv
 from metapep.streaming import current_entries, read_entry_stream, upsert_entries
 
-RECORD = """ID   001R_FRG3G              Reviewed;         256 AA.
-AC   P9WPY2; L0TBI1; P0A4Z2; P95014;
-DT   28-JUN-2011, integrated into UniProtKB/Swiss-Prot.
-DT   19-JUL-2004, sequence version 1.
-DT   08-NOV-2023, entry version 44.
-DE   RecName: Full=Putative transcription factor 001R;
-OS   Frog virus 3 (isolate Goorha) (FV-3).
-OX   NCBI_TaxID=654924;
-OH   NCBI_TaxID=30343; Dryophytes versicolor (chameleon treefrog).
-DR   KEGG; vg:2947773; -.
-DR   Proteomes; UP000008770; Segment.
-DR   GO; GO:0046782; P:regulation of viral transcription; IEA:InterPro.
-DR   GO; GO:0016743; F:carboxyl- or carbamoyltransferase activity; IEA.
-DR   InterPro; IPR007031; Poxvirus_VLTF3.
-DR   InterPro; IPR000308; 14-3-3.
-PE   4: Predicted;
-SQ   SEQUENCE   256 AA;  29735 MW;  B4840739BF7D4121 CRC64;
-     MAFSAEDVLK EYDRRRRMEA LLLSLYYPND RKLLDYKEWS PPRVQVECPK APVEWNNPPS
-     EKGLIVGHFS GIKYKGEKAQ ASEVDVNKMC CWVSKFKDAM RRYQGIQTCK IPGKVLSDLD"""
+RECORD = """ID   XYL7_TESTA              Reviewed;         120 AA.
+AC   Q7ZZ01; Q7ZZ02;
+DT   03-MAR-1999, integrated into UniProtKB/Swiss-Prot.
+DT   04-APR-2001, sequence version 2.
+DT   05-MAY-2022, entry version 17.
+DE   RecName: Full=Invented xylose carrier;
+OS   Testudo inventa (made up).
+OX   NCBI_TaxID=778899;
+OH   NCBI_TaxID=1234; A host.
+DR   EMBL; AB000001; -.
+DR   Proteomes; UP000012345; Unplaced.
+DR   GO; GO:0000111; P:sugar transport; IEA.
+DR   GO; GO:0000222; F:carrier activity; IEA.
+DR   InterPro; IPR000333; Carrier_1.
+DR   InterPro; IPR000444; Carrier_2.
+PE   2: Seen;
+SQ   SEQUENCE   120 AA;  13000 MW;  0123456789ABCDEF CRC64;
+     MKWVTFISLL FLFSSAYSRG VFRRDTHKSE IAHRFKDLGE EHFKGLVLIA FSQYLQQCPF
+     DEHVKLVNEL TEFAKTCVAD ESHAGCEKSL HTLFGDELCK VASLRETYGD MADCCEKQEP"""
 
 
 def test_records_and_fields(spark, tmp_path):
-    second = RECORD.replace("P9WPY2", "Q2").replace("Swiss-Prot", "TrEMBL")
+    second = RECORD.replace("Q7ZZ01", "Q2").replace("Swiss-Prot", "TrEMBL")
     (tmp_path / "a.dat").write_text(f"some log line\n{RECORD}\n//\n{second}\n//\n{RECORD}")  # the last one has no end
     (tmp_path / "b.dat").write_text(f"{RECORD}\n//")
     (tmp_path / "c.dat").write_bytes(f"{RECORD}\n//\n".replace("\n", "\r\n").encode())
     assert flatfile.read_records(spark, str(tmp_path / "a.dat")).count() == 2
     assert flatfile.read_records(spark, str(tmp_path / "b.dat")).count() == 1
     assert flatfile.read_records(spark, str(tmp_path / "[ab].dat")).count() == 3
-    assert flatfile.parse_entries(flatfile.read_records(spark, str(tmp_path / "c.dat"))).first().accession == "P9WPY2"
+    assert flatfile.parse_entries(flatfile.read_records(spark, str(tmp_path / "c.dat"))).first().accession == "Q7ZZ01"
     one, two = flatfile.parse_entries(flatfile.read_records(spark, str(tmp_path / "a.dat"))).orderBy("ord").collect()
-    assert (one.accession, one.version, one.taxon_id, one.type, one.name) == ("P9WPY2", "44", 654924, "swissprot", "Putative transcription factor 001R")
-    assert (one.ec, one.go, one.ipr, one.proteomes) == ([], ["GO:0046782", "GO:0016743"], ["IPR007031", "IPR000308"], ["UP000008770"])
-    assert len(one.sequence) == 120 and one.sequence.startswith("MAFSAEDVLKEYDRR") and one.sequence.endswith("SDLD")
+    assert (one.accession, one.version, one.taxon_id, one.type, one.name) == ("Q7ZZ01", "17", 778899, "swissprot", "Invented xylose carrier")
+    assert (one.ec, one.go, one.ipr, one.proteomes) == ([], ["GO:0000111", "GO:0000222"], ["IPR000333", "IPR000444"], ["UP000012345"])
+    assert len(one.sequence) == 120 and one.sequence.startswith("MKWVTFISLLFLFSS") and one.sequence.endswith("KQEP")
     assert (two.accession, two.type) == ("Q2", "trembl")
 
 
 def described(spark, *lines: str):
-    text = RECORD.replace("DE   RecName: Full=Putative transcription factor 001R;\n", "".join(f"DE   {x}\n" for x in lines))
+    text = RECORD.replace("DE   RecName: Full=Invented xylose carrier;\n", "".join(f"DE   {x}\n" for x in lines))
     return flatfile.parse_entries(spark.createDataFrame([(text,)], "value string")).first()
 
 
@@ -67,7 +67,7 @@ def test_without_references(spark):
 
 
 def test_malformed(spark):
-    rows = [(RECORD,), ("x",), (RECORD.replace("UniProtKB/Swiss-Prot.", "Other."),), (RECORD.replace("654924", "abc"),), ("",)]
+    rows = [(RECORD,), ("x",), (RECORD.replace("UniProtKB/Swiss-Prot.", "Other."),), (RECORD.replace("778899", "abc"),), ("",)]
     df = spark.createDataFrame(rows, "value string")
     assert [r.error for r in flatfile.parse_entries(df, mode="PERMISSIVE").collect()] == [None, "no AC line", "unknown database", "no taxon", "no AC line"]
     with pytest.raises(Exception, match="malformed record"):
@@ -137,6 +137,6 @@ def test_stream(spark, tmp_path):
     for k in range(2):
         q = upsert_entries(read_entry_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"))
         q.awaitTermination(120)
-        (tmp_path / "in/b.dat").write_text(RECORD.replace("version 44", "version 45") + "\n//\n")
+        (tmp_path / "in/b.dat").write_text(RECORD.replace("version 17", "version 18") + "\n//\n")
     rows = current_entries(spark, str(tmp_path / "out")).collect()
-    assert [(r.accession, r.version) for r in rows] == [("P9WPY2", "45")]
+    assert [(r.accession, r.version) for r in rows] == [("Q7ZZ01", "18")]
