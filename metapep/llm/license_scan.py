@@ -1,7 +1,8 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A template is a set of words; a block (`block` consecutive words, every half block)
-meets it if it holds at least `threshold` of them.  Template words are ordered by
+A template is a set of words; a block meets it if it holds at least `threshold` of
+them.  Blocks are of `block` consecutive words at least, twice the template's length if
+that is more, and begin every half block, so any whole copy lies inside one.  Template words are ordered by
 their counts over all documents, rarest first.  A block that meets a template of m
 words, of which it needs r, holds one of the first m - r + 1 (prefix filter); it has r
 template words at all (length filter); and at the first shared word enough words must
@@ -39,14 +40,45 @@ TEMPLATES = (
     ("licensed under cc by sa 4 0", "cc-by-sa"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl"),
     ("all rights reserved no part of this publication may be reproduced", "all-rights-reserved"),
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+        "mit",
+    ),
+    (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+        "however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+        "bsd",
+    ),
+    (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+        "isc",
+    ),
+    (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+        "apache",
+    ),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details "
+        "you should have received a copy of the gnu general public license along with this program if not see http www gnu org licenses",
+        "gpl",
+    ),
 )
 THRESHOLD = 0.9
 BLOCK = 64
 
 
+def block_of(template: str, least: int = BLOCK) -> int:
+    """Words of the blocks that are held against a template: an even number."""
+    return max(least + least % 2, 2 * len(template.split()))
+
+
 class _Join:
     def __init__(self, templates, phrases, threshold: float, block: int):
-        self.block, self.labels = block, [label for _, label in templates]
+        self.labels = [label for _, label in templates]
+        self.blocks = [block_of(t, block) for t, _ in templates]
         self.sets = [sorted(set(t.split())) for t, _ in templates]
         self.need = [ceil(round(threshold * len(s), 9)) for s in self.sets]
         self.phrases = [(p.split(), label) for p, label in phrases]
@@ -65,20 +97,20 @@ class _Join:
         self.tokens = [sorted(at[w] for w in s) for s in self.sets]
         self.chains = [([at[w] for w in p], label) for p, label in self.phrases]
         self.spelling = {r: self.vocabulary[w].encode() for w, r in rank.items()}
-        self.prefix: dict[int, list[tuple[int, int]]] = {}
+        self.prefix: dict[int, dict[int, list[tuple[int, int]]]] = {}  # by token and block length: templates, and the token's place in them
         for t, (tokens, need) in enumerate(zip(self.tokens, self.need)):
             for i in range(len(tokens) - need + 1):
-                self.prefix.setdefault(tokens[i], []).append((t, i))
+                self.prefix.setdefault(tokens[i], {}).setdefault(self.blocks[t], []).append((t, i))
         self.is_prefix = np.zeros(len(self.vocabulary) + 1, bool)
         self.is_prefix[list(self.prefix)] = True
         self.sieve = W.Sieve(self.keys)
 
-    def blocks_at(self, place: int, n: int) -> list[int]:
-        """Starts of the blocks of a text of n words that hold the place."""
-        half = self.block // 2
-        last = max(0, (max(1, n - half) - 1) // half)
-        b = min(place // half, last)
-        return [x * half for x in (b - 1, b) if x >= 0 and x * half <= place < x * half + self.block]
+def blocks_at(place: int, n: int, block: int) -> list[int]:
+    """Starts of the blocks of a text of n words that hold the place."""
+    half = block // 2
+    last = max(0, (max(1, n - half) - 1) // half)
+    b = min(place // half, last)
+    return [x * half for x in (b - 1, b) if x >= 0 and x * half <= place < x * half + block]
 
 
 def _scan(batches: Iterator[pa.RecordBatch], join: _Join, keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -105,17 +137,18 @@ def _scan(batches: Iterator[pa.RecordBatch], join: _Join, keep: list[str]) -> It
             for s in at[join.is_prefix[ids[at]]]:
                 r = int(np.searchsorted(first, s, "right")) - 1
                 n, f = int(first[r + 1] - first[r]), int(first[r])
-                for begin in join.blocks_at(int(s) - f, n):
-                    last = min(begin + join.block, n)
-                    own = ids[f + begin : f + last]
-                    have = np.unique(own[own >= 0])
-                    j = int(np.searchsorted(have, ids[s]))
-                    for t, i in join.prefix[int(ids[s])]:
-                        m, need = len(join.tokens[t]), join.need[t]
-                        if (t, begin) in found.get(r, {}) or len(have) < need or min(m - i, len(have) - j) + min(i, j) < need:
-                            continue
-                        if (c := len(np.intersect1d(have, join.tokens[t]))) >= need:
-                            found.setdefault(r, {})[t, begin] = {"label": join.labels[t], "first": begin, "last": last - 1, "containment": c / m}
+                for block, templates in join.prefix[int(ids[s])].items():
+                    for begin in blocks_at(int(s) - f, n, block):
+                        last = min(begin + block, n)
+                        own = ids[f + begin : f + last]
+                        have = np.unique(own[own >= 0])
+                        j = int(np.searchsorted(have, ids[s]))
+                        for t, i in templates:
+                            m, need = len(join.tokens[t]), join.need[t]
+                            if (t, begin) in found.get(r, {}) or len(have) < need or min(m - i, len(have) - j) + min(i, j) < need:
+                                continue
+                            if (c := len(np.intersect1d(have, join.tokens[t]))) >= need:
+                                found.setdefault(r, {})[t, begin] = {"label": join.labels[t], "first": begin, "last": last - 1, "containment": c / m}
             base += [[{"label": x, "first": s} for s, x in sorted(places.get(r, []))] for r in range(b - a)]
             blocks += [[found[r][x] for x in sorted(found[r])] if r in found else [] for r in range(b - a)]
         yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(n_words, pa.int64()), pa.array(base, base_type), pa.array(blocks, block_type)], [*keep, "n_words", "base", "blocks"])
@@ -124,7 +157,7 @@ def _scan(batches: Iterator[pa.RecordBatch], join: _Join, keep: list[str]) -> It
 def license_scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """For each row of docs: its `keep` columns, n_words, base (places of the phrases) and blocks (those that meet a template, with containment).
 
-    Null and empty texts have no words and no findings; repeated rows each have their
+    Null and empty texts have no words and no findings; a very long text is scanned whole; repeated rows each have their
     own; no rows give no rows.  Other columns are left out, so their names can't clash.
     """
     if clash := {"n_words", "base", "blocks"} & set(keep):

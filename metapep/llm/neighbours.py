@@ -3,13 +3,16 @@
 Vectors of length one are turned by a random rotation, so that any leading columns of
 a difference estimate its whole length.  Rows are listed by their nearest centre (half the
 square root of all rows as centres, from a bounded sample); a query probes its nearest
-lists, as many as brute force within the sample shows to be needed.  In each, columns come in blocks: after every block a hypothesis test
-drops the candidates whose partial distance is too large for the present k-th best,
-allowing for the error of the estimate; what remains is scored exactly, in double
-precision, on the original vectors.
-
-Lists and the queries that probe them are cut in parts of about the mean size, so a
-list that holds a third of all rows is many tasks.
+lists, as many as brute force within the sample shows to be needed.  Rows of a list come
+in turn, some hundred at once, and their columns in blocks: after every block a
+hypothesis test drops the candidates whose partial distance is too large for the
+present k-th best, allowing for the error of the estimate; what remains is scored
+exactly, in double precision, on the original vectors, and lowers the k-th best for
+the rows that follow.  Queries that found fewer than k in their lists search them all.
+
+Lists and the queries that probe them are cut in parts of a fixed size, so what a task
+holds does not grow with the table, and a list that holds a third of all rows is many
+tasks.
 """
 
 from __future__ import annotations
@@ -22,18 +25,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 K = 5
 QUERY_EVERY = 50
 #: Part of the true neighbours, within the sample, that the probed lists must hold.
 COVERAGE = 0.97
 #: Most rows that centres are fitted on.
 SAMPLE_ROWS = 20_000
-MAX_LISTS = 4096
+#: Rows and queries of a part of a list.
+PART, ASK_PART = 2048, 256
 COLUMNS = 16
 #: Width of the test in standard deviations of the estimate, about.
 WIDTH = 2.1
-LEAST_PART = 256
-SEEDS = 48
+#: Rows that are looked at in turn; the first ones are scored without a test.
+SEEDS, TURN = 48, 512
 
 
 def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -104,23 +110,28 @@ def scan_part(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids:
     out = []
     for j in range(len(q)):
         other = np.flatnonzero(ids != query_ids[j])
-        seed, rest = other[:SEEDS], other[SEEDS:]
-        alive = seed
-        if len(rest) and len(seed) >= k:
-            far = np.partition(((x[seed] - q[j]) ** 2).sum(1), k - 1)[k - 1]
+        best, far = other[:0], np.inf
+        at = 0
+        while at < len(other):
+            rest = other[at : at + (SEEDS if at == 0 else TURN)]
+            at += len(rest)
             partial = np.zeros(len(rest))
             for a in range(0, d, COLUMNS):
                 b = min(d, a + COLUMNS)
                 partial += ((x[rest, a:b] - q[j, a:b]) ** 2).sum(1)
-                stay = partial * (d / b) <= far * (1 + WIDTH / sqrt(b)) ** 2 + 1e-12 if b < d else partial <= far + 1e-9
-                rest, partial = rest[stay], partial[stay]
-                if not len(rest):
-                    break
-            alive = np.r_[seed, rest]
-        else:
-            alive = other
-        score = (rows[alive] * queries[j]).sum(1) / (length[alive] * own_length[j])
-        out += [(int(query_ids[j]), int(ids[alive[i]]), float(score[i])) for i in np.lexsort((ids[alive], -score))[:k]]
+                if far < np.inf:
+                    stay = partial * (d / b) <= far * (1 + WIDTH / sqrt(b)) ** 2 + 1e-12 if b < d else partial <= far + 1e-9
+                    rest, partial = rest[stay], partial[stay]
+                    if not len(rest):
+                        break
+            if len(rest):
+                best = np.r_[best, rest]
+                score = (rows[best] * queries[j]).sum(1) / (length[best] * own_length[j])
+                best = best[np.lexsort((ids[best], -score))[:k]]
+                if len(best) == k:
+                    far = float(((x[best[-1]] - q[j]) ** 2).sum())
+        score = (rows[best] * queries[j]).sum(1) / (length[best] * own_length[j])
+        out += [(int(query_ids[j]), int(ids[i]), float(s)) for i, s in zip(best, score)]
     return out
 
 
@@ -145,32 +156,42 @@ def nearest(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, cove
     sample = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < max(1, int(rate * (1 << 20)))).toArrow() if n > 1 else rows.toArrow()
     sample = sample.slice(0, 2 * SAMPLE_ROWS)
     sample = sample if len(sample) else rows.limit(1).toArrow()
-    k_lists = max(1, min(MAX_LISTS, round(sqrt(n) / 2), len(sample)))
+    k_lists = max(1, min(round(sqrt(n) / 2), len(sample)))  # the sample bounds them
     known = _matrix(sample["v"])
     c = centres(known, k_lists)
     turn = rotation(d)
     kinds = "list int, vec_id long, v array<double>"
     probes = probes_for(known, c, k, coverage)
     listed = rows.mapInArrow(lambda it: _listed(it, c, 1), kinds)
-    asked = rows.filter(F.col("vec_id") % query_every == 0).mapInArrow(lambda it: _listed(it, c, probes), kinds)
-    sizes = {r.list: r.n for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    asks = {r.list: r.n for r in asked.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    part, ask_part = max(LEAST_PART, ceil(n / k_lists)), max(LEAST_PART, ceil(sum(asks.values()) / k_lists))
+    asking = rows.filter(F.col("vec_id") % query_every == 0)
+    sizes = {r.list: r.n for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # a row a list
+    own = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))
 
     def parts(counts: dict[int, int], size: int):
         return F.element_at(F.array(*[F.lit(max(1, ceil(counts.get(i, 0) / size))) for i in range(k_lists)]), F.col("list") + 1)
 
-    n_parts, n_asks = parts(sizes, part), parts(asks, ask_part)
-    own = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))
-    left = asked.select("list", F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("part"), (own % n_asks).cast("int").alias("ask"), "vec_id", "v")
-    right = listed.select("list", (own % n_parts).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), n_asks - 1)).alias("ask"), "vec_id", "v")
-
     def scan(queries: pa.Table, found: pa.Table) -> pa.Table:
         got = scan_part(_matrix(queries["v"]), queries["vec_id"].to_numpy(), _matrix(found["v"]), found["vec_id"].to_numpy(), turn, k) if len(queries) and len(found) else []
         return pa.table([pa.array([x[i] for x in got], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
 
-    keys = ("list", "part", "ask")
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scan, "query_id long, vec_id long, score double")
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))), 1, k)
-    top = near.groupBy("query_id").agg(best.alias("best"))
+    def searched(queries: DataFrame, lists: int) -> DataFrame:
+        """(query_id, best) of so many lists for each query."""
+        asked = queries.mapInArrow(lambda it: _listed(it, c, lists), kinds)
+        asks = {r.list: r.n for r in asked.groupBy("list").agg(F.count("*").alias("n")).collect()}
+        n_parts, n_asks = parts(sizes, PART), parts(asks, ASK_PART)
+        left = asked.select("list", F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("part"), (own % n_asks).cast("int").alias("ask"), "vec_id", "v")
+        near = listed.filter(F.col("list").isin(list(asks))) if len(asks) < k_lists else listed
+        right = near.select("list", (own % n_parts).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), n_asks - 1)).alias("ask"), "vec_id", "v")
+        keys = ("list", "part", "ask")
+        near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scan, "query_id long, vec_id long, score double")
+        best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))), 1, k)
+        return near.groupBy("query_id").agg(best.alias("best"))
+
+    top = cut(searched(asking, probes))
+    if probes < k_lists:
+        full = top.filter(F.size("best") == k).select(F.col("query_id").alias("vec_id"))
+        short = cut(asking.join(full, "vec_id", "left_anti"))
+        if not short.isEmpty():
+            again = searched(short, k_lists)
+            top = top.filter(F.size("best") == k).union(again)
     return top.select("query_id", F.posexplode("best").alias("r", "b")).select("query_id", (F.col("r") + 1).cast("int").alias("rank"), "b.vec_id", "b.score")

@@ -96,7 +96,7 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACE = r"[^\x20\x09-\x0D]+"
 
-_TEMPLATES = ", ".join(f"({k}, '{label}', {sorted(set(t.split()))})" for k, (t, label) in enumerate(license_scan.TEMPLATES))
+_TEMPLATES = ", ".join(f"({k}, '{label}', {sorted(set(t.split()))}, {license_scan.block_of(t)})" for k, (t, label) in enumerate(license_scan.TEMPLATES))
 _PHRASES = ", ".join(f"({p.split()}, '{label}')" for p, label in license_scan.PHRASES)
 
 ORACLES = {
@@ -131,12 +131,12 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM d WHERE doc_id IS NOT NULL UNION SELE
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) USING (doc_id)
 """,
     "op8_license_scan": rf"""
-WITH t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS t(k, label, tokens)),
+WITH t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS t(k, label, tokens, blk)),
 p AS (SELECT * FROM (VALUES {_PHRASES}) AS p(phrase, label)),
 d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}') AS w FROM documents),
 base AS (SELECT r, label, i - 1 AS first FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), p WHERE list_slice(w, i, i + len(phrase) - 1) = phrase),
-blocks AS (SELECT r, list_distinct(list_slice(w, i + 1, i + 64)) AS b FROM (SELECT r, w, unnest(range(0, greatest(1, len(w) - 32), 32)) AS i FROM d)),
-met AS (SELECT r, label, len(list_intersect(b, tokens)) / len(tokens) AS c FROM blocks, t WHERE list_has_any(b, tokens) AND len(list_intersect(b, tokens)) >= ceil(round({license_scan.THRESHOLD} * len(tokens), 9))),
+blocks AS (SELECT r, blk, list_distinct(list_slice(w, i + 1, i + blk)) AS b FROM (SELECT r, w, blk, unnest(range(0, greatest(1, len(w) - blk // 2), blk // 2)) AS i FROM d, (SELECT DISTINCT blk FROM t))),
+met AS (SELECT r, label, len(list_intersect(b, tokens)) / len(tokens) AS c FROM blocks JOIN t USING (blk) WHERE list_has_any(b, tokens) AND len(list_intersect(b, tokens)) >= ceil(round({license_scan.THRESHOLD} * len(tokens), 9))),
 bases AS (SELECT r, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY r),
 every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM base UNION SELECT r, label FROM met) GROUP BY r),
 best AS (SELECT r, max(c) AS c FROM met GROUP BY r)

@@ -169,6 +169,9 @@ def test_components(spark):
 def test_license_scan(spark, docs):
     rows, odd = docs
     more = [(1000, "x MIT\nLicense. Released under the MIT License"), (1001, "general public LICENSE, apache license mit license"), (1002, "Licensed under CC BY-NC 4.0."), (1003, "licensed under cc by"), (1004, "filler " * 40 + "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated files"), (1005, "apache"), (1006, "mit license" + " y" * 5000 + " mit license")]
+    bodies = [(t, label) for t, label in license_scan.TEMPLATES if len(set(t.split())) > 71]
+    assert len(bodies) >= 2
+    more += [(1100 + k, "filler " * (37 * k + 50) + t.replace(" the ", " The, ", 3).replace(" software ", " program ", 2) + " more" * 90) for k, (t, _) in enumerate(bodies)]
     df = spark.createDataFrame(rows + more, "doc_id long, text string").withColumn("base", F.lit(1))
     got = {}
     for r in license_scan.license_scan(df, keep=("doc_id", "text")).collect():
@@ -177,10 +180,14 @@ def test_license_scan(spark, docs):
         base = sorted((i, label) for p, label in license_scan.PHRASES for i in range(len(w)) if w[i : i + len(p.split())] == p.split())
         assert [(x.first, x.label) for x in r.base] == base
         met = set()
-        for i in range(0, max(1, len(w) - 32), 32):
-            have = set(w[i : i + 64])
-            met |= {(i, label, len(have & set(t.split())) / len(set(t.split()))) for t, label in license_scan.TEMPLATES if len(have & set(t.split())) >= 0.9 * len(set(t.split())) - 1e-9}
+        for t, label in license_scan.TEMPLATES:
+            size, words = max(64, 2 * len(t.split())), set(t.split())
+            for i in range(0, max(1, len(w) - size // 2), size // 2):
+                have = set(w[i : i + size])
+                if len(have & words) >= 0.9 * len(words) - 1e-9:
+                    met.add((i, label, len(have & words) / len(words)))
         assert {(x.first, x.label, x.containment) for x in r.blocks} == met
         got[r.doc_id] = {x.label for x in r.blocks}
     assert got[1000] == {"mit"} and got[1002] == {"cc-by-nc", "cc-by"} and got[1003] == set() and got[1004] == {"mit"} and not got[1005]
+    assert all(label in got[1100 + k] for k, (_, label) in enumerate(bodies))
     assert license_scan.license_scan(odd.limit(0)).count() == 0
