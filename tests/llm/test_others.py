@@ -88,37 +88,60 @@ def test_pseudo_likelihood(spark):
     assert got[900] == got[901] == got[902] == [(0, 0.0, None)] and got[903][0][0] == 1 and got[904][0][0] == 30_000 and len(got[0]) == 2
     vocabulary, model = fitted
     first = rows[5][1]
-    raw = np.frombuffer(first.encode(), np.uint8)
-    starts, ends, at = W.spans(raw, np.array([0, len(raw)]), "alnum")
-    ids = vocabulary.ids(W.hashes(raw, starts, ends, True))
-    tables, bias, cw, cb, shift, pw, pb = (p.astype(float) for p in model)
+    ids = vocabulary.ids(word_hashes(first))
+    p = {name: pseudo_likelihood.part(model, name).astype(float) for name in pseudo_likelihood._PARTS}
     soft = lambda x: x - np.log(np.exp(x).sum())
     total = 0.0
-    for i, t in enumerate(ids):
-        x = bias + sum(tables[k][ids[i + d] if 0 <= i + d < len(ids) else pseudo_likelihood.PAD] for k, d in enumerate(pseudo_likelihood.SIDES))
+    for i, t in enumerate(map(int, ids)):
+        x = p["bias"][0] + sum(p["scale"][k] * p["table"][ids[i + d] if 0 <= i + d < len(ids) else pseudo_likelihood.PAD] for k, d in enumerate(pseudo_likelihood.SIDES))
         h = np.tanh(x)
-        c, p = divmod(int(t), pseudo_likelihood.SLOTS)
-        total += soft(h @ cw + cb)[c] + soft((h + shift[c]) @ pw + pb[c])[p]
+        c, g = t // 1024, t // 32
+        total += soft(h @ p["w1"] + p["b1"][0])[c] + soft((h + p["s2"][c]) @ p["w2"] + p["b2"][c])[g % 32] + soft((h + p["s3"][g]) @ p["w3"] + p["b3"][g])[t % 32]
     assert got[5][0][1] == pytest.approx(total, rel=1e-3)
     mixed_up = frame(spark, [(1, " ".join(rng.permutation(first.split())))])
     assert pseudo_likelihood.score(mixed_up, fitted).first().log_likelihood < total
     assert pseudo_likelihood.score(df.limit(0), pseudo_likelihood.fit(df.limit(0))).count() == 0
 
 
+def word_hashes(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    starts, ends, _ = W.spans(raw, np.array([0, len(raw)]), "alnum")
+    return W.hashes(raw, starts, ends, True)
+
+
 def test_gradient_is_that_of_the_score():
     rng = np.random.default_rng(2)
-    model = [(p + rng.standard_normal(p.shape) * 0.1).astype(np.float64) for p in pseudo_likelihood.initial()]
-    ids = rng.integers(0, pseudo_likelihood.PAD, 20)
-    around = pseudo_likelihood._around(ids, np.array([0, 12, 20]))
-    grads = pseudo_likelihood.gradient(model, around, ids)
-    for k, p in enumerate(model):
-        at = tuple(int(x) for x in (np.argwhere(grads[k] != 0)[0] if grads[k].any() else [0] * p.ndim))
-        value = []
-        for e in (1e-5, -1e-5):
-            other = [x.copy() for x in model]
-            other[k][at] += e
-            value.append(pseudo_likelihood._forward(other, around, ids)[0].mean())
-        assert (value[0] - value[1]) / 2e-5 == pytest.approx(grads[k][at], rel=1e-2, abs=1e-6)
+    m = pseudo_likelihood
+    model = m.initial().astype(np.float64) + rng.standard_normal((m.ROWS, m.WIDTH)) * 0.1
+    ids = rng.integers(0, m.PAD, 20)
+    around = m._around(ids, np.array([0, 12, 20]))
+    rows, values = m.gradient(model, around, ids)
+    assert len(np.unique(rows)) == len(rows)
+    for name in m._PARTS:
+        own = np.flatnonzero((rows >= m._AT[name]) & (rows < m._AT[name] + m._PARTS[name]))
+        for k in rng.choice(own, min(3, len(own)), replace=False):
+            value = []
+            for e in (1e-5, -1e-5):
+                other = model.copy()
+                other[rows[k], 7] += e
+                value.append(m._forward(other, around, ids)[0].mean())
+            assert (value[0] - value[1]) / 2e-5 == pytest.approx(values[k, 7], rel=1e-2, abs=1e-7)
+
+
+def test_held_out_texts_are_likelier_than_by_frequency(spark):
+    """Against a smoothed unigram model, on rows that taught nothing; and the partitions of the input hardly matter."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"]).orderBy("doc_id").cache()
+    taught, held = docs.filter("doc_id % 5 <> 0"), docs.filter("doc_id % 5 = 0")
+    fits = [pseudo_likelihood.fit(taught.repartition(n, "doc_id")) for n in (2, 6)]
+    scored = [sorted(map(tuple, pseudo_likelihood.score(held, f).collect())) for f in fits]
+    tokens = sum(r[1] for r in scored[0])
+    counts = Counter(w for r in taught.collect() for w in word_hashes(r.text or " ").tolist())
+    n, kinds = sum(counts.values()), len(counts)
+    plain = sum(np.log((counts.get(w, 0) + 0.1) / (n + 0.1 * (kinds + 1))) for r in held.collect() for w in word_hashes(r.text or " ").tolist())
+    one, two = (sum(r[2] for r in s) for s in scored)
+    print(one / tokens, two / tokens, plain / tokens)
+    assert one > plain and two > plain
+    assert abs(one - two) < 0.1 * tokens and sum(abs(a[2] - b[2]) for a, b in zip(*scored)) < 0.1 * tokens
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head><body class="has-sidebar"><header><h1>Site</h1></header>
