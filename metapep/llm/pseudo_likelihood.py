@@ -34,11 +34,12 @@ SIZE = WIDTH**3
 TOP = 28_672
 PAD = SIZE
 SIDES = (-2, -1, 1, 2)
-BATCH = 8192
+#: Tokens of a step of training, and of a call of scoring.
+BATCH, SCORED = 2048, 2048
 RATE = 0.1
 PASSES = 1
-_SCALE = 1 << 20
-_CHUNK = 1024
+_SCALE = 1 << 16
+_CHUNK = 256
 #: Rows of the model: embeddings, scales, bias, and the weights, shifts and biases of the levels.
 _PARTS = {"table": SIZE + 1, "scale": len(SIDES), "bias": 1, "w1": WIDTH, "b1": 1, "s2": WIDTH, "w2": WIDTH, "b2": WIDTH, "s3": WIDTH**2, "w3": WIDTH, "b3": WIDTH**2}
 _AT = dict(zip(_PARTS, np.cumsum([0, *_PARTS.values()]).tolist()))
@@ -64,9 +65,15 @@ def initial(counts: np.ndarray | None = None) -> np.ndarray:
     return model
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    return x - np.log(np.exp(x) @ np.ones((x.shape[1], 1), x.dtype))
+def _softmax(x: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities of the places and all probabilities; takes x over."""
+    np.clip(x, -60, 60, out=x)  # exp() can't overflow then
+    own = x[row, place]
+    e = np.exp(x, out=x)
+    total = e @ np.ones((e.shape[1], 1), e.dtype)
+    own -= np.log(total[:, 0])
+    e /= total
+    return own, e
 
 
 def _forward(model: np.ndarray, around: np.ndarray, ids: np.ndarray):
@@ -80,9 +87,9 @@ def _forward(model: np.ndarray, around: np.ndarray, ids: np.ndarray):
     places = (top, mid % WIDTH, ids % WIDTH)
     ins = (h, h + part(model, "s2")[top], h + part(model, "s3")[mid])
     outs = (part(model, "b1"), part(model, "b2")[top], part(model, "b3")[mid])
-    logs = [_log_softmax(g @ part(model, f"w{k}") + b) for k, (g, b) in enumerate(zip(ins, outs), 1)]
     row = np.arange(len(ids))
-    return sum(x[row, p] for x, p in zip(logs, places)), (ins, logs, places, top, mid, row)
+    own, chances = zip(*[_softmax(g @ part(model, f"w{k}") + b, row, p) for k, (g, b, p) in enumerate(zip(ins, outs, places), 1)])
+    return own[0] + own[1] + own[2], (ins, chances, places, top, mid, row)
 
 
 def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,11 +102,11 @@ def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def gradient(model: np.ndarray, around: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the mean log-probability: the rows that it touches, and its values there."""
-    _, (ins, logs, places, top, mid, row) = _forward(model, around, ids)
+    _, (ins, chances, places, top, mid, row) = _forward(model, around, ids)
     found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     dh = None
-    for k, (g, x, p, of) in enumerate(zip(ins, logs, places, (None, top, mid)), 1):
-        d = -np.exp(x)
+    for k, (g, d, p, of) in enumerate(zip(ins, chances, places, (None, top, mid)), 1):
+        np.negative(d, out=d)
         d[row, p] += 1
         d /= len(ids)
         found[f"w{k}"] = np.arange(WIDTH), g.T @ d
@@ -209,14 +216,14 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
         for chunk, row, weight, value in zip(*(batch[c].to_pylist() for c in ("chunk", "row", "weight", "value"))):
-            sums, weights = total.setdefault(chunk, (np.zeros((_CHUNK, WIDTH), object), np.zeros(_CHUNK, object)))
+            sums, weights = total.setdefault(chunk, (np.zeros((_CHUNK, WIDTH), np.int64), np.zeros(_CHUNK, np.int64)))
             at, w = np.frombuffer(row, np.int32) - chunk * _CHUNK, np.frombuffer(weight, np.int64)
             v = np.rint(np.frombuffer(value, np.float32).reshape(-1, WIDTH).astype(np.float64) * _SCALE).astype(np.int64)
-            sums[at] += v.astype(object) * w.astype(object)[:, None]
-            weights[at] += w.astype(object)
+            sums[at] += v * w[:, None]  # 10^13 tokens stay below 2^63
+            weights[at] += w
     for chunk, (sums, weights) in total.items():
         at = np.flatnonzero(weights != 0)
-        mean = (sums[at] / weights[at][:, None]).astype(np.float64) / _SCALE
+        mean = sums[at] / weights[at][:, None] / _SCALE
         yield pa.RecordBatch.from_arrays([pa.array([(chunk * _CHUNK + at).astype(np.int32).tobytes()]), pa.array([mean.astype(np.float32).tobytes()])], ["row", "value"])
 
 
@@ -249,7 +256,7 @@ def fit(docs: DataFrame, passes: int = PASSES) -> tuple[Vocabulary, np.ndarray]:
 
 def token_scores(vocabulary: Vocabulary, model: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     around = _around(ids, first)
-    parts = [_forward(model, around[:, a : a + BATCH], ids[a : a + BATCH])[0].astype(np.float64) for a in range(0, len(ids), BATCH)]
+    parts = [_forward(model, around[:, a : a + SCORED], ids[a : a + SCORED])[0].astype(np.float64) for a in range(0, len(ids), SCORED)]
     return np.concatenate([np.zeros(0), *parts]) + vocabulary.share[ids]
 
 
