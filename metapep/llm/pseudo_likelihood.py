@@ -28,10 +28,10 @@ from . import words as W
 from .common import bounded_batches, cut, partitions
 
 #: Branches of each of the three levels, and hidden units: all parameters are rows of this width.
-WIDTH = 32
+WIDTH = 24
 SIZE = WIDTH**3
 #: Words that have an id of their own; all others share the other ids.
-TOP = 28_672
+TOP = 12_288
 PAD = SIZE
 SIDES = (-2, -1, 1, 2)
 #: Tokens of a step of training, and of a call of scoring.
@@ -80,8 +80,9 @@ def _forward(model: np.ndarray, around: np.ndarray, ids: np.ndarray):
     """around: ids by side (sides x tokens); log-probabilities of the tokens and what the gradient needs."""
     table, scale = part(model, "table"), part(model, "scale")
     x = np.repeat(part(model, "bias"), len(ids), 0)
-    for k in range(len(SIDES)):
-        x += table[around[k]] * scale[k]
+    near = [table[a] for a in around]
+    for e, c in zip(near, scale):
+        x += e * c
     h = np.tanh(x, out=x)
     top, mid = ids // WIDTH**2, ids // WIDTH
     places = (top, mid % WIDTH, ids % WIDTH)
@@ -89,7 +90,7 @@ def _forward(model: np.ndarray, around: np.ndarray, ids: np.ndarray):
     outs = (part(model, "b1"), part(model, "b2")[top], part(model, "b3")[mid])
     row = np.arange(len(ids))
     own, chances = zip(*[_softmax(g @ part(model, f"w{k}") + b, row, p) for k, (g, b, p) in enumerate(zip(ins, outs, places), 1)])
-    return own[0] + own[1] + own[2], (ins, chances, places, top, mid, row)
+    return own[0] + own[1] + own[2], (near, ins, chances, places, top, mid, row)
 
 
 def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +103,7 @@ def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def gradient(model: np.ndarray, around: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the mean log-probability: the rows that it touches, and its values there."""
-    _, (ins, chances, places, top, mid, row) = _forward(model, around, ids)
+    _, (near, ins, chances, places, top, mid, row) = _forward(model, around, ids)
     found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     dh = None
     for k, (g, d, p, of) in enumerate(zip(ins, chances, places, (None, top, mid)), 1):
@@ -117,10 +118,10 @@ def gradient(model: np.ndarray, around: np.ndarray, ids: np.ndarray) -> tuple[np
             found[f"s{k}"] = _by_key(of, dg)
     h = ins[0]
     dx = dh * (1 - h * h)
-    table, scale = part(model, "table"), part(model, "scale")
+    scale = part(model, "scale")
     found["bias"] = np.zeros(1, np.int64), dx.sum(0, keepdims=True)
-    found["scale"] = np.arange(len(SIDES)), np.stack([(table[around[k]] * dx).sum(0) for k in range(len(SIDES))])
-    found["table"] = _by_key(around.ravel(), np.concatenate([dx * scale[k] for k in range(len(SIDES))]))
+    found["scale"] = np.arange(len(SIDES)), np.stack([np.einsum("ij,ij->j", e, dx) for e in near])
+    found["table"] = _by_key(around.ravel(), (scale[:, None] * dx).reshape(-1, WIDTH))
     return np.concatenate([found[n][0] + _AT[n] for n in found]), np.concatenate([found[n][1] for n in found])
 
 

@@ -95,8 +95,9 @@ def test_pseudo_likelihood(spark):
     for i, t in enumerate(map(int, ids)):
         x = p["bias"][0] + sum(p["scale"][k] * p["table"][ids[i + d] if 0 <= i + d < len(ids) else pseudo_likelihood.PAD] for k, d in enumerate(pseudo_likelihood.SIDES))
         h = np.tanh(x)
-        c, g = t // 1024, t // 32
-        total += soft(h @ p["w1"] + p["b1"][0])[c] + soft((h + p["s2"][c]) @ p["w2"] + p["b2"][c])[g % 32] + soft((h + p["s3"][g]) @ p["w3"] + p["b3"][g])[t % 32]
+        n = pseudo_likelihood.WIDTH
+        c, g = t // n**2, t // n
+        total += soft(h @ p["w1"] + p["b1"][0])[c] + soft((h + p["s2"][c]) @ p["w2"] + p["b2"][c])[g % n] + soft((h + p["s3"][g]) @ p["w3"] + p["b3"][g])[t % n]
     assert got[5][0][1] == pytest.approx(total, rel=1e-3)
     mixed_up = frame(spark, [(1, " ".join(rng.permutation(first.split())))])
     assert pseudo_likelihood.score(mixed_up, fitted).first().log_likelihood < total
