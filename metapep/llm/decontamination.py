@@ -7,9 +7,11 @@ over all documents.  Documents are joined on that shingle; its place must leave
 for the whole window inside the document (positional and length bounds); then the
 words themselves are compared.
 
-The benchmark goes to the executors in blocks of at most `block` (window, item)
-pairs.  One block is the usual case and needs no shuffle at all; more blocks are one
-scan of the documents each, merged by document.
+A benchmark of at most `block` (window, item) pairs goes to the executors, and no
+document is shuffled.  A larger one stays a table: its shingles are counted in one scan
+of the documents, and in another the occurrences of each window's rarest shingle, with
+the words around them, are shuffled to the windows that it stands for.  What is sent
+then is a Bloom filter of bounded size, which only saves shuffling; the join decides.
 """
 
 from __future__ import annotations
@@ -18,16 +20,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import join_checked, stored
 from . import words as W
 from .common import bounded_batches
 
 WINDOW = 10
 SHINGLE = 3
-#: (window, item) pairs sent at once, about 50 MB.
+#: Most (window, item) pairs that are sent to the executors, and most bytes of them; about 50 MB as an index.
 BLOCK = 200_000
+BLOCK_BYTES = 32 << 20
+#: Most bits of a filter, 32 MB.
+FILTER_BITS = 1 << 28
 _FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<first:int,last:int>>"
 
 
@@ -119,32 +125,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     count once by id.  Without items nothing is hit; without documents there is no
     row.  Other columns of docs are left out, so their names can't clash.
     """
-    if clash := {"n_words", "n_hit", "items", "spans"} & set(keep):
+    if clash := {"n_words", "n_hit", "items", "spans", "_digest", "_h", "_maybe"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
     bounded_batches(docs)
     windows = item_windows(benchmark, window)
-    n = windows.count()
-    blocks = max(1, -(-n // block))
-    if blocks == 1:
+    n, size = windows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words") + F.octet_length("item")), F.lit(0))).first()
+    if n <= block and size <= BLOCK_BYTES:
         return _with_block(docs, windows.collect(), keep, shingle)
-    row = F.struct(*[docs[c].alias(c) for c in keep], F.xxhash64("text").alias("_h"), F.length("text").alias("_n"))
-    keyed = docs.select(row.alias("row"), "text")
-    windows = windows.persist()
-    parts = [_with_block(keyed, windows.filter(F.pmod(F.xxhash64("words", "item"), F.lit(blocks)) == k).collect(), ("row",), shingle) for k in range(blocks)]
-    windows.unpersist()
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    places = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"])))
-    hit = every.filter("n_hit > 0").select("row", "items", places.alias("places")).distinct()
-    merged = hit.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
-    # a run begins where the place before is no hit
-    firsts = F.filter("places", lambda p: ~F.array_contains("places", p - 1))
-    lasts = F.filter("places", lambda p: ~F.array_contains("places", p + 1))
-    merged = merged.select(F.col("row").alias("_row"), F.size("places").cast("long").alias("n_hit"), "items", F.arrays_zip(firsts.alias("first"), lasts.alias("last")).alias("spans"))
-    out = parts[0].select("row", "n_words").join(merged, F.col("row").eqNullSafe(F.col("_row")), "left")
-    none = F.from_json(F.lit("[]"), "array<string>")
-    return out.select(*[F.col("row")[c].alias(c) for c in keep], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"), F.coalesce("spans", F.from_json(F.lit("[]"), "array<struct<first:int,last:int>>")).alias("spans"))
+    return _by_shuffle(docs, stored(windows, "windows"), keep, window, shingle)
 
 
 def _with_block(docs: DataFrame, pairs: list, keep: tuple[str, ...], shingle: int) -> DataFrame:
@@ -156,3 +144,127 @@ def _with_block(docs: DataFrame, pairs: list, keep: tuple[str, ...], shingle: in
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", " + _FOUND
     names = list(keep)
     return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(lambda it: _find(it, sent.value, names), schema)
+
+
+class _Filter:
+    """A Bloom filter of 64-bit hashes: three bits a hash, from its low, middle and high part."""
+
+    SHIFTS = (0, 17, 34)
+
+    def __init__(self, hashes: DataFrame, column: str):
+        self.bits = 1 << max(15, min(FILTER_BITS.bit_length() - 1, (32 * hashes.count()).bit_length()))
+        places = F.array(*[F.shiftrightunsigned(column, k).bitwiseAND(F.lit(self.bits - 1)) + 1 for k in self.SHIFTS])
+        pages = hashes.select(F.explode(places).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+        self.data = np.zeros(self.bits >> 3, np.uint8)
+        for r in pages.toLocalIterator():
+            self.data[(r.page - 1) * len(r.bits) : r.page * len(r.bits)] = np.frombuffer(bytes(r.bits), np.uint8)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Places of h that may be members; all that are."""
+        at = np.arange(len(h))
+        for k in self.SHIFTS:
+            p = (h[at] >> np.uint64(k)) & np.uint64(self.bits - 1)
+            at = at[(self.data[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        return at
+
+
+def _window_shingles(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """The shingles of each window: words, len, n, h, offset."""
+    for batch in batches:
+        for a, b, raw, off in W.runs(batch["words"]):
+            starts, ends, first = W.spans(raw, off, "alnum")
+            h = W.hashes(raw, starts, ends, True)
+            length = np.diff(first)
+            for n in np.unique(np.minimum(length, shingle)):
+                rows = np.flatnonzero(np.minimum(length, shingle) == n)
+                many = length[rows] - n + 1
+                row = np.repeat(rows, many)
+                offset = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                g = W.grams(h, int(n))[first[row] + offset]
+                columns = [batch["words"].slice(a, b - a).take(pa.array(row)), pa.array(length[row].astype(np.int32)), pa.array(np.full(len(row), n, np.int32)), pa.array(g.view(np.int64)), pa.array(offset.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["words", "len", "n", "h", "offset"])
+
+
+def _count_members(batches: Iterator[pa.RecordBatch], members: _Filter, lengths: list[int]) -> Iterator[pa.RecordBatch]:
+    """Counts of the shingles that pass the filter, merged by runs of texts: n, h, c."""
+    for batch in batches:
+        for _, _, raw, off in W.runs(batch["text"]):
+            starts, ends, first = W.spans(raw, off, "alnum")
+            words = W.hashes(raw, starts, ends, True)
+            for n in lengths:
+                g = W.grams(words, n)
+                at = members.find(g)
+                h, c = np.unique(g[at[at + n <= first[np.searchsorted(first, at, "right")]]], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), n, np.int32)), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["n", "h", "c"])
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch], members: _Filter, lengths: list[int], window: int, chunk: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Places of the shingles that pass the filter, with the words that a window around them can hold: digest, n, h, place, at (in these words), near."""
+    for batch in batches:
+        for a, _, raw, off in W.runs(batch["text"]):
+            starts, ends, first = W.spans(raw, off, "alnum")
+            words, low = W.hashes(raw, starts, ends, True), W.fold_bytes(raw)
+            for n in lengths:
+                g = W.grams(words, n)
+                found = members.find(g)
+                rows = np.searchsorted(first, found, "right") - 1
+                whole = found + n <= first[rows + 1]
+                found, rows = found[whole], rows[whole]
+                for i in range(0, len(found), chunk):
+                    at, row = found[i : i + chunk], rows[i : i + chunk]
+                    begin, end = np.maximum(first[row], at - window + n), np.minimum(first[row + 1], at + window)
+                    near = [b" ".join(low[starts[k] : ends[k]].tobytes() for k in range(p, q)).decode() for p, q in zip(begin, end)]
+                    columns = [batch["_digest"].take(pa.array(a + row)), pa.array(np.full(len(at), n, np.int32)), pa.array(g[at].view(np.int64))]
+                    columns += [pa.array((at - first[row]).astype(np.int32)), pa.array((at - begin).astype(np.int32)), pa.array(near, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, ["digest", "n", "h", "place", "at", "near"])
+
+
+def _count_words(batches: Iterator[pa.RecordBatch], members: _Filter, keep: list[str]) -> Iterator[pa.RecordBatch]:
+    """The kept columns, the digest, n_words, and whether the filter of digests lets the text pass."""
+    for batch in batches:
+        n_words = [np.diff(W.spans(raw, off, "alnum")[2]) for _, _, raw, off in W.runs(batch["text"])]
+        maybe = np.zeros(batch.num_rows, bool)
+        maybe[members.find(batch["_h"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))] = True
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), batch["_digest"], pa.array(np.concatenate(n_words or [np.zeros(0, np.int64)]), pa.int64()), pa.array(maybe)], [*keep, "_digest", "n_words", "_maybe"])
+
+
+def _by_shuffle(docs: DataFrame, windows: DataFrame, keep: tuple[str, ...], window: int, shingle: int) -> DataFrame:
+    """decontaminate() of a benchmark of any size; windows is a table.
+
+    A text is known by its SHA-256, so copies are one text from the shuffle on.  Only
+    texts that may have a hit are joined with what was found; the others are passed on.
+    """
+    spark = docs.sparkSession
+    send = spark.sparkContext.broadcast
+    grams = stored(windows.select("words").distinct().mapInArrow(lambda it: _window_shingles(it, shingle), "words string, len int, n int, h long, offset int"), "shingles")
+    lengths = sorted(r.n for r in grams.select("n").distinct().collect())
+    every = send(_Filter(grams.select("h").distinct(), "h"))
+    counts = docs.select("text").mapInArrow(lambda it: _count_members(it, every.value, lengths), "n int, h long, c long").groupBy("n", "h").agg(F.sum("c").alias("c"))
+    order = F.struct(F.coalesce("c", F.lit(0)).alias("c"), "h", "offset", "n", "len")
+    rare = stored(grams.join(counts, ["n", "h"], "left").groupBy("words").agg(F.min(order).alias("r")).select("words", "r.n", "r.h", "r.offset", "r.len"), "rare")
+    some = send(_Filter(rare.select("h").distinct(), "h"))
+    digest = F.unhex(F.sha2("text", 256)).alias("_digest")
+    seen = docs.filter("text is not null").select("text", digest).mapInArrow(lambda it: _occurrences(it, some.value, lengths, window), "digest binary, n int, h long, place int, at int, near string").distinct()
+    start = F.col("at") - F.col("offset")
+    near = F.split("near", " ")
+    fits = (start >= 0) & (start + F.col("len") <= F.size(near))
+    same = F.array_join(F.slice(near, F.greatest(start, F.lit(0)) + 1, F.col("len")), " ") == F.col("words")
+    hits = stored(seen.join(rare, ["n", "h"]).filter(fits & same).select("digest", (F.col("place") - F.col("offset")).alias("first"), (F.col("place") - F.col("offset") + F.col("len") - 1).alias("last"), "words"), "hits")
+    # runs of hit words: a run begins where no window before reaches
+    by = Window.partitionBy("digest").orderBy("first", "last")
+    fresh = F.coalesce(F.col("first") > F.max("last").over(by.rowsBetween(Window.unboundedPreceding, -1)) + 1, F.lit(True))
+    runs = hits.select("digest", "first", "last").distinct().withColumn("_new", fresh.cast("int")).withColumn("_run", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("digest", "_run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    spans = runs.groupBy("digest").agg(F.sum(F.col("last") - F.col("first") + 1).cast("long").alias("n_hit"), F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
+    items = hits.select("digest", "words").distinct().join(windows, "words").groupBy("digest").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    found = stored(spans.join(items, "digest"), "found").withColumnRenamed("digest", "_digest")
+    members = send(_Filter(found.select(F.xxhash64("_digest").alias("h")), "h"))
+    names = list(keep)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", _digest binary, n_words long, _maybe boolean"
+    own = docs.select(*keep, *([] if "text" in keep else ["text"]), digest).withColumn("_h", F.xxhash64("_digest"))
+    own = own.mapInArrow(lambda it: _count_words(it, members.value, names), schema)
+    nothing = [F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"), F.array().cast("array<struct<first:int,last:int>>").alias("spans")]
+    touched = join_checked(own.filter("_maybe"), found, "_digest", "left")
+    kept = [F.col(f"`{c}`") for c in keep]
+    hit = touched.select(*kept, "n_words", *[F.coalesce(c, x).alias(c) for c, x in zip(("n_hit", "items", "spans"), nothing)])
+    return own.filter("not _maybe").select(*kept, "n_words", *nothing).unionByName(hit)

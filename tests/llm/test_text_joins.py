@@ -38,15 +38,20 @@ def docs(spark):
     return rows, df.repartition(5).cache()
 
 
-def test_decontamination(spark, docs):
+def test_decontamination(spark, docs, monkeypatch):
     rows, df = docs
     items = [(i, " ".join(rows[i][1].split()[2:30])) for i in range(0, 12)] + [(50, "alpha7"), (51, "the of"), (52, None), (53, ""), (None, rows[1][1]), (54, "ONE"), (0, rows[0][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = sorted(plain_decontaminate(rows, items), key=repr)
-    for block in (1000, 40):
-        got = decontaminate(df, bench, block=block)
-        assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got.collect()), key=repr) == want
-        assert all(sum(s["last"] - s["first"] + 1 for s in r.spans) == r.n_hit for r in got.collect())
+    spans = []
+    for block, bits in ((1000, 1 << 28), (40, 1 << 28), (40, 1 << 15)):  # sent whole; by shuffle; with a filter that lets more pass
+        monkeypatch.setattr("metapep.llm.decontamination.FILTER_BITS", bits)
+        got = decontaminate(df, bench, keep=("doc_id", "text"), block=block).collect()
+        assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got), key=repr) == want
+        assert all(sum(s["last"] - s["first"] + 1 for s in r.spans) == r.n_hit for r in got)
+        spans.append(sorted(((r.doc_id, r.text, r.spans) for r in got), key=repr))
+    assert spans[0] == spans[1] == spans[2]
+    assert decontaminate(df.limit(0), bench, block=40).count() == 0
     assert decontaminate(df, bench.limit(0)).filter("n_hit > 0").count() == 0
     assert decontaminate(df.limit(0), bench).count() == 0
     with pytest.raises(ValueError):
