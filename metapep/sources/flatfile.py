@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metadata_cut
+from ..storage import cut, join_checked
 
 _COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".deflate", ".snappy")
 # Database names in the first date line.
@@ -31,29 +32,44 @@ def _ends(spark: SparkSession, path: str) -> dict[str, bytes]:
             stream = fs.open(f.getPath())
             try:
                 stream.seek(max(0, f.getLen() - 4))
-                out[f.getPath().toString()] = bytes(b & 0xFF for b in iter(stream.read, -1))
+                out[f.getPath().toUri().toString()] = bytes(b & 0xFF for b in iter(stream.read, -1))
             finally:
                 stream.close()
     return out
 
 
+def _file() -> Column:
+    """The file of a row, its path written in one way."""
+    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+
+
+def _open_files(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """(file): those whose last record has no end.
+
+    Of plain files four bytes each are read; compressed ones are read once more, by lines
+    and in their tasks, and the last line of each is looked at.
+    """
+    plain = [f for f, end in _ends(spark, path).items() if not (end.endswith(sep.encode()[-4:]) or end.rstrip(b"\r\n").endswith(b"\n//"))]
+    plain = spark.createDataFrame([("file:/" + f[5:].lstrip("/") if f.startswith("file:") else f,) for f in plain], "file string")
+    lines = spark.read.option("lineSep", "\n").text(path).filter(F.col("_metadata.file_path").rlike("|".join(rf"\{x}$" for x in _COMPRESSED)))
+    last = lines.select(_file().alias("file"), "value", F.monotonically_increasing_id().alias("at")).groupBy("file").agg(F.max_by("value", "at").alias("value"))
+    return cut(plain.union(last.filter(F.regexp_replace("value", "\r$", "") != "//").select("file")))
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """(value, ord): one row a record, in file order.
 
     The separator is a line of exactly two slashes; lines may end in CR LF.  What
-    follows the last separator of a plain file is no record and is dropped; compressed
-    files, which do not split, are taken to end with a separator.
+    follows the last separator of a file, compressed or not, is no record and is dropped.
     """
     first = spark.read.option("lineSep", "\n").text(path).limit(1).collect()
     crlf = bool(first) and first[0].value.endswith("\r")
     sep = "\r\n//\r\n" if crlf else "\n//\n"
-    rows = spark.read.option("lineSep", sep).text(path).select("value", F.monotonically_increasing_id().alias("ord"), F.col("_metadata.file_path").alias("file"))
-    open_ended = [f for f, end in _ends(spark, path).items() if not (end.endswith(sep.encode()[-4:]) or end.rstrip(b"\r\n").endswith(b"\n//"))]
-    if open_ended:
-        rows = rows.withColumn("key", F.regexp_replace("file", "^file:/+", "file:/"))
-        keys = [f if not f.startswith("file:") else "file:/" + f[5:].lstrip("/") for f in open_ended]
-        last = rows.filter(F.col("key").isin(keys)).groupBy("key").agg(F.max("ord").alias("ord"))
-        rows = rows.join(F.broadcast(last), ["key", "ord"], "left_anti")
+    rows = spark.read.option("lineSep", sep).text(path).select("value", F.monotonically_increasing_id().alias("ord"), _file().alias("file"))
+    open_ = _open_files(spark, path, sep)
+    if not open_.isEmpty():
+        last = join_checked(rows, open_, "file", "left_semi").groupBy("file").agg(F.max("ord").alias("ord"))
+        rows = join_checked(rows, cut(last), ["file", "ord"], "left_anti")
     value = F.regexp_replace(F.regexp_replace("value", "\r", ""), "\n//\n?$", "")
     return rows.select(value.alias("value"), "ord").filter(F.trim("value") != "")
 

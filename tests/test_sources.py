@@ -80,6 +80,17 @@ def test_compressed(spark, tmp_path):
     with gzip.open(tmp_path / "a.dat.gz", "wt") as f:
         f.write(f"{RECORD}\n//\n{RECORD}\n//\n")
     assert flatfile.read_records(spark, str(tmp_path / "a.dat.gz")).count() == 2
+    other = RECORD.replace("Q7ZZ01", "Q3")
+    with gzip.open(tmp_path / "b open.dat.gz", "wt") as f:
+        f.write(f"{RECORD}\n//\n{other}\n//\n{RECORD}\n")  # the last one has no end
+    with gzip.open(tmp_path / "c.dat.gz", "wb") as f:
+        f.write(f"{RECORD}\n//".encode())
+    (tmp_path / "d open.dat").write_text(f"{other}\n//\n{RECORD}")
+    entries = flatfile.parse_entries(flatfile.read_records(spark, str(tmp_path / "*.dat*")))
+    assert sorted(r.accession for r in entries.collect()) == ["Q3"] * 2 + ["Q7ZZ01"] * 4
+    with gzip.open(tmp_path / "e.dat.gz", "wb") as f:
+        f.write(f"{RECORD}\n//\n{RECORD}".replace("\n", "\r\n").encode())
+    assert flatfile.read_records(spark, str(tmp_path / "e.dat.gz")).count() == 1
     with pa.OSFile(str(tmp_path / "t.lz4"), "wb") as sink, pa.CompressedOutputStream(sink, "lz4") as out:
         out.write("a\tb\nü\t\nlast".encode())
     assert [r.value for r in tsv.read_lz4_lines(spark, str(tmp_path / "t.lz4")).collect()] == ["a\tb", "ü\t", "last"]
