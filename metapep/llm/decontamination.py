@@ -122,8 +122,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     A word is hit if it lies in an occurrence of a window.  Null and empty texts and
     items have no words: such documents have no hit, such items no window.  A null
     item id is the string null.  Repeated rows each have their result; repeated items
-    count once by id.  Without items nothing is hit; without documents there is no
-    row.  Other columns of docs are left out, so their names can't clash.
+    count once by id.  A very long text is searched whole.  Without items nothing is
+    hit; without documents there is no row.  Other columns of docs are left out, so
+    their names can't clash.  Above `block` windows intermediate tables are written to
+    the shared folder, which the result still reads.
     """
     if clash := {"n_words", "n_hit", "items", "spans", "_digest", "_h", "_maybe"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")

@@ -203,7 +203,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     """For each row of docs: its `keep` columns, lang_pred and score (0 to 1: confidence in the family times that within it).
 
     A null text, and one without any letter, is `und` with score 0; so is every text
-    if the model knows no language.  Repeated rows each have their result; no rows give
+    if the model knows no language.  A very long text is read whole.  Repeated rows each have their result; no rows give
     no rows.  Columns outside `keep` but text are left out, so their names can't clash.
     """
     if clash := {"lang_pred", "score", "has_letter"} & set(keep):

@@ -40,7 +40,7 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[int
     target // source_size whole copies of every document and one more of those whose
     key is below the source's threshold.
 
-    Empty and null texts have size 0 and take 0.  Rows that agree in id and text
+    Empty and null texts have size 0 and take 0; a very long one counts all its words.  Rows that agree in id and text
     share a key, so they get the extra copy together.  A null source is a source of
     its own, ordered last; a null doc_id is a value like any other.  No rows give no
     rows.  Columns of docs outside `keep` are left out, so their names can't clash.

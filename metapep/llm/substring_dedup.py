@@ -263,7 +263,7 @@ def dedup_substrings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), homes
 
     Removed is every word covered by a window that also starts in a document with a
     smaller doc_id; windows are judged on the input.  Null and empty texts have no
-    words; texts under 13 words lose none.  Rows without doc_id have no order: they are
+    words; texts under 13 words lose none; a very long text is read whole.  Rows without doc_id have no order: they are
     kept whole and remove nothing.  Rows that repeat an id do not remove each other's
     words.  No rows give no rows.  Other columns are left out, so their names can't
     clash.
