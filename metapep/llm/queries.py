@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from . import language, license_scan, pseudo_likelihood, surrogates
 from .common import table
 from .decontamination import decontaminate
+from .exact_dedup import dedup_exact
+from .filter_audit import audit_filters
+from .hard_negatives import mine
 from .html_text import extract
 from .jaccard_join import jaccard_join
 from .mixing import mix
@@ -79,6 +82,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_exact(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_surrogates": op2_surrogates,
@@ -90,6 +105,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -159,5 +177,36 @@ x AS (SELECT d.doc_id, d.size, m.*, target - copies * source_size AS rest,
   CAST(sum(size) OVER (PARTITION BY d.source ORDER BY k RANGE UNBOUNDED PRECEDING) AS DOUBLE) AS through, CAST(sum(size) OVER (PARTITION BY d.source, k) AS DOUBLE) AS own
   FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source)
 SELECT doc_id, size, source_size, target, CAST(size * (copies + CASE WHEN copies < 2 AND 2 * through - own <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM x
+""",
+    "op11_exact_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
+w AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY n DESC, doc_id ASC NULLS LAST, r) AS place, count(*) OVER (PARTITION BY t) AS size FROM d)
+SELECT w.doc_id, k.doc_id AS keep_id, CAST(w.size AS BIGINT) AS group_size, w.place = 1 AS kept, sha256(w.t) AS text_sha256 FROM w JOIN w k ON w.t = k.t AND k.place = 1
+""",
+    "op12_filter_audit": rf"""
+WITH RECURSIVE f AS (SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS f(letter)),
+o AS (SELECT letter AS filter_order FROM f UNION ALL SELECT filter_order || letter FROM o, f WHERE NOT contains(filter_order, letter)),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_SPACE}') AS w FROM documents),
+least AS (SELECT text, min(doc_id) AS first FROM t GROUP BY text),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN first < doc_id THEN 'E' ELSE '' END AS fails
+  FROM t JOIN least USING (text) LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, fails),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS before FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM o WHERE length(filter_order) = 5)),
+x AS (SELECT part, filter_order, step, letter, sum(n) AS n, CAST(coalesce(sum(n) FILTER (here), 0) AS BIGINT) AS removed, CAST(coalesce(sum(n) FILTER (here OR gone), 0) AS BIGINT) AS out, CAST(coalesce(sum(n) FILTER (own AND gone), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (fails = letter), 0) AS BIGINT) AS unique_fails, CAST(coalesce(sum(good) FILTER (here), 0) AS BIGINT) AS good_lost, CAST(coalesce(sum(toxic) FILTER (here), 0) AS BIGINT) AS toxic_lost
+  FROM (SELECT c.*, s.*, contains(fails, letter) AS own, translate(fails, before, '') <> fails AS gone, own AND NOT gone AS here FROM c, s) GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(n - out AS BIGINT) AS kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM x
+""",
+    "op13_hard_negatives": """
+WITH u AS MATERIALIZED (SELECT row_number() OVER () AS r, CAST(vec_id AS BIGINT) AS vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM u WHERE vec_id % 100 = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, u.vec_id, a.label = u.label AS same, CAST(list_sum(list_transform(range(1, len(u.v) + 1), lambda i: a.v[i] * u.v[i])) AS BIGINT) AS score FROM a JOIN u ON a.vec_id <> u.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
 """,
 }
