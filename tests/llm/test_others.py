@@ -274,17 +274,26 @@ def test_neighbours_of_outliers(spark):
     assert set(got.values()) == {5} and len(got) == 40 + 4
 
 
-@pytest.mark.parametrize("path", ["sf0.1", "check_h"])
-def test_recall_of_neighbours(spark, path):
+@pytest.mark.parametrize("kind", ["sf0.1", "skewed"])
+def test_recall_of_neighbours(spark, kind):
     import pyarrow.parquet as pq
 
-    where = f"/root/testdata/{path}/embeddings.parquet"
-    t = pq.read_table(where)
-    ids = t["vec_id"].to_numpy()
-    x = np.array(t["embedding"].to_pylist(), np.float64)
+    if kind == "skewed":  # a third is one tight cluster, a tenth one vector
+        rng = np.random.default_rng(8)
+        x = rng.standard_normal((40, 32))[rng.integers(0, 40, 6000)] + 0.4 * rng.standard_normal((6000, 32))
+        x[::3] = x[0] + 0.01 * rng.standard_normal((2000, 32))
+        x[::10] = x[1]
+        ids = np.arange(6000)
+        df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    else:
+        where = f"/root/testdata/{kind}/embeddings.parquet"
+        t = pq.read_table(where)
+        ids = t["vec_id"].to_numpy()
+        x = np.array(t["embedding"].to_pylist(), np.float64)
+        df = spark.read.parquet(where)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     found = defaultdict(list)
-    for r in neighbours.nearest(spark.read.parquet(where)).collect():
+    for r in neighbours.nearest(df).collect():
         found[r.query_id].append(r.score)
     met = total = 0
     for i in np.flatnonzero(ids % 50 == 0):
