@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from . import plans
 from .functions import entry_annotations, equate_il, kmers, standard_alphabet, tryptic_digest
-from .operators import aggregates, checks, lookup, tables, taxonomy
+from .operators import aggregates, ancestors, checks, lookup, tables, taxonomy
 from .operators.numbering import last_by_key, number_rows, union_numbered
 from .plans import builds
 from .ranks import ENTRIES, PROTEOMES, SLOTS
 from .sources import flatfile, ontologies, taxdump, tsv
-from .storage import join_checked, shared_dir, stored
+from .storage import cut, join_checked, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,7 +95,7 @@ def lca_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lowest common ancestor of each part's suppliers."""
     lineages = taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "supplier")))
     rows = _table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_suppkey") + 10_000).cast("int").alias("taxon_id"))
-    return aggregates.lowest_common_ancestors(rows, lineages, "l_partkey")
+    return ancestors.lowest_common_ancestors(rows, lineages, "l_partkey")
 
 
 @_query(f"SELECT doc_id, CAST(place - 1 AS INTEGER) AS place, sequence, replace(sequence, 'I', 'L') AS eq_sequence FROM {_DIGEST}")
@@ -203,7 +203,7 @@ def sequence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"WITH {_SEQUENCE_CTE} SELECT sequence, lca AS taxon_id FROM x WHERE lca IS NOT NULL")
 def tryptic_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.tryptic_index(_sequence_table(spark, sf_dir))
+    return plans.peptide_index(_peptides(spark, sf_dir), taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "customer"))))
 
 
 @_query(f"""SELECT sequence, CAST(CASE WHEN min(d) <> max(d) THEN 1 WHEN min(h) <> max(h) THEN min(d) WHEN count(DISTINCT c) > 1 THEN min(h) ELSE coalesce(min(c), min(h)) END AS INTEGER) AS taxon_id FROM (
@@ -409,33 +409,81 @@ def dense_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_rows(_table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")
 
 
-@_query("SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey + 10000 END AS INTEGER) AS taxon_id FROM lineitem")
+def _new_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A name in the catalog and a folder that nothing else has."""
+    own = f"{name}_{uuid.uuid4().hex}"
+    return own, f"{shared_dir(spark).rstrip('/')}/{own}"
+
+
+@_query(f"""WITH k AS MATERIALIZED ({ORACLES["kmer9_lca"]}) SELECT o_orderkey, o_kmer AS kmer, lca FROM (SELECT o_orderkey, substring(s, 1 + CAST(o_custkey % greatest(1, len(s) - 8) AS INTEGER), 9) AS o_kmer
+FROM orders JOIN (SELECT doc_id, {_STANDARD} AS s FROM documents) ON o_orderkey = doc_id) LEFT JOIN k ON kmer = o_kmer""")
 def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines looked up in an index of the suppliers with an even key."""
-    s = _table(spark, sf_dir, "supplier").filter("s_suppkey % 2 = 0")
-    index = s.select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("sequence"), (F.col("s_suppkey") + 10_000).cast("int").alias("taxon_id"))
-    wanted = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("S"), F.col("l_suppkey")).alias("sequence"))
-    return join_checked(wanted, index, "sequence", "left").select("l_orderkey", "l_linenumber", "taxon_id")
+    """A k-mer of the document that an order names, looked up in a written k-mer index."""
+    lineages = taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "customer")))
+    name, path = _new_table(spark, "kmers")
+    index = plans.write_index(plans.kmer_index(_proteins(spark, sf_dir), lineages), name, "kmer", 16, path)
+    s = F.col("sequence")
+    place = (F.col("o_custkey") % F.greatest(F.lit(1), F.length(s) - 8)).cast("int") + 1
+    wanted = _table(spark, sf_dir, "orders").join(_proteins(spark, sf_dir), F.col("o_orderkey") == F.col("doc_id")).select("o_orderkey", F.substring(s, place, F.lit(9)).alias("kmer"))
+    return lookup.in_index(wanted, index, "kmer").select("o_orderkey", "kmer", "lca")
 
 
-def _written(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Suppliers as flat files of two databases, taxa as dump lines, and nations as reference proteomes with a header, written as text; paths by name."""
-    top = f"{shared_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+_PATHS = f"p AS (SELECT id, parent_id, [id] AS path FROM {_TAXA} WHERE id = 1 UNION ALL SELECT t.id, t.parent_id, list_append(p.path, t.id) FROM {_TAXA} t JOIN p ON t.parent_id = p.id WHERE t.id <> 1)"
+
+
+@_query(f"""WITH RECURSIVE {_PATHS}, c AS (SELECT id, count(*) AS n FROM (SELECT unnest(path) AS id FROM p) GROUP BY id)
+SELECT id, parent_id, row_number() OVER (ORDER BY path) AS first, row_number() OVER (ORDER BY path) + n - 1 AS last, CAST(len(path) AS INTEGER) AS depth FROM p JOIN c USING (id)""")
+def taxon_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The taxonomy as a nested set."""
+    return taxonomy.nested_set(_taxa(spark, sf_dir))
+
+
+@_query(f"""WITH RECURSIVE s AS (SELECT id FROM {_TAXA} WHERE id = 12 UNION ALL SELECT t.id FROM {_TAXA} t JOIN s ON t.parent_id = s.id WHERE t.id <> 1)
+SELECT doc_id, taxon_id FROM (SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 5 ELSE doc_id % 150 + 10000001 END AS INTEGER) AS taxon_id FROM documents) JOIN s ON id = taxon_id""")
+def entries_under_taxon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries below a domain, as a range of a table sorted by the numbers of taxa."""
+    tree = cut(taxonomy.nested_set(_taxa(spark, sf_dir)))
+    rows = plans.write_by_taxon(_entries(spark, sf_dir).select("doc_id", "taxon_id"), tree, _new_table(spark, "by_taxon")[1])
+    return lookup.under_taxon(rows, tree, 12).select("doc_id", "taxon_id")
+
+
+@_query(f"""WITH RECURSIVE {_PATHS}, r AS (SELECT l_orderkey, path FROM lineitem JOIN p ON id = l_suppkey + 10000),
+a AS (SELECT l_orderkey, unnest(path) AS id, generate_subscripts(path, 1) AS depth FROM r), n AS (SELECT l_orderkey, count(*) AS n FROM r GROUP BY l_orderkey)
+SELECT l_orderkey, max_by(id, depth) AS ancestor FROM (SELECT l_orderkey, id, depth, count(*) AS c FROM a GROUP BY ALL) JOIN n USING (l_orderkey) WHERE c = n GROUP BY l_orderkey""")
+def tree_lca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest common ancestor of each order's suppliers, of two numbers an order."""
+    tree = cut(taxonomy.nested_set(_taxa(spark, sf_dir)))
+    numbers = tree.select((F.col("id") - 10_000).cast("long").alias("l_suppkey"), "first")
+    rows = join_checked(_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"), numbers, "l_suppkey", "inner")
+    return taxonomy.tree_ancestors(rows.groupBy("l_orderkey").agg(F.min("first").alias("lo"), F.max("first").alias("hi")), tree)
+
+
+def _text(*parts: str | Column) -> Column:
+    return F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in parts])
+
+
+def _flat_record() -> Column:
+    """A supplier as a flat-file record with its end."""
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
-    text = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
     database = F.when(k % 2 == 0, "UniProtKB/Swiss-Prot.").otherwise("UniProtKB/TrEMBL.")
     # names: preferred, submitted, of a domain
-    described = F.when(k % 3 == 0, text("SubName: Full=Sub ", k, " {ECO:1};\nDE   Flags: Fragment;")).when(k % 3 == 1, text("RecName: Full=", F.col("s_name"), ";\nDE     EC=1.2.3.", k % 9, ";\nDE   Includes:\nDE     RecName: Full=Domain ", k, ";")).otherwise(text("RecName: Full=", F.col("s_name"), ";"))
-    references = text("DR   Proteomes; UP", F.lpad(n.cast("string"), 9, "0"), "; x.\nDR   GO; GO:", F.lpad(k.cast("string"), 7, "0"), "; P:x.\nDR   InterPro; IPR", F.lpad((k % 50).cast("string"), 6, "0"), "; x.")
-    record = text("ID   X\nAC   A", k, ";\nDT   01-JAN-2000, integrated into ", database, "\nDT   01-JAN-2000, sequence version 1.\nDT   01-JAN-2000, entry version ", k % 40, ".\nDE   ", described, "\nOX   NCBI_TaxID=", n + 100, ";\n", references, "\nSQ   SEQUENCE\n     ", F.repeat(F.lit("ACDEFGHIKL"), (k % 13 + 1).cast("int")), "\n//")
+    described = F.when(k % 3 == 0, _text("SubName: Full=Sub ", k, " {ECO:1};\nDE   Flags: Fragment;")).when(k % 3 == 1, _text("RecName: Full=", F.col("s_name"), ";\nDE     EC=1.2.3.", k % 9, ";\nDE   Includes:\nDE     RecName: Full=Domain ", k, ";")).otherwise(_text("RecName: Full=", F.col("s_name"), ";"))
+    references = _text("DR   Proteomes; UP", F.lpad(n.cast("string"), 9, "0"), "; x.\nDR   GO; GO:", F.lpad(k.cast("string"), 7, "0"), "; P:x.\nDR   InterPro; IPR", F.lpad((k % 50).cast("string"), 6, "0"), "; x.")
+    return _text("ID   X\nAC   A", k, ";\nDT   01-JAN-2000, integrated into ", database, "\nDT   01-JAN-2000, sequence version 1.\nDT   01-JAN-2000, entry version ", k % 40, ".\nDE   ", described, "\nOX   NCBI_TaxID=", n + 100, ";\n", references, "\nSQ   SEQUENCE\n     ", F.repeat(F.lit("ACDEFGHIKL"), (k % 13 + 1).cast("int")), "\n//")
+
+
+def _written(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Suppliers as flat files of two databases, taxa as dump lines, and nations as reference proteomes with a header, written as text; paths by name."""
+    top = f"{shared_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    k = F.col("s_suppkey")
     suppliers = _table(spark, sf_dir, "supplier")
     for name, rest in (("swissprot", 0), ("trembl", 1)):
-        own = suppliers.filter(k % 2 == rest).select(record.alias("value"))
+        own = suppliers.filter(k % 2 == rest).select(_flat_record().alias("value"))
         own.write.option("compression", "gzip" if rest else "none").text(f"{top}/{name}")
     t = _taxa(spark, sf_dir, "region", "nation")
     t.select(F.concat_ws("\t|\t", F.col("id").cast("string"), F.col("parent_id").cast("string"), "rank", F.lit("XX\t|"))).write.text(f"{top}/nodes")
     t.select(F.concat_ws("\t|\t", F.col("id").cast("string"), "name", F.lit(""), F.lit("scientific name\t|"))).write.text(f"{top}/names")
-    nations = _table(spark, sf_dir, "nation").select(text("UP", F.lpad(F.col("n_nationkey").cast("string"), 9, "0")).alias("upid"), (F.col("n_nationkey") + 100).alias("organism_id"), F.col("n_regionkey").alias("protein_count"))
+    nations = _table(spark, sf_dir, "nation").select(_text("UP", F.lpad(F.col("n_nationkey").cast("string"), 9, "0")).alias("upid"), (F.col("n_nationkey") + 100).alias("organism_id"), F.col("n_regionkey").alias("protein_count"))
     nations.coalesce(1).write.option("header", True).option("sep", "\t").csv(f"{top}/proteomes")
     return {"out": f"{top}/out", **{name: f"{top}/{name}" for name in ("swissprot", "trembl", "nodes", "names", "proteomes")}}
 
@@ -449,6 +497,21 @@ CASE WHEN s_suppkey % 3 = 0 THEN 'Sub ' || s_suppkey WHEN s_suppkey % 3 = 1 THEN
 CASE WHEN s_suppkey % 3 = 1 THEN 'EC:1.2.3.' || s_suppkey % 9 ELSE '' END || ';GO:' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0') || ';IPR:IPR' || lpad(CAST(s_suppkey % 50 AS VARCHAR), 6, '0') AS fa, s_nationkey, s_suppkey FROM supplier)"""
 
 
+@_query(f"SELECT row_number() OVER (ORDER BY part, s_suppkey) AS id, accession, name FROM (SELECT *, CASE WHEN s_suppkey % 5 < 3 THEN 0 ELSE 1 END AS part FROM {_BUILT} UNION ALL SELECT *, 2 FROM {_BUILT} WHERE s_suppkey = (SELECT min(s_suppkey) FROM supplier))")
+def flatfile_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries numbered in file order over files of unlike sizes and line ends, one without an end."""
+    top = _new_table(spark, "files")[1]
+    k = F.col("s_suppkey")
+    rows = _table(spark, sf_dir, "supplier").select("s_suppkey", _flat_record().alias("value"))
+    for folder, own, end in (("a", k % 5 < 3, "\n"), ("b", k % 5 >= 3, "\r\n")):
+        kept = rows.filter(own).repartitionByRange("s_suppkey").sortWithinPartitions("s_suppkey")
+        kept.select(F.replace("value", F.lit("\n"), F.lit(end))).write.option("lineSep", end).text(f"{top}/{folder}")
+    first, last = F.min_by("value", "s_suppkey"), F.max_by("value", "s_suppkey")
+    rows.agg(F.concat(first, F.lit("\n"), F.regexp_replace(last, "\n//$", "")).alias("value")).write.text(f"{top}/c")
+    entries = builds.read_entries(spark, {"swissprot": f"{top}/*"}, "swissprot")
+    return tables.entry_table(entries, _taxa(spark, sf_dir, "region", "nation"), builds.ORDER).select("id", "accession", "name")
+
+
 @_query(f"SELECT accession, version, taxon_id, type, name, sequence, fa FROM {_BUILT}")
 def built_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of the whole build: flat files, plain and compressed, and dumps in, tables of compressed text out and read back."""
@@ -484,5 +547,7 @@ def built_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"SELECT id FROM {_TAXA} WHERE list_contains(string_split(lower(name), ' '), 'genus') AND list_contains(string_split(lower(name), ' '), 'simplex')")
 def search_saved_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A search in the word index."""
-    return lookup.search_index(stored(lookup.inverted_index(_taxa(spark, sf_dir), "id", "name", "rank"), "words"), "GENUS simplex", "id")
+    """A search in the word index: posting blocks, bucketed by word."""
+    blocks = lookup.posting_blocks(lookup.inverted_index(_taxa(spark, sf_dir), "id", "name", "rank"), "id")
+    name, path = _new_table(spark, "words")
+    return lookup.search_blocks(plans.write_index(blocks, name, "token", 16, path), "GENUS simplex", "id")

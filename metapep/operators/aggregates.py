@@ -54,25 +54,20 @@ def lca_of(rows: DataFrame, key: str, name: str = "lca", slots: tuple[str, ...]
     return rows.groupBy(key).agg(*lca_columns(slots)).select(key, lca_fold(slots).cast("int").alias(name))
 
 
-def lowest_common_ancestors(rows: DataFrame, lineages: DataFrame, key: str, taxon: str = "taxon_id", name: str = "lca") -> DataFrame:
-    """(key, name): the lowest common ancestor of the key's taxa; taxa without lineage are ignored, without any it is the root."""
-    return lca_of(with_cells(rows.select(key, F.col(taxon).alias("_taxon")), lineages, "_taxon"), key, name)
-
-
-def _terms(terms: Column) -> Column:
+def terms_of(terms: Column) -> Column:
     return F.filter(F.split(F.coalesce(terms, F.lit("")), ";"), lambda x: x != "")
 
 
-_CATEGORIES = ("EC", "GO", "IPR")
+CATEGORIES = ("EC", "GO", "IPR")
 
 
-def _marked(terms: Column) -> tuple[Column, list[Column]]:
+def marked(terms: Column) -> tuple[Column, list[Column]]:
     """The terms behind a null that stands for the row itself, and for each category whether the row has one of it."""
 
     def having(category: str) -> Column:
         return F.exists(terms, lambda x: term_category(x) == category).cast("int").alias(f"_{category}")
 
-    return F.concat(F.array(F.lit(None).cast("string")), terms), [having(c) for c in _CATEGORIES]
+    return F.concat(F.array(F.lit(None).cast("string")), terms), [having(c) for c in CATEGORIES]
 
 
 def term_histogram(rows: DataFrame, key: str, terms: str) -> DataFrame:
@@ -81,9 +76,9 @@ def term_histogram(rows: DataFrame, key: str, terms: str) -> DataFrame:
     terms is text between semicolons; a key without any term has no row.  Rows and terms
     are counted in one pass, by (key, term).
     """
-    every, has = _marked(_terms(F.col(terms)))
+    every, has = marked(terms_of(F.col(terms)))
     own = rows.select(key, F.explode(every).alias("_term"), *has)
-    counts = own.groupBy(key, "_term").agg(F.count("*").alias("n"), *[F.sum(f"_{c}").alias(f"_{c}") for c in _CATEGORIES])
+    counts = own.groupBy(key, "_term").agg(F.count("*").alias("n"), *[F.sum(f"_{c}").alias(f"_{c}") for c in CATEGORIES])
     return counts.groupBy(key).agg(*histogram_columns()).filter(F.size("data") > 0)
 
 
@@ -113,24 +108,3 @@ def _quoted(text: Column) -> Column:
 def histogram_json(df: DataFrame, key: str, name: str = "fa") -> DataFrame:
     """(key, name): the histogram as JSON."""
     return df.select(key, histogram_text().alias(name))
-
-
-def sequence_summary(peptides: DataFrame, lineages: DataFrame) -> DataFrame:
-    """(sequence, lca, lca_il, fa, fa_il) of rows (sequence, eq_sequence, taxon_id, fa), by text.
-
-    Every row counts for its sequence and, apart from that, for its equated one; what a
-    sequence isn't is null.  The input is read once: rows and terms of both sides are
-    counted together by (sequence, side, term), the common ancestors beside them.
-    """
-    every, has = _marked(_terms(F.col("fa")))
-    side = F.array(F.struct(F.col("sequence"), F.lit(False).alias("il")), F.struct(F.col("eq_sequence").alias("sequence"), F.lit(True).alias("il")))
-    rows = peptides.select(F.explode(side).alias("s"), "taxon_id", every.alias("_every"), *has)
-    rows = rows.select("s.sequence", "s.il", F.explode("_every").alias("_term"), "taxon_id", *[f"_{c}" for c in _CATEGORIES])
-    rows = with_cells(rows.withColumn("_taxon", F.when(F.col("_term").isNull(), F.col("taxon_id"))), lineages, "_taxon")
-    sums = [F.sum(f"_{c}").alias(f"_{c}") for c in _CATEGORIES]
-    counts = rows.groupBy("sequence", "il", "_term").agg(F.count("*").alias("n"), *sums, *lca_columns())
-    counts = counts.select("sequence", "il", "_term", "n", *[f"_{c}" for c in _CATEGORIES], F.when(F.col("_term").isNull(), lca_fold()).cast("int").alias("_lca"))
-    own, other = ~F.col("il"), F.col("il")
-    lca = [F.max(F.when(x, F.col("_lca"))).alias(name) for x, name in ((own, "lca"), (other, "lca_il"))]
-    both = counts.groupBy("sequence").agg(*lca, *histogram_columns(own), *histogram_columns(other, "_il"))
-    return both.select("sequence", "lca", "lca_il", histogram_text().alias("fa"), histogram_text("_il").alias("fa_il"))

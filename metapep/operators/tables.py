@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import entry_annotations, equate_il, peptide_annotations, tryptic_digest
 from ..storage import join_checked
-from .aggregates import collapse, sequence_summary
+from .aggregates import collapse
+from .ancestors import sequence_summary
 from .numbering import number_rows, running_offsets
 
 

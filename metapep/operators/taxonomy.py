@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..ranks import RANKS, ROOT, SLOTS
-from ..storage import cut
+from ..storage import cut, join_checked
+from .numbering import number_rows
 
 # Taxa and parts of names that make a taxon invalid.
 INVALID_IDS = (28384, 48479, 1869227)
@@ -35,18 +36,12 @@ def rank_index(rank: Column) -> Column:
 ROUNDS = 12
 
 
-def with_paths(taxa: DataFrame) -> DataFrame:
-    """(id, name, rank, parent_id, valid, path) of taxa (id, name, rank, parent_id).
+def _chains(own: DataFrame) -> DataFrame:
+    """(id, chain): every taxon's ancestors, root end first and itself last, as structs of id, rank and validity of its own.
 
-    path holds the ranked ancestors, root end first and the taxon itself last, as
-    structs of id, rank and validity.  Pointers are doubled: every taxon has the chain
-    up to a pointer, and takes over the chain and pointer found there, so the rounds
-    grow with the logarithm of the depth.  A taxon whose parent is missing starts a tree
-    of its own and is invalid.  Taxa in a cycle other than the root's never end and
-    are an error.
+    Pointers are doubled: every taxon has the chain up to a pointer, and takes over the
+    chain and pointer found there, so the rounds grow with the logarithm of the depth.
     """
-    own = taxa.select("id", "name", "rank", "parent_id", self_valid(F.col("id"), F.col("name"), F.col("rank")).alias("_ok"), rank_index(F.col("rank")).alias("_rank"))
-    own = cut(own)
     known = own.select(F.col("id").alias("_id"))
     up = F.when((F.col("id") != ROOT) & F.col("_id").isNotNull(), F.col("parent_id"))
     ok = F.col("_ok") & ((F.col("id") == ROOT) | F.col("_id").isNotNull())
@@ -62,6 +57,48 @@ def with_paths(taxa: DataFrame) -> DataFrame:
         above = chains.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("chain").alias("_chain"))
         moved = open_.join(above, F.col("up") == F.col("_id")).select("id", F.col("_up").alias("up"), F.concat("_chain", "chain").alias("chain"))
         chains = cut(chains.filter("up is null").union(moved))
+    return chains.select("id", "chain")
+
+
+def nested_set(taxa: DataFrame) -> DataFrame:
+    """(id, parent_id, first, last, depth) of taxa (id, parent_id): first numbers them from 1 in preorder, children by id, and last is the greatest number below a taxon or its own.
+
+    So what lies below a taxon is a range of numbers.  Paths of ids stand in preorder
+    when they are sorted, so no tree is walked; the taxa below are counted by one
+    aggregate over all ancestors.  A taxon whose parent is missing starts a tree of its own.
+    """
+    own = cut(taxa.select("id", "parent_id", F.lit(0).alias("_rank"), F.lit(True).alias("_ok")))
+    paths = cut(_chains(own).select("id", F.col("chain.id").alias("_path")))
+    below = paths.select(F.explode("_path").alias("id")).groupBy("id").agg(F.count("*").alias("_n"))
+    numbered = number_rows(paths, ["_path"], "first")
+    out = numbered.join(below, "id").join(own.select("id", "parent_id"), "id")
+    return out.select("id", "parent_id", "first", (F.col("first") + F.col("_n") - 1).alias("last"), F.size("_path").alias("depth"))
+
+
+def tree_ancestors(sets: DataFrame, tree: DataFrame, name: str = "ancestor") -> DataFrame:
+    """sets (…, lo, hi: the least and greatest `first` of some taxa) with their lowest common ancestor: the deepest taxon whose range holds both; null for taxa of different trees.
+
+    Numbers are looked up in the ranges by blocks of the ancestors of lo, a row a level.
+    """
+    up = cut(_chains(tree.select("id", "parent_id", F.lit(0).alias("_rank"), F.lit(True).alias("_ok"))))
+    own = tree.select(F.col("first").alias("lo"), "id").join(up, "id").select("lo", F.col("chain.id").alias("_up"))
+    keyed = sets.select("lo", "hi").distinct()
+    ranges = tree.select(F.col("id").alias("_a"), F.col("last").alias("_last"), F.col("depth").alias("_depth"))
+    holding = keyed.join(own, "lo").select("lo", "hi", F.explode("_up").alias("_a")).join(ranges, "_a").filter("_last >= hi")
+    found = cut(holding.groupBy("lo", "hi").agg(F.max_by("_a", "_depth").alias(name)))
+    return join_checked(sets, found, ["lo", "hi"], "left").drop("lo", "hi")
+
+
+def with_paths(taxa: DataFrame) -> DataFrame:
+    """(id, name, rank, parent_id, valid, path) of taxa (id, name, rank, parent_id).
+
+    path holds the ranked ancestors, root end first and the taxon itself last, as
+    structs of id, rank and validity.  A taxon whose parent is missing starts a tree
+    of its own and is invalid.  Taxa in a cycle other than the root's never end and
+    are an error.
+    """
+    own = cut(taxa.select("id", "name", "rank", "parent_id", self_valid(F.col("id"), F.col("name"), F.col("rank")).alias("_ok"), rank_index(F.col("rank")).alias("_rank")))
+    chains = _chains(own)
     begin = F.struct(F.lit(True).alias("valid"), F.array().cast("array<struct<id:int,rank:int,valid:boolean>>").alias("path"))
 
     def step(s: Column, x: Column) -> Column:

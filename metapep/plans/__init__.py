@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from ..functions import document_json, kmers, standard_alphabet
 from ..operators import tables
 from ..operators.aggregates import lca_of, with_cells
+from ..operators.ancestors import CLASS, ancestor_of, lineage_classes, lowest_common_ancestors, summary_columns, with_classes
 from ..operators.checks import assert_not_null, assert_unique
-from ..operators.lookup import inverted_index
+from ..operators.lookup import inverted_index, posting_blocks
 from ..operators.numbering import last_by_key
+from ..operators.packed import packed_kmers, unpacked, word_names
 from ..operators.taxonomy import lineage_table, taxon_table, with_paths
-from ..storage import stored
+from ..storage import join_checked, stored
 
 _SOURCES = re.compile(r"(swissprot|trembl)(,(swissprot|trembl))*")
 
@@ -68,28 +70,58 @@ def tryptic_tables(entries: DataFrame, taxa: DataFrame, min_length: int = 5, max
 
 
 def tryptic_index(sequences: DataFrame, compat_drop_n: bool = False) -> DataFrame:
-    """(sequence, taxon_id): the sequences with a common ancestor; compat_drop_n leaves out all that hold an N, as a known tool's filter does."""
+    """(sequence, taxon_id): the sequences of a table of them that have a common ancestor; compat_drop_n leaves out all that hold an N, as a known tool's filter does."""
     own = sequences.filter(F.col("lca").isNotNull())
     if compat_drop_n:
         own = own.filter(~F.col("sequence").contains("N"))
     return own.select("sequence", F.col("lca").alias("taxon_id"))
 
 
-def kmer_index(entries: DataFrame, lineages: DataFrame, k: int = 9, aggregate: Callable[[DataFrame, str], DataFrame] = lca_of) -> DataFrame:
+def peptide_index(peptides: DataFrame, lineages: DataFrame, compat_drop_n: bool = False) -> DataFrame:
+    """tryptic_index() from the peptides themselves, for those who need no histograms or numbers: one shuffle of a row a sequence and task."""
+    return tryptic_index(lowest_common_ancestors(peptides, lineages, "sequence"), compat_drop_n)
+
+
+def kmer_index(entries: DataFrame, lineages: DataFrame, k: int = 9, aggregate: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """(kmer, lca) of every k-mer of sequences with standard residues only: the common ancestor of its taxa, or what `aggregate` makes of rows (kmer, taxon_id, cells of the lineage).
 
-    Lineages are joined to entries, before these become k-mers, and k-mers are shuffled
-    once, as partial aggregates; the ancestor needs no distinct rows.
+    The classes of lineages are joined to entries, before these become k-mers; k-mers
+    are packed in integers, and shuffled once, as partial aggregates of six integers.
     """
     k = check_number(k, "k")
-    slots = [c for c in lineages.columns if c != "taxon_id"]
-    own = with_cells(entries.filter(standard_alphabet(F.col("sequence"))).select("taxon_id", "sequence"), lineages)
-    return aggregate(own.select("taxon_id", *slots, F.explode(kmers(F.col("sequence"), k)).alias("kmer")), "kmer")
+    own = entries.filter(standard_alphabet(F.col("sequence"))).select("taxon_id", "sequence")
+    classes = lineage_classes(lineages) if aggregate is None and k else None
+    if classes is None:
+        slots = [c for c in lineages.columns if c != "taxon_id"]
+        rows = with_cells(own, lineages).select("taxon_id", *slots, F.explode(kmers(F.col("sequence"), k)).alias("kmer"))
+        return (aggregate or lca_of)(rows, "kmer")
+    words = packed_kmers(with_classes(own, classes).select("sequence", *CLASS), k)
+    found = ancestor_of(words.groupBy(*word_names(k)).agg(*summary_columns()), classes)
+    return found.select(unpacked(k).alias("kmer"), "lca")
+
+
+def write_index(index: DataFrame, table: str, key: str, buckets: int = 256, path: str | None = None) -> DataFrame:
+    """The index as a table of the catalog, read back: one sorted file a bucket of the key, with a Bloom filter on it.
+
+    Joins on the key need no shuffle of the index.  A lookup reads one file, of which the
+    statistics of blocks and pages, and the Bloom filters, leave few.  A bucket is
+    written by one task, so their number should grow with the index.  path: folder of the
+    files, where it isn't the catalog's own.
+    """
+    out = index.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    out = out.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+    (out.option("path", path) if path else out).saveAsTable(table)
+    return index.sparkSession.table(table)
 
 
-def write_index(index: DataFrame, table: str, key: str, buckets: int = 256) -> None:
-    """Sorted and bucketed by key, so that lookups and joins on it need no shuffle of the index."""
-    index.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+def write_by_taxon(rows: DataFrame, tree: DataFrame, path: str, taxon: str = "taxon_id") -> DataFrame:
+    """rows with `taxon_first`, the number of their taxon in a nested_set(), as a Parquet table in that order, read back; taxa that the tree lacks are null and come first.
+
+    What lies under a taxon is then a range of the table: see lookup.under_taxon().
+    """
+    own = join_checked(rows, tree.select(F.col("id").alias(taxon), F.col("first").alias("taxon_first")), taxon, "left")
+    own.repartitionByRange("taxon_first").sortWithinPartitions("taxon_first").write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(own.schema).parquet(path)
 
 
 #: Keys of the static tables.
@@ -97,7 +129,7 @@ KEYS = {"taxons": ("id",), "lineages": ("taxon_id",), "ec_numbers": ("id", "code
 
 
 def static_database(built: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The built tables, checked for keys and nulls (lineages may have empty slots), and the word index of taxon names."""
+    """The built tables, checked for keys and nulls (lineages may have empty slots), and the word index of taxon names as posting blocks."""
     for name, own in KEYS.items():
         if name in built:
             for k in own:
@@ -105,7 +137,7 @@ def static_database(built: dict[str, DataFrame]) -> dict[str, DataFrame]:
             assert_not_null(built[name], *(("taxon_id",) if name == "lineages" else built[name].columns))
     out = dict(built)
     if "taxons" in built:
-        out["virtual_taxons"] = inverted_index(built["taxons"], "id", "name", "rank")
+        out["virtual_taxons"] = posting_blocks(inverted_index(built["taxons"], "id", "name", "rank"), "id")
     return out
 
 

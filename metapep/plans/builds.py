@@ -3,35 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ranks import INDEX, LINEAGES
-from ..sources.flatfile import parse_entries, read_records
+from ..sources import flatfile
 from ..sources.ontologies import reference_proteomes
 from ..sources.taxdump import read_taxa
 from ..sources.tsv import read_tsv, write_tsv
-from ..storage import stored
 from . import check_sources, have, kmer_index, suffix_array_tables, tryptic_tables
 
+#: Columns that put the entries of read_entries() in order.
+ORDER = ["database", *flatfile.PLACE]
+
 
 def read_entries(spark: SparkSession, flatfiles: Mapping[str, str], sources: str = "swissprot,trembl") -> DataFrame:
-    """Entries of the named databases, in their order and that of the files: (database, ord) and the parsed fields.
+    """Entries of the named databases with their fields and place: by ORDER, in the order of the databases and of their files.
 
-    flatfiles: path by database.  Databases that are not asked for are not read; a
-    path that does not exist, or a malformed record, is an error.  Files are parsed once:
-    the entries are a table in the shared folder.
+    flatfiles: path (file, folder or glob) by database.  Databases that are not asked for
+    are not read; a path that does not exist, or a malformed record, is an error.  Files
+    are parsed once: the entries are a table in the shared folder.
     """
     wanted = check_sources(sources)
     if missing := [s for s in wanted if s not in flatfiles]:
         raise ValueError(f"no path for {', '.join(missing)}")
     have(spark, *[flatfiles[s] for s in wanted])
-    out = None
-    for k, s in enumerate(dict.fromkeys(wanted)):
-        own = parse_entries(read_records(spark, flatfiles[s])).withColumn("database", F.lit(k))
-        out = own if out is None else out.unionByName(own)
-    return stored(out, "entries")
+    own = [flatfile.read_entries(spark, flatfiles[s]).withColumn("database", F.lit(k)) for k, s in enumerate(dict.fromkeys(wanted))]
+    return reduce(DataFrame.unionByName, own)
 
 
 def write_tables(tables: Mapping[str, DataFrame], out: str, compression: str | None = "gzip") -> dict[str, str]:
@@ -45,7 +45,7 @@ def build_suffix_array_tables(spark: SparkSession, flatfiles: Mapping[str, str],
     """Taxa, lineages, entries and reference proteomes, written; paths by name."""
     have(spark, nodes, names, proteomes)
     entries = read_entries(spark, flatfiles, sources)
-    built = suffix_array_tables(entries, read_taxa(spark, nodes, names), reference_proteomes(spark, proteomes), ["database", "ord"])
+    built = suffix_array_tables(entries, read_taxa(spark, nodes, names), reference_proteomes(spark, proteomes), ORDER)
     return write_tables(built, out, compression)
 
 
@@ -53,7 +53,7 @@ def build_tryptic_tables(spark: SparkSession, flatfiles: Mapping[str, str], node
     """Taxa, lineages, peptides, sequences and the tryptic index, written; paths by name."""
     have(spark, nodes, names)
     entries = read_entries(spark, flatfiles, sources)
-    return write_tables(tryptic_tables(entries, read_taxa(spark, nodes, names), min_length, max_length, ["database", "ord"]), out, compression)
+    return write_tables(tryptic_tables(entries, read_taxa(spark, nodes, names), min_length, max_length, ORDER), out, compression)
 
 
 def build_kmer_index(spark: SparkSession, flatfiles: Mapping[str, str], lineages: str, out: str, k: int = 9, sources: str = "swissprot,trembl", compression: str | None = "gzip") -> dict[str, str]:

@@ -1,7 +1,13 @@
 """Protein flat files: records of lines, ended by a line of two slashes.
 
-Records are split by Spark's text reader and decoded with column expressions: fields
-are looked for in order, each from where the last one ended.
+Spark's text reader cuts files at a line end and a slash, whatever kind of line end a file
+has.  Every piece but the first of a file then begins with the second slash of an end,
+and the last piece of a file, be it blank or a record without end, is never a record:
+so ends need no look at the files themselves, and compressed files are read once like
+the others.  A record's place is its file, the offset of the block that Spark read it
+from, and its place in there; that order is the files' own, however they are split.
+Fields are decoded with column expressions: looked for in order, each from where the
+last one ended.
 """
 
 from __future__ import annotations
@@ -10,68 +16,41 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metadata_cut
-from ..storage import cut, join_checked
+from ..storage import cut, join_checked, stored
 
-_COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".deflate", ".snappy")
 # Database names in the first date line.
 DATABASES = (("UniProtKB/Swiss-Prot.", "swissprot"), ("UniProtKB/TrEMBL.", "trembl"))
+#: The place of a record: sorted by these columns, records are in file order, files by path.
+PLACE = ("file", "block", "at")
 
 
-def _ends(spark: SparkSession, path: str) -> dict[str, bytes]:
-    """Last four bytes of each plain file of a path (file, folder or glob), by Hadoop's file system, so in any store."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(conf)
-    out: dict[str, bytes] = {}
-    for top in fs.globStatus(where) or []:
-        for f in fs.listStatus(top.getPath()) if top.isDirectory() else [top]:
-            name = f.getPath().getName()
-            if f.isDirectory() or name.startswith(("_", ".")) or name.endswith(_COMPRESSED):
-                continue
-            stream = fs.open(f.getPath())
-            try:
-                stream.seek(max(0, f.getLen() - 4))
-                out[f.getPath().toUri().toString()] = bytes(b & 0xFF for b in iter(stream.read, -1))
-            finally:
-                stream.close()
-    return out
-
-
-def _file() -> Column:
-    """The file of a row, its path written in one way."""
-    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
-
-
-def _open_files(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """(file): those whose last record has no end.
-
-    Of plain files four bytes each are read; compressed ones are read once more, by lines
-    and in their tasks, and the last line of each is looked at.
+def scan_pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, block, at, value): the text between ends, lines ending in LF; read lazily, and in one pass.
+
+    The last piece of every file is none of its records: without_tails() takes it away.
     """
-    plain = [f for f, end in _ends(spark, path).items() if not (end.endswith(sep.encode()[-4:]) or end.rstrip(b"\r\n").endswith(b"\n//"))]
-    plain = spark.createDataFrame([("file:/" + f[5:].lstrip("/") if f.startswith("file:") else f,) for f in plain], "file string")
-    lines = spark.read.option("lineSep", "\n").text(path).filter(F.col("_metadata.file_path").rlike("|".join(rf"\{x}$" for x in _COMPRESSED)))
-    last = lines.select(_file().alias("file"), "value", F.monotonically_increasing_id().alias("at")).groupBy("file").agg(F.max_by("value", "at").alias("value"))
-    return cut(plain.union(last.filter(F.regexp_replace("value", "\r$", "") != "//").select("file")))
+    rows = spark.read.option("lineSep", "\n/").text(path)
+    meta = F.col("_metadata")
+    value = F.regexp_replace(F.regexp_replace("value", "\r(?=\n|$)", ""), "^/\n?", "")
+    return rows.select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), value.alias("value"))
+
+
+def without_tails(pieces: DataFrame) -> DataFrame:
+    """The pieces but for the last of each file, found by one aggregate over places; pieces should be a table, of which that reads three columns."""
+    last = pieces.groupBy("file").agg(F.max(F.struct("block", "at")).alias("l")).select("file", "l.*")
+    return join_checked(pieces, cut(last), list(PLACE), "left_anti")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """(value, ord): one row a record, in file order.
+def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, block, at, value): one row a record of the files of a path (file, folder, glob or list).
 
-    The separator is a line of exactly two slashes; lines may end in CR LF.  What
-    follows the last separator of a file, compressed or not, is no record and is dropped.
+    An end is a line that begins with two slashes; lines may end in LF or CR LF, file by
+    file.  What follows the last end of a file, compressed or not, is no record and is
+    dropped, and so are blank records.  Files are read once, into a table of the shared
+    folder.  No line of a record may begin with one slash: it would be cut there, and
+    be malformed.
     """
-    first = spark.read.option("lineSep", "\n").text(path).limit(1).collect()
-    crlf = bool(first) and first[0].value.endswith("\r")
-    sep = "\r\n//\r\n" if crlf else "\n//\n"
-    rows = spark.read.option("lineSep", sep).text(path).select("value", F.monotonically_increasing_id().alias("ord"), _file().alias("file"))
-    open_ = _open_files(spark, path, sep)
-    if not open_.isEmpty():
-        last = join_checked(rows, open_, "file", "left_semi").groupBy("file").agg(F.max("ord").alias("ord"))
-        rows = join_checked(rows, cut(last), ["file", "ord"], "left_anti")
-    value = F.regexp_replace(F.regexp_replace("value", "\r", ""), "\n//\n?$", "")
-    return rows.select(value.alias("value"), "ord").filter(F.trim("value") != "")
+    return without_tails(stored(scan_pieces(spark, path), "records")).filter(F.col("value").rlike(r"\S"))
 
 
 def _from(lines: Column, start: Column) -> Column:
@@ -158,7 +137,19 @@ def parse_entries(records: DataFrame, column: str = "value", mode: str = "FAILFA
         _references(F.col("_dr"), "Proteomes;", 11, 11).alias("proteomes"),
         error.alias("error"),
     )
-    if mode == "PERMISSIVE":
-        return out
+    return out if mode == "PERMISSIVE" else no_errors(out)
+
+
+def no_errors(entries: DataFrame) -> DataFrame:
+    """Entries of a PERMISSIVE parse; one that is malformed is an error when it is read."""
     told = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("malformed record: "), F.col("error"))).cast("string")).otherwise(F.col("accession"))
-    return out.withColumn("accession", told).drop("error")
+    return entries.withColumn("accession", told).drop("error")
+
+
+def read_entries(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Entries of the files of a path, with their place; parsed as they are read, in one pass, and kept as a table in the shared folder.
+
+    A malformed record is an error when it is read; the text behind a file's last end is no record.
+    """
+    pieces = scan_pieces(spark, path).withColumn("blank", ~F.col("value").rlike(r"\S"))
+    return no_errors(without_tails(stored(parse_entries(pieces, mode="PERMISSIVE"), "entries")).filter("not blank").drop("blank"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from metapep import plans, storage
 from metapep import sql as functions_sql
 from metapep.functions import document_json, entry_annotations, equate_il, kmers, metadata_cut, peptide_annotations, standard_alphabet, tryptic_digest, validity_byte
-from metapep.operators import aggregates, checks, lookup, numbering, tables, taxonomy
+from metapep.operators import aggregates, ancestors, checks, lookup, numbering, tables, taxonomy
 from metapep.operators.numbering import last_by_key, number_rows, union_numbered
 from metapep.plans import builds
 from metapep.ranks import LINEAGES, RANKS, SLOTS, TAXONS
@@ -101,7 +101,7 @@ def test_lineages(built):
 def test_common_ancestors(spark, built):
     want = {(562, 83333): 562, (562, 900001): 562, (562, 900002): 1, (2, 562): 2, (561, 562): 562, (543, 562): 562, (900001,): 561, (900004,): 561, (900003, 900001): 561, (28384,): 1, (1, 562): 1, (562, 900005): 561, (900005,): 900005, (77,): 1}
     rows = spark.createDataFrame([(str(k), t) for k in want for t in k], "k string, taxon_id int")
-    assert dict(map(tuple, aggregates.lowest_common_ancestors(rows, built["lineages"], "k").collect())) == {str(k): v for k, v in want.items()}
+    assert dict(map(tuple, ancestors.lowest_common_ancestors(rows, built["lineages"], "k").collect())) == {str(k): v for k, v in want.items()}
 
 
 def model_lineage(chain: list[tuple[int, int, bool]]) -> list:
@@ -170,7 +170,7 @@ def test_random_ancestors_match_a_loop(spark):
     table = [(t, *(rng.choice([None, None, 1 + k, 1 + k, 50 + rng.randrange(2), -3]) for k in range(28))) for t in range(40)]
     lineages = spark.createDataFrame(table, "taxon_id int, " + ", ".join(f"{s} int" for s in SLOTS))
     groups = {g: [rng.randrange(40) for _ in range(rng.randrange(1, 4))] for g in range(200)}
-    got = aggregates.lowest_common_ancestors(spark.createDataFrame([(g, t) for g, v in groups.items() for t in v], "g int, taxon_id int"), lineages, "g")
+    got = ancestors.lowest_common_ancestors(spark.createDataFrame([(g, t) for g, v in groups.items() for t in v], "g int, taxon_id int"), lineages, "g")
     assert dict(map(tuple, got.collect())) == {g: model_lca([[x or 0 for x in table[t][1:]] for t in v]) for g, v in groups.items()}
 
 

@@ -38,13 +38,47 @@ def test_records_and_fields(spark, tmp_path):
     assert flatfile.read_records(spark, str(tmp_path / "b.dat")).count() == 1
     assert flatfile.read_records(spark, str(tmp_path / "[ab].dat")).count() == 3
     assert flatfile.parse_entries(flatfile.read_records(spark, str(tmp_path / "c.dat"))).first().accession == "Q7ZZ01"
-    one, two = flatfile.parse_entries(flatfile.read_records(spark, str(tmp_path / "a.dat"))).orderBy("ord").collect()
+    one, two = flatfile.parse_entries(flatfile.read_records(spark, str(tmp_path / "a.dat"))).orderBy(*flatfile.PLACE).collect()
     assert (one.accession, one.version, one.taxon_id, one.type, one.name) == ("Q7ZZ01", "17", 778899, "swissprot", "Invented xylose carrier")
     assert (one.ec, one.go, one.ipr, one.proteomes) == ([], ["GO:0000111", "GO:0000222"], ["IPR000333", "IPR000444"], ["UP000012345"])
     assert len(one.sequence) == 120 and one.sequence.startswith("MKWVTFISLLFLFSS") and one.sequence.endswith("KQEP")
     assert (two.accession, two.type) == ("Q2", "trembl")
 
 
+def test_files_of_all_kinds_in_order(spark, tmp_path):
+    """Unlike line ends, sizes, compression and tails; places are in file order however files are split."""
+    import gzip
+
+    def text(name, n, end="\n", tail=""):
+        return (end.join(f"log line\n{RECORD}\n//".replace("Q7ZZ01", f"{name}{k}").replace("\n", end) for k in range(n)) + end + tail.replace("\n", end)).encode()
+
+    (tmp_path / "a.dat").write_bytes(text("A", 3, "\r\n", f"junk\n{RECORD}"))
+    (tmp_path / "b.dat").write_bytes(text("B", 50))
+    (tmp_path / "c.dat").write_bytes(text("C", 5, "\r\n").rstrip())  # ends with the slashes
+    (tmp_path / "d.dat").write_bytes(RECORD.encode())  # a tail alone
+    (tmp_path / "e empty.dat").write_bytes(b"")
+    (tmp_path / "f.dat.gz").write_bytes(gzip.compress(text("F", 4, tail=f"{RECORD}\n/")))
+    (tmp_path / "g.dat").write_bytes(text("G", 2, tail="\n  \n//\n//\n"))
+    want = [f"{c}{k}" for c, n in (("A", 3), ("B", 50), ("C", 5), ("F", 4), ("G", 2)) for k in range(n)]
+    for split in ("2500", "9000", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        for entries in (flatfile.read_entries(spark, str(tmp_path)), flatfile.parse_entries(flatfile.read_records(spark, str(tmp_path)))):
+            rows = entries.orderBy(*flatfile.PLACE).collect()
+            assert [r.accession for r in rows] == want and all(len(r.sequence) == 120 for r in rows)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "h.dat").write_bytes(f"{RECORD}\n//\nbroken\n//\n".encode())
+    with pytest.raises(Exception, match="no AC line"):
+        flatfile.read_entries(spark, str(tmp_path)).collect()
+
+
+def test_files_are_read_once(spark, tmp_path):
+    """Parsing reads the text in one job; tails are found in the parsed table."""
+    (tmp_path / "a.dat").write_text(f"{RECORD}\n//\n{RECORD}")
+    entries = flatfile.read_entries(spark, str(tmp_path))
+    (tmp_path / "a.dat").unlink()
+    assert entries.count() == 1
+
+
 def described(spark, *lines: str):
     text = RECORD.replace("DE   RecName: Full=Invented xylose carrier;\n", "".join(f"DE   {x}\n" for x in lines))
     return flatfile.parse_entries(spark.createDataFrame([(text,)], "value string")).first()
