@@ -24,14 +24,6 @@ def search(df: DataFrame, text: str, *columns: str) -> DataFrame:
     return df.filter((F.size(wanted) > 0) & F.forall(wanted, lambda w: F.exists(F.array(*[tokens(F.col(c)) for c in columns]), lambda t: F.array_contains(t, w))))
 
 
-def search_index(index: DataFrame, text: str, key: str) -> DataFrame:
-    """(key): which rows of an inverted_index() table hold every word of the text; only the words' buckets or row groups are read."""
-    wanted = index.sparkSession.range(1).select(F.explode(tokens(F.lit(text))).alias("t")).collect()  # the words of a query
-    words = [r.t for r in wanted]
-    found = index.filter(F.col("token").isin(words)).groupBy(key).agg(F.countDistinct("token").alias("n"))
-    return found.filter(F.col("n") == len(words)).select(key)
-
-
 def exact(df: DataFrame, **values: object) -> DataFrame:
     """The rows with the given values; on Parquet the filters reach the scan."""
     out = df

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from metapep import plans, storage
 from metapep import sql as functions_sql
 from metapep.functions import document_json, entry_annotations, equate_il, kmers, metadata_cut, peptide_annotations, standard_alphabet, tryptic_digest, validity_byte
-from metapep.operators import aggregates, ancestors, checks, lookup, numbering, tables, taxonomy
+from metapep.operators import aggregates, ancestors, checks, lookup, numbering, packed, tables, taxonomy
 from metapep.operators.numbering import last_by_key, number_rows, union_numbered
 from metapep.plans import builds
 from metapep.ranks import LINEAGES, RANKS, SLOTS, TAXONS
@@ -174,6 +174,122 @@ def test_random_ancestors_match_a_loop(spark):
     assert dict(map(tuple, got.collect())) == {g: model_lca([[x or 0 for x in table[t][1:]] for t in v]) for g, v in groups.items()}
 
 
+def test_ancestors_by_class_match_a_loop(spark):
+    """Paths that are usable up to somewhere, as those of lineage_table() are."""
+    rng = random.Random(9)
+
+    def lineage():
+        end = rng.choice([28, 28, rng.randrange(29)])
+        return [(rng.choice([None, 1 + k, 1 + k, 1 + k, 50 + k]) if k < end else -3) for k in range(28)]
+
+    table = [(t, *lineage()) for t in range(60)]
+    lineages = spark.createDataFrame(table, "taxon_id int, " + ", ".join(f"{s} int" for s in SLOTS))
+    assert ancestors.lineage_classes(lineages) is not None
+    groups = {g: [rng.randrange(62) for _ in range(rng.randrange(1, 5))] for g in range(400)}  # two taxa have no lineage
+    rows = spark.createDataFrame([(g, t) for g, v in groups.items() for t in v], "g int, taxon_id int")
+    want = {g: model_lca([[x or 0 for x in table[t][1:]] for t in v if t < 60]) for g, v in groups.items()}
+    assert dict(map(tuple, ancestors.lowest_common_ancestors(rows, lineages, "g").collect())) == want
+
+
+def test_ancestors_of_trees_match_a_loop(spark, built):
+    ids = [r.id for r in built["taxons"].collect()]
+    cells = {r.taxon_id: [x or 0 for x in list(r)[1:]] for r in built["lineages"].collect()}
+    pairs = [(f"{a} {b}", t) for a in ids for b in ids for t in (a, b)]
+    got = ancestors.lowest_common_ancestors(spark.createDataFrame(pairs, "k string, taxon_id int"), built["lineages"], "k")
+    assert all(r.lca == model_lca([cells[int(t)] for t in r.k.split()]) for r in got.collect())
+    cut_down = built["lineages"].drop("strain")  # not all slots: no classes, other ancestors
+    assert ancestors.lineage_classes(cut_down) is None
+    assert ancestors.lowest_common_ancestors(spark.createDataFrame([(1, 83333)], "k int, taxon_id int"), cut_down, "k").first().lca == 562
+
+
+@pytest.mark.parametrize("k", [1, 9, 12, 13, 25])
+def test_packed_kmers(spark, monkeypatch, k):
+    monkeypatch.setattr(packed, "CHUNK", 50)
+    rng = random.Random(k)
+    texts = [None, "", "ACD", "A" * 12, *["".join(rng.choices("ACDEFGHIKLMNPQRSTVWY", k=rng.randrange(80))) for _ in range(30)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, sequence string").repartition(3)
+    words = packed.packed_kmers(df, k)
+    assert words.columns == [*packed.word_names(k), "id"]
+    got = words.select("id", packed.unpacked(k).alias("kmer"), *packed.word_names(k)).collect()
+    want = [(i, t[a : a + k]) for i, t in enumerate(texts) if t for a in range(len(t) - k + 1)]
+    assert sorted((r.id, r.kmer) for r in got) == sorted(want)
+    assert all(list(r)[2:] == packed.packed_key(r.kmer) for r in got)
+    assert [r.kmer for r in sorted(got, key=lambda r: list(r)[2:])] == sorted(r.kmer for r in got)
+
+
+def test_kmer_index_takes_other_aggregates(spark, built):
+    entries = spark.createDataFrame([(562, "ACDEFGHIKL"), (83333, "CDEFGHIKLM"), (900002, "ACDEFGHIKX")], "taxon_id int, sequence string")
+    index = dict(map(tuple, plans.kmer_index(entries, built["lineages"]).collect()))
+    assert index == {"ACDEFGHIK": 562, "CDEFGHIKL": 562, "DEFGHIKLM": 83333}
+    counted = plans.kmer_index(entries, built["lineages"], aggregate=lambda rows, key: rows.groupBy(key).agg(F.count("*").alias("lca")))
+    assert dict(map(tuple, counted.collect())) == {"ACDEFGHIK": 1, "CDEFGHIKL": 2, "DEFGHIKLM": 1}
+
+
+def test_nested_set(spark):
+    rng = random.Random(4)
+    rows = [(1, 1)] + [(i, rng.randrange(1, i)) for i in range(2, 300)] + [(500, 499), (501, 500)]
+    parent = dict(rows)
+
+    def up(i):
+        return [i, *(up(parent[i]) if i != 1 and parent[i] in parent else [])]
+
+    tree = {r.id: r for r in taxonomy.nested_set(spark.createDataFrame(rows, "id int, parent_id int")).collect()}
+    assert sorted(r.first for r in tree.values()) == list(range(1, len(rows) + 1))
+    for i, r in tree.items():
+        assert [x for x, o in tree.items() if r.first <= o.first <= r.last] == [x for x in tree if i in up(x)] and r.depth == len(up(i))
+    sets = [(k, rng.sample(range(1, 300), rng.randrange(1, 4))) for k in range(100)] + [(100, [500, 501]), (101, [2, 501])]
+    numbers = spark.createDataFrame([(k, min(tree[i].first for i in s), max(tree[i].first for i in s)) for k, s in sets], "k int, lo long, hi long")
+    got = {r.k: r.ancestor for r in taxonomy.tree_ancestors(numbers, spark.createDataFrame(list(tree.values()))).collect()}
+    for k, s in sets:
+        common = set.intersection(*[set(up(i)) for i in s])
+        assert got[k] == max(common, key=lambda i: len(up(i)), default=None)
+
+
+def test_subtree_is_a_pushed_range(spark, tmp_path, taxa):
+    tree = storage.cut(taxonomy.nested_set(taxa))
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate([562, 83333, 10239, 543, 77, 2, 900002])], "k int, taxon_id int")
+    table = plans.write_by_taxon(rows, tree, str(tmp_path / "t"))
+    under = lookup.under_taxon(table, tree, 543)
+    assert sorted(r.taxon_id for r in under.collect()) == [543, 562, 83333]
+    plan = under._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(taxon_first" in plan and "LessThanOrEqual(taxon_first" in plan
+    assert lookup.under_taxon(table, tree, 424242).count() == 0
+
+
+def test_index_is_served_by_bucket(spark, tmp_path):
+    keys = [f"K{i:05d}" for i in range(3000)]
+    index = plans.write_index(spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "sequence string, taxon_id int"), "served", "sequence", 8, str(tmp_path / "served"))
+    files = [f for f in (tmp_path / "served").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 8
+    one = lookup.exact(index, sequence="K01234")
+    assert one.first().taxon_id == 1234
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1m")  # a task a file
+    assert one.select("*").rdd.getNumPartitions() == 1 and index.filter("taxon_id = 1234").rdd.getNumPartitions() == 8
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    wanted = spark.createDataFrame([(k, "K00007") for k in range(500)] + [(1000, "none"), (1001, None), (1002, "K02999")], "k int, sequence string")
+    got = {r.k: r.taxon_id for r in lookup.in_index(wanted, index).collect()}
+    assert len(got) == 503 and got[3] == 7 and got[1000] is None and got[1001] is None and got[1002] == 2999
+    joined = wanted.select("sequence").distinct().join(index.hint("merge"), "sequence")
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    side = plan[plan.rindex("Scan parquet") - 400 :]
+    assert "SortMergeJoin" in plan and "Exchange" not in side[: side.index("Scan parquet")].split("Sort [sequence")[-1]
+    spark.sql("DROP TABLE served")
+
+
+def test_posting_blocks(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.sample(["red", "green", "Blue", "old", "new"], 3))) for i in range(400)]
+    index = lookup.inverted_index(spark.createDataFrame(rows, "id int, name string"), "id", "name")
+    blocks = storage.cut(lookup.posting_blocks(index, "id", block=64))
+    assert blocks.agg(F.max("n")).first()[0] <= 64
+    for text in ("red", "BLUE old", "new green red", "red missing", "", "red red"):
+        want = [i for i, t in rows if text and set(text.lower().split()) <= set(t.lower().split())]
+        assert sorted(r.id for r in lookup.search_blocks(blocks, text, "id").collect()) == want
+
+
 def test_histogram(spark):
     rows = spark.createDataFrame([(1, "GO:1;EC:1.1.1.1;IPR:IPR1"), (1, "GO:1;GO:1"), (1, ""), (2, ""), (3, None)], "id int, fa string")
     got = aggregates.histogram_json(aggregates.term_histogram(rows, "id", "fa"), "id").collect()
@@ -224,7 +340,7 @@ def test_whole_builds(spark, taxa):
 
 def test_search_and_checks(spark, built):
     own = plans.static_database(built)
-    assert {r.id for r in own["virtual_taxons"].filter("token = 'escherichia'").collect()} >= {561, 562}
+    assert {r.id for r in own["virtual_taxons"].filter("token = 'escherichia'").select(F.explode("ids").alias("id")).collect()} >= {561, 562}
     assert {r.id for r in lookup.search(built["taxons"], "COLI k", "name", "rank").collect()} == {83333}
     assert lookup.search(built["taxons"], "", "name").count() == 0
     entries = spark.createDataFrame([(1, "A", "3", 5, "swissprot", "n", "S", ";;"), (2, "A", "4", 5, "swissprot", "n", "S", ";;")], "id long, accession string, version string, taxon_id int, type string, name string, sequence string, fa string")
@@ -323,8 +439,8 @@ def test_static_tables_are_saved_with_their_keys(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS static")
     plans.save_static_database({"taxons": taxa}, "static")
     assert spark.table("static.taxons").count() == 2
-    assert [r.id for r in lookup.search_index(spark.table("static.virtual_taxons"), "FROG species", "id").collect()] == [2]
-    assert lookup.search_index(spark.table("static.virtual_taxons"), "frog root", "id").count() == 0
+    assert [r.id for r in lookup.search_blocks(spark.table("static.virtual_taxons"), "FROG species", "id").collect()] == [2]
+    assert lookup.search_blocks(spark.table("static.virtual_taxons"), "frog root", "id").count() == 0
     with pytest.raises(ValueError):
         plans.static_database({"taxons": taxa.union(taxa)})
     with pytest.raises(ValueError):
