@@ -29,6 +29,8 @@ FAMILIES = {
 }
 SIZES = (2, 3, 4)
 DIM = 4096
+#: Bytes of a text, and rows, that are counted at once.
+PIECE, ROWS = 1 << 20, 256
 #: Most labelled rows that training takes, over all languages.
 SAMPLE_ROWS = 1200
 UNDETERMINED = "und"
@@ -49,11 +51,11 @@ def _folded(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[keep], np.r_[0, np.cumsum(keep)][off]
 
 
-def _features(x: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _features(x: np.ndarray, off: np.ndarray, sizes: tuple[int, ...] = SIZES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each n-gram size: the feature at each place and whether the n-gram lies in one row."""
     edge = np.zeros(len(x) + 1, np.int64)
     edge[off] = 1
-    for k in SIZES:
+    for k in sizes:
         m = len(x) - k + 1
         if m <= 0:
             continue
@@ -67,21 +69,53 @@ def _features(x: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.n
         yield ((code >> np.uint32(20)) % np.uint32(DIM)).astype(np.int32), ~crosses
 
 
-def _row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
-    total = np.r_[np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)]
-    o = np.minimum(off, len(values))
-    return total[o[1:]] - total[o[:-1]]
+def _counts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """(row, feature): how often each row has each feature."""
+    n = len(off) - 1
+    out = np.zeros(n * DIM)
+    if len(raw):
+        x, off = _folded(raw, off)
+        for f, ok in _features(x, off):
+            row = np.searchsorted(off, np.arange(len(f)), "right") - 1
+            out += np.bincount(row[ok] * DIM + f[ok], minlength=n * DIM)
+    return out.reshape(n, DIM)
+
+
+def _long_counts(raw: np.ndarray) -> np.ndarray:
+    """_counts() of one text, PIECE bytes at a time; pieces end before an ASCII byte, and n-grams that begin in one and end in the next count too."""
+    out = np.zeros(DIM)
+    a, before = 0, np.zeros(0, np.uint8)
+    while a < len(raw):
+        b = min(a + PIECE, len(raw))
+        while b < len(raw) and raw[b] >= 0x80:
+            b += 1
+        x, _ = _folded(raw[a:b], np.array([0, b - a]))
+        if len(before) and before[-1] == 0x20 and x[0] == 0x20:
+            x = x[1:]
+        for k in SIZES:
+            z = np.r_[before[len(before) - min(k - 1, len(before)) :], x]
+            for f, ok in _features(z, np.array([0, len(z)]), (k,)):
+                out += np.bincount(f[ok], minlength=DIM)
+        before = np.r_[before, x][-max(SIZES) :]
+        a = b
+    return out
+
+
+def _counted(text: pa.Array) -> Iterator[np.ndarray]:
+    """_counts() of all rows of a column in turn, some rows at a time, so that memory follows neither the rows of a batch nor a text's length."""
+    for a, b, raw, off in W.runs(text):
+        if len(raw) > PIECE:  # such a row is alone
+            yield _long_counts(raw)[None]
+            continue
+        for i in range(0, b - a, ROWS):
+            o = off[i : min(b - a, i + ROWS) + 1]
+            yield _counts(raw[o[0] : o[-1]], o - o[0])
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for a, b, raw, off in W.runs(batch["text"]):
-            x, off = _folded(raw, off) if len(raw) else (raw, off)
-            count = np.zeros((b - a, DIM), np.float32)
-            for f, ok in _features(x, off):
-                row = np.searchsorted(off, np.arange(len(f)), "right") - 1
-                np.add.at(count, (row[ok], f[ok]), 1)
+        for count in _counted(batch["text"]):
             out += [v.astype(np.float16).tobytes() for v in 1000 * count / np.maximum(1, count.sum(1, keepdims=True))]
         yield pa.RecordBatch.from_arrays([batch["lang"], batch["order"], pa.array(out, pa.binary())], ["lang", "order", "v"])
 
@@ -176,17 +210,9 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 def _apply(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang, score = [], []
-        for a, b, raw, off in W.runs(batch["text"]):
-            total, count = np.zeros((b - a, model.weights.shape[1])), np.zeros(b - a)
-            if len(raw):
-                x, off = _folded(raw, off)
-                for f, ok in _features(x, off):
-                    f = f[: len(ok)]
-                    value = model.weights[f]
-                    value[~ok] = 0
-                    total += _row_sums(value, off)
-                    count += _row_sums(ok.astype(np.float32), off)
-            names, sure = model.predict(total / np.maximum(1, count)[:, None] + model.biases)
+        for count in _counted(batch["text"]):
+            total = count @ model.weights.astype(np.float64)
+            names, sure = model.predict(total / np.maximum(1, count.sum(1))[:, None] + model.biases)
             lang += names
             score += sure.tolist()
         letter = batch["has_letter"].to_pylist()
@@ -203,7 +229,9 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     """For each row of docs: its `keep` columns, lang_pred and score (0 to 1: confidence in the family times that within it).
 
     A null text, and one without any letter, is `und` with score 0; so is every text
-    if the model knows no language.  A very long text is read whole.  Repeated rows each have their result; no rows give
+    if the model knows no language.  A very long text is read whole,
+    a megabyte at a time, so a worker holds a few times its bytes whatever the number of
+    languages.  Repeated rows each have their result; no rows give
     no rows.  Columns outside `keep` but text are left out, so their names can't clash.
     """
     if clash := {"lang_pred", "score", "has_letter"} & set(keep):

@@ -22,6 +22,7 @@ import secrets
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import scratch
 from .common import cut, join_checked, partitions, shared_dir, stored
 
 #: Setting of a session that holds the key.
@@ -100,6 +101,7 @@ def secret_key(spark: SparkSession) -> str:
         out = fs.create(own, False)
         out.write(bytearray(secrets.token_hex(32).encode()))
         out.close()
+        fs.setPermission(own, jvm.org.apache.hadoop.fs.permission.FsPermission("600"))
         if not fs.rename(own, path):  # another run was first
             fs.delete(own, False)
     with_key = fs.open(path)
@@ -281,8 +283,14 @@ def _wide(entity: Column, kind: Column, digest: Column) -> Column:
     return F.when(kind == "email", email).when(kind == "phone", phone).when((kind == "ip") & entity.rlike(r"^(?:10|172|192)\."), private).when(kind == "name", F.concat(title, F.initcap(letters(1)), F.lit(" "), F.initcap(letters(13))))
 
 
-#: Tries in the entity's own form before the wide one.
-TRIES = 4
+def _token(entity: Column, kind: Column, digest: Column) -> Column:
+    """What is left for an entity of a form without a free member: its kind and 24 letters, for names the title and two words."""
+    letters = F.translate(F.substring(digest, 41, 24), "0123456789abcdef", "bcdfghjklmnpqrst")
+    return F.when(kind == "name", F.concat(F.regexp_extract(entity, rf"^((?:{_TITLES})\.? )?", 1), F.initcap(letters))).otherwise(F.concat(kind, F.lit("-"), letters))
+
+
+#: Tries in the entity's own form before the wide one; and before a token of 24 letters, which any number of entities can have.
+TRIES, LAST = 4, 24
 
 
 def surrogate(entity: Column, key: str, step: int = 0) -> Column:
@@ -298,6 +306,8 @@ def surrogate(entity: Column, key: str, step: int = 0) -> Column:
             out = _name(entity, k, step)
             for name, value in own.items():
                 out = F.when(kind == name, value).otherwise(out)
+            if step >= LAST:
+                return _token(entity, kind, d)
             return F.coalesce(_wide(entity, kind, d), out) if step >= TRIES else out
 
         return F.when(is_entity(entity, kind), _let(digest, of)).otherwise(entity)
@@ -322,24 +332,53 @@ def texts_with(docs: DataFrame) -> DataFrame:
     return stored(rows.select(F.sha2("text", 256).alias("text"), F.array_distinct("found").alias("found")), "entities").distinct()
 
 
+def _mark(entity: Column, key: str) -> Column:
+    """A keyed digest, by which an entity's surrogate is found without the entity being written down."""
+    return F.sha2(F.concat(F.lit(f"{key}\u0000"), entity), 256)
+
+
+def _others(docs: DataFrame, key: str) -> DataFrame | None:
+    """(_text, _other): for the texts, by digest, that hold exceptions, a map of these, by keyed digest, to their surrogates; None if there are none.
+
+    The tables of entities that this takes are removed before it returns.
+    """
+    with scratch(docs.sparkSession):
+        texts = texts_with(docs)
+        others = exceptions(texts, key, partitions(docs))
+        if others is None:
+            return None
+        own = texts.select(F.col("text").alias("_text"), F.explode("found").alias("e"))
+        own = own.withColumn("kind", kind_of(F.col("e"))).withColumn("c", canonical(F.col("e"), F.col("kind")))
+        held = join_checked(own, others.select("kind", "c", "step"), ["kind", "c"], "inner")
+        steps = others.groupBy("step").agg(F.count("*").alias("n")).orderBy("step").collect()  # a row a try
+        value = F.col("e")
+        for r in steps:
+            value = F.when(F.col("step") == r.step, surrogate(F.col("e"), key, r.step)).otherwise(value)
+        pair = F.struct(_mark(F.col("e"), key).alias("e"), value.alias("s"))
+        return cut(held.select("_text", pair.alias("x")).groupBy("_text").agg(F.map_from_entries(F.collect_set("x")).alias("_other")))
+
+
 def exceptions(texts: DataFrame, key: str, parts: int) -> DataFrame | None:
-    """(kind, c, step) of the entities that don't have the surrogate of the first try, as it is theirs already or another's; None if there are none."""
+    """(kind, c, step) of the entities that don't have the surrogate of the first try, as it is theirs already or another's; None if there are none.
+
+    What it stores names persons: call it within scratch(), and use its rows there.
+    """
     rows = texts.select(F.explode("found").alias("e")).distinct().withColumn("kind", kind_of(F.col("e"))).filter(is_entity(F.col("e"), F.col("kind")))
     rows = rows.withColumn("c", canonical(F.col("e"), F.col("kind"))).groupBy("kind", "c").agg(F.min("e").alias("e")).repartition(parts, "c")
     rows = rows.withColumn("s", surrogate(F.col("e"), key))
     rows = stored(rows.withColumn("cs", canonical(F.col("s"), F.col("kind"))), "surrogates")
     taken = rows.filter("c <> cs").groupBy("kind", "cs").agg(F.min("c").alias("c"))
-    left = cut(rows.select("kind", "c", "e").join(taken.select("kind", "c"), ["kind", "c"], "left_anti"))
+    left = stored(rows.select("kind", "c", "e").join(taken.select("kind", "c"), ["kind", "c"], "left_anti"), "left")
     done, step = None, 0
     while not left.isEmpty():
         step += 1
         tried = left.withColumn("s", surrogate(F.col("e"), key, step)).withColumn("cs", canonical(F.col("s"), F.col("kind"))).filter("c <> cs")
-        tried = cut(tried.groupBy("kind", "cs").agg(F.min(F.struct("c", "e")).alias("x")).select("kind", "cs", "x.*"))
+        tried = stored(tried.groupBy("kind", "cs").agg(F.min(F.struct("c", "e")).alias("x")).select("kind", "cs", "x.*"), "tried")
         held = taken.select("kind", "cs") if done is None else taken.select("kind", "cs").union(done.select("kind", "cs"))
         new = tried.join(join_checked(held, tried.select("kind", "cs"), ["kind", "cs"], "left_semi"), ["kind", "cs"], "left_anti")
         new = new.select("kind", "c", "cs", F.lit(step).alias("step"))
-        done = cut(new if done is None else done.union(new))
-        left = cut(left.join(done.select("kind", "c"), ["kind", "c"], "left_anti"))
+        done = stored(new if done is None else done.union(new), "done")
+        left = stored(left.join(done.select("kind", "c"), ["kind", "c"], "left_anti"), "left")
     return done
 
 
@@ -348,15 +387,15 @@ def pseudonymise(docs: DataFrame, key: str, keep: tuple[str, ...] = ("doc_id",))
 
     Null texts stay null and empty ones empty, with 0 entities; texts without entities
     stay as they are, byte by byte.  A very long text is one text like any other.
-    Repeated rows each have their result, the same one; no rows give no rows.  Other
+    Repeated rows each have their result, the same one; no rows give no rows.  No entity
+    is left in the shared folder, only keyed digests of those that needed another try.  Other
     columns are left out, so their names can't clash.
     """
     if clash := {"text", "n_entities", "_parts", "_text", "_other"} & set(keep):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")
     if not key:
         raise ValueError("surrogates need a key")
-    texts = texts_with(docs)
-    others = exceptions(texts, key, partitions(docs))
+    others = _others(docs, key)
     # gaps and entities in turn, by one run of the pattern; a text that holds the mark itself is taken apart in two
     mark = "\u0001"
     text = F.col("text")
@@ -368,16 +407,9 @@ def pseudonymise(docs: DataFrame, key: str, keep: tuple[str, ...] = ("doc_id",))
     if others is not None:
         # by text, as rows have no key: the surrogates of its exceptions
         rows = rows.withColumn("_text", F.sha2("text", 256))
-        own = texts.select(F.col("text").alias("_text"), F.explode("found").alias("e"))
-        own = own.withColumn("kind", kind_of(F.col("e"))).withColumn("c", canonical(F.col("e"), F.col("kind")))
-        held = join_checked(own, others.select("kind", "c", "step"), ["kind", "c"], "inner")
-        steps = cut(others.groupBy("step").agg(F.count("*").alias("n"))).orderBy("step").collect()  # a row a try
-        value = F.col("e")
-        for r in steps:
-            value = F.when(F.col("step") == r.step, surrogate(F.col("e"), key, r.step)).otherwise(value)
-        held = cut(held.select("_text", F.struct("e", value.alias("s")).alias("x")).groupBy("_text").agg(F.map_from_entries(F.collect_set("x")).alias("_other")))
-        rows = join_checked(rows, held, "_text", "left")
-        new = lambda e: F.coalesce(F.try_element_at("_other", e), surrogate(e, key))
+        rows = join_checked(rows, others, "_text", "left")
+        known = F.col("_other").isNotNull()
+        new = lambda e: F.coalesce(F.when(known, F.try_element_at("_other", _mark(e, key))), surrogate(e, key))
     put = F.transform("_parts", lambda x, i: F.when(i % 2 == 1, new(x)).otherwise(x))
     n = F.coalesce(F.size(F.filter("_parts", lambda x, i: (i % 2 == 1) & is_entity(x, kind_of(x)))), F.lit(0))
     return rows.select(*keep, F.when(F.size("_parts") > 1, F.array_join(put, "")).otherwise(F.col("text")).alias("text"), n.alias("n_entities"))

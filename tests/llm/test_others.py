@@ -77,6 +77,33 @@ def test_surrogates_are_distinct(spark):
     assert got[9003] == [f"to {first[0]}."] * 2 and got[None] == [f"{first[5]} and {first[0]}"] and got[9001] == ["none"] and got[9002] == [None]
 
 
+def test_form_that_is_used_up(spark):
+    """All members of a form without a wide one: each has a surrogate, and none of another's."""
+    rows = [(i, f"169.254.{i}.{j}") for i in range(1) for j in range(256)] + [(5, "169.254.0.2 169.254.7.7")]
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    one = surrogates.surrogate(F.lit("078-05-1120"), "k", surrogates.LAST)
+    assert re.fullmatch("ssn-[a-z]{24}", own.select(one).first()[0])
+    got = [r.text for r in surrogates.pseudonymise(own, "k").collect()]
+    assert len(set(got)) == len(got) == len(rows)
+
+
+def test_no_entity_is_left_behind(spark, tmp_path):
+    """Neither the entities of the texts nor those that needed another try are on the shared folder after the query."""
+    from pathlib import Path
+
+    from metapep.storage import shared_dir
+
+    rows = [(i, f"u.{i:05d}@example.com") for i in range(150)] + [(700 + i, f"{a}@example.com") for i, a in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    top = Path(shared_dir(spark).removeprefix("file:"))
+    before = {f for f in top.rglob("*") if f.is_file()}
+    got = surrogates.pseudonymise(frame(spark, rows), "k").collect()
+    assert len({r.text for r in got}) == len(rows)
+    left = [f for f in top.rglob("*") if f.is_file() and f not in before]
+    assert left and not any(f.name.endswith(".parquet") for f in left)  # digests and surrogates of second tries
+    data = b"".join(f.read_bytes() for f in left)
+    assert not [t for d, t in rows if d < 700 and t.encode() in data]
+
+
 def test_pseudo_likelihood(spark):
     rng = np.random.default_rng(0)
     rows = [(i, " ".join(f"{a} {a}x {a}y" for a in rng.choice(list("abcdef"), 40))) for i in range(200)] + [(900, None), (901, ""), (902, "."), (903, "a"), (904, "x " * 30_000), (None, "a ax ay"), (0, "a ax ay")]
@@ -305,6 +332,33 @@ def test_recall_of_neighbours(spark, kind):
     assert met >= 0.95 * total
 
 
+def test_language_of_long_texts_in_bounded_memory(spark, monkeypatch):
+    """Pieces give what the whole text gives, and memory follows neither languages nor a text's length."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    text = "".join(rng.choice(list("aÄé ß\nЖz. xΩ€"), 40_000)).encode()
+    raw = np.frombuffer(text, np.uint8)
+    whole = language._counts(raw, np.array([0, len(raw)]))[0]
+    for piece in (97, 1000, 1 << 20):
+        monkeypatch.setattr(language, "PIECE", piece)
+        assert (language._long_counts(raw) == whole).all()
+    monkeypatch.setattr(language, "PIECE", 1 << 20)
+    names = [f"l{k}" for k in range(20)]
+    x = rng.random((60, language.DIM)).astype(np.float16)
+    model = language.Model(x, np.array([names[k % 20] for k in range(60)]))
+    assert len(model.pairs) >= 190
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": ["many words of text " * 2_700_000, "short", None, ""], "has_letter": [True, True, False, False]})
+    assert len(batch["text"][0].as_py()) > 50_000_000
+    tracemalloc.start()
+    (out,) = language._apply([batch], model, ["doc_id"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20 and out["lang_pred"].to_pylist()[0] in names and out["lang_pred"].to_pylist()[2:] == ["und", "und"]
+
+
 def test_mixing(spark):
     rng = np.random.default_rng(3)
     rows = [(i, " ".join(["w"] * int(rng.integers(1, 60))), ["a", "a", "a", "b", "c", None][i % 6]) for i in range(3000)] + [(1, None, "a"), (2, "", "d"), (None, "x y", "b"), (None, "x y", "b")]
