@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import plans
 from .functions import entry_annotations, equate_il, kmers, standard_alphabet, tryptic_digest
-from .operators import aggregates, ancestors, checks, lookup, tables, taxonomy
+from .operators import aggregates, ancestors, checks, dictionary, lookup, tables, taxonomy
 from .operators.numbering import last_by_key, number_rows, union_numbered
 from .plans import builds
 from .ranks import ENTRIES, PROTEOMES, SLOTS
@@ -38,6 +38,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _new_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A name in the catalog and a folder that nothing else has."""
+    own = f"{name}_{uuid.uuid4().hex}"
+    return own, f"{shared_dir(spark).rstrip('/')}/{own}"
+
+
 def _letters(text: Column) -> Column:
     return F.upper(F.regexp_replace(F.coalesce(text, F.lit("")), "[^a-zA-Z]", ""))
 
@@ -175,6 +181,20 @@ def dictionary_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.dictionary_encode(p, _numbered(spark, sf_dir)).select(F.col("peptide_id").alias("doc_id"), "eq_seq_id", "seq_id")
 
 
+_RELEASED = f"(SELECT row_number() OVER (ORDER BY version, sequence) AS id, sequence, version FROM (SELECT sequence, min(version) AS version FROM (SELECT sequence, 1 AS version FROM {_DIGEST} UNION ALL SELECT replace(sequence, 'I', 'L'), 2 FROM {_DIGEST} UNION ALL SELECT upper(p_name), 3 FROM part) GROUP BY sequence))"
+
+
+@_query(f"SELECT CAST(id AS BIGINT) AS id, sequence, CAST(version AS INTEGER) AS version FROM {_RELEASED}")
+def dictionary_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences, then equated ones, then names of parts: three releases of a dictionary whose ids stay."""
+    known = dictionary.Dictionary(spark, _new_table(spark, "dictionary")[1], 16)
+    p = _peptides(spark, sf_dir)
+    known.append(p, "sequence", 1)
+    known.append(p, "eq_sequence", 2)
+    known.append(_table(spark, sf_dir, "part").select(F.upper("p_name").alias("name")), "name", 3)
+    return known.read().select("id", F.col("text").alias("sequence"), F.col("release").alias("version"))
+
+
 def _fa(key: Column) -> Column:
     return F.when(key % 4 == 0, "").otherwise(F.concat(F.lit("GO:"), (key % 5).cast("string")))
 
@@ -409,12 +429,6 @@ def dense_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_rows(_table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")
 
 
-def _new_table(spark: SparkSession, name: str) -> tuple[str, str]:
-    """A name in the catalog and a folder that nothing else has."""
-    own = f"{name}_{uuid.uuid4().hex}"
-    return own, f"{shared_dir(spark).rstrip('/')}/{own}"
-
-
 @_query(f"""WITH k AS MATERIALIZED ({ORACLES["kmer9_lca"]}) SELECT o_orderkey, o_kmer AS kmer, lca FROM (SELECT o_orderkey, substring(s, 1 + CAST(o_custkey % greatest(1, len(s) - 8) AS INTEGER), 9) AS o_kmer
 FROM orders JOIN (SELECT doc_id, {_STANDARD} AS s FROM documents) ON o_orderkey = doc_id) LEFT JOIN k ON kmer = o_kmer""")
 def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

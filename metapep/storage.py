@@ -56,8 +56,24 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
 
 
 def remove(spark: SparkSession, path: str) -> None:
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.exists(where)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it isn't there."""
+    fs, where = _hadoop(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
 
 
 @contextmanager

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from metapep import plans, storage
 from metapep import sql as functions_sql
 from metapep.functions import document_json, entry_annotations, equate_il, kmers, metadata_cut, peptide_annotations, standard_alphabet, tryptic_digest, validity_byte
-from metapep.operators import aggregates, ancestors, checks, lookup, numbering, packed, tables, taxonomy
+from metapep.operators import aggregates, ancestors, checks, dictionary, lookup, numbering, packed, tables, taxonomy
 from metapep.operators.numbering import last_by_key, number_rows, union_numbered
 from metapep.plans import builds
 from metapep.ranks import LINEAGES, RANKS, SLOTS, TAXONS
@@ -290,6 +290,31 @@ def test_posting_blocks(spark):
         assert sorted(r.id for r in lookup.search_blocks(blocks, text, "id").collect()) == want
 
 
+def test_dictionary_grows(spark, tmp_path):
+    """Known strings keep their ids, a release is made once, and a new session finds it."""
+
+    def words(*own):
+        return spark.createDataFrame([(w,) for w in own], "w string")
+
+    one = dictionary.Dictionary(spark, str(tmp_path / "d"), 4)
+    assert one.releases() == [] and one.read().count() == 0
+    assert sorted(map(tuple, one.append(words("b", "d", "b", None, "ü"), "w", 1).collect())) == [(1, "b"), (2, "d"), (3, "ü")]
+    assert sorted(map(tuple, one.append(words("a", "d", "z", "", "ü"), "w", 3).collect())) == [(4, ""), (5, "a"), (6, "z")]
+    assert sorted(map(tuple, one.append(words("never"), "w", 3).collect())) == [(4, ""), (5, "a"), (6, "z")]  # it is there
+    with pytest.raises(ValueError, match="older"):
+        one.append(words("x"), "w", 2)
+    assert one.append(words("a", "b"), "w", 4).count() == 0 and one.releases() == [1, 3, 4]
+    assert sorted(map(tuple, one.read(1).collect())) == [(1, "b", 1), (2, "d", 1), (3, "ü", 1)]
+    for t in spark.catalog.listTables():
+        if t.name.startswith("dictionary_"):
+            spark.sql(f"DROP TABLE {t.name}")  # what a new session knows: nothing; the files are not the catalog's
+    again = dictionary.Dictionary(spark, str(tmp_path / "d"), 4)
+    rows = spark.createDataFrame([(k, w) for k, w in enumerate(["a", "b", "a", None, "?", "z"])], "k int, w string")
+    assert [r.id for r in again.encode(rows, "w").orderBy("k").collect()] == [5, 1, 5, None, None, 6]
+    assert [r.n for r in again.encode(rows, "w", "n", 1).orderBy("k").collect()] == [None, 1, None, None, None, None]
+    assert [r.id for r in again.append(words("0", "a"), "w", 5).collect()] == [7]
+
+
 def test_histogram(spark):
     rows = spark.createDataFrame([(1, "GO:1;EC:1.1.1.1;IPR:IPR1"), (1, "GO:1;GO:1"), (1, ""), (2, ""), (3, None)], "id int, fa string")
     got = aggregates.histogram_json(aggregates.term_histogram(rows, "id", "fa"), "id").collect()
