@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import plans
+from . import plans, streaming
 from .functions import entry_annotations, equate_il, kmers, standard_alphabet, tryptic_digest
 from .operators import aggregates, ancestors, checks, dictionary, lookup, tables, taxonomy
 from .operators.numbering import last_by_key, number_rows, union_numbered
@@ -476,14 +476,15 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in parts])
 
 
-def _flat_record() -> Column:
+def _flat_record(version: Column | None = None) -> Column:
     """A supplier as a flat-file record with its end."""
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    version = k % 40 if version is None else version
     database = F.when(k % 2 == 0, "UniProtKB/Swiss-Prot.").otherwise("UniProtKB/TrEMBL.")
     # names: preferred, submitted, of a domain
     described = F.when(k % 3 == 0, _text("SubName: Full=Sub ", k, " {ECO:1};\nDE   Flags: Fragment;")).when(k % 3 == 1, _text("RecName: Full=", F.col("s_name"), ";\nDE     EC=1.2.3.", k % 9, ";\nDE   Includes:\nDE     RecName: Full=Domain ", k, ";")).otherwise(_text("RecName: Full=", F.col("s_name"), ";"))
     references = _text("DR   Proteomes; UP", F.lpad(n.cast("string"), 9, "0"), "; x.\nDR   GO; GO:", F.lpad(k.cast("string"), 7, "0"), "; P:x.\nDR   InterPro; IPR", F.lpad((k % 50).cast("string"), 6, "0"), "; x.")
-    return _text("ID   X\nAC   A", k, ";\nDT   01-JAN-2000, integrated into ", database, "\nDT   01-JAN-2000, sequence version 1.\nDT   01-JAN-2000, entry version ", k % 40, ".\nDE   ", described, "\nOX   NCBI_TaxID=", n + 100, ";\n", references, "\nSQ   SEQUENCE\n     ", F.repeat(F.lit("ACDEFGHIKL"), (k % 13 + 1).cast("int")), "\n//")
+    return _text("ID   X\nAC   A", k, ";\nDT   01-JAN-2000, integrated into ", database, "\nDT   01-JAN-2000, sequence version 1.\nDT   01-JAN-2000, entry version ", version, ".\nDE   ", described, "\nOX   NCBI_TaxID=", n + 100, ";\n", references, "\nSQ   SEQUENCE\n     ", F.repeat(F.lit("ACDEFGHIKL"), (k % 13 + 1).cast("int")), "\n//")
 
 
 def _written(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -526,6 +527,18 @@ def flatfile_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.entry_table(entries, _taxa(spark, sf_dir, "region", "nation"), builds.ORDER).select("id", "accession", "name")
 
 
+@_query(f"SELECT accession, CAST(s_suppkey % 40 + CASE WHEN s_suppkey % 2 = 0 THEN 2 ELSE 1 END AS VARCHAR) AS version, taxon_id, name FROM {_BUILT}")
+def streamed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of two streams of flat files, restarted between them: the second brings newer versions of some and older ones of others."""
+    top = _new_table(spark, "stream")[1]
+    k = F.col("s_suppkey")
+    suppliers = _table(spark, sf_dir, "supplier")
+    for version in (k % 40 + 1, k % 40 + F.when(k % 2 == 0, 2).otherwise(0)):
+        suppliers.select(_flat_record(version).alias("value")).write.mode("append").text(f"{top}/in")
+        streaming.upsert_entries(streaming.read_entry_stream(spark, f"{top}/in"), f"{top}/out", f"{top}/state", snapshot_every=2).awaitTermination()
+    return streaming.current_entries(spark, f"{top}/out").select("accession", "version", "taxon_id", "name")
+
+
 @_query(f"SELECT accession, version, taxon_id, type, name, sequence, fa FROM {_BUILT}")
 def built_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of the whole build: flat files, plain and compressed, and dumps in, tables of compressed text out and read back."""

@@ -24,6 +24,11 @@ DATABASES = (("UniProtKB/Swiss-Prot.", "swissprot"), ("UniProtKB/TrEMBL.", "trem
 PLACE = ("file", "block", "at")
 
 
+def piece_value() -> Column:
+    """The text of a piece that a reader with line ends of LF and a slash gives as `value`: without the end's second slash and line end, and with lines ending in LF."""
+    return F.regexp_replace(F.regexp_replace("value", "\r(?=\n|$)", ""), "^/\n?", "")
+
+
 def scan_pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, block, at, value): the text between ends, lines ending in LF; read lazily, and in one pass.
 
@@ -31,8 +36,7 @@ def scan_pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     rows = spark.read.option("lineSep", "\n/").text(path)
     meta = F.col("_metadata")
-    value = F.regexp_replace(F.regexp_replace("value", "\r(?=\n|$)", ""), "^/\n?", "")
-    return rows.select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), value.alias("value"))
+    return rows.select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), piece_value().alias("value"))
 
 
 def without_tails(pieces: DataFrame) -> DataFrame:

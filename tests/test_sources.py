@@ -176,12 +176,50 @@ def test_nodes_need_names(spark):
     assert [r[0] for r in ranks.select(taxdump.rewritten_rank(F.col("r"))).collect()] == ["no rank", "domain", "no rank", "genus"]
 
 
-def test_stream(spark, tmp_path):
+def entry(accession: str, version: int, name: str = "P") -> str:
+    return RECORD.replace("Q7ZZ01", accession).replace("version 17", f"version {version}").replace("Invented xylose carrier", name) + "\n//\n"
+
+
+def run(spark, tmp_path, seen, **k):
+    q = upsert_entries(read_entry_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"), then=lambda rows, n: seen.append((n, sorted((r.accession, int(r.version)) for r in rows.collect()))), **k)
+    q.awaitTermination(300)
+    assert q.exception() is None
+
+
+def state(spark, tmp_path):
+    return sorted((r.accession, int(r.version), r.name) for r in current_entries(spark, str(tmp_path / "out")).collect())
+
+
+def test_stream_passes_on_changes_only(spark, tmp_path):
+    """New, changed, same, older and malformed entries over restarts; batches out of order; snapshots."""
+    (tmp_path / "in").mkdir()
+    seen: list = []
+    (tmp_path / "in/a.dat").write_text(entry("A1", 5) + entry("A2", 7) + "broken\n//\n" + entry("A1", 6) + entry("A9", 1)[:-4])
+    run(spark, tmp_path, seen, snapshot_every=2)
+    (tmp_path / "in/b.dat").write_bytes((entry("A1", 6) + entry("A2", 6, "older") + entry("A3", 1)).replace("\n", "\r\n").encode())
+    run(spark, tmp_path, seen, snapshot_every=2)
+    (tmp_path / "in/c.dat").write_text(entry("A3", 1, "renamed") + entry("A2", 8))
+    run(spark, tmp_path, seen, snapshot_every=2)
+    run(spark, tmp_path, seen, snapshot_every=2)  # nothing new
+    assert seen == [(0, [("A1", 6), ("A2", 7)]), (1, [("A3", 1)]), (2, [("A2", 8), ("A3", 1)])]
+    assert state(spark, tmp_path) == [("A1", 6, "P"), ("A2", 8, "P"), ("A3", 1, "renamed")]
+    bad = spark.read.parquet(str(tmp_path / "out/quarantine"))
+    assert sorted((r.error, r.value.split("\n")[0]) for r in bad.collect()) == [("no AC line", "broken"), ("no end", RECORD.split("\n")[0])]
+    assert [f.name for f in (tmp_path / "out/snapshots").iterdir()] == ["batch=1"]
+
+
+def test_stream_batch_runs_again(spark, tmp_path):
+    """A batch whose commit was lost, after its snapshot was made, gives the same changes and state."""
     (tmp_path / "in").mkdir()
-    (tmp_path / "in/a.dat").write_text(f"{RECORD}\n//\nbroken\n//\n")
-    for k in range(2):
-        q = upsert_entries(read_entry_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"))
-        q.awaitTermination(120)
-        (tmp_path / "in/b.dat").write_text(RECORD.replace("version 17", "version 18") + "\n//\n")
-    rows = current_entries(spark, str(tmp_path / "out")).collect()
-    assert [(r.accession, r.version) for r in rows] == [("Q7ZZ01", "18")]
+    seen: list = []
+    for k, text in enumerate([entry("A1", 1) + entry("A2", 1), entry("A1", 2), entry("A2", 3), entry("A1", 2, "same version")]):
+        (tmp_path / f"in/{k}.dat").write_text(text)
+        run(spark, tmp_path, seen, snapshot_every=1)
+        before = state(spark, tmp_path)
+        (tmp_path / f"state/commits/{k}").unlink()
+        (tmp_path / f"state/commits/.{k}.crc").unlink(missing_ok=True)
+        run(spark, tmp_path, seen, snapshot_every=1)
+        assert seen[-1] == seen[-2] and state(spark, tmp_path) == before
+    assert before == [("A1", 2, "same version"), ("A2", 3, "P")]
+    kept = {kind: sorted(f.name for f in (tmp_path / "out" / kind).iterdir()) for kind in ("snapshots", "changes")}
+    assert kept == {"snapshots": ["batch=2", "batch=3"], "changes": ["batch=3"]}
