@@ -8,12 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ranks import INDEX, LINEAGES
+from ..ranks import ENTRIES, INDEX, LINEAGES
 from ..sources import flatfile
 from ..sources.ontologies import reference_proteomes
+from ..sources.search_sink import bulk_load
 from ..sources.taxdump import read_taxa
 from ..sources.tsv import read_tsv, write_tsv
-from . import check_sources, have, kmer_index, suffix_array_tables, tryptic_tables
+from . import check_sources, have, kmer_index, search_documents, suffix_array_tables, tryptic_tables
 
 #: Columns that put the entries of read_entries() in order.
 ORDER = ["database", *flatfile.PLACE]
@@ -90,3 +91,15 @@ def replace_search_index(client, alias: str, version: str, load) -> str:
         raise
     client.point(alias, name)
     return name
+
+
+def build_search_index(spark: SparkSession, entries: str, connect, alias: str, version: str, batch: int = 2500, as_text: bool = False, tries: int = 6, wait: float = 0.5) -> str:
+    """From a written table of entries to an alias that names their search index; the index's name.
+
+    connect() gives a client with create, point and drop, as replace_search_index() takes
+    it, and bulk and count, as bulk_load() does.  If anything fails, the alias still
+    names the index before.
+    """
+    have(spark, entries)
+    documents = search_documents(read_tsv(spark, entries, ENTRIES), as_text)
+    return replace_search_index(connect(), alias, version, lambda name: bulk_load(documents, connect, name, batch, tries, wait))

@@ -223,3 +223,91 @@ def test_stream_batch_runs_again(spark, tmp_path):
     assert before == [("A1", 2, "same version"), ("A2", 3, "P")]
     kept = {kind: sorted(f.name for f in (tmp_path / "out" / kind).iterdir()) for kind in ("snapshots", "changes")}
     assert kept == {"snapshots": ["batch=2", "batch=3"], "changes": ["batch=3"]}
+
+
+class Shelf:
+    """A search service in a folder: an index is a folder, a document a file; some requests fail."""
+
+    def __init__(self, top, broken=()):
+        self.top, self.broken = str(top), broken
+
+    def __call__(self):
+        return self
+
+    def _path(self, *names):
+        import os
+
+        return os.path.join(self.top, *names)
+
+    def create(self, name, mapping):
+        import os
+
+        os.makedirs(self._path(name))
+
+    def drop(self, name):
+        import shutil
+
+        shutil.rmtree(self._path(name))
+
+    def point(self, alias, name):
+        with open(self._path(f"{alias}.alias"), "w") as f:
+            f.write(name)
+
+    def count(self, name):
+        import os
+
+        return len(os.listdir(self._path(name)))
+
+    def bulk(self, text):
+        import json
+        import os
+
+        lines, rejected = text.rstrip("\n").split("\n"), []
+        for head, body in zip(lines[::2], lines[1::2]):
+            at = json.loads(head)["index"]
+            if at["_id"] in self.broken:
+                rejected.append(at["_id"])
+                continue
+            first = self._path(f"seen-{at['_id']}")
+            if int(at["_id"][1:]) % 5 == 0 and not os.path.exists(first):  # too busy for some
+                open(first, "w").close()
+                rejected.append(at["_id"])
+                continue
+            with open(self._path(at["_index"], at["_id"]), "w") as f:
+                f.write(body)
+            if int(at["_id"][1:]) % 7 == 0 and not os.path.exists(f"{first}-lost"):  # the answer is lost on its way
+                open(f"{first}-lost", "w").close()
+                raise ConnectionError("lost")
+        return rejected
+
+
+def test_search_index_from_table_to_alias(spark, tmp_path):
+    """Rejected documents and lost answers are sent again; nothing is lost or doubled; a failure leaves the alias."""
+    import json
+
+    from metapep.plans import builds
+    from metapep.ranks import ENTRIES
+    from metapep.sources.search_sink import SearchWriter, _Load
+
+    rows = [(k, f"P{k % 60}", str(k % 9), k, "swissprot", f'na"me {k}', "ACD", "") for k in range(1, 101)]
+    tsv.write_tsv(spark.createDataFrame(rows, ENTRIES).repartition(4), str(tmp_path / "entries"), compression="gzip")
+    (tmp_path / "s").mkdir()
+    shelf = Shelf(tmp_path / "s")
+    name = builds.build_search_index(spark, str(tmp_path / "entries"), shelf, "entries", "2024.01", batch=7, wait=0.001)
+    assert (tmp_path / "s/entries.alias").read_text() == name == "entries-2024-01"
+    held = {f.name: json.loads(f.read_text()) for f in (tmp_path / "s" / name).iterdir()}
+    want = {a: i for i, a, *_ in rows}  # the row with the largest id
+    assert {a: d["taxon_id"] for a, d in held.items()} == want and held["P3"]["name"] == 'na"me 63'
+    bad = Shelf(tmp_path / "s", broken=("P11",))
+    with pytest.raises(Exception, match="not taken after 3 tries"):
+        builds.build_search_index(spark, str(tmp_path / "entries"), bad, "entries", "2024.02", wait=0.001, tries=3)
+    assert (tmp_path / "s/entries.alias").read_text() == name and not (tmp_path / "s/entries-2024-02").exists()
+    # a task that runs again replaces what it has loaded
+    shelf.create("again", {})
+    writer = SearchWriter(_Load(shelf, "again", 3, 6, 0.001))
+    documents = spark.createDataFrame([(f"P{k}", "{}") for k in range(10)], "accession string, document string").collect()
+    messages = [writer.write(iter(documents)) for _ in range(2)]
+    assert [m.documents for m in messages] == [10, 10] and messages[1].requests == 4 and shelf.count("again") == 10
+    writer.commit(messages[:1])
+    with pytest.raises(RuntimeError, match="holds 10 documents of 20"):
+        writer.commit(messages)
