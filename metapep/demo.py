@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import plans, streaming
+from . import plans, sql, streaming
 from .functions import entry_annotations, equate_il, kmers, standard_alphabet, tryptic_digest
 from .operators import aggregates, ancestors, checks, dictionary, lookup, tables, taxonomy
 from .operators.numbering import last_by_key, number_rows, union_numbered
@@ -233,6 +233,15 @@ def tryptic_index_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.tryptic_index(_sequence_table(spark, sf_dir), compat_drop_n=True)
 
 
+@_query(ORACLES["tryptic_index"])
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tryptic index in SQL: a table function for peptides, one for lineages, and the common ancestor as an aggregate."""
+    sql.register(spark, {"lineages": taxonomy.lineage_table(taxonomy.with_paths(_taxa(spark, sf_dir, "region", "nation", "customer")))})
+    _sequences(spark, sf_dir).createOrReplaceTempView("proteins")
+    return spark.sql("""SELECT p.peptide AS sequence, lca(collect_set(l.cells)) AS taxon_id FROM proteins, LATERAL peptide_rows(proteins.sequence, 5, 50) p
+    JOIN lineage_table() l ON l.taxon_id = CAST(proteins.doc_id % 150 + 10000001 AS INT) GROUP BY p.peptide""")
+
+
 _COLLAPSED = "(SELECT l_partkey, string_agg(CAST(l_orderkey AS VARCHAR), ';' ORDER BY CAST(l_orderkey AS VARCHAR)) AS accessions FROM lineitem GROUP BY l_partkey)"
 
 

@@ -11,17 +11,17 @@ from .numbering import number_rows
 
 # Taxa and parts of names that make a taxon invalid.
 INVALID_IDS = (28384, 48479, 1869227)
-_ANYWHERE = ("enrichment culture", "mixed culture", "uncultured", "unidentified", "unspecified", "undetermined", "sample")
-_AT_END = ("metagenome", "library")
+INVALID_ANYWHERE = ("enrichment culture", "mixed culture", "uncultured", "unidentified", "unspecified", "undetermined", "sample")
+INVALID_AT_END = ("metagenome", "library")
 
 
 def self_valid(id_: Column, name: Column, rank: Column) -> Column:
     """Whether a taxon is valid but for its ancestors."""
     vague = (name.rlike(r"\p{Nd}") & ~name.contains("virus")) | name.endswith(" sp.") | name.endswith(" genomosp.") | name.contains(" bacterium")
     bad = (rank == "species") & vague
-    for x in _ANYWHERE:
+    for x in INVALID_ANYWHERE:
         bad = bad | name.contains(x)
-    for x in _AT_END:
+    for x in INVALID_AT_END:
         bad = bad | name.endswith(x)
     return ~(bad | id_.isin(*INVALID_IDS))
 

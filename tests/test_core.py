@@ -415,6 +415,33 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT count(*) FROM numbers").first()[0] == 3
 
 
+def test_sql_tables_and_aggregates(spark, built, tmp_path):
+    """Table functions, aggregates over lists, and functions over views, against the operators."""
+    record = "AC   Q1;\nDT   01-JAN-2000, integrated into UniProtKB/TrEMBL.\nDT   x.\nDT   01-JAN-2000, entry version 3.\nOX   NCBI_TaxID=562;\nSQ   x\n     ACDK\n//\n"
+    (tmp_path / "a.dat").write_text(record)
+    functions_sql.register(spark, {"lineages": built["lineages"], "taxons": built["taxons"]}, str(tmp_path))
+    assert [tuple(r) for r in spark.sql("SELECT accession, taxon_id, sequence FROM parse_flatfile()").collect()] == [("Q1", 562, "ACDK")]
+    assert {r.id for r in spark.sql("SELECT id FROM validate_taxa() WHERE NOT valid").collect()} == {28384, 900001, 900003, 900004}
+    bad = spark.sql("SELECT id FROM taxons WHERE NOT self_valid(id, name, rank)").collect()
+    assert {r.id for r in bad} == {28384, 900001, 900003}
+    got = spark.sql("SELECT lca(collect_set(cells)) AS a, count(*) AS n FROM lineage_table() WHERE taxon_id IN (562, 900005)").first()
+    assert tuple(got) == (561, 2) and spark.sql("SELECT lca(collect_set(cells)) FROM lineage_table() WHERE taxon_id IN (543, 83333, 900001)").first()[0] == 562
+    assert spark.sql("SELECT lca(collect_set(cells)) FROM lineage_table() WHERE taxon_id = 0").first()[0] == 1
+    long = "".join(random.Random(1).choices("ACDEFGHIKLMNPQRSTVWY", k=700))
+    spark.createDataFrame([(1, long), (2, "AC"), (3, None)], "id int, s string").createOrReplaceTempView("proteins")
+    rows = spark.sql("SELECT id, place, kmer FROM proteins, LATERAL kmer_rows(s, 9) k").collect()
+    assert sorted((r.place, r.kmer) for r in rows) == [(i, long[i : i + 9]) for i in range(692)]
+    peptides = spark.sql("SELECT p.* FROM proteins, LATERAL peptide_rows(s, 5, 50) p").collect()
+    assert [r.peptide for r in sorted(peptides)] == spark.range(1).select(tryptic_digest(F.lit(long))).first()[0] and all(r.equated == r.peptide.replace("I", "L") for r in peptides)
+    terms = ["GO:1;EC:1.1.1.1;IPR:IPR1", "GO:1;GO:1", "", 'q"x']
+    spark.createDataFrame([(1, t) for t in terms], "k int, fa string").createOrReplaceTempView("terms")
+    want = aggregates.histogram_json(aggregates.term_histogram(spark.table("terms"), "k", "fa"), "k").first().fa
+    assert spark.sql("SELECT term_histogram(collect_list(fa)) FROM terms").first()[0] == want
+    assert spark.sql("SELECT term_histogram(collect_list('')) FROM terms").first()[0] is None
+    assert spark.sql("SELECT collapse(collect_list(fa)) FROM terms WHERE fa > 'H'").first()[0] == 'q"x'
+    assert [tuple(r) for r in spark.sql("SELECT * FROM number_rows(array('b', 'a', 'b', 'ü'))").collect()] == [(1, "a"), (2, "b"), (3, "ü")]
+
+
 def test_terms_that_json_must_escape(spark):
     rows = spark.createDataFrame([(1, 'GO:"x";EC:\\'), (1, "GO:2"), (2, ""), (2, None)], "id int, fa string")
     got = aggregates.histogram_json(aggregates.term_histogram(rows, "id", "fa"), "id").collect()
