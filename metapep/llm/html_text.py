@@ -189,8 +189,8 @@ def read_page(html: str) -> Page:
     return Page(blocks, up, parents, names, marks)
 
 
-def _comments(page: Page, weight: list[int]) -> set[int]:
-    """Elements that hold readers' comments, by their shape: two or more siblings of one kind, each with a byline and a text of its own; the sibling group's parent, where they are most of its text."""
+def _comments(page: Page, weight: list[int], live: int) -> set[int]:
+    """Elements that hold readers' comments, by their shape: two or more siblings of one kind, each with a byline and a text of its own; the sibling group's parent, where they are most of its text.  Siblings that hold most of the page's text are its posts."""
     n = len(page.parents)
     lines, bodies = [0] * n, [0] * n
     for b in page.blocks:
@@ -207,7 +207,7 @@ def _comments(page: Page, weight: list[int]) -> set[int]:
             groups.setdefault((page.parents[e], page.names[e]), []).append(e)
     out: set[int] = set()
     for (up, _), items in groups.items():
-        if len(items) >= 2:
+        if len(items) >= 2 and sum(weight[e] for e in items) < HOLDS * live:
             out.update(items)
             if page.names[up] not in ("", "html", "body", *_MAIN) and 2 * sum(weight[e] for e in items) >= weight[up]:
                 out.add(up)
@@ -230,7 +230,7 @@ def priors(page: Page) -> list[float]:
         never[e] = never[up] or page.marks[e] == 2
         in_main[e] = in_main[up] or (e if page.names[e] in _MAIN and not never[e] else 0)
     live = sum(w for e, w in enumerate(own) if not never[e])
-    comments = _comments(page, weight)
+    comments = _comments(page, weight, live)
     # where a main element holds half of the text, articles outside of it are none of it
     only = {e for e in range(1, n) if page.names[e] == "main" and in_main[e] == e and 2 * weight[e] >= live}
     in_main = [e if not only or e in only else 0 for e in in_main]
