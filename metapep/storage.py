@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -18,7 +19,8 @@ from pyspark.sql import types as T
 #: Most bytes of a side that is sent to every executor; above, Spark joins by shuffle.
 BROADCAST_BYTES = 8 << 20
 
-_SCRATCH: list[list[str]] = []
+#: By thread, so that jobs of other threads (batches of a stream, say) keep theirs apart.
+_SCRATCH = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,8 +52,8 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if _SCRATCH and not keep:
-        _SCRATCH[-1].append(path)
+    if (open_ := getattr(_SCRATCH, "open", None)) and not keep:
+        open_[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -79,11 +81,11 @@ def listed(spark: SparkSession, path: str) -> list[str]:
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables that stored() writes inside are removed at the end; lazy results that read them must have been written by then."""
-    _SCRATCH.append([])
+    _SCRATCH.open = [*getattr(_SCRATCH, "open", []), []]
     try:
         yield
     finally:
-        for path in _SCRATCH.pop():
+        for path in _SCRATCH.open.pop():
             remove(spark, path)
 
 
