@@ -250,13 +250,20 @@ def collapse_proteomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.collapse(_table(spark, sf_dir, "lineitem"), "l_partkey", "l_orderkey", "accessions")
 
 
-@_query(f"""SELECT row_number() OVER (ORDER BY upid) AS id, upid, organism_id, protein_count, accessions FROM (
-SELECT 'UP' || p_partkey AS upid, p_size AS organism_id, CAST(p_partkey % 7 AS INTEGER) AS protein_count, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE coalesce(accessions, '') END AS accessions FROM part LEFT JOIN {_COLLAPSED} ON l_partkey = p_partkey WHERE p_partkey % 2 = 0)""")
+@_query("""SELECT row_number() OVER (ORDER BY upid) AS id, upid, organism_id, protein_count, accessions FROM (
+SELECT 'UPC' || c_custkey AS upid, CAST(c_nationkey AS INTEGER) AS organism_id, CAST(c_custkey AS INTEGER) AS protein_count, coalesce(accessions, '') AS accessions FROM customer LEFT JOIN (SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ';' ORDER BY CAST(o_orderkey AS VARCHAR)) AS accessions FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey
+UNION ALL SELECT 'UPP' || p_partkey, CAST(p_size AS INTEGER), CAST(p_partkey AS INTEGER), '' FROM part)""")
 def reference_proteomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with an even key are reference proteomes; those divisible by five have no entries."""
-    rows = _table(spark, sf_dir, "lineitem").filter("l_partkey % 5 <> 0").select(F.concat(F.lit("UP"), F.col("l_partkey")).alias("upid"), F.col("l_orderkey").cast("string").alias("accession"))
-    reference = _table(spark, sf_dir, "part").filter("p_partkey % 2 = 0").select(F.concat(F.lit("UP"), F.col("p_partkey")).alias("upid"), F.col("p_size").cast("int").alias("organism_id"), (F.col("p_partkey") % 7).cast("int").alias("protein_count"))
-    return tables.proteome_table(rows, reference)
+    """Customers, whose orders are entries, and parts, which have none, are reference proteomes; suppliers have entries and are none."""
+
+    def rows(table: str, kind: str, key: str, value: str) -> DataFrame:
+        return _table(spark, sf_dir, table).select(F.concat(F.lit(kind), F.col(key)).alias("upid"), F.col(value).cast("string").alias("accession"))
+
+    def references(table: str, kind: str, key: str, organism: str) -> DataFrame:
+        return _table(spark, sf_dir, table).select(F.concat(F.lit(kind), F.col(key)).alias("upid"), F.col(organism).cast("int").alias("organism_id"), F.col(key).cast("int").alias("protein_count"))
+
+    listed = rows("orders", "UPC", "o_custkey", "o_orderkey").union(rows("lineitem", "UPS", "l_suppkey", "l_orderkey"))
+    return tables.proteome_table(listed, references("customer", "UPC", "c_custkey", "c_nationkey").union(references("part", "UPP", "p_partkey", "p_size")))
 
 
 @_query(f"SELECT id, name, CASE WHEN rank = 'genus' THEN 'no rank' ELSE rank END AS rank, parent_id FROM {_TAXA}")
