@@ -594,3 +594,20 @@ def search_saved_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = lookup.posting_blocks(lookup.inverted_index(_taxa(spark, sf_dir), "id", "name", "rank"), "id")
     name, path = _new_table(spark, "words")
     return lookup.search_blocks(plans.write_index(blocks, name, "token", 16, path), "GENUS simplex", "id")
+
+
+@_query(ORACLES["built_index"])
+def built_lz4_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tryptic index of the whole build, its tables written in LZ4 frames and read back by runs of blocks."""
+    p = _written(spark, sf_dir)
+    made = builds.build_tryptic_tables(spark, _flatfiles(p), p["nodes"], p["names"], p["out"], compression="lz4")
+    return builds.read_index(spark, made["index"], "lz4")
+
+
+@_query("SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_partkey, l_suppkey, l_returnflag || '-' || l_linestatus AS status FROM lineitem")
+def lz4_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as a table in LZ4 frames."""
+    status = _text(F.col("l_returnflag"), "-", F.col("l_linestatus"))
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_partkey", "l_suppkey", status.alias("status"))
+    path = builds.write_tables({"lines": rows}, _new_table(spark, "lz4")[1], "lz4")["lines"]
+    return tsv.read_tsv(spark, path, rows.schema, compression="lz4")

@@ -36,7 +36,7 @@ def read_entries(spark: SparkSession, flatfiles: Mapping[str, str], sources: str
 
 
 def write_tables(tables: Mapping[str, DataFrame], out: str, compression: str | None = "gzip") -> dict[str, str]:
-    """Every table as tab-separated text under out/<name>; paths by name."""
+    """Every table as tab-separated text under out/<name>, by Spark's compressions or in LZ4 frames ("lz4"); paths by name."""
     for name, df in tables.items():
         write_tsv(df, f"{out}/{name}", compression=compression)
     return {name: f"{out}/{name}" for name in tables}
@@ -58,15 +58,15 @@ def build_tryptic_tables(spark: SparkSession, flatfiles: Mapping[str, str], node
 
 
 def build_kmer_index(spark: SparkSession, flatfiles: Mapping[str, str], lineages: str, out: str, k: int = 9, sources: str = "swissprot,trembl", compression: str | None = "gzip") -> dict[str, str]:
-    """The k-mer index over a written table of lineages; paths by name."""
+    """The k-mer index over a written table of lineages, compressed likewise; paths by name."""
     have(spark, lineages)
-    index = kmer_index(read_entries(spark, flatfiles, sources), read_tsv(spark, lineages, LINEAGES), k)
+    index = kmer_index(read_entries(spark, flatfiles, sources), read_tsv(spark, lineages, LINEAGES, compression=compression), k)
     return write_tables({"index": index.select(F.col("kmer").alias("sequence"), F.col("lca").alias("taxon_id"))}, out, compression)
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
+def read_index(spark: SparkSession, path: str, compression: str | None = None) -> DataFrame:
     """(sequence, taxon_id) of a written index."""
-    return read_tsv(spark, path, INDEX)
+    return read_tsv(spark, path, INDEX, compression=compression)
 
 
 #: Text and keyword fields of a search document; an accession is looked up, names are searched.

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import validity_byte
+from . import lz4
+
 
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False, compression: str | None = None) -> DataFrame:
+    """Rows of the schema; empty text fields stay empty, and a number that is none is an error.
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False) -> DataFrame:
-    """Rows of the schema; empty text fields stay empty, and a number that is none is an error.  Spark's reader also unpacks gzip, bzip2 and zstandard."""
+    Spark's reader knows gzip, bzip2 and zstandard by their names; compression "lz4" is for
+    LZ4 frames, without a header.
+    """
+    if header and compression == "lz4":
+        raise ValueError("tables in LZ4 frames have no header")
     if header:
         df = spark.read.csv(path, schema=schema, sep="\t", header=True, quote="", escape="", nullValue="\\N", emptyValue="", mode="FAILFAST")
         return df.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in schema])
@@ -25,11 +29,12 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType, header: bool
             return F.when(x == "\u0001", True).when(x == "\u0000", False).alias(f.name)
         return x.cast(f.dataType).alias(f.name)
 
-    return spark.read.text(path).select(*[cell(k, f) for k, f in enumerate(schema)])
+    lines = lz4.read_lines(spark, path) if compression == "lz4" else spark.read.text(path)
+    return lines.select(*[cell(k, f) for k, f in enumerate(schema)])
 
 
 def write_tsv(df: DataFrame, path: str, compression: str | None = None, mode: str = "errorifexists") -> None:
-    """One row a line: arrays joined by semicolons, booleans as control characters, nulls as \\N."""
+    """One row a line: arrays joined by semicolons, booleans as control characters, nulls as \\N; compression is Spark's, or "lz4" for LZ4 frames that read_tsv() splits."""
 
     def cell(name: str, kind: str):
         if kind.startswith("array"):
@@ -38,26 +43,7 @@ def write_tsv(df: DataFrame, path: str, compression: str | None = None, mode: st
 
     cells = [F.coalesce(cell(n, k), F.lit("\\N")) for n, k in df.dtypes]
     lines = df.select(F.concat_ws("\t", *cells).alias("value"))
+    if compression == "lz4":
+        lz4.write_lines(lines, path, mode=mode)
+        return
     (lines.write.mode(mode).option("compression", compression) if compression else lines.write.mode(mode)).text(path)
-
-
-def _lz4_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for content in batch["content"]:
-            stream = pa.CompressedInputStream(pa.BufferReader(content.as_buffer()), "lz4")
-            rest = b""
-            while data := stream.read(1 << 22):
-                *lines, rest = (rest + data).split(b"\n")
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary()).cast(pa.string())], ["value"])
-            if rest:
-                yield pa.RecordBatch.from_arrays([pa.array([rest], pa.binary()).cast(pa.string())], ["value"])
-
-
-def read_lz4_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value): lines of files in the LZ4 frame format, which Spark's text reader does not know.
-
-    The format does not split, so a file is one task, which decodes it as a stream; Spark
-    reads binary files of at most 2 GB. Parquet is the format for more.
-    """
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(_lz4_lines, "value string")

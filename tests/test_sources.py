@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metapep.ranks import EC_NUMBERS, TAXONS
-from metapep.sources import flatfile, ontologies, taxdump, tsv
+from metapep.sources import flatfile, lz4, ontologies, taxdump, tsv
 from metapep.streaming import current_entries, read_entry_stream, upsert_entries
 
 RECORD = """ID   XYL7_TESTA              Reviewed;         120 AA.
@@ -125,9 +125,71 @@ def test_compressed(spark, tmp_path):
     with gzip.open(tmp_path / "e.dat.gz", "wb") as f:
         f.write(f"{RECORD}\n//\n{RECORD}".replace("\n", "\r\n").encode())
     assert flatfile.read_records(spark, str(tmp_path / "e.dat.gz")).count() == 1
-    with pa.OSFile(str(tmp_path / "t.lz4"), "wb") as sink, pa.CompressedOutputStream(sink, "lz4") as out:
-        out.write("a\tb\nü\t\nlast".encode())
-    assert [r.value for r in tsv.read_lz4_lines(spark, str(tmp_path / "t.lz4")).collect()] == ["a\tb", "ü\t", "last"]
+
+
+def test_lz4_lines(spark, tmp_path):
+    """Linked and independent blocks, stored ones, checksums, frames in a row; lines that cross blocks and runs."""
+    import random
+
+    def packed(data, size, flags=0x60, kind=4):
+        codec, out = pa.Codec("lz4_raw"), lz4._head(flags, kind << 4)
+        for a in range(0, len(data), size):
+            raw = data[a : a + size]
+            small = codec.compress(raw, asbytes=True)
+            out += (len(small).to_bytes(4, "little") + small) if len(small) < len(raw) else ((len(raw) | lz4.STORED).to_bytes(4, "little") + raw)
+        return out + bytes(4)
+
+    def linked(data):
+        sink = pa.BufferOutputStream()
+        with pa.CompressedOutputStream(sink, "lz4") as out:
+            out.write(data)
+        return sink.getvalue().to_pybytes()
+
+    rnd = random.Random(4)
+    lines = ["\n" * 9, *(f"{i}\tü{'x' * rnd.randrange(60)}\n" for i in range(3000)), "long " * 9000 + "\n", "\n", *(f"{rnd.getrandbits(400):x}\n" for _ in range(500)), "last"]
+    data = "".join(lines).encode()
+    want = sorted(data.decode().split("\n"))
+    skipped = (0x184D2A53).to_bytes(4, "little") + (5).to_bytes(4, "little") + b"other"
+    files = {"linked": linked(data), "alone": packed(data, 1000), "sevens": packed(data, 7777), "mixed": packed(data[:9000], 500) + skipped + linked(data[9000:50_001]) + linked(b"") + packed(data[50_001:], 64 << 10)}
+    for name, content in files.items():
+        (tmp_path / f"{name} file.lz4").write_bytes(content)
+        for run in (4000, 50_000, 16 << 20):
+            assert sorted(r.value for r in lz4.read_lines(spark, str(tmp_path / f"{name} file.lz4"), run).collect()) == want, (name, run)
+    ends = packed(b"a\nb\n", 2) + packed(b"\nc", 1)  # lines that end with a run
+    (tmp_path / "ends.lz4").write_bytes(ends)
+    assert sorted(r.value for r in lz4.read_lines(spark, str(tmp_path / "ends.lz4"), 1).collect()) == ["", "a", "b", "c"]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.lz4").write_bytes(b"")
+    (tmp_path / "none" / "b.lz4").write_bytes(linked(b""))
+    assert lz4.read_lines(spark, str(tmp_path / "none")).count() == 0
+    for k, broken in enumerate((files["alone"][:-9], files["linked"][:-9], b"no frame at all")):
+        (tmp_path / f"broken{k}").write_bytes(broken)
+        with pytest.raises(Exception, match="ends within a frame|has no frame"):
+            lz4.read_lines(spark, str(tmp_path / f"broken{k}")).count()
+
+
+def test_lz4_tables(spark, tmp_path):
+    rows = spark.range(200_000).select(F.col("id").cast("string").alias("value"), F.sha2(F.col("id").cast("string"), 512).alias("noise"))
+    tsv.write_tsv(rows.select("value", F.lit("ü\u2028").alias("t"), "noise").repartition(1), str(tmp_path / "t"), "lz4")
+    back = tsv.read_tsv(spark, str(tmp_path / "t"), spark.createDataFrame([], "value long, t string, noise string").schema, compression="lz4")
+    assert back.filter("t = 'ü\u2028' and noise = sha2(cast(value as string), 512)").agg(F.count("*"), F.sum("value")).first()[:] == (200_000, 199_999 * 100_000)
+    assert lz4.read_lines(spark, str(tmp_path / "t"), 4 << 20).groupBy(F.spark_partition_id()).count().count() > 2  # of one file
+    part = next((tmp_path / "t").glob("part-*.lz4"))
+    with pa.CompressedInputStream(pa.OSFile(str(part)), "lz4") as stream:
+        assert stream.read().count(b"\n") == 200_000
+    assert sorted(p.name[:8] for p in (tmp_path / "t").iterdir()) == ["_SUCCESS", "part-000"]
+    with pytest.raises(FileExistsError):
+        tsv.write_tsv(rows, str(tmp_path / "t"), "lz4")
+    tsv.write_tsv(rows.limit(0), str(tmp_path / "t"), "lz4", "overwrite")
+    assert lz4.read_lines(spark, str(tmp_path / "t" / "*")).count() == 0
+
+    @F.udf("string")
+    def failing(i):
+        return 1 / (i - 77) and "x"
+
+    with pytest.raises(Exception, match="division by zero"):
+        lz4.write_lines(spark.range(100).select(failing("id").alias("value")), str(tmp_path / "failed"))
+    assert not any((tmp_path / "failed").glob("part-*")) and not (tmp_path / "failed" / "_SUCCESS").exists()
 
 
 def test_ontologies(spark, tmp_path):
