@@ -301,6 +301,39 @@ def test_neighbours_of_outliers(spark):
     assert set(got.values()) == {5} and len(got) == 40 + 4
 
 
+def test_rows_that_neighbours_send():
+    """A list with a third of all rows and a vector that a third share are sent about once; what is left out cannot be among the nearest."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((9000, 8))
+    x[:3000] = x[0]
+    x[3000:6000] = x[3000] + 0.001 * rng.standard_normal((3000, 8))
+    ids = rng.permutation(9000)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(list(x))], ["vec_id", "v"])
+    c = neighbours.centres(x[8000:], 30)
+    one = np.ones(30, np.int64)
+    sent = list(neighbours._sent(iter([batch]), c, 1, one, one, False, 5))
+    assert 6000 < sum(b.num_rows for b in sent) <= 6006 and {b["vec_id"][i].as_py() for b in sent for i in range(b.num_rows)} >= set(ids[3000:].tolist())
+    asked = batch.filter(pa.array(ids % 50 == 0))
+    assert sum(b.num_rows for b in neighbours._sent(iter([asked]), c, 4, one, one, True, 5)) == 4 * 180
+    y = np.array([[0.0, 1], [1, 0], [-0.0, 1], [0, 1], [0, 1], [1, 0], [0, 1]])
+    assert neighbours.few_of_equal(y, np.array([9, 1, 4, 4, 4, 2, 7]), 1).tolist() == [1, 2, 5, 6]
+    assert neighbours.few_of_equal(y, np.array([9, 1, 4, 4, 4, 2, 7]), 2).tolist() == [0, 1, 2, 3, 5, 6]
+
+
+def test_neighbours_in_parts(spark, monkeypatch):
+    """Lists and queries cut in small parts find the same."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.standard_normal((900, 8)), np.tile(rng.standard_normal(8), (300, 1))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(50, x[3].tolist())] * 9, "vec_id long, embedding array<double>").repartition(3)
+    want = sorted(map(tuple, neighbours.nearest(df, query_every=2, coverage=1.0).collect()))
+    monkeypatch.setattr(neighbours, "PART", 40)
+    monkeypatch.setattr(neighbours, "ASK_BYTES", 1)
+    got = sorted(map(tuple, neighbours.nearest(df, query_every=2, coverage=1.0).collect()))
+    assert len(want) == 5 * 600 and [r[:3] for r in got] == [r[:3] for r in want]
+
+
 @pytest.mark.parametrize("kind", ["sf0.1", "skewed"])
 def test_recall_of_neighbours(spark, kind):
     import pyarrow.parquet as pq
