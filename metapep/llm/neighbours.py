@@ -118,6 +118,8 @@ def _near(x: np.ndarray, c: np.ndarray, probes: int) -> np.ndarray:
 def _counted(batches: Iterator[pa.RecordBatch], c: np.ndarray, probes: int, k: int) -> Iterator[pa.RecordBatch]:
     """(list, n): how often the lists are named, by batch; rows of equal vectors as few_of_equal() leaves them if one list is named a row."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         x = _matrix(batch["v"])
         if probes == 1:
             x = x[few_of_equal(x, batch["vec_id"].to_numpy(), k)]
@@ -133,6 +135,8 @@ def _scattered(ids: np.ndarray, parts: np.ndarray) -> np.ndarray:
 def _sent(batches: Iterator[pa.RecordBatch], c: np.ndarray, probes: int, own_parts: np.ndarray, other_parts: np.ndarray, asks: bool, k: int) -> Iterator[pa.RecordBatch]:
     """Rows of each list they name, or queries of each they probe: in one of own_parts, once for every one of other_parts."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         if not asks:
             batch = batch.take(pa.array(few_of_equal(_matrix(batch["v"]), batch["vec_id"].to_numpy(), k)))
         lists = _near(_matrix(batch["v"]), c, probes)
