@@ -15,15 +15,15 @@ INVALID_ANYWHERE = ("enrichment culture", "mixed culture", "uncultured", "uniden
 INVALID_AT_END = ("metagenome", "library")
 
 
-def self_valid(id_: Column, name: Column, rank: Column) -> Column:
-    """Whether a taxon is valid but for its ancestors."""
+def self_valid(id_: Column, name: Column, rank: Column, invalid_ids: tuple[int, ...] = INVALID_IDS) -> Column:
+    """Whether a taxon is valid but for its ancestors.  invalid_ids: taxa of the NCBI taxonomy; none where ids are of another numbering."""
     vague = (name.rlike(r"\p{Nd}") & ~name.contains("virus")) | name.endswith(" sp.") | name.endswith(" genomosp.") | name.contains(" bacterium")
     bad = (rank == "species") & vague
     for x in INVALID_ANYWHERE:
         bad = bad | name.contains(x)
     for x in INVALID_AT_END:
         bad = bad | name.endswith(x)
-    return ~(bad | id_.isin(*INVALID_IDS))
+    return ~(bad | id_.isin(*invalid_ids))
 
 
 def rank_index(rank: Column) -> Column:
@@ -89,15 +89,15 @@ def tree_ancestors(sets: DataFrame, tree: DataFrame, name: str = "ancestor") ->
     return join_checked(sets, found, ["lo", "hi"], "left").drop("lo", "hi")
 
 
-def with_paths(taxa: DataFrame) -> DataFrame:
-    """(id, name, rank, parent_id, valid, path) of taxa (id, name, rank, parent_id).
+def with_paths(taxa: DataFrame, invalid_ids: tuple[int, ...] = INVALID_IDS) -> DataFrame:
+    """(id, name, rank, parent_id, valid, path) of taxa (id, name, rank, parent_id); invalid_ids as self_valid() takes them.
 
     path holds the ranked ancestors, root end first and the taxon itself last, as
     structs of id, rank and validity.  A taxon whose parent is missing starts a tree
     of its own and is invalid.  Taxa in a cycle other than the root's never end and
     are an error.
     """
-    own = cut(taxa.select("id", "name", "rank", "parent_id", self_valid(F.col("id"), F.col("name"), F.col("rank")).alias("_ok"), rank_index(F.col("rank")).alias("_rank")))
+    own = cut(taxa.select("id", "name", "rank", "parent_id", self_valid(F.col("id"), F.col("name"), F.col("rank"), invalid_ids).alias("_ok"), rank_index(F.col("rank")).alias("_rank")))
     chains = _chains(own)
     begin = F.struct(F.lit(True).alias("valid"), F.array().cast("array<struct<id:int,rank:int,valid:boolean>>").alias("path"))
 
