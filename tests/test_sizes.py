@@ -20,3 +20,8 @@ def test_lineages_of_suppliers_numbered_like_invalid_taxa(spark, numbered_like_i
     rows = {r.taxon_id: r for r in demo.lineages(spark, numbered_like_invalid_taxa).collect()}
     assert {i: rows[i].genus for i in (10_005, 28_384, 48_479)} == {i: i for i in (10_005, 28_384, 48_479)}
     assert rows[28_384].subspecies is None and rows[10_000_001].species == -10_000_001
+
+
+def test_validity_of_suppliers_numbered_like_invalid_taxa(spark, numbered_like_invalid_taxa):
+    valid = {r.id: r.valid for r in demo.taxon_validity(spark, numbered_like_invalid_taxa).collect()}
+    assert valid[10_005] and valid[28_384] and valid[48_479] and not valid[10_000_001]
