@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..ranks import RANKS, ROOT, SLOTS
-from ..storage import cut, join_checked
+from ..storage import cut, join_looked_up, stored
 from .numbering import number_rows
 
 # Taxa and parts of names that make a taxon invalid.
@@ -76,17 +76,19 @@ def nested_set(taxa: DataFrame) -> DataFrame:
 
 
 def tree_ancestors(sets: DataFrame, tree: DataFrame, name: str = "ancestor") -> DataFrame:
-    """sets (…, lo, hi: the least and greatest `first` of some taxa) with their lowest common ancestor: the deepest taxon whose range holds both; null for taxa of different trees.
+    """sets (…, lo, hi: the least and greatest `first` of some taxa) with their lowest common ancestor: the last taxon that the paths of both share; null for taxa of different trees.
 
-    Numbers are looked up in the ranges by blocks of the ancestors of lo, a row a level.
+    Paths are looked up by the two numbers, so no row is dealt out by an ancestor, of
+    which the root is everyone's.
     """
-    up = cut(_chains(tree.select("id", "parent_id", F.lit(0).alias("_rank"), F.lit(True).alias("_ok"))))
-    own = tree.select(F.col("first").alias("lo"), "id").join(up, "id").select("lo", F.col("chain.id").alias("_up"))
-    keyed = sets.select("lo", "hi").distinct()
-    ranges = tree.select(F.col("id").alias("_a"), F.col("last").alias("_last"), F.col("depth").alias("_depth"))
-    holding = keyed.join(own, "lo").select("lo", "hi", F.explode("_up").alias("_a")).join(ranges, "_a").filter("_last >= hi")
-    found = cut(holding.groupBy("lo", "hi").agg(F.max_by("_a", "_depth").alias(name)))
-    return join_checked(sets, found, ["lo", "hi"], "left").drop("lo", "hi")
+    sets = stored(sets, "sets", keep=True)
+    up = _chains(tree.select("id", "parent_id", F.lit(0).alias("_rank"), F.lit(True).alias("_ok")))
+    paths = cut(tree.select("first", "id").join(up, "id").select("first", F.col("chain.id").alias("_path")))
+    both = sets
+    for end in ("lo", "hi"):
+        both = join_looked_up(both, paths.select(F.col("first").alias("_first"), F.col("_path").alias(f"_{end}")), end, "_first")
+    shared = F.array_intersect("_lo", "_hi")
+    return both.withColumn(name, F.get(shared, F.size(shared) - 1)).drop("lo", "hi", "_lo", "_hi")
 
 
 def with_paths(taxa: DataFrame, invalid_ids: tuple[int, ...] = INVALID_IDS) -> DataFrame:

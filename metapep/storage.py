@@ -118,6 +118,20 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, limit: int | N
     return left.join(F.broadcast(right) if few else right, on, how)
 
 
+def join_looked_up(rows: DataFrame, table: DataFrame, taken: str, key: str, how: str = "left", limit: int | None = None) -> DataFrame:
+    """rows with what the table has for their column `taken`, by its unique `key` (of another name, and left out); how: left, inner or left_semi.
+
+    If the table is too large to be sent whole, the values that rows have are looked up
+    first, each once: of a large table few rows may be asked for, which then are sent,
+    and rows of few values are never dealt out by them.  rows are read once more for that.
+    """
+    few = is_small(table, BROADCAST_BYTES if limit is None else limit)
+    if not few:
+        table = cut(table.join(rows.select(F.col(taken).alias(key)).distinct(), key, "left_semi"))
+    out = rows.join(F.broadcast(table), F.col(taken) == F.col(key), how) if few else join_checked(rows, table, F.col(taken) == F.col(key), how, limit)
+    return out.drop(key)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -1,8 +1,10 @@
 """What shows in large tables only, on small ones."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from metapep import demo
+from metapep import demo, storage
+from metapep.operators import taxonomy
 
 
 @pytest.fixture(scope="module")
@@ -25,3 +27,35 @@ def test_lineages_of_suppliers_numbered_like_invalid_taxa(spark, numbered_like_i
 def test_validity_of_suppliers_numbered_like_invalid_taxa(spark, numbered_like_invalid_taxa):
     valid = {r.id: r.valid for r in demo.taxon_validity(spark, numbered_like_invalid_taxa).collect()}
     assert valid[10_005] and valid[28_384] and valid[48_479] and not valid[10_000_001]
+
+
+def test_tree_ancestors_deal_no_row_out_by_an_ancestor(spark, monkeypatch):
+    """No join of the sets' rows is by an ancestor: a key that all have in common would be a task's."""
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
+    parents = [(1, 1)] + [(i, 1) for i in range(2, 6)] + [(i, 2 + i % 4) for i in range(10, 60)] + [(100, 99), (101, 100)]
+    tree = storage.cut(taxonomy.nested_set(spark.createDataFrame(parents, "id int, parent_id int")))
+    first = {r.id: r.first for r in tree.collect()}
+    rows = [(k, [10 + k % 50, 10 + (k * 7) % 50]) for k in range(200)] + [(200, [100, 101]), (201, [2, 101]), (202, [101, 101])]
+    sets = spark.createDataFrame([(k, min(first[i] for i in t), max(first[i] for i in t)) for k, t in rows] + [(203, None, None)], "k int, lo long, hi long")
+    plans: list[str] = []
+    whole = storage.cut
+    monkeypatch.setattr(taxonomy, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or whole(df))
+    out = taxonomy.tree_ancestors(sets, tree)
+    got = {r.k: r.ancestor for r in out.collect()}
+    assert {k: got[k] for k in range(200, 204)} == {200: 100, 201: None, 202: 101, 203: None}
+    assert all(got[k] == (a if a == b else 2 + a % 4 if a % 4 == b % 4 else 1) for k, (a, b) in rows[:200])
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert "Join" in plans[-1] and not any("explode" in p for p in plans)
+
+
+def test_few_keys_of_a_large_table_are_looked_up(spark, monkeypatch):
+    """Rows of few values are not dealt out by them, however large the table is."""
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 4096)
+    rows = spark.createDataFrame([(i, i % 3 if i % 7 else None) for i in range(300)], "i int, t int")
+    table = spark.range(5000).select(F.col("id").cast("int").alias("_t"), (F.col("id") * 2).alias("v")).filter("_t <> 1")
+    out = storage.join_looked_up(rows, table, "t", "_t")
+    assert {(r.i, r.t, r.v) for r in out.collect()} == {(i, t, None if t in (1, None) else 2 * t) for i, t in ((i, i % 3 if i % 7 else None) for i in range(300))}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    for how in ("inner", "left_semi"):
+        assert storage.join_looked_up(rows, table, "t", "_t", how).count() == sum(1 for i in range(300) if i % 7 and i % 3 != 1)
