@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import entry_annotations, equate_il, peptide_annotations, tryptic_digest
-from ..storage import join_checked
+from ..storage import join_looked_up, stored
 from .aggregates import collapse
 from .ancestors import sequence_summary
 from .numbering import number_rows, running_offsets
@@ -14,7 +14,7 @@ from .numbering import number_rows, running_offsets
 
 def known_taxa(entries: DataFrame, taxa: DataFrame) -> DataFrame:
     """The entries whose taxon exists, valid or not."""
-    return join_checked(entries, taxa.select(F.col("id").alias("taxon_id")).distinct(), "taxon_id", "left_semi")
+    return join_looked_up(entries, taxa.select(F.col("id").alias("_t")).distinct(), "taxon_id", "_t", "left_semi")
 
 
 def entry_table(entries: DataFrame, taxa: DataFrame, order: list[str]) -> DataFrame:
@@ -26,10 +26,11 @@ def entry_table(entries: DataFrame, taxa: DataFrame, order: list[str]) -> DataFr
 def peptide_table(numbered: DataFrame, min_length: int = 5, max_length: int = 50) -> DataFrame:
     """(peptide_id, eq_sequence, sequence, entry_id, fa, taxon_id), numbered by entry and place."""
     summary = peptide_annotations(F.col("ec"), F.col("go"), F.col("ipr"))
-    cut_up = numbered.select("id", summary.alias("fa"), "taxon_id", tryptic_digest(F.col("sequence"), min_length, max_length).alias("_p"))
-    # rows stand by entry and place already: offsets by entry number them without a sort of all peptides
-    placed = running_offsets(cut_up, F.size("_p"))
-    rows = placed.select("before", F.col("id").alias("entry_id"), "fa", "taxon_id", F.posexplode("_p").alias("_place", "sequence"))
+    digest = tryptic_digest(F.col("sequence"), min_length, max_length)
+    # entries are numbered already, so offsets by entry number peptides without a sort of them; counts alone are put in blocks
+    counts = stored(numbered.select("id", F.size(digest).alias("_n")), "peptide-counts", keep=True)
+    placed = numbered.join(running_offsets(counts, F.col("_n")).select("id", "before"), "id")
+    rows = placed.select("before", F.col("id").alias("entry_id"), summary.alias("fa"), "taxon_id", F.posexplode(digest).alias("_place", "sequence"))
     return rows.select((F.col("before") + F.col("_place") + 1).alias("peptide_id"), equate_il(F.col("sequence")).alias("eq_sequence"), "sequence", "entry_id", "fa", "taxon_id")
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metapep import demo, storage
-from metapep.operators import taxonomy
+from metapep.operators import numbering, tables, taxonomy
 
 
 @pytest.fixture(scope="module")
@@ -59,3 +59,15 @@ def test_few_keys_of_a_large_table_are_looked_up(spark, monkeypatch):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     for how in ("inner", "left_semi"):
         assert storage.join_looked_up(rows, table, "t", "_t", how).count() == sum(1 for i in range(300) if i % 7 and i % 3 != 1)
+
+
+def test_peptides_are_numbered_by_counts_alone(spark, monkeypatch):
+    """What is put in blocks of entries, each a task's, is a number an entry and not its text."""
+    seen: list[list[str]] = []
+    whole = numbering.running_offsets
+    monkeypatch.setattr(tables, "running_offsets", lambda df, count: seen.append(df.columns) or whole(df, count, block=4))
+    none = F.array().cast("array<string>")
+    entries = spark.range(1, 31).select("id", F.repeat(F.lit("ACDEFK"), (F.col("id") % 4).cast("int")).alias("sequence"), F.lit(1).alias("taxon_id"), none.alias("ec"), none.alias("go"), none.alias("ipr"))
+    got = sorted(map(tuple, tables.peptide_table(entries.repartition(3)).select("peptide_id", "entry_id", "sequence").collect()))
+    assert got == [(n, i, "ACDEFK") for n, i in enumerate((i for i in range(1, 31) for _ in range(i % 4)), 1)]
+    assert seen == [["id", "_n"]]
