@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import term_category
 from ..ranks import ROOT, SLOTS
-from ..storage import join_checked
+from ..storage import join_looked_up
 
 
 def collapse(df: DataFrame, key: str, value: str, name: str = "values") -> DataFrame:
@@ -43,10 +43,10 @@ def lca_fold(slots: tuple[str, ...] = SLOTS) -> Column:
 
 
 def with_cells(rows: DataFrame, lineages: DataFrame, taxon: str = "taxon_id") -> DataFrame:
-    """rows with the lineage of their taxon, 28 cells by slot; all null where it has none. Lineages go to every executor where they are small, else both sides are shuffled by taxon."""
+    """rows with the lineage of their taxon, 28 cells by slot; all null where it has none. Taxa that rows have are looked up, so one that very many rows have is no skew."""
     slots = tuple(c for c in lineages.columns if c != "taxon_id")
     cells = lineages.select(F.col("taxon_id").alias("_t"), *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in slots])
-    return join_checked(rows, cells, F.col(taxon) == F.col("_t"), "left").drop("_t")
+    return join_looked_up(rows, cells, taxon, "_t")
 
 
 def lca_of(rows: DataFrame, key: str, name: str = "lca", slots: tuple[str, ...] = SLOTS) -> DataFrame:

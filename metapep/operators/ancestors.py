@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..ranks import ROOT, SLOTS
-from ..storage import cut, join_checked
+from ..storage import cut, join_checked, join_looked_up
 from .aggregates import CATEGORIES, histogram_columns, histogram_text, lca_columns, lca_fold, marked, terms_of, with_cells
 from .numbering import number_rows
 
@@ -64,9 +64,9 @@ def lineage_classes(lineages: DataFrame) -> Classes | None:
 
 
 def with_classes(rows: DataFrame, classes: Classes, taxon: str = "taxon_id") -> DataFrame:
-    """rows with the class of their taxon, four integers; null where it has no lineage."""
+    """rows with the class of their taxon, four integers; null where it has no lineage. Taxa that rows have are looked up, so one that very many rows have is no skew."""
     own = classes.taxa.withColumnRenamed("taxon_id", "_t")
-    return join_checked(rows, own, F.col(taxon) == F.col("_t"), "left").drop("_t")
+    return join_looked_up(rows, own, taxon, "_t")
 
 
 def summary_columns() -> list[Column]:

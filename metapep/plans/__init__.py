@@ -17,7 +17,7 @@ from ..operators.lookup import inverted_index, posting_blocks
 from ..operators.numbering import last_by_key
 from ..operators.packed import packed_kmers, unpacked, word_names
 from ..operators.taxonomy import lineage_table, taxon_table, with_paths
-from ..storage import join_checked, stored
+from ..storage import join_checked, scratch, stored
 
 _SOURCES = re.compile(r"(swissprot|trembl)(,(swissprot|trembl))*")
 
@@ -87,6 +87,8 @@ def kmer_index(entries: DataFrame, lineages: DataFrame, k: int = 9, aggregate: C
 
     The classes of lineages are joined to entries, before these become k-mers; k-mers
     are packed in integers, and shuffled once, as partial aggregates of six integers.
+    Entries are dealt out so that a task has about TASK_LETTERS residues: what it holds of
+    distinct k-mers is bounded, however large the input's files are.
     """
     k = check_number(k, "k")
     own = entries.filter(standard_alphabet(F.col("sequence"))).select("taxon_id", "sequence")
@@ -95,23 +97,35 @@ def kmer_index(entries: DataFrame, lineages: DataFrame, k: int = 9, aggregate: C
         slots = [c for c in lineages.columns if c != "taxon_id"]
         rows = with_cells(own, lineages).select("taxon_id", *slots, F.explode(kmers(F.col("sequence"), k)).alias("kmer"))
         return (aggregate or lca_of)(rows, "kmer")
-    words = packed_kmers(with_classes(own, classes).select("sequence", *CLASS), k)
+    letters = own.agg(F.sum(F.length("sequence"))).first()[0] or 0
+    rows = with_classes(own, classes).select("sequence", *CLASS)
+    words = packed_kmers(rows.repartition(-(-letters // TASK_LETTERS)) if letters > TASK_LETTERS else rows, k)
     found = ancestor_of(words.groupBy(*word_names(k)).agg(*summary_columns()), classes)
     return found.select(unpacked(k).alias("kmer"), "lca")
 
 
+#: Rows of an index that a bucket holds, which a task sorts, and letters whose k-mers a task aggregates before they are shuffled.
+BUCKET_ROWS, TASK_LETTERS = 1 << 21, 1 << 21
+
+
 def write_index(index: DataFrame, table: str, key: str, buckets: int = 256, path: str | None = None) -> DataFrame:
     """The index as a table of the catalog, read back: one sorted file a bucket of the key, with a Bloom filter on it.
 
     Joins on the key need no shuffle of the index.  A lookup reads one file, of which the
     statistics of blocks and pages, and the Bloom filters, leave few.  A bucket is
-    written by one task, so their number should grow with the index.  path: folder of the
-    files, where it isn't the catalog's own.
+    written by one task, so their number grows with the index: it is `buckets`, or one for
+    BUCKET_ROWS rows if that is more.  path: folder of the files, where it isn't the catalog's own.
     """
+    with scratch(index.sparkSession):
+        rows = stored(index, "index")
+        _write_buckets(rows, table, key, max(buckets, -(-rows.count() // BUCKET_ROWS)), path)
+    return index.sparkSession.table(table)
+
+
+def _write_buckets(index: DataFrame, table: str, key: str, buckets: int, path: str | None) -> None:
     out = index.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
     out = out.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     (out.option("path", path) if path else out).saveAsTable(table)
-    return index.sparkSession.table(table)
 
 
 def write_by_taxon(rows: DataFrame, tree: DataFrame, path: str, taxon: str = "taxon_id") -> DataFrame:

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from metapep import demo, storage
+from metapep import demo, plans, storage
 from metapep.operators import numbering, tables, taxonomy
+from metapep.ranks import SLOTS
 
 
 @pytest.fixture(scope="module")
@@ -71,3 +72,26 @@ def test_peptides_are_numbered_by_counts_alone(spark, monkeypatch):
     got = sorted(map(tuple, tables.peptide_table(entries.repartition(3)).select("peptide_id", "entry_id", "sequence").collect()))
     assert got == [(n, i, "ACDEFK") for n, i in enumerate((i for i in range(1, 31) for _ in range(i % 4)), 1)]
     assert seen == [["id", "_n"]]
+
+
+def test_kmers_of_a_task_and_rows_of_a_bucket_are_bounded(spark, tmp_path, monkeypatch):
+    """However large the input's files, a task makes k-mers of so many residues, and a bucket has so many rows."""
+    monkeypatch.setattr(plans, "TASK_LETTERS", 2000)
+    monkeypatch.setattr(plans, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 4096)
+    parts: list[int] = []
+    whole = plans.packed_kmers
+    monkeypatch.setattr(plans, "packed_kmers", lambda rows, k: parts.append(rows.rdd.getNumPartitions()) or whole(rows, k))
+    lineages = spark.range(2, 500).select(F.col("id").cast("int").alias("taxon_id"), *[F.col("id").cast("int").alias(s) if s == "species" else F.lit(1_000).alias(s) if s == "genus" else F.lit(None).cast("int").alias(s) for s in SLOTS])
+    letters = "ACDEFGHIKLMNPQRSTVWY"
+    texts = ["".join(letters[(i * 7 + j * j) % 20] for j in range(100)) for i in range(60)]
+    entries = spark.createDataFrame([(2 + i % 3, t) for i, t in enumerate(texts)], "taxon_id int, sequence string").coalesce(1)
+    index = plans.write_index(plans.kmer_index(entries, lineages), "bounded", "kmer", 2, str(tmp_path / "bounded"))
+    taxa: dict[str, set[int]] = {}
+    for i, t in enumerate(texts):
+        for j in range(92):
+            taxa.setdefault(t[j : j + 9], set()).add(2 + i % 3)
+    assert {r.kmer: r.lca for r in index.collect()} == {k: next(iter(v)) if len(v) == 1 else 1_000 for k, v in taxa.items()}
+    assert parts == [3]
+    assert spark.sql("DESCRIBE EXTENDED bounded").filter("col_name = 'Num Buckets'").first().data_type == str(-(-len(taxa) // 100))
+    spark.sql("DROP TABLE bounded")
