@@ -34,7 +34,7 @@ PATH_BYTES = 64 << 20
 
 @dataclass
 class Classes:
-    """taxa: (taxon_id, _pre, _post, _genus, _species); paths: (_pre, _post, _path)."""
+    """taxa: (taxon_id, _pre, _post, _genus, _species); paths: (_pre, _post, _path, _deepest), the last by number of cells from the root the place of the last one that holds a taxon, or -1."""
 
     taxa: DataFrame
     paths: DataFrame
@@ -46,6 +46,10 @@ def _usable_path() -> Column:
     return F.when(bad == 0, cells).otherwise(F.slice(cells, F.lit(1), F.greatest(bad - 1, F.lit(0))))
 
 
+def _deepest() -> Column:
+    return F.aggregate("_path", F.array(F.lit(-1)), lambda out, x: F.concat(out, F.array(F.when(x > 0, F.size(out) - 1).otherwise(F.element_at(out, -1)))))
+
+
 def lineage_classes(lineages: DataFrame) -> Classes | None:
     """The classes of a table of lineages with all slots; None if a usable cell follows an unusable one in a path, which no lineage_table() has."""
     if set(lineages.columns) != {"taxon_id", *SLOTS}:
@@ -59,7 +63,7 @@ def lineage_classes(lineages: DataFrame) -> Classes | None:
     paths = number_rows(own.select("_path").distinct(), ["_path"], "_pre")
     behind = F.concat("_path", F.array(F.lit((1 << 31) - 1)))
     paths = number_rows(paths.withColumn("_behind", behind), ["_behind"], "_post")
-    paths = cut(paths.select(F.col("_pre").cast("int").alias("_pre"), F.col("_post").cast("int").alias("_post"), "_path"))
+    paths = cut(paths.select(F.col("_pre").cast("int").alias("_pre"), F.col("_post").cast("int").alias("_post"), "_path", _deepest().alias("_deepest")))
     return Classes(cut(own.join(paths, "_path").select("taxon_id", *CLASS)), paths)
 
 
@@ -76,23 +80,29 @@ def summary_columns() -> list[Column]:
 
 
 def ancestor_of(sets: DataFrame, classes: Classes, name: str = "lca") -> DataFrame:
-    """sets, which have the SUMMARY, with the common ancestor in its place; the root for sets without lineage."""
+    """sets, which have the SUMMARY, with the common ancestor in its place; the root for sets without lineage.
+
+    Cells are compared only where a set has more than one path; else, and behind that,
+    what a row takes is the same work for any number of slots.
+    """
     rest = [c for c in sets.columns if c not in SUMMARY]
-    left = classes.paths.select("_post", F.col("_path").alias("_left"))
-    right = classes.paths.select("_pre", F.col("_path").alias("_right"))
+    left = classes.paths.select("_post", F.col("_pre").alias("_first"), F.col("_path").alias("_left"))
+    right = classes.paths.select("_pre", F.col("_path").alias("_right"), "_deepest")
     both = join_checked(join_checked(sets, left, "_post", "left", PATH_BYTES), right, "_pre", "left", PATH_BYTES)
-    lo, hi, k = [], [], 0
-    for s in SLOTS:
-        if s in OPEN:
-            lo, hi = [*lo, F.col(f"_{s}0")], [*hi, F.col(f"_{s}1")]
-        else:
-            lo, hi, k = [*lo, F.get("_left", F.lit(k))], [*hi, F.get("_right", F.lit(k))], k + 1
-    part = F.lit(len(SLOTS))
-    for i in reversed(range(len(SLOTS))):
-        part = F.when(lo[i] != hi[i], i).otherwise(part)
-    both = both.withColumn("_part", part)
-    found = F.coalesce(*[F.when((F.col("_part") > i) & (hi[i] > 0), hi[i]) for i in reversed(range(len(SLOTS)))], F.lit(ROOT))
-    return both.select(*rest, found.cast("int").alias(name))
+    at, slots = {s: i for i, s in enumerate(SLOTS)}, len(SLOTS)
+    # where the paths part, as a place in a path and then as a slot
+    differ = F.array_position(F.zip_with("_left", "_right", lambda x, y: x != y), True).cast("int")
+    parts = F.when(F.col("_first") == F.col("_pre"), len(PATH)).when(differ > 0, differ - 1).otherwise(len(PATH))
+    ends = [F.when(F.col(f"_{s}0") != F.col(f"_{s}1"), at[s]).otherwise(slots) for s in OPEN]
+    both = both.withColumn("_part", F.least(F.get(F.array(*[F.lit(at[s]) for s in PATH], F.lit(slots)), parts), *ends))
+    # cells of the path before that slot, and the last of them with a taxon
+    cells = F.col("_part") - sum((F.when(F.col("_part") > at[s], 1).otherwise(0) for s in OPEN), F.lit(0))
+    both = both.withColumn("_last", F.get("_deepest", F.least(cells, F.size("_deepest") - 1)))
+    slot = F.coalesce(F.get(F.array(*[F.lit(at[s]) for s in PATH]), F.col("_last")), F.lit(-1))
+    found = F.get("_right", F.col("_last"))
+    for s in sorted(OPEN, key=SLOTS.index):
+        found = F.when((F.col("_part") > at[s]) & (slot < at[s]) & (F.col(f"_{s}1") > 0), F.col(f"_{s}1")).otherwise(found)
+    return both.select(*rest, F.coalesce(found, F.lit(ROOT)).cast("int").alias(name))
 
 
 def lowest_common_ancestors(rows: DataFrame, lineages: DataFrame, key: str, taxon: str = "taxon_id", name: str = "lca") -> DataFrame:

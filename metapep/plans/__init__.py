@@ -45,7 +45,10 @@ def have(spark: SparkSession, *paths: str) -> None:
 
 
 def taxonomy_tables(taxa: DataFrame) -> dict[str, DataFrame]:
-    paths = with_paths(taxa)
+    return _of_paths(with_paths(taxa))
+
+
+def _of_paths(paths: DataFrame) -> dict[str, DataFrame]:
     return {"taxons": taxon_table(paths), "lineages": lineage_table(paths)}
 
 
@@ -61,10 +64,11 @@ def suffix_array_tables(entries: DataFrame, taxa: DataFrame, reference: DataFram
 def tryptic_tables(entries: DataFrame, taxa: DataFrame, min_length: int = 5, max_length: int = 50, order: list[str] | None = None) -> dict[str, DataFrame]:
     """Peptides, their numbered sequences, common ancestors, annotation histograms, and the index."""
     min_length, max_length = check_number(min_length, "min_length"), check_number(max_length, "max_length")
-    out = taxonomy_tables(taxa)
+    paths = with_paths(taxa)
+    out = _of_paths(paths)
     numbered = tables.entry_table(entries, out["taxons"], order or ["accession"])
     peptides = tables.peptide_table(numbered, min_length, max_length)
-    out |= {"peptides": peptides, "sequences": stored(tables.sequence_table(peptides, out["lineages"]), "sequences")}
+    out |= {"peptides": peptides, "sequences": stored(tables.sequence_table(peptides, lineage_table(paths, numbered)), "sequences")}
     out["index"] = tryptic_index(out["sequences"])
     return out
 

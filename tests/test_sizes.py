@@ -95,3 +95,21 @@ def test_kmers_of_a_task_and_rows_of_a_bucket_are_bounded(spark, tmp_path, monke
     assert parts == [3]
     assert spark.sql("DESCRIBE EXTENDED bounded").filter("col_name = 'Num Buckets'").first().data_type == str(-(-len(taxa) // 100))
     spark.sql("DROP TABLE bounded")
+
+
+def test_lineages_of_the_taxa_that_are_asked_for(spark, monkeypatch):
+    """Of a large taxonomy only they have a row, and the same as among all."""
+    taxa = spark.createDataFrame([(1, "root", "no rank", 1), (11, "A", "domain", 1), *[(i, f"T{i % 5}" if i % 5 else "T sample", "species", 11) for i in range(100, 160)]], "id int, name string, rank string, parent_id int")
+    paths = taxonomy.with_paths(taxa)
+    every = {r.taxon_id: r for r in taxonomy.lineage_table(paths).collect()}
+    for limit in (storage.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(storage, "BROADCAST_BYTES", limit)
+        few = taxonomy.lineage_table(paths, spark.createDataFrame([(i,) for i in (100, 101, 101, 11, 7, None)], "taxon_id int")).collect()
+        assert sorted(few, key=lambda r: r.taxon_id) == [every[i] for i in (11, 100, 101)]
+
+
+def test_peptide_index_without_n_makes_no_histograms(spark, monkeypatch):
+    """Who needs common ancestors alone pays for no annotations and no numbers."""
+    monkeypatch.setattr(tables, "sequence_table", lambda *_: pytest.fail("made the whole table"))
+    rows = demo.tryptic_index_compat(spark, "/root/testdata/sf0.001").collect()
+    assert rows and not any("N" in r.sequence for r in rows)
