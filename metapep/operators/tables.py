@@ -58,6 +58,8 @@ def sequence_table(peptides: DataFrame, lineages: DataFrame) -> DataFrame:
     """(id, sequence, lca, lca_il, fa, fa_il): all sequences and equated ones in byte order, with common ancestors and histograms of either side; what is missing is null.
 
     Summaries are made by text, so only distinct sequences are sorted and numbered, and
-    no number is joined to a peptide.
+    no number is joined to a peptide.  They are written before: a sort by range reads
+    them twice.
     """
-    return number_rows(sequence_summary(peptides, lineages).select("sequence", "lca", "lca_il", "fa", "fa_il"), ["sequence"])
+    summary = sequence_summary(peptides, lineages).select("sequence", "lca", "lca_il", "fa", "fa_il")
+    return number_rows(stored(summary, "summaries", keep=True), ["sequence"])

@@ -113,3 +113,15 @@ def test_peptide_index_without_n_makes_no_histograms(spark, monkeypatch):
     monkeypatch.setattr(tables, "sequence_table", lambda *_: pytest.fail("made the whole table"))
     rows = demo.tryptic_index_compat(spark, "/root/testdata/sf0.001").collect()
     assert rows and not any("N" in r.sequence for r in rows)
+
+
+def test_summaries_are_made_once_for_their_numbers(spark, monkeypatch):
+    """A sort by range reads its input twice: that is a table, not the aggregates."""
+    plans_: list[str] = []
+    whole = tables.number_rows
+    monkeypatch.setattr(tables, "number_rows", lambda df, order: plans_.append(df._jdf.queryExecution().optimizedPlan().toString()) or whole(df, order))
+    lineages = spark.range(2, 5).select(F.col("id").cast("int").alias("taxon_id"), *[F.col("id").cast("int").alias(s) if s == "species" else F.lit(None).cast("int").alias(s) for s in SLOTS])
+    peptides = spark.createDataFrame([("AI", "AL", 2, "GO:1"), ("AL", "AL", 2, ""), ("AL", "AL", 3, "GO:1")], "sequence string, eq_sequence string, taxon_id int, fa string")
+    rows = tables.sequence_table(peptides, lineages).select("id", "sequence", "lca", "lca_il").collect()
+    assert sorted(map(tuple, rows)) == [(1, "AI", 2, None), (2, "AL", 1, 1)]
+    assert len(plans_) == 1 and "Aggregate" not in plans_[0]
