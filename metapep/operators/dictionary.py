@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from ..storage import cut, exists, join_checked, listed
 from .numbering import number_rows
 
+#: Strings of the first release that a bucket holds, which a task sorts.
+BUCKET_ROWS = 1 << 21
+
 
 class Dictionary:
-    """(id, text) by release under a folder.  buckets: of every release; the number of the first release holds."""
+    """(id, text) by release under a folder.  buckets: least number of the first release, which has one for BUCKET_ROWS strings if that is more; all others have as many as the first."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
@@ -34,11 +37,14 @@ class Dictionary:
         found = [int(m[1]) for name in listed(self.spark, self.path) if (m := re.fullmatch(r"release=(\d+)", name))]
         return sorted(r for r in found if any(exists(self.spark, f"{self._folder(r)}/{x}/_SUCCESS") for x in listed(self.spark, self._folder(r))))
 
+    def _bucket_number(self, release: int) -> int:
+        return max(int(m[1]) for f in listed(self.spark, self._folder(release)) if (m := re.search(r"-b(\d+)$", f)))
+
     def _table(self, release: int) -> DataFrame:
         """A release as a bucketed table, which a new session does not know yet."""
         name = f"{self._name}_{release}"
         if not self.spark.catalog.tableExists(name):
-            buckets = max(int(m[1]) for f in listed(self.spark, self._folder(release)) if (m := re.search(r"-b(\d+)$", f)))
+            buckets = self._bucket_number(release)
             self.spark.sql(f"CREATE TABLE {name} (id BIGINT, text STRING) USING parquet CLUSTERED BY (text) SORTED BY (text) INTO {buckets} BUCKETS LOCATION '{self._folder(release)}/data-b{buckets}'")
         return self.spark.table(name)
 
@@ -71,9 +77,10 @@ class Dictionary:
             new = new.join(t.select("text").hint("merge"), "text", "left_anti")
             above = max(above, t.agg(F.max("id")).first()[0] or 0)
         numbered = number_rows(new, ["text"], "id", above + 1)
-        name, folder = f"{self._name}_{release}", f"{self._folder(release)}/data-b{self.buckets}"
-        out = numbered.select("id", "text").repartition(self.buckets, "text").write.mode("overwrite").format("parquet")
-        out.bucketBy(self.buckets, "text").sortBy("text").option("path", folder).saveAsTable(name)
+        buckets = self._bucket_number(known[0]) if known else max(self.buckets, -(-numbered.count() // BUCKET_ROWS))
+        name, folder = f"{self._name}_{release}", f"{self._folder(release)}/data-b{buckets}"
+        out = numbered.select("id", "text").repartition(buckets, "text").write.mode("overwrite").format("parquet")
+        out.bucketBy(buckets, "text").sortBy("text").option("path", folder).saveAsTable(name)
         return self._table(release)
 
     def encode(self, rows: DataFrame, column: str, name: str = "id", release: int | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metapep import demo, plans, storage
-from metapep.operators import numbering, tables, taxonomy
+from metapep.operators import dictionary, numbering, tables, taxonomy
 from metapep.ranks import SLOTS
 
 
@@ -125,3 +125,13 @@ def test_summaries_are_made_once_for_their_numbers(spark, monkeypatch):
     rows = tables.sequence_table(peptides, lineages).select("id", "sequence", "lca", "lca_il").collect()
     assert sorted(map(tuple, rows)) == [(1, "AI", 2, None), (2, "AL", 1, 1)]
     assert len(plans_) == 1 and "Aggregate" not in plans_[0]
+
+
+def test_buckets_of_a_dictionary_grow_with_its_first_release(spark, tmp_path, monkeypatch):
+    """A bucket has so many strings, however many there are; later releases are dealt out as the first."""
+    monkeypatch.setattr(dictionary, "BUCKET_ROWS", 10)
+    known = dictionary.Dictionary(spark, str(tmp_path / "grown"), 2)
+    known.append(spark.range(45).select(F.format_string("a%03d", "id").alias("s")), "s", 1)
+    known.append(spark.range(40, 50).select(F.format_string("a%03d", "id").alias("s")), "s", 2)
+    assert [storage.listed(spark, f"{tmp_path}/grown/release={r}") for r in (1, 2)] == [["data-b5"], ["data-b5"]]
+    assert {(r.id, r.text, r.release) for r in known.read().collect()} == {(i + 1, f"a{i:03d}", 1 if i < 45 else 2) for i in range(50)}
