@@ -36,17 +36,20 @@ def rank_index(rank: Column) -> Column:
 ROUNDS = 12
 
 
-def _chains(own: DataFrame) -> DataFrame:
-    """(id, chain): every taxon's ancestors, root end first and itself last, as structs of id, rank and validity of its own.
+def _chains(own: DataFrame, *kept: str) -> DataFrame:
+    """(id, the columns kept, chain): every taxon's ancestors, root end first and itself last, as structs of id, rank and validity of its own.
 
     Pointers are doubled: every taxon has the chain up to a pointer, and takes over the
     chain and pointer found there, so the rounds grow with the logarithm of the depth.
+    Rows of one id stay rows of their own, each with what is kept of it; a taxon whose
+    ancestor has several has a row for each.
     """
-    known = own.select(F.col("id").alias("_id"))
+    own = own.filter("id is not null")
+    known = own.select(F.col("id").alias("_id")).distinct()
     up = F.when((F.col("id") != ROOT) & F.col("_id").isNotNull(), F.col("parent_id"))
     ok = F.col("_ok") & ((F.col("id") == ROOT) | F.col("_id").isNotNull())
     link = F.array(F.struct("id", F.col("_rank").alias("rank"), ok.alias("ok")))
-    chains = cut(own.join(known, F.col("parent_id") == F.col("_id"), "left").select("id", up.alias("up"), link.alias("chain")))
+    chains = cut(own.join(known, F.col("parent_id") == F.col("_id"), "left").select("id", *kept, up.alias("up"), link.alias("chain")))
     for k in range(ROUNDS + 1):
         open_ = chains.filter("up is not null")
         if open_.isEmpty():
@@ -55,9 +58,9 @@ def _chains(own: DataFrame) -> DataFrame:
             raise ValueError(f"{open_.count()} taxa are not connected with the root or a missing parent")
         # those that have ended wait
         above = chains.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("chain").alias("_chain"))
-        moved = open_.join(above, F.col("up") == F.col("_id")).select("id", F.col("_up").alias("up"), F.concat("_chain", "chain").alias("chain"))
+        moved = open_.join(above, F.col("up") == F.col("_id")).select("id", *kept, F.col("_up").alias("up"), F.concat("_chain", "chain").alias("chain"))
         chains = cut(chains.filter("up is null").union(moved))
-    return chains.select("id", "chain")
+    return chains.drop("up")
 
 
 def nested_set(taxa: DataFrame) -> DataFrame:
@@ -68,22 +71,21 @@ def nested_set(taxa: DataFrame) -> DataFrame:
     aggregate over all ancestors.  A taxon whose parent is missing starts a tree of its own.
     """
     own = cut(taxa.select("id", "parent_id", F.lit(0).alias("_rank"), F.lit(True).alias("_ok")))
-    paths = cut(_chains(own).select("id", F.col("chain.id").alias("_path")))
+    paths = cut(_chains(own, "parent_id").select("id", "parent_id", F.col("chain.id").alias("_path")))
     below = paths.select(F.explode("_path").alias("id")).groupBy("id").agg(F.count("*").alias("_n"))
     numbered = number_rows(paths, ["_path"], "first")
-    out = numbered.join(below, "id").join(own.select("id", "parent_id"), "id")
-    return out.select("id", "parent_id", "first", (F.col("first") + F.col("_n") - 1).alias("last"), F.size("_path").alias("depth"))
+    return numbered.join(below, "id").select("id", "parent_id", "first", (F.col("first") + F.col("_n") - 1).alias("last"), F.size("_path").alias("depth"))
 
 
 def tree_ancestors(sets: DataFrame, tree: DataFrame, name: str = "ancestor") -> DataFrame:
     """sets (…, lo, hi: the least and greatest `first` of some taxa) with their lowest common ancestor: the last taxon that the paths of both share; null for taxa of different trees.
 
     Paths are looked up by the two numbers, so no row is dealt out by an ancestor, of
-    which the root is everyone's.
+    which the root is everyone's.  Taxa without any below may have an id in common.
     """
     sets = stored(sets, "sets", keep=True)
-    up = _chains(tree.select("id", "parent_id", F.lit(0).alias("_rank"), F.lit(True).alias("_ok")))
-    paths = cut(tree.select("first", "id").join(up, "id").select("first", F.col("chain.id").alias("_path")))
+    up = _chains(tree.select("id", "parent_id", "first", F.lit(0).alias("_rank"), F.lit(True).alias("_ok")), "first")
+    paths = cut(up.select("first", F.col("chain.id").alias("_path")))
     both = sets
     for end in ("lo", "hi"):
         both = join_looked_up(both, paths.select(F.col("first").alias("_first"), F.col("_path").alias(f"_{end}")), end, "_first")
@@ -92,16 +94,17 @@ def tree_ancestors(sets: DataFrame, tree: DataFrame, name: str = "ancestor") ->
 
 
 def with_paths(taxa: DataFrame, invalid_ids: tuple[int, ...] = INVALID_IDS) -> DataFrame:
-    """(id, name, rank, parent_id, valid, path) of taxa (id, name, rank, parent_id); invalid_ids as self_valid() takes them.
+    """(id, name, rank, parent_id, valid, path, rooted) of taxa (id, name, rank, parent_id); invalid_ids as self_valid() takes them.
 
     path holds the ranked ancestors, root end first and the taxon itself last, as
     structs of id, rank and validity.  A taxon whose parent is missing starts a tree
-    of its own and is invalid.  Taxa in a cycle other than the root's never end and
-    are an error.
+    of its own, is invalid and not rooted.  Taxa in a cycle other than the root's never
+    end and are an error.  Taxa that have an id in common are judged each by its own row.
     """
     own = cut(taxa.select("id", "name", "rank", "parent_id", self_valid(F.col("id"), F.col("name"), F.col("rank"), invalid_ids).alias("_ok"), rank_index(F.col("rank")).alias("_rank")))
-    chains = _chains(own)
-    begin = F.struct(F.lit(True).alias("valid"), F.array().cast("array<struct<id:int,rank:int,valid:boolean>>").alias("path"))
+    chains = _chains(own, "name", "rank", "parent_id")
+    # the cast lets it become null, as a taxon without name is neither
+    begin = F.struct(F.lit(True).alias("valid"), F.array().alias("path")).cast("struct<valid:boolean,path:array<struct<id:int,rank:int,valid:boolean>>>")
 
     def step(s: Column, x: Column) -> Column:
         valid = s["valid"] & x["ok"]
@@ -109,8 +112,9 @@ def with_paths(taxa: DataFrame, invalid_ids: tuple[int, ...] = INVALID_IDS) -> D
         put = F.concat(s["path"], F.array(F.struct(x["id"].alias("id"), x["rank"].alias("rank"), valid.alias("valid"))))
         return F.struct(valid.alias("valid"), F.when(ranked, put).otherwise(s["path"]).alias("path"))
 
-    folded = chains.select("id", F.aggregate("chain", begin, step).alias("f"))
-    return cut(own.join(folded, "id").select("id", "name", "rank", "parent_id", "f.valid", "f.path"))
+    rooted = F.get("chain", F.lit(0))["id"] == ROOT
+    folded = chains.select("id", "name", "rank", "parent_id", F.aggregate("chain", begin, step).alias("f"), rooted.alias("rooted"))
+    return cut(folded.select("id", "name", "rank", "parent_id", "f.valid", "f.path", "rooted"))
 
 
 def taxon_table(paths: DataFrame) -> DataFrame:

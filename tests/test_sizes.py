@@ -1,5 +1,7 @@
 """What shows in large tables only, on small ones."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,6 +32,45 @@ def test_validity_of_suppliers_numbered_like_invalid_taxa(spark, numbered_like_i
     assert valid[10_005] and valid[28_384] and valid[48_479] and not valid[10_000_001]
 
 
+@pytest.fixture(scope="module")
+def meeting_ids(spark, tmp_path_factory):
+    """Keys shifted so far that taxa of suppliers and customers have an id in common; a nation twice; nations that are missing, null or of no region; no names and no keys."""
+    top = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame([(1, "EUROPE"), (2, "ASIA")], "r_regionkey int, r_name string").write.parquet(f"{top}/region.parquet")
+    spark.createDataFrame([(7, "FRANCE", 1), (8, "CHINA", 2), (8, "TWICE", 1), (9, "NOWHERE", 77)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{top}/nation.parquet")
+    suppliers = [(5, "Supplier#5", 7), (9_990_001, "Supplier#6", 7), (9_990_002, "Supplier#7", 8), (9_990_003, "water sample", 7), (10, "lost", 99), (11, "lost", 9), (12, "lost", None), (13, None, 7), (14, "uncultured", 99), (None, "none", 7)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{top}/supplier.parquet")
+    spark.createDataFrame([*[(k, 7 + k % 2) for k in range(8)], (2, 8), (3, 7), (20, 99), (None, 7)], "c_custkey long, c_nationkey int").write.parquet(f"{top}/customer.parquet")
+    return top
+
+
+def test_validity_of_taxa_whose_ids_meet_is_that_of_the_sql(spark, meeting_ids):
+    """Each row is judged by itself, once for every way to the root, and without such a way it has none."""
+    con = pytest.importorskip("duckdb").connect()
+    for t in ("region", "nation", "supplier", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{meeting_ids}/{t}.parquet/*.parquet')")
+    want = Counter(con.execute(f"SELECT id, name, rank, parent_id, valid FROM ({demo.ORACLES['taxon_validity']})").fetchall())
+    got = Counter(map(tuple, demo.taxon_validity(spark, meeting_ids).collect()))
+    assert got == want
+    assert {r[3:] for r in got if r[0] == 10_000_001} == {(107, True), (108, False)} and got[10_000_002, "Supplier#7", "genus", 108, True] == 2
+    assert [r[4] for r in got if r[0] == 10_013] == [None] and not any(r[0] in (10_010, 10_011, 10_012, 10_014, 10_000_020, None) for r in got)
+
+
+def test_lineages_of_taxa_whose_ids_meet(spark, meeting_ids):
+    rows = Counter((r.taxon_id, r.phylum, r.genus, r.species) for r in demo.lineages(spark, meeting_ids).collect() if r.taxon_id in (10_000_001, 10_000_020, 10_010))
+    assert rows == {(10_000_001, 107, 10_000_001, None): 1, (10_000_001, 108, -1, -10_000_001): 2}
+
+
+def test_nested_set_of_taxa_whose_ids_meet(spark):
+    """A row for each, not one for each pair."""
+    rows = [(1, 1), (2, 1), (3, 1), (7, 2), (7, 3), (8, 2)]
+    tree = storage.cut(taxonomy.nested_set(spark.createDataFrame(rows, "id int, parent_id int")))
+    got = sorted(map(tuple, tree.select("first", "id", "parent_id", "depth").collect()))
+    assert got == [(1, 1, 1, 1), (2, 2, 1, 2), (3, 7, 2, 3), (4, 8, 2, 3), (5, 3, 1, 2), (6, 7, 3, 3)]
+    sets = spark.createDataFrame([(0, 3, 4), (1, 4, 6), (2, 6, 6)], "k int, lo long, hi long")
+    assert sorted(map(tuple, taxonomy.tree_ancestors(sets, tree).collect())) == [(0, 2), (1, 1), (2, 7)]
+
+
 def test_tree_ancestors_deal_no_row_out_by_an_ancestor(spark, monkeypatch):
     """No join of the sets' rows is by an ancestor: a key that all have in common would be a task's."""
     monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
