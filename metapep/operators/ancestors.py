@@ -17,8 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import equate_il
 from ..ranks import ROOT, SLOTS
-from ..storage import cut, join_checked, join_looked_up
+from ..storage import cut, is_small, join_checked, join_looked_up, shuffles_dropped
 from .aggregates import CATEGORIES, histogram_columns, histogram_text, lca_columns, lca_fold, marked, terms_of, with_cells
 from .numbering import number_rows
 
@@ -30,6 +31,8 @@ CLASS = ("_pre", "_post", "_genus", "_species")
 SUMMARY = ("_pre", "_post", "_genus0", "_genus1", "_species0", "_species1")
 #: Most bytes of the paths that go to every executor.
 PATH_BYTES = 64 << 20
+#: Peptides that a task summarises, and buckets by which they are counted before.
+TASK_ROWS, COUNT_BUCKETS = 1 << 18, 1 << 16
 
 
 @dataclass
@@ -119,27 +122,59 @@ def lowest_common_ancestors(rows: DataFrame, lineages: DataFrame, key: str, taxo
     return ancestor_of(with_classes(own, classes, "_taxon").groupBy(key).agg(*summary_columns()), classes, name)
 
 
+def frequent_keys(rows: DataFrame, key: Column) -> tuple[int, Column | None]:
+    """The number of rows, and a condition on those whose key may have more than a task should by itself; None if there are none.
+
+    Rows are counted by buckets of the key's hash.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(COUNT_BUCKETS)).cast("int")
+    large = F.when(F.col("n") > TASK_ROWS, F.struct("_b", "n"))
+    counts = rows.groupBy(bucket.alias("_b")).agg(F.count("*").alias("n"))
+    with shuffles_dropped(rows.sparkSession):
+        total, found = counts.agg(F.sum("n"), F.collect_list(large)).first()
+    total = total or 0
+    found = [x["_b"] for x in found if x["n"] > 4 * total // COUNT_BUCKETS]
+    return total, bucket.isin(found) if found else None
+
+
 def sequence_summary(peptides: DataFrame, lineages: DataFrame) -> DataFrame:
-    """(sequence, lca, lca_il, fa, fa_il) of rows (sequence, eq_sequence, taxon_id, fa), by text.
+    """(sequence, lca, lca_il, fa, fa_il) of rows (sequence, taxon_id, fa), by text.
 
     Every row counts for its sequence and, apart from that, for its equated one; what a
-    sequence isn't is null.  The input is read once: rows and terms of both sides are
-    counted together by (sequence, side, term), the classes of the rows beside them.
+    sequence isn't is null.  Peptides are shuffled once, a narrow row each, by their
+    equated sequence: with it go all rows of both sides, which are made and counted
+    behind the shuffle.  Sequences that very many peptides have are counted by partial
+    aggregates instead.
     """
     every, has = marked(terms_of(F.col("fa")))
     classes = lineage_classes(lineages)
-    own = peptides.select("sequence", "eq_sequence", "taxon_id", every.alias("_every"), *has)
-    own = with_cells(own, lineages) if classes is None else with_classes(own, classes)
-    parts = [c for c in own.columns if c not in ("sequence", "eq_sequence", "taxon_id", "_every")]
-    side = F.array(F.struct(F.col("sequence"), F.lit(False).alias("il")), F.struct(F.col("eq_sequence").alias("sequence"), F.lit(True).alias("il")))
-    rows = own.select(F.explode(side).alias("s"), "_every", *parts).select("s.sequence", "s.il", F.explode("_every").alias("_term"), *parts)
-    flags = [f"_{c}" for c in CATEGORIES]
-    row = F.col("_term").isNull()
-    rows = rows.select("sequence", "il", "_term", *[c if c in flags else F.when(row, F.col(c)).alias(c) for c in parts])
+    cells = [c for c in lineages.columns if c != "taxon_id"] if classes is None else [*CLASS]
     ends = lca_columns() if classes is None else summary_columns()
-    counts = rows.groupBy("sequence", "il", "_term").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in flags], *ends)
-    counts = counts.withColumn("_lca", lca_fold().cast("int")) if classes is None else ancestor_of(counts, classes, "_lca")
-    one, other = ~F.col("il"), F.col("il")
-    lca = [F.max(F.when(x & row, F.col("_lca"))).alias(name) for x, name in ((one, "lca"), (other, "lca_il"))]
-    both = counts.groupBy("sequence").agg(*lca, *histogram_columns(one), *histogram_columns(other, "_il"))
-    return both.select("sequence", "lca", "lca_il", histogram_text().alias("fa"), histogram_text("_il").alias("fa_il"))
+    flags = [f"_{c}" for c in CATEGORIES]
+    parts = [*flags, *cells]
+    row, one, other = F.col("_term").isNull(), ~F.col("il"), F.col("il")
+    side = F.array(F.struct(F.col("sequence"), F.lit(False).alias("il")), F.struct(F.col("_eq").alias("sequence"), F.lit(True).alias("il")))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return with_cells(rows, lineages) if classes is None else with_classes(rows, classes)
+
+    def summed(rows: DataFrame) -> DataFrame:
+        rows = rows.select(equate_il(F.col("sequence")).alias("_eq"), "sequence", every.alias("_every"), *has, *cells)
+        rows = rows.select("_eq", F.explode(side).alias("s"), "_every", *parts).select("_eq", "s.sequence", "s.il", F.explode("_every").alias("_term"), *parts)
+        rows = rows.select("_eq", "sequence", "il", "_term", *[c if c in flags else F.when(row, F.col(c)).alias(c) for c in parts])
+        counts = rows.groupBy("_eq", "sequence", "il", "_term").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in flags], *ends)
+        counts = counts.withColumn("_lca", lca_fold().cast("int")) if classes is None else ancestor_of(counts, classes, "_lca")
+        lca = [F.max(F.when(x & row, F.col("_lca"))).alias(name) for x, name in ((one, "lca"), (other, "lca_il"))]
+        both = counts.groupBy("_eq", "sequence").agg(*lca, *histogram_columns(one), *histogram_columns(other, "_il"))
+        return both.select("sequence", "lca", "lca_il", histogram_text().alias("fa"), histogram_text("_il").alias("fa_il"))
+
+    own, eq = peptides.select("sequence", "taxon_id", "fa"), equate_il(F.col("sequence"))
+    total, frequent = frequent_keys(own, eq)
+    tasks = max(-(-total // TASK_ROWS), peptides.sparkSession.sparkContext.defaultParallelism)
+    few = own if frequent is None else own.filter(~frequent)
+    # a small table of taxa is sent to where the rows are, and so need not be shuffled with them
+    if is_small(lineages if classes is None else classes.taxa):
+        out = summed(placed(few.repartition(tasks, eq)))
+    else:
+        out = summed(placed(few).repartition(tasks, eq))
+    return out if frequent is None else out.union(summed(placed(own.filter(frequent))))

@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
+import re
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import cut, join_checked
+from ..storage import cut, join_checked, shuffles_dropped, stored
 
 
 def number_rows(df: DataFrame, order: list[str], name: str = "id", start: int = 1) -> DataFrame:
     """df with a first column of numbers from start, in the order of the columns (bytewise for text).
 
     Rows are sorted by range into parts, the parts counted, and each part numbered
-    from the count of those before it.  What is collected is a count a part.
+    from the count of those before it.  What is collected is a count a part.  Sorted rows
+    are kept as a compressed table, as a checkpoint of them takes many times the disk.
     """
     mask = (1 << 33) - 1
-    ordered = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    # Parquet has neither of these types
+    ordered = cut(ordered) if {"void", "interval"} & set(re.findall(r"\w+", df.schema.simpleString())) else stored(ordered, "numbered", keep=True, compact=True)
     part = F.shiftright("_at", 33)
-    counts = {r.p: r.n for r in ordered.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
-    before, total = {}, start
-    for p in sorted(counts):
-        before[p], total = total, total + counts[p]
-    offset = F.create_map(*[F.lit(x) for p, n in before.items() for x in (p, n)])[part] if before else F.lit(start)
+    with shuffles_dropped(df.sparkSession):
+        counts = {r.p: r.n for r in ordered.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
+    before = accumulate((counts.get(p, 0) for p in range(max(counts, default=0))), initial=start)
+    offset = F.get(F.array(*map(F.lit, before)), part.cast("int"))
     return ordered.select((offset + F.col("_at").bitwiseAND(F.lit(mask))).cast("long").alias(name), *df.columns)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import entry_annotations, equate_il, peptide_annotations, tryptic_digest
-from ..storage import join_looked_up, stored
+from ..storage import join_looked_up, scratch, stored
 from .aggregates import collapse
 from .ancestors import sequence_summary
 from .numbering import number_rows, running_offsets
@@ -58,8 +58,9 @@ def sequence_table(peptides: DataFrame, lineages: DataFrame) -> DataFrame:
     """(id, sequence, lca, lca_il, fa, fa_il): all sequences and equated ones in byte order, with common ancestors and histograms of either side; what is missing is null.
 
     Summaries are made by text, so only distinct sequences are sorted and numbered, and
-    no number is joined to a peptide.  They are written before: a sort by range reads
-    them twice.
+    no number is joined to a peptide.  They are written before, as a sort by range reads
+    them twice, and go once they are numbered.
     """
     summary = sequence_summary(peptides, lineages).select("sequence", "lca", "lca_il", "fa", "fa_il")
-    return number_rows(stored(summary, "summaries", keep=True), ["sequence"])
+    with scratch(peptides.sparkSession):
+        return number_rows(stored(summary, "summaries", compact=True), ["sequence"])

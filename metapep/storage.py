@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 #: Most bytes of a side that is sent to every executor; above, Spark joins by shuffle.
 BROADCAST_BYTES = 8 << 20
 
+#: Spark's switch for shuffle files: whether they go at the end of a query.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: By thread, so that jobs of other threads (batches of a stream, say) keep theirs apart.
 _SCRATCH = threading.local()
 
@@ -47,11 +50,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """The same rows as a Parquet table in the shared folder; within scratch() it goes at the end unless kept."""
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that run inside go as soon as each is over, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False, compact: bool = False) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder; within scratch() it goes at the end unless kept.
+
+    compact: for large tables; in Zstandard, and without the shuffle files that it was made from.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if compact:
+        with shuffles_dropped(spark):
+            df.write.option("compression", "zstd").parquet(path)
+    else:
+        df.write.parquet(path)
     if (open_ := getattr(_SCRATCH, "open", None)) and not keep:
         open_[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -102,8 +123,9 @@ def _width(df: DataFrame) -> Column:
     return sum((p.cast("long") for p in parts), F.lit(fixed).cast("long"))
 
 
-def is_small(df: DataFrame, limit: int) -> bool:
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
     """Whether the rows take at most so many bytes; reads no more rows than that takes."""
+    limit = BROADCAST_BYTES if limit is None else limit
     rows = limit // (8 * max(1, len(df.columns)))
     n, size = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
     return n <= rows and size <= limit
@@ -114,7 +136,7 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, limit: int | N
 
     right is read once more for that, so it should be a table or cut from its lineage.
     """
-    few = is_small(right, BROADCAST_BYTES if limit is None else limit)
+    few = is_small(right, limit)
     return left.join(F.broadcast(right) if few else right, on, how)
 
 
@@ -125,7 +147,7 @@ def join_looked_up(rows: DataFrame, table: DataFrame, taken: str, key: str, how:
     first, each once: of a large table few rows may be asked for, which then are sent,
     and rows of few values are never dealt out by them.  rows are read once more for that.
     """
-    few = is_small(table, BROADCAST_BYTES if limit is None else limit)
+    few = is_small(table, limit)
     if not few:
         table = cut(table.join(rows.select(F.col(taken).alias(key)).distinct(), key, "left_semi"))
     out = rows.join(F.broadcast(table), F.col(taken) == F.col(key), how) if few else join_checked(rows, table, F.col(taken) == F.col(key), how, limit)

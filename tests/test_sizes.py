@@ -1,12 +1,14 @@
 """What shows in large tables only, on small ones."""
 
+import json
 from collections import Counter
+from glob import glob
 
 import pytest
 from pyspark.sql import functions as F
 
 from metapep import demo, plans, storage
-from metapep.operators import dictionary, numbering, tables, taxonomy
+from metapep.operators import ancestors, dictionary, numbering, tables, taxonomy
 from metapep.ranks import SLOTS
 
 
@@ -176,3 +178,60 @@ def test_buckets_of_a_dictionary_grow_with_its_first_release(spark, tmp_path, mo
     known.append(spark.range(40, 50).select(F.format_string("a%03d", "id").alias("s")), "s", 2)
     assert [storage.listed(spark, f"{tmp_path}/grown/release={r}") for r in (1, 2)] == [["data-b5"], ["data-b5"]]
     assert {(r.id, r.text, r.release) for r in known.read().collect()} == {(i + 1, f"a{i:03d}", 1 if i < 45 else 2) for i in range(50)}
+
+
+def _summaries(spark, peptides, lineages):
+    rows = tables.sequence_table(peptides, lineages).collect()
+    return [tuple(r) for r in sorted(rows, key=lambda r: r.id)]
+
+
+def test_sequences_that_very_many_peptides_have(spark, monkeypatch):
+    """Those are counted by partial aggregates, the others behind one shuffle; a row is the same either way, with taxa sent whole or looked up."""
+    lineages = spark.range(2, 7).select(F.col("id").cast("int").alias("taxon_id"), *[F.col("id").cast("int").alias(s) if s == "species" else F.when(F.col("id") < 5, 40).otherwise(50).cast("int").alias(s) if s == "genus" else F.lit(None).cast("int").alias(s) for s in SLOTS])
+    i = F.col("id")
+    peptides = spark.range(900).select(F.when(i < 500, F.when(i % 2 == 0, "AIK").otherwise("ALK")).otherwise(F.concat(F.lit("A"), F.element_at(F.array(F.lit("I"), F.lit("L"), F.lit("V")), (i % 3 + 1).cast("int")), (i % 40).cast("string"))).alias("sequence"), (i % 6 + 2).cast("int").alias("taxon_id"), F.element_at(F.array(F.lit(""), F.lit("GO:1;EC:2"), F.lit("GO:1;GO:1"), F.lit(None).cast("string")), (i % 4 + 1).cast("int")).alias("fa"))
+    peptides = peptides.withColumn("eq_sequence", F.translate("sequence", "I", "L"))
+    whole = _summaries(spark, peptides, lineages)
+    monkeypatch.setattr(ancestors, "TASK_ROWS", 100)
+    total, frequent = ancestors.frequent_keys(peptides, F.col("eq_sequence"))
+    assert total == 900 and {r.sequence for r in peptides.filter(frequent).select("sequence").distinct().collect()} == {"AIK", "ALK"}
+    assert _summaries(spark, peptides, lineages) == whole
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
+    assert _summaries(spark, peptides, lineages) == whole
+    # by hand
+    rows = [(r.sequence, r.eq_sequence, r.fa) for r in peptides.collect()]
+    assert [r[1] for r in whole] == sorted({x for r in rows for x in r[:2]})
+    for r in whole:
+        for k, fa in ((0, r[4]), (1, r[5])):
+            terms = [t for x in rows if x[k] == r[1] for t in (x[2] or "").split(";") if t]
+            assert (json.loads(fa)["data"] if fa else {}) == {t: terms.count(t) for t in terms}
+            assert fa is None or json.loads(fa)["num"]["all"] == sum(x[k] == r[1] for x in rows)
+
+
+def test_disk_of_a_sequence_table(spark, monkeypatch):
+    """Peptides are shuffled once; shuffle files and summaries are gone when the rows are numbered."""
+    plans_: list[str] = []
+    whole = tables.stored
+    monkeypatch.setattr(tables, "stored", lambda df, *a, **b: plans_.append(df._jdf.queryExecution().executedPlan().toString()) or whole(df, *a, **b))
+    lineages = spark.range(2, 5).select(F.col("id").cast("int").alias("taxon_id"), *[F.col("id").cast("int").alias(s) if s == "species" else F.lit(None).cast("int").alias(s) for s in SLOTS])
+    peptides = spark.range(2000).select(F.concat(F.lit("AI"), F.col("id")).alias("sequence"), F.concat(F.lit("AL"), F.col("id")).alias("eq_sequence"), (F.col("id") % 3 + 2).cast("int").alias("taxon_id"), F.lit("GO:1").alias("fa"))
+    shared = storage.shared_dir(spark)
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files() -> tuple[set, set]:
+        return {f for d in dirs for f in glob(f"{d}/*/shuffle_*.data")}, {n for n in storage.listed(spark, shared) if n.startswith("summaries")}
+
+    number, seen = tables.number_rows, []
+    monkeypatch.setattr(tables, "number_rows", lambda df, order: seen.append(files()[0]) or number(df, order))
+    before = files()
+    table = tables.sequence_table(peptides, lineages)
+    after = files()
+    assert plans_[0].count("Exchange hashpartitioning") == 1
+    assert not after[1] - before[1] and not after[0] - seen[0]
+    assert table.count() == 4000 and [r.sequence for r in table.filter("id IN (1, 4000)").orderBy("id").collect()] == ["AI0", "AL999"]
+
+
+def test_numbers_of_rows_that_parquet_cannot_hold(spark):
+    """A column without a type is numbered as before; parts without rows count nothing."""
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("a", 3)], "s string, v int").withColumn("none", F.lit(None))
+    assert sorted(tuple(r) for r in numbering.number_rows(rows, ["s", "v"], start=5).collect()) == [(5, "a", 2, None), (6, "a", 3, None), (7, "b", 1, None)]
